@@ -21,3 +21,84 @@ def order_data(c: Ctx):
        doubles=["gross_price", "price_reduction", "flag_phone_provided"])
 def merged_data(c: Ctx):
     return c.merged
+
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from .. import config as C  # noqa: E402
+from ..sources import io  # noqa: E402
+
+C360_COLS = ["customer_id", "address_id", "birthdate", "gender", "job_type", "email_provider",
+             "flag_phone_provided", "flag_privacy", "order_id", "store_id", "product_id",
+             "direction", "gross_price", "price_reduction", "purchase_datetime", "postal_code",
+             "district", "region", "product_class", "review_id", "review_text", "account_id",
+             "favorite_store", "loyalty_type", "loyatlty_status", "activation_date",
+             "sentiment_score"]
+
+
+@query("customer_360", doubles=["flag_phone_provided", "gross_price", "price_reduction"], sql="""
+SELECT c.customer_id, c.address_id, c.birthdate, c.gender, c.job_type, c.email_provider,
+  c.flag_phone_provided, c.flag_privacy, o.order_id, o.store_id, o.product_id, o.direction,
+  o.gross_price, o.price_reduction, o.purchase_datetime, a.postal_code, a.district, a.region,
+  p.product_class, r.review_id, r.review_text, ac.account_id, ac.favorite_store, ac.loyalty_type,
+  ac.loyatlty_status, ac.activation_date, s.sentiment_score
+FROM f_customers c LEFT JOIN f_orders o ON c.customer_id = o.customer_id
+LEFT JOIN f_addresses a ON c.address_id = a.address_id
+LEFT JOIN f_products p ON o.product_id = p.product_id
+LEFT JOIN f_reviews r ON c.customer_id = r.customer_id
+LEFT JOIN f_accounts ac ON c.customer_id = ac.customer_id
+LEFT JOIN f_sentiment s ON r.review_text = s.review_text""")
+def customer_360(c: Ctx):
+    return joins.customer_360(c.customers, c.orders, c.addresses, c.products, c.reviews,
+                              c.accounts, c.labelled).select(*C360_COLS)
+
+
+@query("orders_with_reviews", doubles=["gross_price", "price_reduction"], sql="""
+SELECT o.*, r.review_id, r.review_text FROM f_orders o LEFT JOIN f_reviews r ON o.customer_id = r.customer_id""")
+def orders_with_reviews(c: Ctx):
+    return joins.orders_with_reviews(c.orders, c.reviews).select(
+        "order_id", "customer_id", "store_id", "product_id", "direction", "gross_price",
+        "price_reduction", "purchase_datetime", "review_id", "review_text")
+
+
+@query("review_sentiment_join", sql="""
+SELECT r.*, s.sentiment_score FROM f_reviews r LEFT JOIN f_sentiment s ON r.review_text = s.review_text""")
+def review_sentiment_join(c: Ctx):
+    return joins.review_sentiment_join(c.reviews, c.labelled).select(
+        "review_id", "customer_id", "review_text", "sentiment_score")
+
+
+@query("product_class_lookup", sql="SELECT DISTINCT product_id, product_class FROM f_products")
+def product_class_lookup(c: Ctx):
+    return joins.product_class_lookup(c.products)
+
+
+@query("head_orders", doubles=["gross_price", "price_reduction"], sql="""
+SELECT * FROM f_order_data ORDER BY order_id, product_id, customer_id, store_id, direction, gross_price,
+  price_reduction, purchase_datetime LIMIT 10""")
+def head_orders(c: Ctx):
+    """First 10 order rows by a total order (the head/preview operator)."""
+    return io.head(joins.order_data(c.orders, c.products), 10, "order_id", "product_id",
+                   "customer_id", "store_id", "direction", "gross_price", "price_reduction",
+                   "purchase_datetime")
+
+
+@query("latest_run", doubles=["gross_price", "price_reduction"], sql="""
+SELECT *, CAST(purchase_datetime AS DATE) AS run_date FROM f_orders
+WHERE CAST(purchase_datetime AS DATE) = (SELECT max(CAST(purchase_datetime AS DATE)) FROM f_orders)""")
+def latest_run(c: Ctx):
+    """Rows of the newest run, with the purchase date as run stamp."""
+    runs = c.orders.withColumn("run_date", F.col("purchase_datetime").cast("date"))
+    return io.latest_run(runs, "run_date")
+
+
+@query("sample_fraction")
+def sample_fraction(c: Ctx):
+    """1% of merged order lines by hash of (order_id, product_id)."""
+    return io.sample_fraction(c.merged, 0.01, "order_id", "product_id")
+
+
+@query("sample_n")
+def sample_n(c: Ctx):
+    """min(500, rows) customers chosen by key hash."""
+    return io.sample_n(c.customers, 500, "customer_id", seed=C.SEED)
