@@ -50,3 +50,17 @@ def cut_right_closed(x: Column, edges: Sequence[float], labels: Sequence[str]) -
 
 def round6(c: Column) -> Column:
     return F.round(c, 6)
+
+
+def money_sum(c: Column, scale: int = 2) -> Column:
+    """Exact sum of a money column (values with ``scale`` decimals).
+
+    Summed as decimal, so the result does not depend on partitioning or
+    summation order, then returned as double.
+    """
+    return F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
+
+
+def money_avg(c: Column, scale: int = 2) -> Column:
+    """Exact money sum divided by the count of non-null values."""
+    return F.try_divide(money_sum(c, scale), F.count(c).cast("double"))

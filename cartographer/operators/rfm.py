@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.stats import money_sum
 from ..functions.dates import elapsed_days, months_active, ts
 
 
@@ -22,7 +23,7 @@ def rfm(data: DataFrame) -> DataFrame:
         F.min("purchase_datetime").alias("first_purchase"),
         F.max("purchase_datetime").alias("last_purchase"),
         F.count("order_id").alias("order_count"),
-        F.sum("gross_price").alias("monetary"),
+        money_sum(F.col("gross_price")).alias("monetary"),
     )
     return g.select(
         "customer_id",
@@ -38,7 +39,7 @@ def rfm_fixed_date(data: DataFrame, as_of: str = C.LEGACY_AS_OF) -> DataFrame:
     return data.groupBy("customer_id").agg(
         elapsed_days(F.max("purchase_datetime"), ts(as_of)).alias("recency"),
         F.count("order_id").alias("frequency"),
-        F.sum("gross_price").alias("monetary"),
+        money_sum(F.col("gross_price")).alias("monetary"),
     )
 
 

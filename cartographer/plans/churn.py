@@ -6,10 +6,10 @@ from ..operators import rfm as R
 from .registry import Ctx, query
 
 
-@query("rfm", doubles=["monetary", "frequency"], sql="""
+@query("rfm", sql="""
 SELECT customer_id,
   datesub('day', max(purchase_datetime), (SELECT max(purchase_datetime) FROM f_merged)) AS recency,
-  sum(gross_price) AS monetary,
+  CAST(sum(CAST(gross_price AS DECIMAL(18,2))) AS DOUBLE) AS monetary,
   count(order_id) / ((year(max(purchase_datetime)) - year(min(purchase_datetime))) * 12
     + month(max(purchase_datetime)) - month(min(purchase_datetime)) + 1) AS frequency
 FROM f_merged GROUP BY customer_id""")

@@ -21,7 +21,7 @@ def clean_customers(c: Ctx):
     return K.clean_customers(c.customers)
 
 
-@query("fill_by_type", doubles=["flag_phone_provided"], sql=f"""
+@query("fill_by_type", sql=f"""
 SELECT coalesce(customer_id, 'Unknown') AS customer_id, coalesce(address_id, 'Unknown') AS address_id,
   birthdate, coalesce(gender, 'Unknown') AS gender, coalesce(job_type, 'Unknown') AS job_type,
   coalesce(email_provider, 'Unknown') AS email_provider,
@@ -42,7 +42,7 @@ def parse_dates(c: Ctx):
         K.parse_timestamp(F.col("email_provider")).alias("email_ts"))
 
 
-@query("parse_numeric", doubles=["postal_number", "district_number"], sql="""
+@query("parse_numeric", sql="""
 SELECT address_id, TRY_CAST(postal_code AS DOUBLE) AS postal_number,
   TRY_CAST(district AS DOUBLE) AS district_number FROM f_addresses""")
 def parse_numeric(c: Ctx):
@@ -51,7 +51,7 @@ def parse_numeric(c: Ctx):
                     K.parse_double(F.col("district")).alias("district_number"))
 
 
-@query("outlier_to_median", doubles=ORDER_DOUBLES, sql=f"""
+@query("outlier_to_median", doubles=["gross_price"], sql=f"""
 SELECT order_id, customer_id, store_id, product_id, direction,
   CASE WHEN abs(gross_price - s.mu) / nullif(s.sd, 0) > {C.OUTLIER_Z} THEN s.med ELSE gross_price END AS gross_price,
   price_reduction, purchase_datetime
@@ -82,7 +82,7 @@ def sentiment_score_map(c: Ctx):
     return joins.sentiment_scores(c.labelled)
 
 
-@query("dedup_order_product", doubles=ORDER_DOUBLES, sql="""
+@query("dedup_order_product", sql="""
 SELECT order_id, customer_id, store_id, product_id, direction, gross_price, price_reduction,
   purchase_datetime, product_class FROM (
   SELECT *, row_number() OVER (PARTITION BY order_id, product_id ORDER BY customer_id NULLS FIRST,
@@ -92,14 +92,14 @@ def dedup_order_product(c: Ctx):
     return c.lines
 
 
-@query("customer_age", doubles=["flag_phone_provided"], sql=f"""
+@query("customer_age", sql=f"""
 SELECT *, CAST(round_even(datediff('day', birthdate, DATE '{C.AS_OF}') / 365.0, 0) AS BIGINT) AS age
 FROM f_customers WHERE birthdate IS NOT NULL""")
 def customer_age(c: Ctx):
     return K.with_age(c.customers, C.AS_OF, exact=True)
 
 
-@query("customer_age_years", doubles=["flag_phone_provided"], sql=f"""
+@query("customer_age_years", sql=f"""
 SELECT *, CAST(year(DATE '{C.AS_OF}') - year(birthdate) AS BIGINT) AS age
 FROM f_customers WHERE birthdate IS NOT NULL""")
 def customer_age_years(c: Ctx):

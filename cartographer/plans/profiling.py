@@ -31,7 +31,7 @@ def duplicate_row_count(c: Ctx):
     return Q.duplicate_row_count(c.orders)
 
 
-@query("describe_numeric", doubles=["mean", "std", "min", "q25", "q50", "q75", "max"],
+@query("describe_numeric", doubles=["mean", "std", "q25", "q50", "q75"],
        sql=" UNION ALL ".join(
            f"SELECT '{c}' AS column_name, count({c}) AS count, avg({c}) AS mean, "
            f"stddev_samp({c}) AS std, CAST(min({c}) AS DOUBLE) AS min, "
@@ -52,7 +52,7 @@ def distinct_preview(c: Ctx):
     return Q.distinct_preview(c.customers, 5)
 
 
-@query("duplicates_by_key", doubles=["gross_price", "price_reduction"], sql="""
+@query("duplicates_by_key", sql="""
 SELECT o.* FROM f_orders o JOIN (
   SELECT order_id, product_id FROM f_orders GROUP BY 1, 2 HAVING count(*) > 1) k
   ON o.order_id = k.order_id AND o.product_id = k.product_id""")
@@ -60,7 +60,7 @@ def duplicates_by_key(c: Ctx):
     return Q.duplicates(c.orders, ["order_id", "product_id"])
 
 
-@query("duplicates_full_row", doubles=["gross_price", "price_reduction"], sql="""
+@query("duplicates_full_row", sql="""
 SELECT o.* FROM f_orders o JOIN (
   SELECT %s FROM f_orders GROUP BY ALL HAVING count(*) > 1) k ON %s""" % (
     ", ".join(ORDER_COLS), " AND ".join(f"o.{c} IS NOT DISTINCT FROM k.{c}" for c in ORDER_COLS)))
@@ -68,8 +68,7 @@ def duplicates_full_row(c: Ctx):
     return Q.duplicates(c.orders)
 
 
-@query("dedup_exact", doubles=["gross_price", "price_reduction"],
-       sql="SELECT DISTINCT * FROM f_orders")
+@query("dedup_exact", sql="SELECT DISTINCT * FROM f_orders")
 def dedup_exact(c: Ctx):
     return Q.dedup_exact(c.orders)
 
@@ -80,7 +79,7 @@ def distinct_customers(c: Ctx):
     return Q.distinct_count(c.orders, "customer_id")
 
 
-@query("class_distribution", doubles=["share"], sql="""
+@query("class_distribution", sql="""
 SELECT sentiment_label, count(*) AS count, count(*) / sum(count(*)) OVER () AS share
 FROM f_labelled WHERE sentiment_label IS NOT NULL GROUP BY sentiment_label""")
 def class_distribution(c: Ctx):

@@ -2,8 +2,9 @@
 
 ``@query(key, sql=..., doubles=...)`` registers a Spark plan builder
 ``fn(ctx) -> DataFrame`` and, when the answer is exact, its DuckDB oracle.
-Double columns are rounded to 6 decimals on both sides so that the value hash
-does not depend on summation order.
+Columns listed in ``doubles`` carry unavoidable float noise (quantile
+interpolation, standard deviations, correlations) and are rounded to 6
+decimals on both sides; money sums are exact (decimal) on both sides.
 """
 
 from __future__ import annotations
@@ -75,10 +76,16 @@ class Ctx:
                                  self.addresses, self.accounts)
 
 
-def round_doubles(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
+def round_doubles(df: DataFrame, names: Sequence[str], digits: int = ROUND_DIGITS) -> DataFrame:
+    """Round the listed columns (float noise of sums, quantiles, std, corr).
+
+    Columns computed exactly on both sides (money sums via decimal, ratios of
+    counts, pass-through values) are left untouched so they stay bit-equal.
+    """
+    names = set(names)
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (DoubleType, FloatType)):
+        if f.name in names and isinstance(f.dataType, (DoubleType, FloatType)):
             cols.append(F.round(F.col(f.name), digits).alias(f.name))
         else:
             cols.append(F.col(f.name))
@@ -99,7 +106,7 @@ def query(key: str, sql: str | None = None, doubles: Sequence[str] = (),
 
     def deco(fn: Callable[[Ctx], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return round_doubles(fn(Ctx(spark, sf_dir)))
+            return round_doubles(fn(Ctx(spark, sf_dir)), doubles)
 
         run.__name__ = f"q_{key}"
         run.__doc__ = fn.__doc__

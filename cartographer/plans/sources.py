@@ -7,18 +7,17 @@ from .fixture_sql import MERGED_COLS
 from .registry import Ctx, query
 
 
-@query("customer_data", sql="SELECT * FROM f_customer_data", doubles=["flag_phone_provided"])
+@query("customer_data", sql="SELECT * FROM f_customer_data")
 def customer_data(c: Ctx):
     return joins.customer_data(c.customers, c.addresses, c.accounts)
 
 
-@query("order_data", sql="SELECT * FROM f_order_data", doubles=["gross_price", "price_reduction"])
+@query("order_data", sql="SELECT * FROM f_order_data")
 def order_data(c: Ctx):
     return joins.order_data(c.orders, c.products)
 
 
-@query("merged_data", sql="SELECT * FROM f_merged",
-       doubles=["gross_price", "price_reduction", "flag_phone_provided"])
+@query("merged_data", sql="SELECT * FROM f_merged")
 def merged_data(c: Ctx):
     return c.merged
 
@@ -36,7 +35,7 @@ C360_COLS = ["customer_id", "address_id", "birthdate", "gender", "job_type", "em
              "sentiment_score"]
 
 
-@query("customer_360", doubles=["flag_phone_provided", "gross_price", "price_reduction"], sql="""
+@query("customer_360", sql="""
 SELECT c.customer_id, c.address_id, c.birthdate, c.gender, c.job_type, c.email_provider,
   c.flag_phone_provided, c.flag_privacy, o.order_id, o.store_id, o.product_id, o.direction,
   o.gross_price, o.price_reduction, o.purchase_datetime, a.postal_code, a.district, a.region,
@@ -53,7 +52,7 @@ def customer_360(c: Ctx):
                               c.accounts, c.labelled).select(*C360_COLS)
 
 
-@query("orders_with_reviews", doubles=["gross_price", "price_reduction"], sql="""
+@query("orders_with_reviews", sql="""
 SELECT o.*, r.review_id, r.review_text FROM f_orders o LEFT JOIN f_reviews r ON o.customer_id = r.customer_id""")
 def orders_with_reviews(c: Ctx):
     return joins.orders_with_reviews(c.orders, c.reviews).select(
@@ -73,7 +72,7 @@ def product_class_lookup(c: Ctx):
     return joins.product_class_lookup(c.products)
 
 
-@query("head_orders", doubles=["gross_price", "price_reduction"], sql="""
+@query("head_orders", sql="""
 SELECT * FROM f_order_data ORDER BY order_id, product_id, customer_id, store_id, direction, gross_price,
   price_reduction, purchase_datetime LIMIT 10""")
 def head_orders(c: Ctx):
@@ -83,7 +82,7 @@ def head_orders(c: Ctx):
                    "purchase_datetime")
 
 
-@query("latest_run", doubles=["gross_price", "price_reduction"], sql="""
+@query("latest_run", sql="""
 SELECT *, CAST(purchase_datetime AS DATE) AS run_date FROM f_orders
 WHERE CAST(purchase_datetime AS DATE) = (SELECT max(CAST(purchase_datetime AS DATE)) FROM f_orders)""")
 def latest_run(c: Ctx):
