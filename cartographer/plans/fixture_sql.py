@@ -81,9 +81,10 @@ SELECT labelled_reviews_index, review_text, sentiment_label,
 }
 
 
-def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
+def with_ctes(body: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:
     """Prefix ``body`` with every fixture CTE (DuckDB inlines only those used)."""
     ctes = dict(CTES)
     ctes.update(extra or {})
     parts = [f"{name} AS ({sql.strip()})" for name, sql in ctes.items()]
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + ",\n".join(parts) + "\n" + body.strip()

@@ -100,7 +100,7 @@ def oracle_round(sql: str, doubles: Sequence[str]) -> str:
 
 
 def query(key: str, sql: str | None = None, doubles: Sequence[str] = (),
-          extra_ctes: dict[str, str] | None = None):
+          extra_ctes: dict[str, str] | None = None, recursive: bool = False):
     if key in QUERIES:
         raise ValueError(f"duplicate query key {key}")
 
@@ -112,7 +112,7 @@ def query(key: str, sql: str | None = None, doubles: Sequence[str] = (),
         run.__doc__ = fn.__doc__
         QUERIES[key] = run
         if sql is not None:
-            ORACLE[key] = oracle_round(with_ctes(sql, extra_ctes), doubles)
+            ORACLE[key] = oracle_round(with_ctes(sql, extra_ctes, recursive), doubles)
         return fn
 
     return deco
