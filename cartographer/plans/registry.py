@@ -121,4 +121,4 @@ def query(key: str, sql: str | None = None, doubles: Sequence[str] = (),
 def load_all() -> None:
     """Import every plan module so its queries register."""
     from . import (basket, churn, cleaning, exploration, features, metrics,  # noqa: F401
-                   profiling, propensity, sentiment, sources)
+                   models, profiling, propensity, sentiment, sources)
