@@ -21,5 +21,5 @@ def normalize(t: Column) -> Column:
 
 
 def tokens(t: Column) -> Column:
-    """Tokens of two or more word characters of the lower-cased text."""
-    return F.regexp_extract_all(F.lower(t), F.lit(r"(?U)(\w\w+)"), 1)
+    """Tokens of the normalised text: runs of two or more word characters."""
+    return F.regexp_extract_all(normalize(F.coalesce(t, F.lit(""))), F.lit(r"(?U)(\w\w+)"), 1)

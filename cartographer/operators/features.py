@@ -9,6 +9,7 @@ expressions, so scoring a table is a single narrow projection.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -22,6 +23,10 @@ BINARY = ["gender"]
 NUMERIC = ["price_reduction", "flag_phone_provided", C.LOYALTY_STATUS_COL]
 
 
+def _safe(name: str) -> str:
+    return re.sub(r"[^0-9A-Za-z_]", "_", name)
+
+
 def top_values(df: DataFrame, col: str, n: int = 3) -> list[str]:
     """The n most frequent non-null values (ties by value); a bounded collect."""
     rows = (df.where(F.col(col).isNotNull()).groupBy(col).count()
@@ -49,13 +54,15 @@ class Preprocessor:
     def from_json(s: str) -> "Preprocessor":
         return Preprocessor(**json.loads(s))
 
-    def feature_names(self) -> list[str]:
+    def feature_names(self, safe: bool = False) -> list[str]:
+        """Output column names; ``safe`` maps characters other than letters,
+        digits and '_' to '_' (for assemblers that parse dotted names)."""
         names = [f"num__{c}" for c in self.numeric]
         for c, levels in self.categorical.items():
             names += [f"cat__{c}_{v}" for v in levels]
         for c, (mode, levels) in self.binary.items():
             names += [f"bin__{c}_{v}" for v in (levels[1:] if len(levels) == 2 else levels)]
-        return names
+        return [_safe(n) for n in names] if safe else names
 
     def prepared(self, df: DataFrame) -> DataFrame:
         if self.email_col:
@@ -76,8 +83,11 @@ class Preprocessor:
             out += [F.when(x == v, 1.0).otherwise(0.0).alias(f"bin__{c}_{v}") for v in keep]
         return out
 
-    def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        return self.prepared(df).select(*keep, *self.columns())
+    def transform(self, df: DataFrame, keep: Sequence[str] = (), safe: bool = False) -> DataFrame:
+        cols = self.columns()
+        if safe:
+            cols = [c.alias(n) for c, n in zip(cols, self.feature_names(safe=True))]
+        return self.prepared(df).select(*keep, *cols)
 
 
 def fit_preprocessor(df: DataFrame, numeric: Sequence[str] = NUMERIC,

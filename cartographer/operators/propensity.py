@@ -126,3 +126,16 @@ def primary_secondary(df: DataFrame, prefix: str = "propensity_",
     rest = F.filter(F.slice(F.col("_r"), 2, max(len(cols) - 1, 1)), lambda x: x["p"] >= share * best["p"])
     return d.select("customer_id", best["name"].alias("primary_category"),
                     F.array_join(F.transform(rest, lambda x: x["name"]), ",").alias("secondary_categories"))
+
+
+def period_training_set(data: DataFrame, cond: Column, obs: int = OBS, pred: int = PRED,
+                        step: int = STEP) -> DataFrame:
+    """One row per (customer, period): observation-window features and
+    target = 1 when a purchase matching ``cond`` falls in the prediction window."""
+    from .churn import churn_features
+    g = period_grid(data, obs, pred, step)
+    feats = churn_features(data, obs, pred, step).drop("churned", "control_end")
+    hits = (data.where(cond).select("customer_id", F.explode(g.windows(obs, pred)).alias("_k")).distinct()
+            .select("customer_id", g.start_of(F.col("_k")).alias("window_start"), F.lit(1).alias("_t")))
+    return feats.join(hits, ["customer_id", "window_start"], "left").withColumn(
+        "target", F.coalesce(F.col("_t"), F.lit(0)).cast("int")).drop("_t")

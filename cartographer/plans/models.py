@@ -1 +1,194 @@
-"""Model queries (rows-only checks)."""
+"""Model queries: fits are not bit-comparable across libraries, so these keys
+have rows-only checks; each returns hold-out or scoring rows."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from .. import config as C
+from ..functions.sampling import hash_bucket
+from ..operators import churn as CH
+from ..operators import explore as X
+from ..operators import features as FE
+from ..operators import joins
+from ..operators import models as Mo
+from ..operators import propensity as P
+from ..operators import quality
+from ..sources import io
+from .exploration import product_classes
+from .registry import Ctx, query
+
+NUMERIC = ["frequency", "avg_spend", "max_spend", "recency", "total_monthly_spend",
+           "flag_phone_provided", C.LOYALTY_STATUS_COL]
+CATEGORICAL = ["job_type", "region", "loyalty_type"]
+MULTI_TREES = 20
+
+
+def _attributes(c: Ctx):
+    return joins.keep_first(joins.customer_data(c.customers, c.addresses, c.accounts), ["customer_id"])
+
+
+def _churn_set(c: Ctx):
+    return CH.churn_features(c.lines).join(_attributes(c), "customer_id", "left")
+
+
+def _prep(train):
+    return FE.fit_preprocessor(train, NUMERIC, CATEGORICAL, ["gender"], email_col="email_provider")
+
+
+def _churn_eval(c: Ctx, kind: str):
+    d = io.split(_churn_set(c), C.TEST_FRACTION, "customer_id", "window_start")
+    train = d.where(~F.col("is_test"))
+    p = _prep(train)
+    keys = ["customer_id", "window_start", "churned"]
+    model = Mo.fit(p.transform(train, keys, safe=True), p.feature_names(safe=True), "churned", kind)
+    return Mo.score(model, p.transform(d.where(F.col("is_test")), keys, safe=True), keys, "churn_probability")
+
+
+@query("split")
+def split(c: Ctx):
+    """80/20 split of the churn training rows by key hash (is_test flag)."""
+    return io.split(_churn_set(c), C.TEST_FRACTION, "customer_id", "window_start").select(
+        "customer_id", "window_start", "churned", "is_test")
+
+
+@query("split_stratified")
+def split_stratified(c: Ctx):
+    """Per-class 20% test share: rows below the class's 20% hash quantile."""
+    d = _churn_set(c).withColumn("_h", hash_bucket(F.col("customer_id"), F.col("window_start")))
+    cut = d.groupBy("churned").agg(F.percentile_approx("_h", C.TEST_FRACTION, 10000).alias("_cut"))
+    return d.join(F.broadcast(cut), "churned").select(  # one row per class
+        "customer_id", "window_start", "churned", (F.col("_h") <= F.col("_cut")).alias("is_test"))
+
+
+@query("churn_rf")
+def churn_rf(c: Ctx):
+    return _churn_eval(c, "rf")
+
+
+@query("churn_lr")
+def churn_lr(c: Ctx):
+    return _churn_eval(c, "lr")
+
+
+@query("churn_nb")
+def churn_nb(c: Ctx):
+    return _churn_eval(c, "nb")
+
+
+@query("churn_dt")
+def churn_dt(c: Ctx):
+    return _churn_eval(c, "dt")
+
+
+@query("churn_scores")
+def churn_scores(c: Ctx):
+    """Forest fitted on all windows scores the customers of the last 90 days."""
+    train = _churn_set(c)
+    p = _prep(train)
+    model = Mo.fit(p.transform(train, ["churned"], safe=True), p.feature_names(safe=True), "churned", "rf")
+    current = CH.features_current(CH.last_window(c.lines)).join(_attributes(c), "customer_id", "left")
+    return Mo.score(model, p.transform(current, ["customer_id"], safe=True), ["customer_id"], "churn_probability")
+
+
+@query("behaviour_clusters")
+def behaviour_clusters(c: Ctx):
+    b = X.customer_behaviour(c.lines)
+    m = Mo.kmeans(b, ["purchase_frequency", "avg_order_value"], C.N_CLUSTERS)
+    return m.transform(b).select("customer_id", "purchase_frequency", "avg_order_value", "cluster")
+
+
+def _propensity_set(c: Ctx, cond):
+    return P.period_training_set(c.lines, cond).join(_attributes(c), "customer_id", "left")
+
+
+def _propensity_eval(c: Ctx, cond, num_trees: int = C.N_TREES):
+    d = _propensity_set(c, cond)
+    keys = ["customer_id", "window_start", "target"]
+    d = io.split(d, C.TEST_FRACTION, "customer_id", "window_start")
+    train = d.where(~F.col("is_test"))
+    if not quality.check_binary_label(train, "target"):
+        return d.select(*keys, F.lit(None).cast("int").alias("prediction"),
+                        F.lit(None).cast("double").alias("probability")).limit(0)
+    p = _prep(train)
+    tw = Mo.class_weights(p.transform(train, keys, safe=True), "target")
+    model = Mo.fit(tw, p.feature_names(safe=True), "target", "rf", weight="weight", num_trees=num_trees)
+    return Mo.score(model, p.transform(d.where(F.col("is_test")), keys, safe=True), keys, "probability")
+
+
+@query("propensity_rf")
+def propensity_rf(c: Ctx):
+    """Balanced forest for the category target; hold-out predictions."""
+    return _propensity_eval(c, F.col("product_class") == C.PROPENSITY_CATEGORY)
+
+
+def _category_models(c: Ctx):
+    base = P.period_training_set(c.lines, F.lit(False)).drop("target").join(_attributes(c), "customer_id", "left")
+    p = _prep(base)
+    out = {}
+    for cat in product_classes(c):
+        d = _propensity_set(c, F.col("product_class") == cat)
+        if not quality.check_binary_label(d, "target"):
+            continue
+        out[cat] = Mo.fit(p.transform(d, ["target"], safe=True), p.feature_names(safe=True), "target", "rf",
+                          num_trees=MULTI_TREES)
+    return p, out
+
+
+@query("multi_category_rf")
+def multi_category_rf(c: Ctx):
+    """One forest per category; hold-out style summary row per category model."""
+    p, models = _category_models(c)
+    cur = CH.features_current(CH.last_window(c.lines)).join(_attributes(c), "customer_id", "left")
+    x = p.transform(cur, ["customer_id"], safe=True)
+    out = None
+    for cat, m in models.items():
+        s = Mo.score(m, x, ["customer_id"], "probability").select(F.lit(cat).alias("category"), "*")
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@query("category_propensities")
+def category_propensities(c: Ctx):
+    """propensity_<category> columns per current customer."""
+    p, models = _category_models(c)
+    cur = CH.features_current(CH.last_window(c.lines)).join(_attributes(c), "customer_id", "left")
+    x = p.transform(cur, ["customer_id"], safe=True)
+    cols = []
+    for cat, m in models.items():
+        out = m.transform(x)
+        x = out.withColumn(f"propensity_{cat}", vector_to_array("probability")[1]).drop(
+            "features", "scaled", "rawPrediction", "probability", "prediction")
+        cols.append(f"propensity_{cat}")
+    return x.select("customer_id", *cols)
+
+
+PROP_COLS = ["propensity_1", "propensity_2", "propensity_3"]
+
+
+@query("propensity_clusters")
+def propensity_clusters(c: Ctx):
+    m = Mo.kmeans(c.scores, PROP_COLS, C.N_CLUSTERS, scale=True)
+    return m.transform(c.scores).select("customer_id", *PROP_COLS, "cluster")
+
+
+@query("cluster_profile")
+def cluster_profile(c: Ctx):
+    """Per cluster: size, share and the three categories with the largest centre."""
+    m = Mo.kmeans(c.scores, PROP_COLS, C.N_CLUSTERS, scale=True)
+    centres = m.stages[-1].clusterCenters()
+    names = [x.split("_")[1] for x in PROP_COLS]
+    top = {i: ",".join(n for _, n in sorted(zip(-ctr, names))[:3]) for i, ctr in enumerate(centres)}
+    a = m.transform(c.scores).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    total = c.scores.agg(F.count(F.lit(1))).scalar()
+    tmap = F.create_map(*[x for i, t in top.items() for x in (F.lit(i), F.lit(t))])
+    return a.select("cluster", "size", (F.col("size") / total).alias("share"),
+                    tmap[F.col("cluster")].alias("top_categories"))
+
+
+@query("propensity_pca")
+def propensity_pca(c: Ctx):
+    m = Mo.pca(c.scores, PROP_COLS, 3)
+    arr = vector_to_array("pca")
+    return m.transform(c.scores).select("customer_id", *[arr[i].alias(f"pc{i + 1}") for i in range(3)])

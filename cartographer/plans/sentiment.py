@@ -1 +1,132 @@
-"""Registered queries."""
+"""Text and sentiment queries (J*, E25, E26, customer-type box plot)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import config as C
+from ..functions.stats import money_avg
+from ..operators import explore as X
+from ..operators import sentiment as S
+from ..sources import io
+from .exploration import BOX_DOUBLES, box_sql
+from .registry import Ctx, query
+
+TOP_TERMS = 20
+TOKENS_SQL = (r"regexp_extract_all(regexp_replace(lower(coalesce({t}, '')), '[^\p{{L}}\p{{M}}\p{{N}}_\s]', '', 'g'),"
+              r" '[\p{{L}}\p{{M}}\p{{N}}_]{{2,}}')")
+TYPE_SQL = (f"CASE WHEN score <= {C.DETRACTOR_MAX} THEN 'Detractor' WHEN score <= {C.PROMOTER_MIN} THEN 'Neutral' "
+            f"ELSE 'Promoter' END")
+TYPE_CTES = {
+    "x_types": f"SELECT customer_id, score AS sentiment_score, {TYPE_SQL} AS customer_type FROM f_scores",
+    "x_seg": """SELECT m.customer_id, m.gross_price, t.sentiment_score, t.customer_type FROM f_merged m
+  JOIN x_types t ON m.customer_id = t.customer_id""",
+}
+
+
+def _types(c: Ctx):
+    return c.scores.select("customer_id", F.col("score").alias("sentiment_score"),
+                           S.customer_type(F.col("score")).alias("customer_type"))
+
+
+def _segments(c: Ctx):
+    return c.lines.select("customer_id", "gross_price").join(_types(c), "customer_id")
+
+
+@query("tfidf", doubles=["tfidf"], extra_ctes={
+    "x_tok": "SELECT labelled_reviews_index AS doc, unnest(" + TOKENS_SQL.format(t="review_text")
+             + ") AS term FROM f_labelled",
+    "x_tf": "SELECT doc, term, count(*) AS tf FROM x_tok GROUP BY 1, 2",
+    "x_voc": f"""SELECT term, sum(tf) AS total, count(*) AS df FROM x_tf GROUP BY 1
+  ORDER BY total DESC, term LIMIT {C.TFIDF_VOCAB_SIZE}""",
+    "x_w": """SELECT t.doc, t.term, t.tf * (ln((1 + n.n) / (1 + v.df)) + 1) AS w
+  FROM x_tf t JOIN x_voc v ON t.term = v.term, (SELECT count(*) AS n FROM f_labelled) n"""}, sql="""
+SELECT doc AS labelled_reviews_index, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc)) AS tfidf FROM x_w""")
+def tfidf(c: Ctx):
+    return S.tfidf(c.labelled, "labelled_reviews_index", "review_text")
+
+
+@query("customer_type", extra_ctes=TYPE_CTES, sql="SELECT * FROM x_types")
+def customer_type(c: Ctx):
+    return _types(c)
+
+
+@query("customer_type_two_score", sql=f"""
+SELECT customer_id, propensity_2 AS negative_score, propensity_3 AS positive_score,
+  CASE WHEN coalesce(propensity_2, 0.0) > {C.DETRACTOR_MAX} THEN 'Detractor'
+       WHEN coalesce(propensity_3, 0.0) > {C.PROMOTER_MIN} THEN 'Promoter' ELSE 'Neutral' END AS customer_type
+FROM f_scores""")
+def customer_type_two_score(c: Ctx):
+    """Segment from a per-class score map (negative, positive)."""
+    m = F.create_map(F.lit("negative"), F.col("propensity_2"), F.lit("positive"), F.col("propensity_3"))
+    d = c.scores.select("customer_id", m.alias("scores"))
+    neg, pos = d.scores["negative"], d.scores["positive"]
+    return d.select("customer_id", neg.alias("negative_score"), pos.alias("positive_score"),
+                    S.customer_type_two_scores(neg, pos).alias("customer_type"))
+
+
+@query("segment_summary", extra_ctes=TYPE_CTES, doubles=["avg_sentiment_score"], sql="""
+SELECT customer_type, count(customer_id) AS count,
+  CAST(sum(CAST(gross_price AS DECIMAL(18,2))) AS DOUBLE) / count(gross_price) AS avg_gross_price,
+  avg(sentiment_score) AS avg_sentiment_score FROM x_seg GROUP BY 1""")
+def segment_summary(c: Ctx):
+    return _segments(c).groupBy("customer_type").agg(
+        F.count("customer_id").alias("count"), money_avg(F.col("gross_price")).alias("avg_gross_price"),
+        F.avg("sentiment_score").alias("avg_sentiment_score"))
+
+
+_body, _ctes = box_sql("x_seg", ["customer_type"], "gross_price")
+query("boxplot_by_customer_type", sql=_body, extra_ctes={**TYPE_CTES, **_ctes}, doubles=BOX_DOUBLES)(
+    lambda c: X.boxplot_stats(_segments(c), ["customer_type"], "gross_price"))
+
+
+@query("term_frequency", extra_ctes=dict(TYPE_CTES, x_rt="""
+SELECT 'all' AS segment, review_text FROM f_reviews
+UNION ALL SELECT t.customer_type, r.review_text FROM f_reviews r JOIN x_types t ON r.customer_id = t.customer_id
+  WHERE t.customer_type IN ('Detractor', 'Promoter')""", x_tc="""
+SELECT segment, term, count(*) AS count FROM (SELECT segment, unnest(""" + TOKENS_SQL.format(t="review_text")
+    + """) AS term FROM x_rt) u GROUP BY 1, 2"""), sql=f"""
+SELECT segment, term, count, rank FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY count DESC, term)
+  AS rank FROM x_tc) r WHERE rank <= {TOP_TERMS}""")
+def term_frequency(c: Ctx):
+    """Word-cloud input: top terms of all reviews, detractors and promoters."""
+    r = c.reviews
+    seg = r.join(_types(c), "customer_id").where(F.col("customer_type").isin("Detractor", "Promoter"))
+    rows = r.select(F.lit("all").alias("segment"), "review_text").unionByName(
+        seg.select(F.col("customer_type").alias("segment"), "review_text"))
+    return S.term_counts(rows, "segment", "review_text", TOP_TERMS)
+
+
+def _sentiment_eval(c: Ctx, kind: str):
+    d = io.split(c.labelled, C.TEST_FRACTION, "labelled_reviews_index")
+    model = S.train_sentiment(d.where(~F.col("is_test")), kind)
+    return S.score_reviews(model, d.where(F.col("is_test")), ["labelled_reviews_index", "sentiment_label"])
+
+
+@query("sentiment_nb")
+def sentiment_nb(c: Ctx):
+    """Multinomial naive Bayes on TF-IDF; hold-out predictions."""
+    return _sentiment_eval(c, "mnb")
+
+
+@query("sentiment_rf")
+def sentiment_rf(c: Ctx):
+    return _sentiment_eval(c, "rf")
+
+
+@query("sentiment_lr")
+def sentiment_lr(c: Ctx):
+    return _sentiment_eval(c, "lr")
+
+
+@query("sentiment_dt")
+def sentiment_dt(c: Ctx):
+    return _sentiment_eval(c, "dt")
+
+
+@query("review_scores")
+def review_scores(c: Ctx):
+    """Customer reviews scored by a model trained on the labelled reviews."""
+    model = S.train_sentiment(c.labelled, "mnb")
+    s = S.score_reviews(model, c.reviews, ["review_id", "customer_id"])
+    return s.withColumn("customer_type", S.customer_type(F.col("sentiment_score")))
