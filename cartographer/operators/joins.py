@@ -4,7 +4,7 @@ Join strategy is left to Catalyst/AQE: dimension sides (products, addresses,
 accounts) become broadcast joins only when their measured size is under
 ``spark.sql.autoBroadcastJoinThreshold``; otherwise a sort-merge join with AQE
 skew splitting runs. Deduplication is an aggregate (``min`` of a struct), so it
-combines map-side and a hot key never lands whole in one task.
+keeps one row per key map-side (window group limit) before the shuffle.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import config as C
 
@@ -30,13 +31,17 @@ MERGED_COLS = (ORDER_COLS + ["product_class"] + CUSTOMER_COLS[1:] + ADDRESS_COLS
 def keep_first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per ``keys``: the row whose remaining columns, compared in column
     order with nulls first, are smallest (a total order standing in for the
-    input order of ``drop_duplicates(keep='first')``)."""
+    input order of ``drop_duplicates(keep='first')``).
+
+    ``row_number() = 1`` is planned with a partial window group limit before
+    the shuffle, so every map task forwards at most one row per key: a hot
+    key is reduced map-side like a partial aggregate.
+    """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(list(keys))
-    agg = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
-    return agg.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c)
-                        for c in df.columns])
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in rest])
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def customer_data(customers: DataFrame, addresses: DataFrame, accounts: DataFrame) -> DataFrame:

@@ -100,16 +100,15 @@ def next_best_offer(values: DataFrame, offer_order: Sequence[str]) -> DataFrame:
     """Per customer the offer with the largest VPO (null counts as -inf, ties
     go to the earlier offer); customers whose offers are all invalid drop out.
 
-    An aggregate (max of a struct), so partial results combine map-side.
+    ``row_number() = 1`` runs with a partial window group limit, so each map
+    task forwards one row per customer before the shuffle.
     """
-    rank = F.create_map(*[x for i, o in enumerate(offer_order) for x in (F.lit(o), F.lit(-i))])
+    from pyspark.sql.window import Window
+    rank = F.create_map(*[x for i, o in enumerate(offer_order) for x in (F.lit(o), F.lit(i))])
     v = F.coalesce(F.col("vpo"), F.lit(float("-inf")))
-    best = values.groupBy("customer_id").agg(
-        F.max(F.struct(v.alias("v"), rank[F.col("offer")].alias("r"), F.col("offer").alias("offer"),
-                       F.col("probability").alias("probability"))).alias("b"))
-    return best.where(F.col("b.v") != float("-inf")).select(
-        "customer_id", F.col("b.offer").alias("offer"), F.col("b.probability").alias("probability"),
-        F.col("b.v").alias("vpo"))
+    w = Window.partitionBy("customer_id").orderBy(v.desc(), rank[F.col("offer")])
+    best = values.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+    return best.where(v != float("-inf")).select("customer_id", "offer", "probability", "vpo")
 
 
 def primary_secondary(df: DataFrame, prefix: str = "propensity_",

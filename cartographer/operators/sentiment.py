@@ -24,7 +24,10 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, vocab_size: int = C.TFIDF
     normalised per document, over the ``vocab_size`` most frequent terms
     (ties by term). Long form, one shuffle per aggregate; the vocabulary is a
     top-k of bounded size joined back by broadcast."""
-    toks = docs.select(F.col(id_col).alias("doc"), F.explode(T.tokens(F.col(text_col))).alias("term"))
+    # Partition by document once: tokenising runs in parallel, and the per-doc
+    # term counts and the per-doc L2 norm then need no further shuffle.
+    docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).repartition("doc")
+    toks = docs.select("doc", F.explode(T.tokens(F.col("text"))).alias("term"))
     tf = toks.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
     vocab = (tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
              .orderBy(F.col("total").desc(), F.col("term")).limit(vocab_size))

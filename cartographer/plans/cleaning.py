@@ -89,7 +89,7 @@ SELECT order_id, customer_id, store_id, product_id, direction, gross_price, pric
     store_id NULLS FIRST, direction NULLS FIRST, gross_price NULLS FIRST, price_reduction NULLS FIRST,
     purchase_datetime NULLS FIRST, product_class NULLS FIRST) AS rn FROM f_order_data) x WHERE rn = 1""")
 def dedup_order_product(c: Ctx):
-    return c.lines
+    return joins.order_lines(c.orders, c.products)
 
 
 @query("customer_age", sql=f"""

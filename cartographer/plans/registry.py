@@ -18,6 +18,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators import joins
 from ..sources.fixtures import Retail
+from ..sources.prepared import prepared
 from .fixture_sql import with_ctes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,11 +68,19 @@ class Ctx:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Order side of the merged table (one row per order and product)."""
-        return joins.order_lines(self.orders, self.products)
+        """Order side of the merged table (one row per order and product):
+        a column-pruned read of the prepared merged table."""
+        return self.merged.select(*joins.ORDER_COLS, "product_class")
 
     @cached_property
     def merged(self) -> DataFrame:
+        """The merged table, prepared once per input fingerprint."""
+        inputs = [f"{self.sf_dir.rstrip('/')}/{t}.parquet"
+                  for t in ("lineitem", "orders", "part", "customer", "nation", "region")]
+        return prepared(self.spark, "merged_data", inputs, self.build_merged,
+                        sort_within=["customer_id", "purchase_datetime"])
+
+    def build_merged(self) -> DataFrame:
         return joins.merged_data(self.orders, self.products, self.customers,
                                  self.addresses, self.accounts)
 

@@ -19,7 +19,8 @@ def order_data(c: Ctx):
 
 @query("merged_data", sql="SELECT * FROM f_merged")
 def merged_data(c: Ctx):
-    return c.merged
+    """The merge itself, computed from the source tables (not the prepared copy)."""
+    return c.build_merged()
 
 
 from pyspark.sql import functions as F  # noqa: E402

@@ -53,7 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not (sc.master or "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) on a cluster")
     local = tempfile.mkdtemp(prefix="cartographer-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
 

@@ -49,8 +49,11 @@ def products(t: Tables) -> DataFrame:
 
 
 def orders(t: Tables) -> DataFrame:
+    # Hash-partition the line items on the order key: the same exchange a
+    # sort-merge join with orders needs at scale (so no extra shuffle there),
+    # and it spreads files with few row groups over all tasks.
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag",
-                           "l_extendedprice", "l_discount")
+                           "l_extendedprice", "l_discount").repartition("l_orderkey")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     hours = (F.col("l_orderkey") % 24).cast("int")
