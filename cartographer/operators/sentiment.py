@@ -10,7 +10,7 @@ from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, RegexTokenizer,
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, MapType, StringType
+from pyspark.sql.types import DoubleType, MapType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from .. import config as C
@@ -96,7 +96,7 @@ def score_with(df: DataFrame, text_col: str, scorer: Callable[[list[str]], list[
                batch_size: int = 128) -> DataFrame:
     """Per-class score map from a pluggable batch scorer (e.g. a neural model),
     run with ``mapInPandas`` on Arrow batches of ``batch_size`` texts."""
-    schema = df.schema.add("sentiment_scores", MapType(StringType(), DoubleType()))
+    schema = StructType(list(df.schema.fields) + [StructField("sentiment_scores", MapType(StringType(), DoubleType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
