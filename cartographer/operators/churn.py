@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.dates import elapsed_days, month_start
 from ..functions.stats import minmax, money_sum, quantile
+from ..session import cut_lineage
 from .periods import Grid
 from .ranking import row_mean
 
@@ -103,14 +104,17 @@ def high_value_at_risk(features: DataFrame, prob_col: str = "churn_probability_r
     """Customers with spend >= the spend quantile and churn probability above
     ``threshold``; recency, spend and frequency are min-max scaled within
     that group, averaged, and cut into quantile bins Low / Medium / High."""
+    # per-customer tables: checkpointed so the statistics below read a flat scan
+    # instead of nesting one scalar subquery inside the next
+    features = cut_lineage(features)
     cut = features.agg(quantile(F.col(spend_col), quantile_level)).scalar()
-    hv = features.where((F.col(spend_col) >= cut) & (F.col(prob_col) > threshold))
+    hv = cut_lineage(features.where((F.col(spend_col) >= cut) & (F.col(prob_col) > threshold)))
     cols = ["recency", spend_col, "frequency"]
     s = hv.agg(F.struct(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
                         *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).alias("s")).scalar()
     scaled = hv.select("*", *[minmax(F.col(c).cast("double"), s[f"lo{i}"], s[f"hi{i}"]).alias(f"_s{i}")
                               for i, c in enumerate(cols)])
-    scaled = scaled.withColumn("RFM_avg", row_mean([f"_s{i}" for i in range(len(cols))]))
+    scaled = cut_lineage(scaled.withColumn("RFM_avg", row_mean([f"_s{i}" for i in range(len(cols))])))
     q = len(labels)
     edges = scaled.agg(quantile(F.col("RFM_avg"), [i / q for i in range(1, q)])).scalar()
     x = F.col("RFM_avg")

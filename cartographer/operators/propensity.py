@@ -138,3 +138,18 @@ def period_training_set(data: DataFrame, cond: Column, obs: int = OBS, pred: int
             .select("customer_id", g.start_of(F.col("_k")).alias("window_start"), F.lit(1).alias("_t")))
     return feats.join(hits, ["customer_id", "window_start"], "left").withColumn(
         "target", F.coalesce(F.col("_t"), F.lit(0)).cast("int")).drop("_t")
+
+
+def multi_period_training_set(data: DataFrame, obs: int = OBS, pred: int = PRED,
+                              step: int = STEP) -> DataFrame:
+    """One row per (customer, period): observation features and
+    ``target_categories``, the sorted classes bought in the prediction window."""
+    from .churn import churn_features
+    g = period_grid(data, obs, pred, step)
+    feats = churn_features(data, obs, pred, step).drop("churned", "control_end")
+    bought = (data.where(F.col("product_class").isNotNull())
+              .select("customer_id", "product_class", F.explode(g.windows(obs, pred)).alias("_k"))
+              .groupBy("customer_id", "_k").agg(F.array_sort(F.collect_set("product_class")).alias("_cats"))
+              .select("customer_id", g.start_of(F.col("_k")).alias("window_start"), "_cats"))
+    return feats.join(bought, ["customer_id", "window_start"], "left").withColumn(
+        "target_categories", F.coalesce(F.col("_cats"), F.array().cast("array<string>"))).drop("_cats")

@@ -23,6 +23,7 @@ NUMERIC = ["frequency", "avg_spend", "max_spend", "recency", "total_monthly_spen
            "flag_phone_provided", C.LOYALTY_STATUS_COL]
 CATEGORICAL = ["job_type", "region", "loyalty_type"]
 MULTI_TREES = 20
+FIT_THREADS = 6
 
 
 def _attributes(c: Ctx):
@@ -124,16 +125,27 @@ def propensity_rf(c: Ctx):
 
 
 def _category_models(c: Ctx):
-    base = P.period_training_set(c.lines, F.lit(False)).drop("target").join(_attributes(c), "customer_id", "left")
+    """One forest per category on a single checkpointed training frame."""
+    from ..session import cut_lineage
+    base = cut_lineage(P.multi_period_training_set(c.lines).join(_attributes(c), "customer_id", "left"))
     p = _prep(base)
-    out = {}
-    for cat in product_classes(c):
-        d = _propensity_set(c, F.col("product_class") == cat)
-        if not quality.check_binary_label(d, "target"):
-            continue
-        out[cat] = Mo.fit(p.transform(d, ["target"], safe=True), p.feature_names(safe=True), "target", "rf",
-                          num_trees=MULTI_TREES)
-    return p, out
+    x = cut_lineage(p.transform(base, ["target_categories"], safe=True))
+    # class-diversity guard for every category from one aggregate
+    pos = {r["cat"]: r["n"] for r in x.select(F.explode("target_categories").alias("cat"))
+           .groupBy("cat").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = x.count()
+    cats = [cat for cat in product_classes(c) if 0 < pos.get(cat, 0) < total]
+
+    def fit_one(cat: str):
+        d = x.withColumn("target", F.array_contains("target_categories", cat).cast("int"))
+        return cat, Mo.fit(d, p.feature_names(safe=True), "target", "rf", num_trees=MULTI_TREES,
+                           checkpoint=False)
+
+    # independent fits: submitted from a few driver threads so their jobs share the cluster
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=FIT_THREADS) as pool:
+        out = dict(pool.map(fit_one, cats))
+    return p, {cat: out[cat] for cat in cats}
 
 
 @query("multi_category_rf")
