@@ -17,6 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
+from .tables import read_parquet
 
 
 def _fs(spark: SparkSession, path: str):
@@ -61,4 +62,4 @@ def prepared(spark: SparkSession, name: str, inputs: Sequence[str], build: Calla
             fs.rename(tmp_p, tp)      # first writer wins; a concurrent copy is dropped
         else:
             fs.delete(tmp_p, True)
-    return spark.read.parquet(target)
+    return read_parquet(spark, target)

@@ -9,10 +9,23 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+_READERS: dict[tuple[int, str], DataFrame] = {}
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet scan, resolved once per session: schema discovery and file
+    listing run a small job each time, so the scan plan is reused."""
+    key = (id(spark._jsparkSession), path)
+    df = _READERS.get(key)
+    if df is None:
+        df = _READERS[key] = spark.read.parquet(path)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:
