@@ -150,7 +150,7 @@ def equal_width_hist(df: DataFrame, x: Column, bins: int) -> DataFrame:
     b = F.when(s["hi"] > s["lo"],
                F.least(F.floor((F.col("_x") - s["lo"]) / (s["hi"] - s["lo"]) * bins) + 1, F.lit(bins))
                ).otherwise(F.lit(1)).cast("bigint")
-    return d.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    return d.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
 
 
 def density_2d(df: DataFrame, x: Column, y: Column, bins: int) -> DataFrame:
@@ -163,5 +163,5 @@ def density_2d(df: DataFrame, x: Column, y: Column, bins: int) -> DataFrame:
         return F.when(hi > lo, F.least(F.floor((F.col(c) - lo) / (hi - lo) * bins) + 1, F.lit(bins))
                       ).otherwise(F.lit(1)).cast("bigint")
 
-    return d.groupBy(b("_x", s["xl"], s["xh"]).alias("x_bin"),
-                     b("_y", s["yl"], s["yh"]).alias("y_bin")).agg(F.count(F.lit(1)).alias("count"))
+    binned = d.select(b("_x", s["xl"], s["xh"]).alias("x_bin"), b("_y", s["yl"], s["yh"]).alias("y_bin"))
+    return binned.groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count"))

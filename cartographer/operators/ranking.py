@@ -12,22 +12,49 @@ from ..functions.dates import elapsed_days
 from ..functions.stats import minmax, quantile, scalar
 
 
+def previous_in_group(df: DataFrame, key: str, order: Sequence[str], value: str,
+                      out: str = "previous", partitions: int | None = None) -> DataFrame:
+    """``lag(value)`` over (``key`` ordered by ``order``) without gathering a
+    key in one task.
+
+    Rows are range-partitioned on (key, order...), so a key holding a large
+    share of the rows spans many partitions. The lag is taken inside each
+    (partition, key) slice; the first row of a slice takes the last value of
+    the same key in the nearest earlier partition, found on a boundary table
+    with one row per slice (at most #partitions rows per key).
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = df.repartitionByRange(n, key, *order).withColumn("_pid", F.spark_partition_id())
+    w = Window.partitionBy("_pid", key).orderBy(*order)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    r = r.select("*", F.lag(value).over(w).alias("_lag"), F.row_number().over(w).alias("_rn"),
+                 F.last(value).over(whole).alias("_last"))
+    slices = r.where(F.col("_rn") == 1).select("_pid", key, "_last")
+    carry = slices.select("_pid", key, F.lag("_last").over(Window.partitionBy(key).orderBy("_pid"))
+                          .alias("_carry"))
+    j = r.join(carry, ["_pid", key])
+    return j.select(*df.columns, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag"))
+                    .alias(out))
+
+
 def purchase_gaps(df: DataFrame) -> DataFrame:
     """Days since the customer's previous purchase; a customer's first row gets
     the days from that customer's last purchase to the end of the data.
 
-    The previous purchase is a ``lag`` over (customer, time, order, product);
-    the customer's last purchase is a ``max`` over the same partition, so the
-    rows are sorted once and never re-joined.
+    The previous purchase comes from ``previous_in_group`` (skew-safe lag over
+    time, order, product); the customer's last purchase is a partial aggregate
+    joined back; the end of the data is a scalar subquery.
     """
     end = df.agg(F.max("purchase_datetime")).scalar()
-    w = Window.partitionBy("customer_id").orderBy("purchase_datetime", "order_id", "product_id")
-    prev = F.lag("purchase_datetime").over(w)
-    last = F.max("purchase_datetime").over(Window.partitionBy("customer_id"))
-    return df.select(
+    base = df.select("customer_id", "order_id", "product_id", "purchase_datetime")
+    prev = previous_in_group(base, "customer_id", ["purchase_datetime", "order_id", "product_id"],
+                             "purchase_datetime", "_prev")
+    last = df.groupBy("customer_id").agg(F.max("purchase_datetime").alias("_last_buy"))
+    return prev.join(last, "customer_id").select(
         "customer_id", "order_id", "product_id", "purchase_datetime",
-        F.coalesce(elapsed_days(prev, F.col("purchase_datetime")), elapsed_days(last, end))
-        .alias("purchase_diff"))
+        F.coalesce(elapsed_days(F.col("_prev"), F.col("purchase_datetime")),
+                   elapsed_days(F.col("_last_buy"), end)).alias("purchase_diff"))
 
 
 def cumulative_share(df: DataFrame, col: str, buckets: int = 1024) -> DataFrame:

@@ -288,7 +288,9 @@ def large_gaps(c: Ctx):
 
 @query("gap_histogram", extra_ctes=GAPS_CTE, sql=hist_sql("x_gaps", "purchase_diff"))
 def gap_histogram(c: Ctx):
-    return X.equal_width_hist(RK.purchase_gaps(c.lines), F.col("purchase_diff"), BINS)
+    # the gaps feed two passes (range scalars, then binning): materialise them once
+    from ..session import cut_lineage
+    return X.equal_width_hist(cut_lineage(RK.purchase_gaps(c.lines)), F.col("purchase_diff"), BINS)
 
 
 @query("cumulative_score", sql="""

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The analytics programme this library re-implements has no stream input, no
+late data and no continuous output: its sliding windows are batch windows
+over a closed date range anchored at the first purchase. They are built as
+batch operators (``cartographer.operators.periods``). Nothing here is added
+beyond what the programme does.
+"""
