@@ -33,41 +33,31 @@ def duplicate_row_count(df: DataFrame) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, sample std, min, interpolated quartiles, max per column."""
+    """count, mean, sample std, min, interpolated quartiles, max per column,
+    from one aggregate pass, returned in long form."""
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    parts = []
+    aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        parts.append(df.agg(
-            F.lit(c).alias("column_name"),
-            F.count(x).alias("count"),
-            F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"),
-            F.percentile(x, 0.25).alias("q25"),
-            F.percentile(x, 0.5).alias("q50"),
-            F.percentile(x, 0.75).alias("q75"),
-            F.max(x).alias("max"),
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        q = F.percentile(x, [0.25, 0.5, 0.75])
+        aggs.append(F.struct(F.lit(c).alias("column_name"), F.count(x).alias("count"), F.avg(x).alias("mean"),
+                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q[0].alias("q25"),
+                             q[1].alias("q50"), q[2].alias("q75"), F.max(x).alias("max")))
+    return df.agg(F.array(*aggs).alias("a")).select(F.inline("a"))
 
 
 def distinct_preview(df: DataFrame, n: int = 5) -> DataFrame:
     """(column_name, rank, value): the ``n`` smallest distinct values per column.
 
-    Distinct values are found by an aggregate; the per-column ``row_number <= n``
-    is planned as a window group limit, which keeps only the top ``n`` per map
-    partition before the shuffle.
+    One scan emits (column, value) pairs; distinct values come from an
+    aggregate, and the per-column ``row_number <= n`` is planned as a window
+    group limit that keeps only the top ``n`` per map partition before the
+    shuffle.
     """
-    longs = None
-    for c in df.columns:
-        part = df.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        longs = part if longs is None else longs.unionByName(part)
-    d = longs.where(F.col("value").isNotNull()).distinct()
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+                      for c in df.columns])
+    d = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
     w = F.row_number().over(Window.partitionBy("column_name").orderBy("value"))
     return d.select("column_name", w.cast("bigint").alias("rank"), "value").where(F.col("rank") <= n)
 
