@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 DAY_US = 86_400_000_000
 
 
-def _us(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
+def _us_between(start: Column, end: Column) -> Column:
+    """Microseconds from ``start`` to ``end`` (timestamp_ntz: no time zone involved)."""
+    return F.timestamp_diff("MICROSECOND", start, end)
 
 
 class Grid:
@@ -31,14 +32,14 @@ class Grid:
         self.start = s["start"]
         self.end = s["end"]
         self.step_us = step_days * DAY_US
-        span = _us(self.end) - _us(self.start) - F.lit(horizon_days * DAY_US)
+        span = _us_between(self.start, self.end) - F.lit(horizon_days * DAY_US)
         # number of starts s with start + k*step + horizon <= end
         self.n = F.when(span >= 0, F.floor(span / F.lit(self.step_us)) + 1).otherwise(F.lit(0))
         self.step_days = step_days
         self.ts_col = ts_col
 
     def elapsed(self) -> Column:
-        return _us(F.col(self.ts_col)) - _us(self.start)
+        return _us_between(self.start, F.col(self.ts_col))
 
     def windows(self, offset_days: int, length_days: int) -> Column:
         """Array of window indices whose [offset, offset+length) day range holds the row."""

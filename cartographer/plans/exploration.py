@@ -257,7 +257,8 @@ def price_density_2d(c: Ctx):
 
 @query("purchase_histogram", sql=hist_sql("f_merged", "epoch_us(purchase_datetime)"))
 def purchase_histogram(c: Ctx):
-    return X.equal_width_hist(c.lines, F.unix_micros(F.col("purchase_datetime").cast("timestamp")), BINS)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return X.equal_width_hist(c.lines, F.timestamp_diff("MICROSECOND", epoch, F.col("purchase_datetime")), BINS)
 
 
 @query("customer_history", sql=f"""
