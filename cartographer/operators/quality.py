@@ -105,3 +105,10 @@ def check_binary_label(df: DataFrame, col: str) -> bool:
     if r["n"] and (r["lo"] < 0 or r["hi"] > 1):
         raise ValueError(f"label {col} has values outside {{0, 1}}")
     return bool(r["n"] == 2)
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """(column_name, data_type) of a DataFrame's schema (metadata, no scan)."""
+    spark = df.sparkSession
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields],
+                                 "column_name string, data_type string")

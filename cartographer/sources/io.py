@@ -89,3 +89,10 @@ def split(df: DataFrame, test_fraction: float, *keys: str, seed: int = C.SEED) -
     """Adds ``is_test`` by key hash: disjoint, complete, partition-independent."""
     return df.withColumn("is_test", hash_bucket(*[F.col(k) for k in keys], seed=seed)
                          < F.lit(int(round(test_fraction * 10000))))
+
+
+def table_overview(spark: SparkSession, tables: dict[str, DataFrame], n: int = 3) -> dict[str, DataFrame]:
+    """Per table: its columns and types, and a preview of ``n`` rows (a limit, no full scan)."""
+    from ..operators.quality import column_types
+    return {name: column_types(df).withColumn("table", F.lit(name)) for name, df in tables.items()} | {
+        f"{name}__head": df.limit(n) for name, df in tables.items()}
