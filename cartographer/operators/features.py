@@ -83,6 +83,25 @@ class Preprocessor:
             out += [F.when(x == v, 1.0).otherwise(0.0).alias(f"bin__{c}_{v}") for v in keep]
         return out
 
+    def cells(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """Sparse long form (keys..., feature, value) with only non-zero cells:
+        the numerics, the one active level of each categorical column, and the
+        binary indicator when set (never the full dense row)."""
+        d = self.prepared(df)
+        num = {c: e for c, e in zip(self.numeric, self.columns()[:len(self.numeric)])}
+        parts = [F.struct(F.lit(f"num__{c}").alias("feature"), e.alias("value")) for c, e in num.items()]
+        for c, levels in self.categorical.items():
+            x = F.coalesce(F.col(c).cast("string"), F.lit(C.MISSING_CATEGORY))
+            parts.append(F.struct(F.when(x.isin(list(levels)), F.concat(F.lit(f"cat__{c}_"), x)).alias("feature"),
+                                  F.lit(1.0).alias("value")))
+        for c, (mode, levels) in self.binary.items():
+            x = F.coalesce(F.col(c).cast("string"), F.lit(mode))
+            keep_levels = levels[1:] if len(levels) == 2 else levels
+            parts.append(F.struct(F.when(x.isin(list(keep_levels)), F.concat(F.lit(f"bin__{c}_"), x))
+                                  .alias("feature"), F.lit(1.0).alias("value")))
+        out = d.select(*keep, F.inline(F.array(*parts)))
+        return out.where(F.col("feature").isNotNull() & (F.col("value") != 0))
+
     def transform(self, df: DataFrame, keep: Sequence[str] = (), safe: bool = False) -> DataFrame:
         cols = self.columns()
         if safe:

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from .. import config as C
 from ..functions import text as T
 from ..functions.stats import cut_right_closed
+from ..session import cut_lineage
 from . import models as Mo
 
 
@@ -28,7 +29,8 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, vocab_size: int = C.TFIDF
     # term counts and the per-doc L2 norm then need no further shuffle.
     docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).repartition("doc")
     toks = docs.select("doc", F.explode(T.tokens(F.col("text"))).alias("term"))
-    tf = toks.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # term counts feed both the vocabulary and the weights: tokenise once
+    tf = cut_lineage(toks.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")))
     vocab = (tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
              .orderBy(F.col("total").desc(), F.col("term")).limit(vocab_size))
     n = docs.agg(F.count(F.lit(1))).scalar()

@@ -74,11 +74,7 @@ WHERE value <> 0""")
 def feature_matrix(c: Ctx):
     """Fitted column transformer output in sparse long form (non-zero cells)."""
     p = FE.fit_preprocessor(c.merged)
-    dense = p.transform(c.merged, KEYS)
-    names = p.feature_names()
-    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`").alias("value"))
-                                for n in names]))
-    return dense.select(*KEYS, cells.alias("cell")).select(*KEYS, "cell.*").where(F.col("value") != 0)
+    return p.cells(c.merged, KEYS)
 
 
 ATTR = ["job_type", "region", "loyalty_type", "email_provider"]
