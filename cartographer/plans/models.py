@@ -31,7 +31,10 @@ def _attributes(c: Ctx):
 
 
 def _churn_set(c: Ctx):
-    return CH.churn_features(c.lines).join(_attributes(c), "customer_id", "left")
+    """Window features with customer attributes, materialised once: the split,
+    the preprocessor fit, training and scoring all read it."""
+    from ..session import cut_lineage
+    return cut_lineage(CH.churn_features(c.lines).join(_attributes(c), "customer_id", "left"))
 
 
 def _prep(train):
@@ -101,7 +104,8 @@ def behaviour_clusters(c: Ctx):
 
 
 def _propensity_set(c: Ctx, cond):
-    return P.period_training_set(c.lines, cond).join(_attributes(c), "customer_id", "left")
+    from ..session import cut_lineage
+    return cut_lineage(P.period_training_set(c.lines, cond).join(_attributes(c), "customer_id", "left"))
 
 
 def _propensity_eval(c: Ctx, cond, num_trees: int = C.N_TREES):

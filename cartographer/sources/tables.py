@@ -9,13 +9,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-_READERS: dict[tuple[int, str], DataFrame] = {}
+_READERS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet scan, resolved once per session: schema discovery and file
     listing run a small job each time, so the scan plan is reused."""
-    key = (id(spark._jsparkSession), path)
+    key = (spark.sparkContext.applicationId, id(spark._jsparkSession), path)
     df = _READERS.get(key)
     if df is None:
         df = _READERS[key] = spark.read.parquet(path)
