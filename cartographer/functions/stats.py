@@ -19,8 +19,12 @@ def scalar(df: DataFrame, **aggs: Column) -> Column:
     return df.agg(F.struct(*[c.alias(k) for k, c in aggs.items()]).alias("s")).scalar()
 
 
-def quantile(c: Column, q: float | Sequence[float], approx: bool = False) -> Column:
-    """Linearly interpolated quantile(s), as pandas ``quantile``."""
+def quantile(c: Column, q: float | Sequence[float], approx: bool | None = None) -> Column:
+    """Linearly interpolated quantile(s), as pandas ``quantile``; approximate
+    (bounded memory) when ``approx`` or ``config.EXACT_QUANTILES`` is False."""
+    from .. import config
+    if approx is None:
+        approx = not config.EXACT_QUANTILES
     if approx:
         return F.percentile_approx(c, list(q) if not isinstance(q, float) else q, 100000)
     return F.percentile(c, list(q) if not isinstance(q, float) else q)

@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
 from pyspark.sql.types import NumericType, StringType
 
 from .. import config as C
 from ..functions import text as T
 from ..functions.dates import age_exact, age_years
-from ..functions.stats import scalar
+from ..functions.stats import quantile, scalar
 
 
 def clean_customers(customers: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def fill_by_type(df: DataFrame) -> DataFrame:
     d = df.dropDuplicates()
     nums = [f.name for f in d.schema.fields if isinstance(f.dataType, NumericType)]
     strs = {f.name for f in d.schema.fields if isinstance(f.dataType, StringType)}
-    med = scalar(d, **{c: F.percentile(F.col(c), 0.5) for c in nums}) if nums else None
+    med = scalar(d, **{c: quantile(F.col(c), 0.5) for c in nums}) if nums else None
     cols = []
     for f in d.schema.fields:
         c = F.col(f.name)
@@ -58,7 +59,7 @@ def outlier_to_median(df: DataFrame, cols: Sequence[str], z: float = C.OUTLIER_Z
     out = df
     for c in cols:
         x = F.col(c)
-        s = scalar(df, mu=F.avg(x), sd=F.stddev_pop(x), med=F.percentile(x, 0.5))
+        s = scalar(df, mu=F.avg(x), sd=F.stddev_pop(x), med=quantile(x, 0.5))
         zs = F.abs(x - s["mu"]) / F.nullif(s["sd"], F.lit(0.0))
         out = out.withColumn(c, F.when(zs > z, s["med"]).otherwise(x))
     return out

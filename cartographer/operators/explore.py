@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 from ..functions.dates import elapsed_days, month_start, ts
-from ..functions.stats import money_avg, money_sum, scalar
+from ..functions.stats import money_avg, money_sum, quantile, scalar
 
 
 def _nn(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -128,7 +129,7 @@ def boxplot_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     base = (_nn(df, list(keys)).where(F.col(value).isNotNull())
             .withColumn(value, F.col(value).cast("double")))
     q = base.groupBy(*keys).agg(
-        F.percentile(F.col(value), [0.25, 0.5, 0.75]).alias("_q"),
+        quantile(F.col(value), [0.25, 0.5, 0.75]).alias("_q"),
         F.count(F.lit(1)).alias("n"))
     q = q.select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from ..functions.stats import quantile
 from pyspark.sql.types import NumericType
 from pyspark.sql.window import Window
 
@@ -40,7 +42,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = F.percentile(x, [0.25, 0.5, 0.75])
+        q = quantile(x, [0.25, 0.5, 0.75])
         aggs.append(F.struct(F.lit(c).alias("column_name"), F.count(x).alias("count"), F.avg(x).alias("mean"),
                              F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q[0].alias("q25"),
                              q[1].alias("q50"), q[2].alias("q75"), F.max(x).alias("max")))
