@@ -15,9 +15,15 @@ from .periods import Grid
 from .ranking import row_mean
 
 
-def _members(data: DataFrame, grid: Grid, offset: int, length: int) -> DataFrame:
-    return (data.select("customer_id", F.explode(grid.windows(offset, length)).alias("k"))
-            .distinct())
+def _tagged(data: DataFrame, g: Grid, observation_days: int, control_days: int,
+            keep: list[str]) -> DataFrame:
+    """Rows exploded to (k, ctl): their observation windows (ctl = 0) and the
+    windows whose control period holds them (ctl = 1). The window arrays are
+    projected first (they use the grid's scalar subqueries), then tagged."""
+    tag = lambda flag: (lambda k: F.struct(k.alias("k"), F.lit(flag).alias("ctl")))
+    w = data.select(*keep, g.windows(0, observation_days).alias("_o"),
+                    g.windows(observation_days, control_days).alias("_c"))
+    return w.select(*keep, F.inline(F.concat(F.transform("_o", tag(0)), F.transform("_c", tag(1)))))
 
 
 def churn_labels(data: DataFrame, observation_days: int = C.CHURN_OBSERVATION_DAYS,
@@ -25,14 +31,18 @@ def churn_labels(data: DataFrame, observation_days: int = C.CHURN_OBSERVATION_DA
                  step_days: int = C.CHURN_STEP_DAYS) -> DataFrame:
     """(customer_id, churned, window_start, window_end, control_end) for every
     customer seen in an observation window; churned = 1 when the customer
-    has no purchase in the control period that follows."""
+    has no purchase in the control period that follows.
+
+    Each row is tagged with its observation and control windows; one
+    aggregate per (customer, window) gives both flags: no distinct, no join.
+    """
     g = Grid(data, observation_days + control_days, step_days)
-    seen = _members(data, g, 0, observation_days)
-    kept = _members(data, g, observation_days, control_days).withColumn("_kept", F.lit(1))
-    j = seen.join(kept, ["customer_id", "k"], "left")
-    return j.select(
+    rows = _tagged(data, g, observation_days, control_days, ["customer_id"])
+    flags = rows.groupBy("customer_id", "k").agg(
+        F.max(1 - F.col("ctl")).alias("_seen"), F.max("ctl").alias("_kept"))
+    return flags.where(F.col("_seen") == 1).select(
         "customer_id",
-        F.when(F.col("_kept").isNull(), 1).otherwise(0).cast("int").alias("churned"),
+        (1 - F.col("_kept")).cast("int").alias("churned"),
         g.start_of(F.col("k")).alias("window_start"),
         g.start_of(F.col("k"), observation_days).alias("window_end"),
         g.start_of(F.col("k"), observation_days + control_days).alias("control_end"))
@@ -43,27 +53,33 @@ def churn_features(data: DataFrame, observation_days: int = C.CHURN_OBSERVATION_
                    step_days: int = C.CHURN_STEP_DAYS) -> DataFrame:
     """Per (customer, observation window): frequency, mean and max spend,
     recency (days from the last purchase to the window end), mean of the
-    calendar-month spend totals, and the churn label of the window."""
+    calendar-month spend totals, and the churn label of the window.
+
+    Rows carry their observation and control windows; a (customer, window,
+    month) aggregate then a (customer, window) aggregate give features and
+    label together, both combined map-side.
+    """
     g = Grid(data, observation_days + control_days, step_days)
-    rows = data.select("customer_id", "gross_price", "purchase_datetime",
-                       month_start(F.col("purchase_datetime")).alias("month"),
-                       F.explode(g.windows(0, observation_days)).alias("k"))
+    rows = _tagged(data.withColumn("month", month_start(F.col("purchase_datetime"))), g,
+                   observation_days, control_days, ["customer_id", "gross_price", "purchase_datetime", "month"])
+    obs = F.col("ctl") == 0
     monthly = rows.groupBy("customer_id", "k", "month").agg(
-        F.count("purchase_datetime").alias("n"),
-        F.sum(F.col("gross_price").cast("decimal(18,2)")).alias("spend"),
-        F.count("gross_price").alias("n_price"),
-        F.max("gross_price").alias("max_spend"),
-        F.max("purchase_datetime").alias("last"))
+        F.count(F.when(obs, F.col("purchase_datetime"))).alias("n"),
+        F.sum(F.when(obs, F.col("gross_price").cast("decimal(18,2)"))).alias("spend"),
+        F.count(F.when(obs, F.col("gross_price"))).alias("n_price"),
+        F.max(F.when(obs, F.col("gross_price"))).alias("max_spend"),
+        F.max(F.when(obs, F.col("purchase_datetime"))).alias("last"),
+        F.max("ctl").alias("kept"))
     feats = monthly.groupBy("customer_id", "k").agg(
         F.sum("n").alias("frequency"),
         F.try_divide(F.sum("spend").cast("double"), F.sum("n_price").cast("double")).alias("avg_spend"),
         F.max("max_spend").alias("max_spend"),
         F.max("last").alias("last"),
-        F.try_divide(F.sum("spend").cast("double"), F.count("month").cast("double"))
-        .alias("total_monthly_spend"))
-    kept = _members(data, g, observation_days, control_days).withColumn("_kept", F.lit(1))
+        F.try_divide(F.sum("spend").cast("double"), F.count(F.when(F.col("n") > 0, 1)).cast("double"))
+        .alias("total_monthly_spend"),
+        F.max("kept").alias("kept"))
     window_end = g.start_of(F.col("k"), observation_days)
-    return feats.join(kept, ["customer_id", "k"], "left").select(
+    return feats.where(F.col("frequency") > 0).select(
         "customer_id",
         F.col("frequency").cast("bigint").alias("frequency"),
         "avg_spend", "max_spend",
@@ -71,7 +87,7 @@ def churn_features(data: DataFrame, observation_days: int = C.CHURN_OBSERVATION_
         "total_monthly_spend",
         g.start_of(F.col("k")).alias("window_start"),
         window_end.alias("window_end"),
-        F.when(F.col("_kept").isNull(), 1).otherwise(0).cast("int").alias("churned"),
+        (1 - F.col("kept")).cast("int").alias("churned"),
         g.start_of(F.col("k"), observation_days + control_days).alias("control_end"))
 
 
