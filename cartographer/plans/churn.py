@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from .. import config as C
+from ..operators import churn as CH
+from ..operators import explore as X
+from ..operators import joins, quality
 from ..operators import rfm as R
+from .exploration import hist_sql
 from .registry import Ctx, query
 
 
@@ -18,14 +25,6 @@ def rfm(c: Ctx):
     return R.rfm(c.lines)
 
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from .. import config as C  # noqa: E402
-from ..operators import churn as CH  # noqa: E402
-from ..operators import explore as X  # noqa: E402
-from ..operators import joins, quality  # noqa: E402
-from .exploration import hist_sql  # noqa: E402
-
 OBS, CTL, STEP = C.CHURN_OBSERVATION_DAYS, C.CHURN_CONTROL_DAYS, C.CHURN_STEP_DAYS
 MSUM = "CAST(sum(CAST(gross_price AS DECIMAL(18,2))) AS DOUBLE)"
 
