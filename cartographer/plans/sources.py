@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import joins
 from ..sources import io
-from .fixture_sql import MERGED_COLS
 from .registry import Ctx, query
 
 
