@@ -115,8 +115,8 @@ def demographics_summary(c: Ctx):
     return X.demographics_summary(merged_age(c))
 
 
-def _price_by(key: str):
-    @query(f"price_by_{key.replace('product_', '')}",
+def _price_by(key: str, name: str):
+    @query(f"price_by_{name}",
            sql=f"""
 SELECT {key}, coalesce(CAST(sum(CAST(gross_price AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS total_gross_price, (CAST(sum(CAST(gross_price AS DECIMAL(18,2))) AS DOUBLE) / count(gross_price)) AS avg_gross_price
 FROM f_merged WHERE {key} IS NOT NULL GROUP BY 1""")
@@ -125,8 +125,9 @@ FROM f_merged WHERE {key} IS NOT NULL GROUP BY 1""")
     return q
 
 
-for _k in ("gender", "loyalty_type", "product_class", "region"):
-    _price_by(_k)
+for _k, _n in (("gender", "gender"), ("loyalty_type", "loyalty"), ("product_class", "class"),
+               ("region", "region")):
+    _price_by(_k, _n)
 
 
 @query("store_gender_counts", sql="""
