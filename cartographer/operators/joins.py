@@ -3,8 +3,9 @@
 Join strategy is left to Catalyst/AQE: dimension sides (products, addresses,
 accounts) become broadcast joins only when their measured size is under
 ``spark.sql.autoBroadcastJoinThreshold``; otherwise a sort-merge join with AQE
-skew splitting runs. Deduplication is an aggregate (``min`` of a struct), so it
-keeps one row per key map-side (window group limit) before the shuffle.
+skew splitting runs. Deduplication is ``row_number() = 1`` over a total order,
+which Spark plans with a partial window group limit: one row per key leaves
+each map task before the shuffle, so a hot key is reduced map-side.
 """
 
 from __future__ import annotations
