@@ -161,3 +161,17 @@ def test_review_cleanup_and_tokens(spark):
     assert r.c == "ight  Étion ça, don't!"        # 'br' is removed inside words as well
     assert r.n == "brbright href étion ça dont"
     assert r.k == ["brbright", "href", "étion", "ça", "dont"]
+
+
+def test_approximate_quantile_switch(spark):
+    from cartographer.operators import quality as Q
+    df = spark.createDataFrame([(float(i),) for i in range(1001)], "v double")
+    exact = Q.describe_numeric(df, ["v"]).first()
+    old = C.EXACT_QUANTILES
+    C.EXACT_QUANTILES = False
+    try:
+        approx = Q.describe_numeric(df, ["v"]).first()
+    finally:
+        C.EXACT_QUANTILES = old
+    assert exact.q50 == 500.0 and exact.q25 == 250.0
+    assert abs(approx.q50 - 500.0) <= 2 and abs(approx.q75 - 750.0) <= 2
