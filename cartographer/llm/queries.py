@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pseudonyms, secrets
+from . import pseudonyms, quality, secrets, simhash
 from .common import table
 
 #: Key of the production pseudonyms; a deployment passes its own.
@@ -21,7 +21,17 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.counted(pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trusted = table(spark, sf_dir, "labels").where("quality = 1 and coalesce(toxic, 0) = 0")
+    return quality.apply_rules(docs, quality.fit_ratios(docs, trusted))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_pseudonyms)}
+    f.__name__: f for f in (op1_secrets, op2_pseudonyms, op3_quality, op4_simhash)}
 
 ORACLE: dict[str, str] = {}
