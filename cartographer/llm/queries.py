@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import pseudonyms, quality, secrets, simhash
+from . import mixing, packing, pseudonyms, quality, secrets, simhash
 from .common import table
 
 #: Key of the production pseudonyms; a deployment passes its own.
 PSEUDONYM_KEY = "cartographer-pseudonyms-1"
 
+#: Vocabulary file of the packing query.
+VOCABULARY = os.environ.get("CARTOGRAPHER_VOCABULARY", "/opt/tokenizers/word_bpe_49k.json")
+
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
@@ -31,7 +36,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).withColumn("weight", F.round("weight", 9))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_pseudonyms, op3_quality, op4_simhash)}
+    f.__name__: f for f in (op1_secrets, op2_pseudonyms, op3_quality, op4_simhash, op5_mixing, op6_packing)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_mixing": mixing.MIX_SQL}
