@@ -29,6 +29,9 @@ from .common import documents_words, map_arrow, mix, slices, string_bytes, texts
 
 #: Hash buckets of the two multinomials: the bound of the collected model.
 BUCKETS = 1 << 14
+#: Labelled documents from which the target multinomial is fitted, about; beyond
+#: that, those with the smallest share of an id hash. The raw counts cover all.
+TARGET_DOCS = 50_000
 #: Added to each bucket's count, as a share of the mean count.
 SMOOTHING = 0.5
 SCALE_BITS = 24
@@ -88,10 +91,16 @@ def log_ratios(counts: list[tuple[int, int, int]], buckets: int = BUCKETS) -> np
     return np.rint((np.log(share(target)) - np.log(share(raw))) * 2 ** SCALE_BITS).astype(np.int64)
 
 
-def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
-    """Counts both multinomials; ``trusted`` holds the doc_ids of the target (nulls match nothing)."""
+def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, target_docs: int = TARGET_DOCS) -> np.ndarray:
+    """Counts both multinomials; ``trusted`` holds the doc_ids of the target (nulls match nothing).
+
+    The target's ids are sampled by hash down to about ``target_docs``, so
+    their table is small enough to broadcast and no text is shuffled.
+    """
     ids = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null").distinct()
-    marked = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("trusted_id"), "left").select(
+    n = max(1, ids.count())
+    ids = ids.where(F.pmod(F.xxhash64("trusted_id"), F.lit(n)) < target_docs)
+    marked = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left").select(
         "doc_id", "text", F.col("trusted_id").isNotNull().alias("trusted"))
     return log_ratios([tuple(r) for r in count_ngrams(marked, buckets).collect()], buckets)  # a row per bucket at most
 
