@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, packing, pseudonyms, quality, secrets, simhash
+from . import imatch, language, mixing, packing, pseudonyms, quality, secrets, simhash
 from .common import table
 
 #: Key of the production pseudonyms; a deployment passes its own.
@@ -48,7 +48,11 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.match_edited(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_pseudonyms, op3_quality, op4_simhash, op5_mixing, op6_packing, op7_language)}
+    f.__name__: f for f in (op1_secrets, op2_pseudonyms, op3_quality, op4_simhash, op5_mixing, op6_packing, op7_language, op8_imatch)}
 
 ORACLE: dict[str, str] = {"op5_mixing": mixing.MIX_SQL}
