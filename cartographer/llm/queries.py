@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, language, mixing, packing, pseudonyms, quality, secrets, simhash
+from . import imatch, language, mixing, packing, pseudonyms, quality, secrets, simhash, warc_zip
 from .common import table
 
 #: Key of the production pseudonyms; a deployment passes its own.
@@ -52,7 +52,12 @@ def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.match_edited(table(spark, sf_dir, "documents"))
 
 
+def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return warc_zip.digest(warc_zip.archive_and_read(pages), pages.schema["page_id"].dataType.simpleString())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_pseudonyms, op3_quality, op4_simhash, op5_mixing, op6_packing, op7_language, op8_imatch)}
+    f.__name__: f for f in (op1_secrets, op2_pseudonyms, op3_quality, op4_simhash, op5_mixing, op6_packing, op7_language, op8_imatch, op9_warc_zip)}
 
 ORACLE: dict[str, str] = {"op5_mixing": mixing.MIX_SQL}
