@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, language, mixing, packing, pseudonyms, quality, secrets, simhash, warc_zip
+from . import imatch, language, mixing, packing, pseudonyms, quality, secrets, simhash, substring, warc_zip
 from .common import table
 
 #: Key of the production pseudonyms; a deployment passes its own.
@@ -57,7 +57,11 @@ def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.digest(warc_zip.archive_and_read(pages), pages.schema["page_id"].dataType.simpleString())
 
 
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicate_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_pseudonyms, op3_quality, op4_simhash, op5_mixing, op6_packing, op7_language, op8_imatch, op9_warc_zip)}
+    f.__name__: f for f in (op1_secrets, op2_pseudonyms, op3_quality, op4_simhash, op5_mixing, op6_packing, op7_language, op8_imatch, op9_warc_zip, op10_substring)}
 
 ORACLE: dict[str, str] = {"op5_mixing": mixing.MIX_SQL}

@@ -124,9 +124,9 @@ def central_directory(f, size: int) -> dict[str, tuple[int, int, int]]:
     """Stored members of a ZIP file: name to (offset of the data, size, checksum)."""
     tail_size = min(size, END.size + LIMIT16 + PLACE64.size)
     tail = read_range(f, size - tail_size, tail_size)
-    at = tail.rfind(END_SIG)
+    at = tail.rfind(END_SIG, 0, len(tail) - END.size + 4)
     while at >= 0 and at + END.size + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
-        at = tail.rfind(END_SIG, 0, at)  # the signature may stand in the comment
+        at = tail.rfind(END_SIG, 0, at + 3)  # the signature may stand in the comment
     if at < 0:
         raise ValueError("no end of central directory")
     _, _, _, _, n, length, start, _ = END.unpack_from(tail, at)
