@@ -37,6 +37,8 @@ STEPS, BATCH, RATE, SEED = 150, 512, 0.012, 7
 #: Windows that go through the network together.
 WINDOWS_AT_ONCE = 4096
 UNKNOWN = "und"
+#: Least score of a document that a filter keeps.
+MIN_SCORE = 0.4
 LETTER = re.compile(r"[^\W\d_]")
 
 Params = dict[str, np.ndarray]
@@ -235,20 +237,24 @@ def fit(docs: DataFrame) -> tuple[list[str], Params | None]:
     return languages, train([w for _, w in sample], np.array([index[k] for k, _ in sample]), len(languages))
 
 
+def label(texts: pa.Array, languages: list[str], p: Params | None) -> tuple[list[str], np.ndarray]:
+    """Label and score of each text (no nulls)."""
+    labels, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    if p is not None:
+        pooled = pool(p, *string_bytes(texts))
+        best = pooled.argmax(1)
+        for i, t in enumerate(texts.to_pylist()):
+            if LETTER.search(t):
+                labels[i], scores[i] = languages[best[i]], min(1.0, float(pooled[i, best[i]]))
+    return labels, scores
+
+
 def predict(docs: DataFrame, languages: list[str], p: Params | None) -> DataFrame:
     """doc_id, lang_pred and score of every document; reads doc_id and text alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for b in slices(batches):
-            labels, scores = [UNKNOWN] * b.num_rows, np.zeros(b.num_rows)
-            if p is not None:
-                data, offsets = string_bytes(b.column(1))
-                pooled = pool(p, data, offsets)
-                best = pooled.argmax(1)
-                for i, t in enumerate(b.column(1).to_pylist()):
-                    if LETTER.search(t):
-                        labels[i], scores[i] = languages[best[i]], min(1.0, float(pooled[i, best[i]]))
-            yield [b.column(0), labels, scores]
+            yield [b.column(0), *label(b.column(1), languages, p)]
 
     return map_arrow(texts(docs), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
@@ -257,3 +263,18 @@ def identify(docs: DataFrame) -> DataFrame:
     """Learns from ``docs`` and labels all of them: doc_id, held_out, lang_pred, score."""
     found = predict(docs, *fit(docs))
     return found.select("doc_id", F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents whose language is found with ``min_score`` or more; a null lang is filled with it."""
+    languages, p = fit(docs)
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        for b in slices(batches):
+            labels, scores = label(b.column(1).fill_null(""), languages, p)
+            good = pa.array([x != UNKNOWN and s >= min_score for x, s in zip(labels, scores, strict=True)], pa.bool_())
+            filled = [x if x is not None else y for x, y in zip(b.column(2).to_pylist(), labels, strict=True)]
+            yield [c.filter(good) for c in (b.column(0), b.column(1), pa.array(filled, pa.string()), b.column(3), b.column(4))]
+
+    return map_arrow(docs.select(*columns), run, ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in columns))
