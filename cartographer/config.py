@@ -59,10 +59,8 @@ ONE_HOT_PREFIXES = ("cat__product_class_", "cat__job_type_", "cat__region_",
                     "cat__loyalty_type_", "cat__email_provider_")
 # --- end of fixed values -----------------------------------------------------
 
-# Exact interpolated percentiles (as pandas) keep a value -> count map per group
-# on the merging task; set False to use percentile_approx (bounded memory) for
-# very large groups with many distinct values.
-EXACT_QUANTILES = True
+# Type in which money is summed: exact to six decimals.
+MONEY_TYPE = "decimal(28,6)"
 
 # Reference dates are explicit arguments, never the wall clock.
 AS_OF = "2002-01-01"

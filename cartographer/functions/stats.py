@@ -1,4 +1,4 @@
-"""Statistical expressions: exact percentiles, binning, scaling.
+"""Statistical expressions: binning, scaling, exact money sums.
 
 Global statistics are scalar subqueries (``DataFrame.scalar()``): Spark runs
 the aggregate once, with partial aggregation on every executor, and inlines
@@ -13,58 +13,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import MONEY_TYPE
+
 
 def scalar(df: DataFrame, **aggs: Column) -> Column:
     """One-row aggregate of ``df`` as a struct-valued scalar subquery."""
     return df.agg(F.struct(*[c.alias(k) for k, c in aggs.items()]).alias("s")).scalar()
 
 
-def quantile(c: Column, q: float | Sequence[float], approx: bool | None = None) -> Column:
-    """Linearly interpolated quantile(s), as pandas ``quantile``; approximate
-    (bounded memory) when ``approx`` or ``config.EXACT_QUANTILES`` is False."""
-    from .. import config
-    if approx is None:
-        approx = not config.EXACT_QUANTILES
-    if approx:
-        return F.percentile_approx(c, list(q) if not isinstance(q, float) else q, 100000)
-    return F.percentile(c, list(q) if not isinstance(q, float) else q)
-
-
-def histogram_bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """Equal-width bin 1..bins over [lo, hi]; the maximum falls in the last bin.
-
-    A constant column (lo == hi) puts every row in bin 1.
-    """
-    b = F.when(hi > lo, F.width_bucket(x, lo, hi, F.lit(bins))).otherwise(F.lit(1))
-    return F.least(b, F.lit(bins)).cast("bigint")
-
-
 def minmax(x: Column, lo: Column, hi: Column) -> Column:
     """(x - min) / (max - min); null when max == min (NaN in pandas)."""
     return F.try_divide(x - lo, F.nullif(hi - lo, F.lit(0)))
 
 
 def cut_right_closed(x: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
-    """pd.cut with right-closed bins (-inf, e0], (e0, e1], ..., (e_n, inf)."""
-    expr = None
-    for e, lab in zip(edges, labels):
-        expr = (F.when(x <= e, lab) if expr is None else expr.when(x <= e, lab))
+    """pd.cut with right-closed bins (-inf, e0], (e0, e1], ..., (e_n, inf); null and NaN stay null."""
+    expr = F.when(x.isNull() | F.isnan(x.cast("double")), F.lit(None).cast("string"))
+    for e, lab in zip(edges, labels, strict=False):
+        expr = expr.when(x <= e, lab)
     return expr.otherwise(labels[len(edges)])
 
 
-def round6(c: Column) -> Column:
-    return F.round(c, 6)
-
-
-def money_sum(c: Column, scale: int = 2) -> Column:
-    """Exact sum of a money column (values with ``scale`` decimals).
+def money_sum(c: Column) -> Column:
+    """Exact sum of a money column, as double.
 
-    Summed as decimal, so the result does not depend on partitioning or
-    summation order, then returned as double.
+    Summed as ``config.MONEY_TYPE`` (six decimals), so the result depends on
+    neither partitioning nor summation order and prices finer than cents count.
     """
-    return F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
+    return F.sum(c.cast(MONEY_TYPE)).cast("double")
 
 
-def money_avg(c: Column, scale: int = 2) -> Column:
+def money_avg(c: Column) -> Column:
     """Exact money sum divided by the count of non-null values."""
-    return F.try_divide(money_sum(c, scale), F.count(c).cast("double"))
+    return F.try_divide(money_sum(c), F.count(c).cast("double"))

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.dates import elapsed_days, month_start
-from ..functions.stats import minmax, money_sum, quantile
+from ..config import MONEY_TYPE
+from ..functions.stats import minmax, money_sum
 from ..session import cut_lineage
 from .periods import Grid
-from .ranking import row_mean
+from .quantiles import quantile
+from .ranking import qcut_labels, row_mean
 
 
 def _tagged(data: DataFrame, g: Grid, observation_days: int, control_days: int,
@@ -65,7 +67,7 @@ def churn_features(data: DataFrame, observation_days: int = C.CHURN_OBSERVATION_
     obs = F.col("ctl") == 0
     monthly = rows.groupBy("customer_id", "k", "month").agg(
         F.count(F.when(obs, F.col("purchase_datetime"))).alias("n"),
-        F.sum(F.when(obs, F.col("gross_price").cast("decimal(18,2)"))).alias("spend"),
+        F.sum(F.when(obs, F.col("gross_price").cast(MONEY_TYPE))).alias("spend"),
         F.count(F.when(obs, F.col("gross_price"))).alias("n_price"),
         F.max(F.when(obs, F.col("gross_price"))).alias("max_spend"),
         F.max(F.when(obs, F.col("purchase_datetime"))).alias("last"),
@@ -123,7 +125,7 @@ def high_value_at_risk(features: DataFrame, prob_col: str = "churn_probability_r
     # per-customer tables: checkpointed so the statistics below read a flat scan
     # instead of nesting one scalar subquery inside the next
     features = cut_lineage(features)
-    cut = features.agg(quantile(F.col(spend_col), quantile_level)).scalar()
+    cut = quantile(features, spend_col, quantile_level)
     hv = cut_lineage(features.where((F.col(spend_col) >= cut) & (F.col(prob_col) > threshold)))
     cols = ["recency", spend_col, "frequency"]
     s = hv.agg(F.struct(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
@@ -131,20 +133,14 @@ def high_value_at_risk(features: DataFrame, prob_col: str = "churn_probability_r
     scaled = hv.select("*", *[minmax(F.col(c).cast("double"), s[f"lo{i}"], s[f"hi{i}"]).alias(f"_s{i}")
                               for i, c in enumerate(cols)])
     scaled = cut_lineage(scaled.withColumn("RFM_avg", row_mean([f"_s{i}" for i in range(len(cols))])))
-    q = len(labels)
-    edges = scaled.agg(quantile(F.col("RFM_avg"), [i / q for i in range(1, q)])).scalar()
-    x = F.col("RFM_avg")
-    lab = F.when(x.isNull(), F.lit(None).cast("string"))
-    for i in range(q - 1):
-        lab = lab.when(x <= edges[i], labels[i])
-    return scaled.withColumn("RFM_cluster", lab.otherwise(labels[-1])) \
-        .drop(*[f"_s{i}" for i in range(len(cols))])
+    return (qcut_labels(scaled.drop(*[f"_s{i}" for i in range(len(cols))]), "RFM_avg", labels)
+            .withColumnRenamed("RFM_avg_label", "RFM_cluster"))
 
 
 def high_value_legacy(rfm_df: DataFrame, prob_col: str = "churn_probability",
                       threshold: float = C.HIGH_VALUE_SCORE_THRESHOLD) -> DataFrame:
     """Monetary strictly above its 75th percentile and probability above threshold."""
-    cut = rfm_df.agg(quantile(F.col("monetary"), C.HIGH_VALUE_SPEND_QUANTILE)).scalar()
+    cut = quantile(rfm_df, "monetary", C.HIGH_VALUE_SPEND_QUANTILE)
     return rfm_df.where((F.col("monetary") > cut) & (F.col(prob_col) > threshold))
 
 

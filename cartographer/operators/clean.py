@@ -12,7 +12,8 @@ from pyspark.sql.types import NumericType, StringType
 from .. import config as C
 from ..functions import text as T
 from ..functions.dates import age_exact, age_years
-from ..functions.stats import quantile, scalar
+from ..functions.stats import scalar
+from .quantiles import quantile_row
 
 
 def clean_customers(customers: DataFrame) -> DataFrame:
@@ -29,21 +30,21 @@ def fill_by_type(df: DataFrame) -> DataFrame:
     d = df.dropDuplicates()
     nums = [f.name for f in d.schema.fields if isinstance(f.dataType, NumericType)]
     strs = {f.name for f in d.schema.fields if isinstance(f.dataType, StringType)}
-    med = scalar(d, **{c: quantile(F.col(c), 0.5) for c in nums}) if nums else None
+    med = quantile_row(d, nums, [0.5]).scalar() if nums else None
     cols = []
     for f in d.schema.fields:
         c = F.col(f.name)
         if f.name in strs:
             c = F.coalesce(c, F.lit(C.UNKNOWN_LABEL))
         elif f.name in nums:
-            c = F.coalesce(c, med[f.name].cast(f.dataType))
+            c = F.coalesce(c, med[f.name][0].cast(f.dataType))
         cols.append(c.alias(f.name))
     return d.select(*cols)
 
 
 def parse_timestamp(c, strict: bool = False):
-    """String -> timestamp_ntz; unparsable -> null unless ``strict``."""
-    return F.to_timestamp_ntz(c) if strict else F.try_to_timestamp(c).cast("timestamp_ntz")
+    """String -> timestamp_ntz, whatever the session's zone; unparsable -> null unless ``strict``."""
+    return c.cast("timestamp_ntz") if strict else c.try_cast("timestamp_ntz")
 
 
 def parse_double(c):
@@ -53,16 +54,17 @@ def parse_double(c):
 def outlier_to_median(df: DataFrame, cols: Sequence[str], z: float = C.OUTLIER_Z) -> DataFrame:
     """Replace values with |population z-score| > z by the column median.
 
-    Statistics over non-null values come from one scalar subquery per column;
+    Moments of all columns come from one scalar subquery, medians from another;
     a constant column (std 0) has no outliers.
     """
-    out = df
-    for c in cols:
-        x = F.col(c)
-        s = scalar(df, mu=F.avg(x), sd=F.stddev_pop(x), med=quantile(x, 0.5))
-        zs = F.abs(x - s["mu"]) / F.nullif(s["sd"], F.lit(0.0))
-        out = out.withColumn(c, F.when(zs > z, s["med"]).otherwise(x))
-    return out
+    s = scalar(df, **{f"mu_{c}": F.avg(c) for c in cols}, **{f"sd_{c}": F.stddev_pop(c) for c in cols})
+    med = quantile_row(df, list(cols), [0.5]).scalar()
+
+    def repaired(c: str):
+        zs = F.abs(F.col(c) - s[f"mu_{c}"]) / F.nullif(s[f"sd_{c}"], F.lit(0.0))
+        return F.when(zs > z, med[c][0]).otherwise(F.col(c)).alias(c)
+
+    return df.select(*[repaired(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def clean_reviews(reviews: DataFrame, col: str = "review_text") -> DataFrame:
@@ -73,7 +75,8 @@ def normalize_text(df: DataFrame, col: str = "review_text") -> DataFrame:
     return df.withColumn(col, T.normalize(F.coalesce(F.col(col), F.lit(""))))
 
 
-def with_age(df: DataFrame, as_of: str = C.AS_OF, exact: bool = True) -> DataFrame:
-    """Drop rows without birthdate and add ``age``."""
+def with_age(df: DataFrame, as_of: str = C.AS_OF, exact: bool = True, keep_unknown: bool = False) -> DataFrame:
+    """Add ``age``; rows without birthdate go, or keep a null age with ``keep_unknown``."""
     f = age_exact if exact else age_years
-    return df.where(F.col("birthdate").isNotNull()).withColumn("age", f(F.col("birthdate"), as_of))
+    known = df if keep_unknown else df.where(F.col("birthdate").isNotNull())
+    return known.withColumn("age", f(F.col("birthdate"), as_of))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 
 from ..functions.dates import elapsed_days, month_start, ts
-from ..functions.stats import money_avg, money_sum, quantile, scalar
+from ..functions.stats import money_avg, money_sum, scalar
+from .quantiles import quantile_table
 
 
 def _nn(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -78,8 +79,8 @@ def class_gender_profile(df_with_age: DataFrame) -> DataFrame:
     return _nn(df_with_age, ["product_class", "gender"]).groupBy("product_class", "gender").agg(
         money_sum(F.col("gross_price")).alias("total_gross_price"),
         money_avg(F.col("gross_price")).alias("avg_gross_price"),
-        money_sum(F.col("price_reduction"), 4).alias("total_price_reduction"),
-        money_avg(F.col("price_reduction"), 4).alias("avg_price_reduction"),
+        money_sum(F.col("price_reduction")).alias("total_price_reduction"),
+        money_avg(F.col("price_reduction")).alias("avg_price_reduction"),
         F.count("order_id").alias("total_orders"),
         F.avg("age").alias("avg_age"))
 
@@ -120,19 +121,18 @@ def loyalty_impact(df: DataFrame, status_col: str) -> DataFrame:
         money_sum(F.col("gross_price")).alias("total_spend"))
 
 
-def boxplot_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def boxplot_stats(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
     """Per group: quartiles, whiskers (most extreme values within 1.5 IQR), outliers.
 
-    Quartiles come from one aggregate; whiskers from a second aggregate over
-    the rows joined to their (small, one row per group) quartile table.
+    ``weight`` is a column that says how many rows a row stands for.
+
+    Quartiles come from ``quantile_table``; whiskers from an aggregate over the
+    rows joined to their quartiles (one row per group).
     """
     base = (_nn(df, list(keys)).where(F.col(value).isNotNull())
-            .withColumn(value, F.col(value).cast("double")))
-    q = base.groupBy(*keys).agg(
-        quantile(F.col(value), [0.25, 0.5, 0.75]).alias("_q"),
-        F.count(F.lit(1)).alias("n"))
-    q = q.select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3"))
+            .select(*keys, F.col(value).cast("double").alias(value), (F.col(weight) if weight else F.lit(1)).alias("_w")))
+    q = quantile_table(base, [value], [0.25, 0.5, 0.75], keys, "_w")
+    q = q.select(*keys, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     j = base.join(q, list(keys))
     iqr = F.col("q3") - F.col("q1")
     lo = F.col("q1") - 1.5 * iqr
@@ -141,7 +141,7 @@ def boxplot_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return j.groupBy(*keys, "n", "q1", "median", "q3").agg(
         F.min(F.when(v >= lo, v)).alias("whisker_low"),
         F.max(F.when(v <= hi, v)).alias("whisker_high"),
-        F.count_if((v < lo) | (v > hi)).alias("outliers"))
+        F.sum(F.when((v < lo) | (v > hi), F.col("_w")).otherwise(0)).cast("bigint").alias("outliers"))
 
 
 def equal_width_hist(df: DataFrame, x: Column, bins: int) -> DataFrame:
@@ -166,3 +166,13 @@ def density_2d(df: DataFrame, x: Column, y: Column, bins: int) -> DataFrame:
 
     binned = d.select(b("_x", s["xl"], s["xh"]).alias("x_bin"), b("_y", s["yl"], s["yh"]).alias("y_bin"))
     return binned.groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count"))
+
+
+def density_by(df: DataFrame, key: str, y: Column, bins: int, weight: str | None = None) -> DataFrame:
+    """(key, y_bin, count): equal-width bin counts of a value for each level of a key."""
+    d = df.select(F.col(key), y.cast("double").alias("_y"), (F.col(weight) if weight else F.lit(1)).alias("_w")).where(
+        F.col(key).isNotNull() & F.col("_y").isNotNull())
+    s = scalar(d, lo=F.min("_y"), hi=F.max("_y"))
+    b = F.when(s["hi"] > s["lo"], F.least(F.floor((F.col("_y") - s["lo"]) / (s["hi"] - s["lo"]) * bins) + 1, F.lit(bins))
+               ).otherwise(F.lit(1)).cast("bigint")
+    return d.select(key, b.alias("y_bin"), "_w").groupBy(key, "y_bin").agg(F.sum("_w").cast("bigint").alias("count"))

@@ -16,9 +16,8 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import quantile
-
 from .. import config as C
+from .quantiles import quantile_row
 
 CATEGORICAL = ["product_class", "job_type", "region", "loyalty_type"]
 BINARY = ["gender"]
@@ -120,7 +119,8 @@ def fit_preprocessor(df: DataFrame, numeric: Sequence[str] = NUMERIC,
         categorical = list(categorical) + [email_col]
     d = p.prepared(df)
     if numeric:
-        med = d.agg(*[quantile(F.col(c).cast("double"), 0.5).alias(c) for c in numeric]).first()
+        row = quantile_row(d, list(numeric), [0.5]).first()["s"]
+        med = {c: row[c][0] if row[c] else None for c in numeric}
         imp = {c: F.coalesce(F.col(c).cast("double"), F.lit(med[c])) for c in numeric}
         st = d.agg(*[F.avg(imp[c]).alias(f"m_{c}") for c in numeric],
                    *[F.stddev_pop(imp[c]).alias(f"s_{c}") for c in numeric]).first()

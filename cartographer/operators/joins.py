@@ -83,14 +83,13 @@ def customer_360(customers: DataFrame, orders: DataFrame, addresses: DataFrame,
     """customers ⟕ orders ⟕ addresses ⟕ products ⟕ reviews ⟕ accounts ⟕ sentiment.
 
     Customers without orders are kept. Reviews and labelled texts fan out.
+    Texts are matched at review grain, before orders multiply the reviews.
     """
-    sentiment = sentiment_scores(labelled).select("review_text", "sentiment_score")
     return (customers.join(orders, "customer_id", "left")
             .join(addresses, "address_id", "left")
             .join(products, "product_id", "left")
-            .join(reviews, "customer_id", "left")
             .join(accounts, "customer_id", "left")
-            .join(sentiment, "review_text", "left"))
+            .join(review_sentiment_join(reviews, labelled), "customer_id", "left"))
 
 
 def sentiment_scores(labelled: DataFrame) -> DataFrame:

@@ -50,8 +50,3 @@ class Grid:
 
     def start_of(self, k: Column, plus_days: int = 0) -> Column:
         return F.timestamp_add("DAY", k * self.step_days + plus_days, self.start)
-
-    def index_table(self, spark) -> DataFrame:
-        """(k) for every window of the grid, generated from the bounds."""
-        return spark.range(1).select(F.explode(F.sequence(F.lit(0), self.n - 1)).alias("k")) \
-            .where(F.col("k") >= 0)

@@ -40,7 +40,7 @@ def target_variable(data: DataFrame, product: str | None = None, category: str |
     """Observation rows of every period with target = 1 when the customer buys
     the product (or a product of the category) in the prediction window."""
     if product is None and category is None:
-        raise ValueError("Either 'product' or 'category' must be specified.")
+        raise ValueError("a target needs a product or a category to look for")
     g = period_grid(data, obs, pred, step)
     hit = (F.col("product_id") == product) if product is not None else (F.col("product_class") == category)
     buyers = (data.where(hit).select("customer_id", F.explode(g.windows(obs, pred)).alias("_k"))
@@ -73,7 +73,7 @@ def npv_cost(data: DataFrame, targets: dict[str, Column]) -> DataFrame:
         d = data.where(cond)
         r = d.agg(F.lit(name).alias("target"),
                   (money_avg(F.col("gross_price")) * C.PROFIT_MARGIN).alias("npv"),
-                  (F.lit(C.EMAIL_COST) + money_avg(F.col("price_reduction"), 4) + F.lit(C.FULFILLMENT_COST))
+                  (F.lit(C.EMAIL_COST) + money_avg(F.col("price_reduction")) + F.lit(C.FULFILLMENT_COST))
                   .alias("cost"))
         out = r if out is None else out.unionByName(r)
     return out

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import quantile
 from pyspark.sql.types import NumericType
 from pyspark.sql.window import Window
 
+from .quantiles import quantile_table
+
 
 def _stack(df: DataFrame, names: Sequence[str], value_type: str = "bigint") -> str:
     parts = ", ".join(f"'{n}', CAST(`{n}` AS {value_type})" for n in names)
@@ -35,22 +36,24 @@ def duplicate_row_count(df: DataFrame) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, sample std, min, interpolated quartiles, max per column,
-    from one aggregate pass, returned in long form."""
+    """count, mean, sample std, min, interpolated quartiles, max per column in
+    long form: one aggregate pass, joined to the quartiles (a row per column)."""
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = quantile(x, [0.25, 0.5, 0.75])
         aggs.append(F.struct(F.lit(c).alias("column_name"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q[0].alias("q25"),
-                             q[1].alias("q50"), q[2].alias("q75"), F.max(x).alias("max")))
-    return df.agg(F.array(*aggs).alias("a")).select(F.inline("a"))
+                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")))
+    stats = df.agg(F.array(*aggs).alias("a")).select(F.inline("a"))
+    q = quantile_table(df, list(cols), [0.25, 0.5, 0.75]).select("column_name", "q")
+    return stats.join(q, "column_name", "left").select(
+        "column_name", "count", "mean", "std", "min", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
+        F.col("q")[2].alias("q75"), "max")
 
 
 def distinct_preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """(column_name, rank, value): the ``n`` smallest distinct values per column.
+    """(column_name, rank, value): the ``n`` smallest distinct values per column, null last.
 
     One scan emits (column, value) pairs; distinct values come from an
     aggregate, and the per-column ``row_number <= n`` is planned as a window
@@ -59,8 +62,8 @@ def distinct_preview(df: DataFrame, n: int = 5) -> DataFrame:
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
                       for c in df.columns])
-    d = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
-    w = F.row_number().over(Window.partitionBy("column_name").orderBy("value"))
+    d = df.select(F.inline(pairs)).distinct()
+    w = F.row_number().over(Window.partitionBy("column_name").orderBy(F.col("value").asc_nulls_last()))
     return d.select("column_name", w.cast("bigint").alias("rank"), "value").where(F.col("rank") <= n)
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.dates import elapsed_days
-from ..functions.stats import minmax, quantile, scalar
+from ..functions.stats import minmax, scalar
+from .quantiles import prefix_sums, quantile_row
 
 
 def previous_in_group(df: DataFrame, key: str, order: Sequence[str], value: str,
@@ -57,26 +58,15 @@ def purchase_gaps(df: DataFrame) -> DataFrame:
                    elapsed_days(F.col("_last_buy"), end)).alias("purchase_diff"))
 
 
-def cumulative_share(df: DataFrame, col: str, buckets: int = 1024) -> DataFrame:
+def cumulative_share(df: DataFrame, col: str) -> DataFrame:
     """(value, cumulative_share): share of rows with ``col`` <= value.
 
-    Rows are first reduced to distinct values (partial aggregate). The prefix
-    sum is two-level: totals of ``buckets`` equal-width value ranges, then a
-    running sum inside each range, so no window ever spans all values at once.
+    Rows are first reduced to distinct values (partial aggregate); the prefix
+    sum runs over range partitions of them.
     """
     d = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    s = scalar(d, lo=F.min(col), hi=F.max(col), total=F.sum("n"))
-    x = F.col(col).cast("double")
-    b = F.when(s["hi"] > s["lo"], F.least(F.floor((x - s["lo"]) / (s["hi"] - s["lo"]) * buckets),
-                                          F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-    d = d.withColumn("_b", b)
-    bt = d.groupBy("_b").agg(F.sum("n").alias("bn"))
-    bt = bt.withColumn("offset", F.coalesce(
-        F.sum("bn").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inner = F.sum("n").over(Window.partitionBy("_b").orderBy(col)
-                            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    j = d.join(bt.select("_b", "offset"), "_b")
-    return j.select(col, ((F.col("offset") + inner) / s["total"]).alias("cumulative_share"))
+    return prefix_sums(d, col, ["n"]).select(
+        col, ((F.col("n_before") + F.col("n")) / F.col("n_total")).alias("cumulative_share"))
 
 
 def top_k(df: DataFrame, k: int, order: Sequence) -> DataFrame:
@@ -102,7 +92,7 @@ def qcut_labels(df: DataFrame, col: str, labels: Sequence[str]) -> DataFrame:
     """pd.qcut(q=len(labels)): interpolated quantile edges, right-closed bins,
     lowest edge included. Repeated edges merge bins instead of raising."""
     q = len(labels)
-    edges = df.agg(quantile(F.col(col), [i / q for i in range(1, q)])).scalar()
+    edges = quantile_row(df, [col], [i / q for i in range(1, q)]).scalar()[col]
     x = F.col(col)
     expr = F.when(x.isNull(), F.lit(None).cast("string"))
     for i in range(q - 1):

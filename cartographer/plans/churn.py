@@ -16,7 +16,7 @@ from .registry import Ctx, query
 @query("rfm", sql="""
 SELECT customer_id,
   datesub('day', max(purchase_datetime), (SELECT max(purchase_datetime) FROM f_merged)) AS recency,
-  CAST(sum(CAST(gross_price AS DECIMAL(18,2))) AS DOUBLE) AS monetary,
+  CAST(sum(CAST(gross_price AS DECIMAL(28,6))) AS DOUBLE) AS monetary,
   count(order_id) / ((year(max(purchase_datetime)) - year(min(purchase_datetime))) * 12
     + month(max(purchase_datetime)) - month(min(purchase_datetime)) + 1) AS frequency
 FROM f_merged GROUP BY customer_id""")
@@ -26,7 +26,7 @@ def rfm(c: Ctx):
 
 
 OBS, CTL, STEP = C.CHURN_OBSERVATION_DAYS, C.CHURN_CONTROL_DAYS, C.CHURN_STEP_DAYS
-MSUM = "CAST(sum(CAST(gross_price AS DECIMAL(18,2))) AS DOUBLE)"
+MSUM = "CAST(sum(CAST(gross_price AS DECIMAL(28,6))) AS DOUBLE)"
 
 WINDOW_CTES = {
     "x_bounds": "SELECT min(purchase_datetime) AS s, max(purchase_datetime) AS e FROM f_merged",

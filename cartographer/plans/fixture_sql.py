@@ -81,10 +81,14 @@ SELECT labelled_reviews_index, review_text, sentiment_label,
 }
 
 
+#: CTEs that several parts of a query read.
+MATERIALIZED = {"x_imp"}
+
+
 def with_ctes(body: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:
     """Prefix ``body`` with every fixture CTE (DuckDB inlines only those used)."""
     ctes = dict(CTES)
     ctes.update(extra or {})
-    parts = [f"{name} AS ({sql.strip()})" for name, sql in ctes.items()]
+    parts = [f"{name} AS {'MATERIALIZED ' if name in MATERIALIZED else ''}({sql.strip()})" for name, sql in ctes.items()]
     head = "WITH RECURSIVE " if recursive else "WITH "
     return head + ",\n".join(parts) + "\n" + body.strip()

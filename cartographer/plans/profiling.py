@@ -44,10 +44,10 @@ def describe_numeric(c: Ctx):
 
 @query("distinct_preview", sql="""
 SELECT column_name, CAST(rank AS BIGINT) AS rank, value FROM (
-  SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY value) AS rank FROM (
+  SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY value NULLS LAST) AS rank FROM (
     SELECT DISTINCT column_name, value FROM (""" + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM f_customers" for c in CUSTOMER_COLS)
-    + """) u WHERE value IS NOT NULL) d) r WHERE rank <= 5""")
+    + """) u) d) r WHERE rank <= 5""")
 def distinct_preview(c: Ctx):
     return Q.distinct_preview(c.customers, 5)
 

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import features as FE
 from ..operators import propensity as P
-from .exploration import product_classes
+from .exploration import CLASSES, product_classes
 from .registry import Ctx, query
 
 OBS, PRED, STEP = P.OBS, P.PRED, P.STEP
 CAT, PROD = C.PROPENSITY_CATEGORY, C.PROPENSITY_PRODUCT
 OFFERS = {f"category_{CAT}": "propensity_1", f"product_{PROD}": "propensity_2"}
-CLASSES_SQL = [str(i) for i in range(1, 26)]
 
 
 def _d(k: str, plus: int) -> str:
@@ -38,13 +37,13 @@ PERIOD_CTES = {
 VALUE_CTES = {
     "x_npv": f"""
 SELECT 'category_{CAT}' AS target,
-  CAST(sum(CAST(gross_price AS DECIMAL(18,2))) AS DOUBLE) / count(gross_price) * {C.PROFIT_MARGIN} AS npv,
-  {C.EMAIL_COST} + CAST(sum(CAST(price_reduction AS DECIMAL(18,4))) AS DOUBLE) / count(price_reduction)
+  CAST(sum(CAST(gross_price AS DECIMAL(28,6))) AS DOUBLE) / count(gross_price) * {C.PROFIT_MARGIN} AS npv,
+  {C.EMAIL_COST} + CAST(sum(CAST(price_reduction AS DECIMAL(28,6))) AS DOUBLE) / count(price_reduction)
     + {C.FULFILLMENT_COST} AS cost FROM f_merged WHERE product_class = '{CAT}'
 UNION ALL
 SELECT 'product_{PROD}',
-  CAST(sum(CAST(gross_price AS DECIMAL(18,2))) AS DOUBLE) / count(gross_price) * {C.PROFIT_MARGIN},
-  {C.EMAIL_COST} + CAST(sum(CAST(price_reduction AS DECIMAL(18,4))) AS DOUBLE) / count(price_reduction)
+  CAST(sum(CAST(gross_price AS DECIMAL(28,6))) AS DOUBLE) / count(gross_price) * {C.PROFIT_MARGIN},
+  {C.EMAIL_COST} + CAST(sum(CAST(price_reduction AS DECIMAL(28,6))) AS DOUBLE) / count(price_reduction)
     + {C.FULFILLMENT_COST} FROM f_merged WHERE product_id = '{PROD}'""",
     "x_vpo": " UNION ALL ".join(
         f"""SELECT s.customer_id, '{o}' AS offer, CAST(s.{col} AS DOUBLE) AS probability,
@@ -106,7 +105,7 @@ def target_category_share(c: Ctx):
 
 @query("multilabel_matrix", extra_ctes=PERIOD_CTES, sql="""
 SELECT customer_id, order_id, product_id, period_start, """ + ", ".join(
-    f"CAST(list_contains(cats, '{v}') AS INTEGER) AS cat_{v}" for v in CLASSES_SQL) + " FROM x_multi")
+    f"CAST(list_contains(cats, '{v}') AS INTEGER) AS cat_{v}" for v in CLASSES) + " FROM x_multi")
 def multilabel_matrix(c: Ctx):
     t = P.multi_category_target(c.lines)
     m = FE.multilabel_matrix(t, "target_categories", product_classes(c))

@@ -67,7 +67,7 @@ def customer_type_two_score(c: Ctx):
 
 @query("segment_summary", extra_ctes=TYPE_CTES, doubles=["avg_sentiment_score"], sql="""
 SELECT customer_type, count(customer_id) AS count,
-  CAST(sum(CAST(gross_price AS DECIMAL(18,2))) AS DOUBLE) / count(gross_price) AS avg_gross_price,
+  CAST(sum(CAST(gross_price AS DECIMAL(28,6))) AS DOUBLE) / count(gross_price) AS avg_gross_price,
   avg(sentiment_score) AS avg_sentiment_score FROM x_seg GROUP BY 1""")
 def segment_summary(c: Ctx):
     return _segments(c).groupBy("customer_type").agg(

@@ -33,7 +33,8 @@ def test_elapsed_days_floor_across_midnight(spark):
 
 def test_interpolated_quantile_and_qcut(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "v double")
-    assert df.agg(F.percentile("v", 0.75)).first()[0] == pytest.approx(4.75)
+    from cartographer.operators.quantiles import quantile
+    assert df.select(quantile(df, "v", 0.75)).first()[0] == pytest.approx(4.75)
     out = {r.v: r.v_label for r in RK.qcut_labels(df, "v", ["Low", "Medium", "High"]).collect()}
     # edges at 2.0 and 3.0 (1/3 and 2/3 quantiles), right-closed, lowest included
     assert out == {1.0: "Low", 2.0: "Low", 3.0: "Medium", 10.0: "High"}
@@ -163,15 +164,66 @@ def test_review_cleanup_and_tokens(spark):
     assert r.k == ["brbright", "href", "étion", "ça", "dont"]
 
 
-def test_approximate_quantile_switch(spark):
-    from cartographer.operators import quality as Q
-    df = spark.createDataFrame([(float(i),) for i in range(1001)], "v double")
-    exact = Q.describe_numeric(df, ["v"]).first()
-    old = C.EXACT_QUANTILES
-    C.EXACT_QUANTILES = False
+def test_quantiles_of_skewed_values(spark):
+    """One far value, a heavy tie and a group without values: still exact."""
+    import numpy as np
+    from cartographer.operators.quantiles import quantile_row, quantile_table
+    rng = np.random.default_rng(1)
+    v = np.concatenate([rng.normal(size=3000), [1e9], np.full(2000, 0.5)])
+    rows = [("a", float(x)) for x in v] + [("b", float(i)) for i in range(7)] + [("c", None), (None, 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    qs = [0.0, 0.1, 0.25, 0.5, 0.99, 1.0]
+    got = {r.g: (r.n, r.q) for r in quantile_table(df, ["v"], qs, ["g"]).collect()}
+    assert set(got) == {"a", "b", None}
+    assert got["a"][0] == len(v) and np.allclose(got["a"][1], np.quantile(v, qs))
+    assert np.allclose(got["b"][1], np.quantile(range(7), qs))
+    empty = quantile_row(df.where("g = 'c'"), ["v"], [0.5]).first()["s"]
+    assert empty["v"] is None
+
+
+def test_prefix_sums_over_partitions(spark):
+    from cartographer.operators.quantiles import prefix_sums
+    df = spark.createDataFrame([(float(i if i else -1e9), i % 3) for i in range(500)], "x double, n long")
+    got = sorted(tuple(r) for r in prefix_sums(df, "x", ["n"]).collect())
+    total = 0
+    for x, n, before, whole in got:
+        assert (before, whole) == (total, 499)
+        total += n
+
+
+def test_curves_with_a_far_score(spark):
+    from cartographer.operators import metrics as M
+    rows = [(int(i % 3 == 0), i / 1000) for i in range(1000)] + [(1, 1e6)]
+    df = spark.createDataFrame(rows, "y int, s double")
+    pos, neg = [s for y, s in rows if y], [s for y, s in rows if not y]
+    want = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / len(pos) / len(neg)
+    assert M.roc_auc(df, "y", "s").first()[0] == pytest.approx(want)
+    curve = M.roc_curve(df, "y", "s").collect()
+    assert len(curve) == 1001
+    for r in curve[::97]:
+        assert r.tpr == pytest.approx(sum(p >= r.threshold for p in pos) / len(pos))
+
+
+def test_segments_of_missing_scores(spark):
+    from cartographer.operators.sentiment import customer_type
+    df = spark.createDataFrame([(None,), (float("nan"),), (0.9,)], "s double")
+    assert [r[0] for r in df.select(customer_type(F.col("s"))).collect()] == [None, None, "Promoter"]
+
+
+def test_money_keeps_fine_prices(spark):
+    from cartographer.functions.stats import money_avg, money_sum
+    r = spark.createDataFrame([(0.004,), (0.004,), (0.004,), (None,)], "p double").agg(
+        money_sum(F.col("p")).alias("s"), money_avg(F.col("p")).alias("a")).first()
+    assert (r.s, r.a) == (0.012, 0.004)
+
+
+def test_timestamps_ignore_the_session_zone(spark):
+    from cartographer.operators.clean import parse_timestamp
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        approx = Q.describe_numeric(df, ["v"]).first()
+        r = spark.createDataFrame([("2024-03-10 02:30:00",), ("no",)], "t string").select(
+            parse_timestamp(F.col("t")).cast("string").alias("x")).collect()
     finally:
-        C.EXACT_QUANTILES = old
-    assert exact.q50 == 500.0 and exact.q25 == 250.0
-    assert abs(approx.q50 - 500.0) <= 2 and abs(approx.q75 - 750.0) <= 2
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [x[0] for x in r] == ["2024-03-10 02:30:00", None]
