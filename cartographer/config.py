@@ -59,6 +59,8 @@ ONE_HOT_PREFIXES = ("cat__product_class_", "cat__job_type_", "cat__region_",
                     "cat__loyalty_type_", "cat__email_provider_")
 # --- end of fixed values -----------------------------------------------------
 
+# Greatest depth of trees; the fits take it as an argument, Spark allows 30.
+TREE_DEPTH = 10
 # Type in which money is summed: exact to six decimals.
 MONEY_TYPE = "decimal(28,6)"
 

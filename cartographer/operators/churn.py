@@ -108,6 +108,18 @@ def features_current(data: DataFrame) -> DataFrame:
                     "max_spend", elapsed_days(F.col("_last"), end).alias("recency"))
 
 
+def features_of_all(data: DataFrame, days: int) -> DataFrame:
+    """``features_current`` of the last ``days`` days for every customer of ``data``.
+
+    Customers without a purchase in them have zero counts and spends; recency
+    always looks back to the customer's last purchase.
+    """
+    ever = features_current(data).select("customer_id", "recency")
+    recent = features_current(last_window(data, days)).drop("recency")
+    return ever.join(recent, "customer_id", "left").fillna(
+        {"frequency": 0, "total_monthly_spend": 0.0, "avg_spend": 0.0, "max_spend": 0.0})
+
+
 def last_window(data: DataFrame, days: int = C.CHURN_RECENCY_DAYS) -> DataFrame:
     """Rows in the last ``days`` days before the final purchase."""
     end = data.agg(F.max("purchase_datetime")).scalar()

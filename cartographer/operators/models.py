@@ -23,9 +23,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..session import cut_lineage
 
-RF_MAX_DEPTH = 10
-
-
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """``class_weight='balanced'``: n / (k * n_class), joined from a per-class table."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
@@ -35,12 +32,14 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
 
 
 def estimator(kind: str, label: str, features: str = "scaled", weight: str | None = None,
-              seed: int = C.SEED, num_trees: int = C.N_TREES, n_rows: int | None = None):
+              seed: int = C.SEED, num_trees: int = C.N_TREES, n_rows: int | None = None,
+              max_depth: int = C.TREE_DEPTH):
+    """A classifier. ``max_depth`` bounds trees (Spark allows up to 30)."""
     if kind == "rf":
         e = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=num_trees,
-                                   maxDepth=RF_MAX_DEPTH, seed=seed)
+                                   maxDepth=max_depth, seed=seed)
     elif kind == "dt":
-        e = DecisionTreeClassifier(featuresCol=features, labelCol=label, maxDepth=RF_MAX_DEPTH, seed=seed)
+        e = DecisionTreeClassifier(featuresCol=features, labelCol=label, maxDepth=max_depth, seed=seed)
     elif kind == "lr":
         # sklearn's C=1 penalises the summed loss; Spark's regParam the mean loss
         e = LogisticRegression(featuresCol=features, labelCol=label, maxIter=1000,
@@ -58,7 +57,7 @@ def estimator(kind: str, label: str, features: str = "scaled", weight: str | Non
 
 def fit(train: DataFrame, feature_cols: Sequence[str], label: str, kind: str = "rf",
         weight: str | None = None, scale: bool = True, seed: int = C.SEED,
-        num_trees: int = C.N_TREES, checkpoint: bool = True) -> PipelineModel:
+        num_trees: int = C.N_TREES, checkpoint: bool = True, max_depth: int = C.TREE_DEPTH) -> PipelineModel:
     train = train.withColumn(label, F.col(label).cast("double"))
     if checkpoint:
         train = cut_lineage(train)
@@ -66,7 +65,7 @@ def fit(train: DataFrame, feature_cols: Sequence[str], label: str, kind: str = "
     stages = [VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="keep")]
     if scale:
         stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True))
-    stages.append(estimator(kind, label, "scaled" if scale else "features", weight, seed, num_trees, n_rows))
+    stages.append(estimator(kind, label, "scaled" if scale else "features", weight, seed, num_trees, n_rows, max_depth))
     return Pipeline(stages=stages).fit(train)
 
 

@@ -6,8 +6,9 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType, StructField, StructType
@@ -18,6 +19,7 @@ from ..functions import text as T
 from ..functions.stats import cut_right_closed
 from ..session import cut_lineage
 from . import models as Mo
+from .quantiles import prefix_sums
 
 
 def tfidf(docs: DataFrame, id_col: str, text_col: str, vocab_size: int = C.TFIDF_VOCAB_SIZE) -> DataFrame:
@@ -40,26 +42,30 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, vocab_size: int = C.TFIDF
     return w.select(F.col("doc").alias(id_col), "term", (F.col("w") / norm).alias("tfidf"))
 
 
-def text_pipeline(kind: str, text_col: str = "text_clean", label_col: str = "sentiment_label",
-                  vocab_size: int = C.TFIDF_VOCAB_SIZE, seed: int = C.SEED) -> Pipeline:
-    """Label index (alphabetical) -> tokens -> counts (top terms) -> idf -> L2 -> classifier."""
-    stages = [StringIndexer(inputCol=label_col, outputCol="label", stringOrderType="alphabetAsc",
-                            handleInvalid="keep"),
-              RegexTokenizer(inputCol=text_col, outputCol="tokens", pattern=C.TOKEN_PATTERN, gaps=False,
-                             toLowercase=False),
-              CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=vocab_size),
-              IDF(inputCol="tf", outputCol="tfidf"),
-              Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
-              Mo.estimator(kind, "label", "features", seed=seed)]
-    return Pipeline(stages=stages)
-
-
 def prepare_text(df: DataFrame, text_col: str = "review_text") -> DataFrame:
     return df.withColumn("text_clean", T.normalize(F.coalesce(F.col(text_col), F.lit(""))))
 
 
-def train_sentiment(labelled: DataFrame, kind: str = "mnb") -> PipelineModel:
-    return text_pipeline(kind).fit(prepare_text(labelled))
+def train_sentiment(labelled: DataFrame, kind: str = "mnb", label_col: str = "sentiment_label",
+                    vocab_size: int = C.TFIDF_VOCAB_SIZE, seed: int = C.SEED,
+                    max_depth: int = C.TREE_DEPTH) -> PipelineModel:
+    """Label index (alphabetical) -> tokens -> counts (top terms) -> smooth idf + 1 -> L2 -> classifier.
+
+    Weights are those of ``tfidf``: the fitted inverse document frequencies
+    plus one scale the counts, so a term of every document keeps weight.
+    """
+    train = cut_lineage(prepare_text(labelled).select("text_clean", label_col))
+    counts = Pipeline(stages=[
+        StringIndexer(inputCol=label_col, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep"),
+        RegexTokenizer(inputCol="text_clean", outputCol="tokens", pattern=C.TOKEN_PATTERN, gaps=False, toLowercase=False),
+        CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=vocab_size)]).fit(train)
+    idf = IDF(inputCol="tf", outputCol="idf").fit(counts.transform(train)).idf  # at most ``vocab_size`` numbers
+    weights = PipelineModel(stages=[
+        *counts.stages, ElementwiseProduct(scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="tf", outputCol="tfidf"),
+        Normalizer(inputCol="tfidf", outputCol="features", p=2.0)])
+    n_rows = train.count() if kind == "lr" else None
+    classifier = Mo.estimator(kind, "label", "features", seed=seed, n_rows=n_rows, max_depth=max_depth)
+    return PipelineModel(stages=[*weights.stages, classifier.fit(weights.transform(train))])
 
 
 def score_reviews(model: PipelineModel, reviews: DataFrame, keep: Sequence[str],
@@ -84,11 +90,19 @@ def customer_type_two_scores(neg: Column, pos: Column) -> Column:
             .when(F.coalesce(pos, F.lit(0.0)) > C.PROMOTER_MIN, "Promoter").otherwise("Neutral"))
 
 
-def term_counts(df: DataFrame, segment_col: str, text_col: str, top_n: int) -> DataFrame:
-    """Top ``top_n`` terms per segment (ties by term), counted per review and
-    combined; ``row_number <= n`` is planned as a window group limit."""
+def term_counts(df: DataFrame, segment_col: str, text_col: str, top_n: int | None = None) -> DataFrame:
+    """Terms per segment with their count and rank (ties by term); with
+    ``top_n`` only the first of each segment, planned as a window group limit.
+
+    Ranks of all terms come from prefix sums over range partitions, so no
+    segment's vocabulary has to fit one task.
+    """
     t = df.select(segment_col, F.explode(T.tokens(F.col(text_col))).alias("term"))
     c = t.groupBy(segment_col, "term").agg(F.count(F.lit(1)).alias("count"))
+    if top_n is None:
+        key = F.struct((-F.col("count")).alias("down"), F.col("term"))
+        ranked = prefix_sums(c.withColumn("_order", key).withColumn("_one", F.lit(1)), "_order", ["_one"], [segment_col])
+        return ranked.select(segment_col, "term", "count", (F.col("_one_before") + 1).cast("bigint").alias("rank"))
     r = F.row_number().over(Window.partitionBy(segment_col).orderBy(F.col("count").desc(), "term"))
     return c.select("*", r.alias("rank")).where(F.col("rank") <= top_n).select(
         segment_col, "term", "count", F.col("rank").cast("bigint").alias("rank"))

@@ -3,7 +3,10 @@ have rows-only checks; each returns hold-out or scoring rows."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -12,18 +15,23 @@ from ..operators import churn as CH
 from ..operators import explore as X
 from ..operators import features as FE
 from ..operators import joins
+from ..operators import metrics as M
 from ..operators import models as Mo
 from ..operators import propensity as P
 from ..operators import quality
+from ..operators.quantiles import quantile_table
 from ..sources import io
+from ..sources.prepared import fingerprint
 from .exploration import product_classes
 from .registry import Ctx, query
 
 NUMERIC = ["frequency", "avg_spend", "max_spend", "recency", "total_monthly_spend",
            "flag_phone_provided", C.LOYALTY_STATUS_COL]
 CATEGORICAL = ["job_type", "region", "loyalty_type"]
-MULTI_TREES = 20
 FIT_THREADS = 6
+CHURN_KINDS = ["rf", "lr", "nb", "dt"]
+OFFERS = {f"category_{C.PROPENSITY_CATEGORY}": lambda: F.col("product_class") == C.PROPENSITY_CATEGORY,
+          f"product_{C.PROPENSITY_PRODUCT}": lambda: F.col("product_id") == C.PROPENSITY_PRODUCT}
 
 
 def _attributes(c: Ctx):
@@ -41,13 +49,31 @@ def _prep(train):
     return FE.fit_preprocessor(train, NUMERIC, CATEGORICAL, ["gender"], email_col="email_provider")
 
 
-def _churn_eval(c: Ctx, kind: str):
+def _holdout(c: Ctx, kinds) -> DataFrame:
+    """Hold-out rows with the churn probability of each kind of model, fitted on one split."""
+    from ..session import cut_lineage
     d = io.split(_churn_set(c), C.TEST_FRACTION, "customer_id", "window_start")
     train = d.where(~F.col("is_test"))
     p = _prep(train)
     keys = ["customer_id", "window_start", "churned"]
-    model = Mo.fit(p.transform(train, keys, safe=True), p.feature_names(safe=True), "churned", kind)
-    return Mo.score(model, p.transform(d.where(F.col("is_test")), keys, safe=True), keys, "churn_probability")
+    x = cut_lineage(p.transform(train, keys, safe=True))
+    test = p.transform(d.where(F.col("is_test")), keys, safe=True)
+    return _scored(test, {k: Mo.fit(x, p.feature_names(safe=True), "churned", k, checkpoint=False) for k in kinds}, keys)
+
+
+def _scored(x: DataFrame, models: dict, keys) -> DataFrame:
+    """``keys`` and churn_probability_<name> for each model, in one pass."""
+    names = []
+    for name, m in models.items():
+        x = m.transform(x).withColumn(f"churn_probability_{name}", vector_to_array("probability")[1]).drop(
+            "features", "scaled", "rawPrediction", "probability", "prediction")
+        names.append(f"churn_probability_{name}")
+    return x.select(*keys, *names)
+
+
+def _churn_eval(c: Ctx, kind: str):
+    out = _holdout(c, [kind]).withColumnRenamed(f"churn_probability_{kind}", "churn_probability")
+    return out.withColumn("prediction", (F.col("churn_probability") > 0.5).cast("int"))
 
 
 @query("split")
@@ -60,10 +86,8 @@ def split(c: Ctx):
 @query("split_stratified")
 def split_stratified(c: Ctx):
     """Per-class 20% test share: rows below the class's 20% hash quantile."""
-    d = _churn_set(c).withColumn("_h", hash_bucket(F.col("customer_id"), F.col("window_start")))
-    cut = d.groupBy("churned").agg(F.percentile_approx("_h", C.TEST_FRACTION, 10000).alias("_cut"))
-    return d.join(F.broadcast(cut), "churned").select(  # one row per class
-        "customer_id", "window_start", "churned", (F.col("_h") <= F.col("_cut")).alias("is_test"))
+    return _stratified(_churn_set(c), "churned", "customer_id", "window_start").select(
+        "customer_id", "window_start", "churned", "is_test")
 
 
 @query("churn_rf")
@@ -88,12 +112,32 @@ def churn_dt(c: Ctx):
 
 @query("churn_scores")
 def churn_scores(c: Ctx):
-    """Forest fitted on all windows scores the customers of the last 90 days."""
+    """All four models, fitted on all windows, score the customers of the last 90 days."""
+    from ..session import cut_lineage
     train = _churn_set(c)
     p = _prep(train)
-    model = Mo.fit(p.transform(train, ["churned"], safe=True), p.feature_names(safe=True), "churned", "rf")
+    x = cut_lineage(p.transform(train, ["churned"], safe=True))
+    models = {k: Mo.fit(x, p.feature_names(safe=True), "churned", k, checkpoint=False) for k in CHURN_KINDS}
     current = CH.features_current(CH.last_window(c.lines)).join(_attributes(c), "customer_id", "left")
-    return Mo.score(model, p.transform(current, ["customer_id"], safe=True), ["customer_id"], "churn_probability")
+    return _scored(p.transform(current, ["customer_id"], safe=True), models, ["customer_id"])
+
+
+@query("churn_model_comparison")
+def churn_model_comparison(c: Ctx):
+    """Accuracy, precision, recall, F1 and AUC of the four fitted models on the hold-out rows."""
+    from ..session import cut_lineage
+    d = cut_lineage(_holdout(c, CHURN_KINDS))
+    rows = [M.binary_metrics(d, "churned", f"churn_probability_{k}").select(F.lit(k).alias("model"), "*") for k in CHURN_KINDS]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query("churn_model_curves")
+def churn_model_curves(c: Ctx):
+    """ROC and precision-recall points of the four fitted models on the hold-out rows."""
+    from ..session import cut_lineage
+    d = cut_lineage(_holdout(c, CHURN_KINDS))
+    rows = [M.roc_curve(d, "churned", f"churn_probability_{k}").select(F.lit(k).alias("model"), "*") for k in CHURN_KINDS]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query("behaviour_clusters")
@@ -108,69 +152,127 @@ def _propensity_set(c: Ctx, cond):
     return cut_lineage(P.period_training_set(c.lines, cond).join(_attributes(c), "customer_id", "left"))
 
 
-def _propensity_eval(c: Ctx, cond, num_trees: int = C.N_TREES):
-    d = _propensity_set(c, cond)
-    keys = ["customer_id", "window_start", "target"]
-    d = io.split(d, C.TEST_FRACTION, "customer_id", "window_start")
-    train = d.where(~F.col("is_test"))
-    if not quality.check_binary_label(train, "target"):
-        return d.select(*keys, F.lit(None).cast("int").alias("prediction"),
-                        F.lit(None).cast("double").alias("probability")).limit(0)
+def _stratified(d: DataFrame, label: str, *keys: str) -> DataFrame:
+    """Adds is_test: the rows below their class's ``TEST_FRACTION`` hash quantile."""
+    d = d.withColumn("_h", hash_bucket(*[F.col(k) for k in keys]))
+    cut = quantile_table(d, ["_h"], [C.TEST_FRACTION], [label]).select(label, F.col("q")[0].alias("_cut"))
+    return d.join(F.broadcast(cut), label).withColumn("is_test", F.col("_h") <= F.col("_cut")).drop("_h", "_cut")  # one row per class
+
+
+PROPENSITY_KEYS = ["customer_id", "window_start", "target"]
+
+
+def _propensity_fit(c: Ctx, cond):
+    """Preprocessor, balanced forest (None with one class only) and the hold-out rows of a target."""
+    d = _stratified(_propensity_set(c, cond), "target", "customer_id", "window_start")
+    train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
     p = _prep(train)
-    tw = Mo.class_weights(p.transform(train, keys, safe=True), "target")
-    model = Mo.fit(tw, p.feature_names(safe=True), "target", "rf", weight="weight", num_trees=num_trees)
-    return Mo.score(model, p.transform(d.where(F.col("is_test")), keys, safe=True), keys, "probability")
+    if not quality.check_binary_label(train, "target"):
+        return p, None, test
+    tw = Mo.class_weights(p.transform(train, PROPENSITY_KEYS, safe=True), "target")
+    return p, Mo.fit(tw, p.feature_names(safe=True), "target", "rf", weight="weight"), test
 
 
 @query("propensity_rf")
 def propensity_rf(c: Ctx):
-    """Balanced forest for the category target; hold-out predictions."""
-    return _propensity_eval(c, F.col("product_class") == C.PROPENSITY_CATEGORY)
+    """Balanced forest for the category target on a stratified split; hold-out predictions."""
+    p, model, test = _propensity_fit(c, F.col("product_class") == C.PROPENSITY_CATEGORY)
+    if model is None:
+        return test.select(*PROPENSITY_KEYS, F.lit(None).cast("int").alias("prediction"),
+                           F.lit(None).cast("double").alias("probability")).limit(0)
+    return Mo.score(model, p.transform(test, PROPENSITY_KEYS, safe=True), PROPENSITY_KEYS, "probability")
+
+
+def _everyone(c: Ctx) -> DataFrame:
+    """Features of every customer over the last observation window, with attributes."""
+    return CH.features_of_all(c.lines, C.PROPENSITY_OBSERVATION_DAYS).join(_attributes(c), "customer_id", "left")
+
+
+@query("offer_scores")
+def offer_scores(c: Ctx):
+    """Every customer's probability of each offer from the fitted category and product models."""
+    out = None
+    for offer, cond in OFFERS.items():
+        p, model, _ = _propensity_fit(c, cond())
+        if model is not None:
+            s = Mo.score(model, p.transform(_everyone(c), ["customer_id"], safe=True), ["customer_id"], "probability")
+            s = s.select("customer_id", F.lit(offer).alias("offer"), "probability")
+            out = s if out is None else out.unionByName(s)
+    return out if out is not None else c.lines.select(
+        "customer_id", F.lit("").alias("offer"), F.lit(0.0).alias("probability")).limit(0)
+
+
+@query("next_best_offer_models")
+def next_best_offer_models(c: Ctx):
+    """Per customer the offer of greatest value, from the fitted models' probabilities."""
+    values = P.npv_cost(c.lines, {o: cond() for o, cond in OFFERS.items()})
+    s = offer_scores(c)
+    j = s.join(F.broadcast(values), s.offer == values.target)  # one row per offer
+    v = j.select("customer_id", "offer", "probability", P.vpo(F.col("probability"), F.col("npv"), F.col("cost")).alias("vpo"))
+    return P.next_best_offer(v, list(OFFERS))
+
+
+_FITTED: dict[tuple, tuple] = {}
 
 
 def _category_models(c: Ctx):
-    """One forest per category on a single checkpointed training frame."""
+    """Preprocessor, one balanced forest per category on one training frame, and the hold-out frame.
+
+    Both category queries use the same fits: they are kept for the application
+    and input they belong to.
+    """
     from ..session import cut_lineage
-    base = cut_lineage(P.multi_period_training_set(c.lines).join(_attributes(c), "customer_id", "left"))
-    p = _prep(base)
-    x = cut_lineage(p.transform(base, ["target_categories"], safe=True))
-    # class-diversity guard for every category from one aggregate
+    base = io.split(P.multi_period_training_set(c.lines), C.TEST_FRACTION, "customer_id", "window_start")
+    mark = (c.spark.sparkContext.applicationId, fingerprint(c.spark, [f"{c.sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "customer", "part")]))
+    if mark in _FITTED:
+        return _FITTED[mark]
+    base = cut_lineage(base.join(_attributes(c), "customer_id", "left"))
+    train = base.where(~F.col("is_test"))
+    p = _prep(train)
+    keys = ["customer_id", "window_start", "target_categories"]
+    x = cut_lineage(p.transform(train, keys, safe=True))
+    test = cut_lineage(p.transform(base.where(F.col("is_test")), keys, safe=True))
+    # class-diversity guard and class weights for every category from one aggregate
     pos = {r["cat"]: r["n"] for r in x.select(F.explode("target_categories").alias("cat"))
            .groupBy("cat").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = x.count()
     cats = [cat for cat in product_classes(c) if 0 < pos.get(cat, 0) < total]
 
     def fit_one(cat: str):
-        d = x.withColumn("target", F.array_contains("target_categories", cat).cast("int"))
-        return cat, Mo.fit(d, p.feature_names(safe=True), "target", "rf", num_trees=MULTI_TREES,
-                           checkpoint=False)
+        y = F.array_contains("target_categories", cat)
+        d = x.withColumn("target", y.cast("int")).withColumn(
+            "weight", F.when(y, total / (2 * pos[cat])).otherwise(total / (2 * (total - pos[cat]))))
+        return cat, Mo.fit(d, p.feature_names(safe=True), "target", "rf", weight="weight", checkpoint=False)
 
     # independent fits: submitted from a few driver threads so their jobs share the cluster
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=FIT_THREADS) as pool:
         out = dict(pool.map(fit_one, cats))
-    return p, {cat: out[cat] for cat in cats}
+    _FITTED[mark] = p, {cat: out[cat] for cat in cats}, test
+    return _FITTED[mark]
 
 
 @query("multi_category_rf")
 def multi_category_rf(c: Ctx):
-    """One forest per category; hold-out style summary row per category model."""
-    p, models = _category_models(c)
-    cur = CH.features_current(CH.last_window(c.lines)).join(_attributes(c), "customer_id", "left")
-    x = p.transform(cur, ["customer_id"], safe=True)
-    out = None
+    """Hold-out report of the forest of every category: accuracy, precision, recall, F1 and AUC."""
+    from ..session import cut_lineage
+    _, models, test = _category_models(c)
+    cols = []
     for cat, m in models.items():
-        s = Mo.score(m, x, ["customer_id"], "probability").select(F.lit(cat).alias("category"), "*")
-        out = s if out is None else out.unionByName(s)
-    return out
+        test = m.transform(test).withColumn(f"propensity_{cat}", vector_to_array("probability")[1]).drop(
+            "features", "scaled", "rawPrediction", "probability", "prediction")
+        cols.append(f"propensity_{cat}")
+    d = cut_lineage(test.select("target_categories", *cols))
+    rows = [M.binary_metrics(d.withColumn("y", F.array_contains("target_categories", cat).cast("int")), "y", f"propensity_{cat}")
+            .select(F.lit(cat).alias("category"), "*") for cat in models]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query("category_propensities")
 def category_propensities(c: Ctx):
-    """propensity_<category> columns per current customer."""
-    p, models = _category_models(c)
-    cur = CH.features_current(CH.last_window(c.lines)).join(_attributes(c), "customer_id", "left")
-    x = p.transform(cur, ["customer_id"], safe=True)
+    """propensity_<category> columns, one row for every customer."""
+    p, models, _ = _category_models(c)
+    x = p.transform(_everyone(c), ["customer_id"], safe=True)
     cols = []
     for cat, m in models.items():
         out = m.transform(x)

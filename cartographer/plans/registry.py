@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators import joins
+from ..sources import fixtures
 from ..sources.fixtures import Retail
 from ..sources.prepared import prepared
 from .fixture_sql import with_ctes
@@ -78,7 +79,7 @@ class Ctx:
         inputs = [f"{self.sf_dir.rstrip('/')}/{t}.parquet"
                   for t in ("lineitem", "orders", "part", "customer", "nation", "region")]
         return prepared(self.spark, "merged_data", inputs, self.build_merged,
-                        sort_within=["customer_id", "purchase_datetime"])
+                        sort_within=["customer_id", "purchase_datetime"], code=[joins, fixtures])
 
     def build_merged(self) -> DataFrame:
         return joins.merged_data(self.orders, self.products, self.customers,

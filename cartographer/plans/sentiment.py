@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.stats import money_avg
 from ..operators import explore as X
+from ..operators import metrics as M
 from ..operators import sentiment as S
 from ..sources import io
 from .exploration import BOX_DOUBLES, box_sql
 from .registry import Ctx, query
 
-TOP_TERMS = 20
 TOKENS_SQL = (r"regexp_extract_all(regexp_replace(lower(coalesce({t}, '')), '[^\p{{L}}\p{{M}}\p{{N}}_\s]', '', 'g'),"
               r" '[\p{{L}}\p{{M}}\p{{N}}_]{{2,}}')")
 TYPE_SQL = (f"CASE WHEN score <= {C.DETRACTOR_MAX} THEN 'Detractor' WHEN score <= {C.PROMOTER_MIN} THEN 'Neutral' "
@@ -85,16 +85,15 @@ SELECT 'all' AS segment, review_text FROM f_reviews
 UNION ALL SELECT t.customer_type, r.review_text FROM f_reviews r JOIN x_types t ON r.customer_id = t.customer_id
   WHERE t.customer_type IN ('Detractor', 'Promoter')""", x_tc="""
 SELECT segment, term, count(*) AS count FROM (SELECT segment, unnest(""" + TOKENS_SQL.format(t="review_text")
-    + """) AS term FROM x_rt) u GROUP BY 1, 2"""), sql=f"""
-SELECT segment, term, count, rank FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY count DESC, term)
-  AS rank FROM x_tc) r WHERE rank <= {TOP_TERMS}""")
+    + """) AS term FROM x_rt) u GROUP BY 1, 2"""), sql="""
+SELECT segment, term, count, row_number() OVER (PARTITION BY segment ORDER BY count DESC, term) AS rank FROM x_tc""")
 def term_frequency(c: Ctx):
-    """Word-cloud input: top terms of all reviews, detractors and promoters."""
+    """Word-cloud input: ranked terms of all reviews, detractors and promoters."""
     r = c.reviews
     seg = r.join(_types(c), "customer_id").where(F.col("customer_type").isin("Detractor", "Promoter"))
     rows = r.select(F.lit("all").alias("segment"), "review_text").unionByName(
         seg.select(F.col("customer_type").alias("segment"), "review_text"))
-    return S.term_counts(rows, "segment", "review_text", TOP_TERMS)
+    return S.term_counts(rows, "segment", "review_text")
 
 
 def _sentiment_eval(c: Ctx, kind: str):
@@ -124,6 +123,16 @@ def sentiment_dt(c: Ctx):
     return _sentiment_eval(c, "dt")
 
 
+@query("sentiment_model_comparison")
+def sentiment_model_comparison(c: Ctx):
+    """Hold-out report (per class, accuracy, averages) of the four text models."""
+    out = None
+    for kind in ("mnb", "rf", "lr", "dt"):
+        r = M.classification_report(_sentiment_eval(c, kind), "sentiment_label", "sentiment").select(F.lit(kind).alias("model"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 @query("review_scores")
 def review_scores(c: Ctx):
     """Customer reviews scored by a model trained on the labelled reviews."""

@@ -3,7 +3,7 @@
 The merged order table is the hand-off between data preparation and every
 analysis. It is written as Parquet under the cluster's shared checkpoint
 folder (``spark.checkpoint.dir``), keyed by a fingerprint of the input files
-(path, size, modification time), and re-read by later queries: the join and
+(path, size, modification time) and of the code that builds it, and re-read by later queries: the join and
 deduplication run once, scans are column-pruned and parallel, and a lost
 executor re-reads files instead of replaying the lineage.
 """
@@ -11,8 +11,10 @@ executor re-reads files instead of replaying the lineage.
 from __future__ import annotations
 
 import hashlib
+import inspect
 import uuid
 from collections.abc import Callable, Sequence
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,21 +47,31 @@ def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
     return h.hexdigest()[:16]
 
 
+def code_version(modules: Sequence[ModuleType]) -> str:
+    """Hash of the source of the modules that build a table."""
+    return hashlib.sha256("".join(inspect.getsource(m) for m in modules).encode()).hexdigest()[:12]
+
+
+def _complete(spark: SparkSession, folder: str) -> str | None:
+    """The first copy in ``folder`` whose success marker, written last, is there."""
+    fs, p, jvm = _fs(spark, folder)
+    if not fs.exists(p):
+        return None
+    copies = sorted(st.getPath().toString() for st in fs.listStatus(p))
+    return next((c for c in copies if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{c}/_SUCCESS"))), None)
+
+
 def prepared(spark: SparkSession, name: str, inputs: Sequence[str], build: Callable[[], DataFrame],
-             sort_within: Sequence[str] = ()) -> DataFrame:
-    """Read ``name`` for these inputs, building and writing it first if needed."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    target = f"{root}/prepared/{name}-{fingerprint(spark, inputs)}"
-    fs, tp, jvm = _fs(spark, target)
-    if not fs.exists(jvm.org.apache.hadoop.fs.Path(target + "/_SUCCESS")):
-        tmp = f"{target}.tmp-{uuid.uuid4().hex}"
+             sort_within: Sequence[str] = (), code: Sequence[ModuleType] = ()) -> DataFrame:
+    """Read ``name`` for these inputs and this code, building and writing it first if needed.
+
+    Every writer has a folder of its own; a copy without marker is ignored,
+    never repaired, moved or deleted.
+    """
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/prepared/{name}-{fingerprint(spark, inputs)}-{code_version(code)}"
+    copy = _complete(spark, folder)
+    if copy is None:
+        copy = f"{folder}/{uuid.uuid4().hex}"
         df = build()
-        if sort_within:
-            df = df.sortWithinPartitions(*sort_within)
-        df.write.mode("overwrite").parquet(tmp)
-        _, tmp_p, _ = _fs(spark, tmp)
-        if not fs.exists(tp):
-            fs.rename(tmp_p, tp)      # first writer wins; a concurrent copy is dropped
-        else:
-            fs.delete(tmp_p, True)
-    return read_parquet(spark, target)
+        (df.sortWithinPartitions(*sort_within) if sort_within else df).write.parquet(copy)
+    return read_parquet(spark, copy)

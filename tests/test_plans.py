@@ -7,19 +7,22 @@ import pytest
 
 from conftest import SF_SMALL
 
-import __spark_entry__ as E
+from cartographer.plans.registry import QUERIES, load_all
+
+load_all()
 
 MODEL_KEYS = {"churn_rf", "churn_lr", "churn_nb", "churn_dt", "churn_scores", "multi_category_rf",
               "category_propensities", "propensity_rf", "sentiment_rf", "sentiment_lr", "sentiment_dt",
               "sentiment_nb", "review_scores", "behaviour_clusters", "propensity_clusters", "cluster_profile",
-              "propensity_pca"}
+              "propensity_pca", "churn_model_comparison", "churn_model_curves", "offer_scores", "next_best_offer_models",
+              "sentiment_model_comparison"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate", "BatchEvalPython", "ArrowEvalPython"]
-KEYS = sorted(k for k in E.queries() if k not in MODEL_KEYS)
+KEYS = sorted(k for k in QUERIES if k not in MODEL_KEYS)
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_plan_shape(spark, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     found = [p for p in FORBIDDEN if re.search(p, plan)]
     assert not found, f"{key}: {found}"
