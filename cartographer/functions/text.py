@@ -15,6 +15,11 @@ def strip_markup(t: Column) -> Column:
     return t
 
 
+def strip_tags(t: Column) -> Column:
+    """Remove markup tags, with their attributes."""
+    return F.regexp_replace(t, r"</?[A-Za-z][^<>]*>", "")
+
+
 def normalize(t: Column) -> Column:
     """lower-case, then drop every char that is neither a word char nor space."""
     return F.regexp_replace(F.lower(t), r"(?U)[^\w\s]", "")

@@ -17,15 +17,15 @@ from .quantiles import quantile
 from .ranking import qcut_labels, row_mean
 
 
-def _tagged(data: DataFrame, g: Grid, observation_days: int, control_days: int,
-            keep: list[str]) -> DataFrame:
-    """Rows exploded to (k, ctl): their observation windows (ctl = 0) and the
+def _tagged(cells: DataFrame, g: Grid, observation_days: int, control_days: int) -> DataFrame:
+    """Cells exploded to (k, ctl): their observation windows (ctl = 0) and the
     windows whose control period holds them (ctl = 1). The window arrays are
     projected first (they use the grid's scalar subqueries), then tagged."""
     tag = lambda flag: (lambda k: F.struct(k.alias("k"), F.lit(flag).alias("ctl")))
-    w = data.select(*keep, g.windows(0, observation_days).alias("_o"),
-                    g.windows(observation_days, control_days).alias("_c"))
-    return w.select(*keep, F.inline(F.concat(F.transform("_o", tag(0)), F.transform("_c", tag(1)))))
+    cell = F.col("_cell")
+    w = cells.select("*", g.windows(0, observation_days, cell).alias("_o"),
+                     g.windows(observation_days, control_days, cell).alias("_c"))
+    return w.select(*cells.columns, F.inline(F.concat(F.transform("_o", tag(0)), F.transform("_c", tag(1)))))
 
 
 def churn_labels(data: DataFrame, observation_days: int = C.CHURN_OBSERVATION_DAYS,
@@ -35,12 +35,13 @@ def churn_labels(data: DataFrame, observation_days: int = C.CHURN_OBSERVATION_DA
     customer seen in an observation window; churned = 1 when the customer
     has no purchase in the control period that follows.
 
-    Each row is tagged with its observation and control windows; one
-    aggregate per (customer, window) gives both flags: no distinct, no join.
+    Rows shrink to one per (customer, grid cell) before cells are tagged with
+    their observation and control windows; one aggregate per (customer,
+    window) then gives both flags.
     """
     g = Grid(data, observation_days + control_days, step_days)
-    rows = _tagged(data, g, observation_days, control_days, ["customer_id"])
-    flags = rows.groupBy("customer_id", "k").agg(
+    cells = data.select("customer_id", g.cell(observation_days, control_days).alias("_cell")).distinct()
+    flags = _tagged(cells, g, observation_days, control_days).groupBy("customer_id", "k").agg(
         F.max(1 - F.col("ctl")).alias("_seen"), F.max("ctl").alias("_kept"))
     return flags.where(F.col("_seen") == 1).select(
         "customer_id",
@@ -57,20 +58,25 @@ def churn_features(data: DataFrame, observation_days: int = C.CHURN_OBSERVATION_
     recency (days from the last purchase to the window end), mean of the
     calendar-month spend totals, and the churn label of the window.
 
-    Rows carry their observation and control windows; a (customer, window,
-    month) aggregate then a (customer, window) aggregate give features and
-    label together, both combined map-side.
+    Rows are first aggregated per (customer, grid cell, month): windows are
+    unions of cells, so only these partial results are copied into windows. A
+    (customer, window, month) and a (customer, window) aggregate follow.
     """
     g = Grid(data, observation_days + control_days, step_days)
-    rows = _tagged(data.withColumn("month", month_start(F.col("purchase_datetime"))), g,
-                   observation_days, control_days, ["customer_id", "gross_price", "purchase_datetime", "month"])
+    cells = (data.select("customer_id", "gross_price", "purchase_datetime",
+                         month_start(F.col("purchase_datetime")).alias("month"),
+                         g.cell(observation_days, control_days).alias("_cell"))
+             .groupBy("customer_id", "_cell", "month").agg(
+                 F.count("purchase_datetime").alias("n"), F.sum(F.col("gross_price").cast(MONEY_TYPE)).alias("spend"),
+                 F.count("gross_price").alias("n_price"), F.max("gross_price").alias("max_spend"),
+                 F.max("purchase_datetime").alias("last")))
     obs = F.col("ctl") == 0
-    monthly = rows.groupBy("customer_id", "k", "month").agg(
-        F.count(F.when(obs, F.col("purchase_datetime"))).alias("n"),
-        F.sum(F.when(obs, F.col("gross_price").cast(MONEY_TYPE))).alias("spend"),
-        F.count(F.when(obs, F.col("gross_price"))).alias("n_price"),
-        F.max(F.when(obs, F.col("gross_price"))).alias("max_spend"),
-        F.max(F.when(obs, F.col("purchase_datetime"))).alias("last"),
+    monthly = _tagged(cells, g, observation_days, control_days).groupBy("customer_id", "k", "month").agg(
+        F.coalesce(F.sum(F.when(obs, F.col("n"))), F.lit(0)).alias("n"),
+        F.sum(F.when(obs, F.col("spend"))).alias("spend"),
+        F.sum(F.when(obs, F.col("n_price"))).alias("n_price"),
+        F.max(F.when(obs, F.col("max_spend"))).alias("max_spend"),
+        F.max(F.when(obs, F.col("last"))).alias("last"),
         F.max("ctl").alias("kept"))
     feats = monthly.groupBy("customer_id", "k").agg(
         F.sum("n").alias("frequency"),

@@ -67,8 +67,9 @@ def outlier_to_median(df: DataFrame, cols: Sequence[str], z: float = C.OUTLIER_Z
     return df.select(*[repaired(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def clean_reviews(reviews: DataFrame, col: str = "review_text") -> DataFrame:
-    return reviews.withColumn(col, T.strip_markup(F.col(col)))
+def clean_reviews(reviews: DataFrame, col: str = "review_text", tags_only: bool = False) -> DataFrame:
+    """Remove markup tokens anywhere in the text, or whole tags only (words that hold a token stay)."""
+    return reviews.withColumn(col, T.strip_tags(F.col(col)) if tags_only else T.strip_markup(F.col(col)))
 
 
 def normalize_text(df: DataFrame, col: str = "review_text") -> DataFrame:

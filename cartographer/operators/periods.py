@@ -11,6 +11,8 @@ combines them map-side before any shuffle.
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,9 +43,16 @@ class Grid:
     def elapsed(self) -> Column:
         return _us_between(self.start, F.col(self.ts_col))
 
-    def windows(self, offset_days: int, length_days: int) -> Column:
-        """Array of window indices whose [offset, offset+length) day range holds the row."""
-        d = self.elapsed() - F.lit(offset_days * DAY_US)
+    def cell(self, *days: int) -> Column:
+        """Start (microseconds since the grid's start) of the row's cell: cells are as long as the
+        greatest common divisor of the step and ``days``, so no window of such lengths cuts one."""
+        size = F.lit(gcd(self.step_days, *days) * DAY_US)
+        return F.floor(self.elapsed() / size) * size
+
+    def windows(self, offset_days: int, length_days: int, elapsed: Column | None = None) -> Column:
+        """Array of window indices whose [offset, offset+length) day range holds the row,
+        or the cell that begins at ``elapsed``."""
+        d = (self.elapsed() if elapsed is None else elapsed) - F.lit(offset_days * DAY_US)
         lo = F.greatest(F.floor((d - F.lit(length_days * DAY_US)) / F.lit(self.step_us)) + 1, F.lit(0))
         hi = F.least(F.floor(d / F.lit(self.step_us)), self.n - 1)
         return F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))

@@ -34,6 +34,15 @@ def _observed(data: DataFrame, g: Grid, keep: Sequence[str], obs: int) -> DataFr
     return data.select(*keep, F.explode(g.windows(0, obs)).alias("_k"))
 
 
+def _buying_windows(data: DataFrame, g: Grid, keys: Sequence[str], obs: int, pred: int) -> DataFrame:
+    """Distinct (keys..., _k): prediction windows in which the rows of ``data`` fall.
+
+    Rows shrink to one per (keys, grid cell) before cells are copied into windows.
+    """
+    cells = data.select(*keys, g.cell(obs, pred).alias("_cell")).distinct()
+    return cells.select(*keys, F.explode(g.windows(obs, pred, F.col("_cell"))).alias("_k")).distinct()
+
+
 def target_variable(data: DataFrame, product: str | None = None, category: str | None = None,
                     keep: Sequence[str] = ("customer_id", "order_id", "product_id"),
                     obs: int = OBS, pred: int = PRED, step: int = STEP) -> DataFrame:
@@ -43,8 +52,7 @@ def target_variable(data: DataFrame, product: str | None = None, category: str |
         raise ValueError("a target needs a product or a category to look for")
     g = period_grid(data, obs, pred, step)
     hit = (F.col("product_id") == product) if product is not None else (F.col("product_class") == category)
-    buyers = (data.where(hit).select("customer_id", F.explode(g.windows(obs, pred)).alias("_k"))
-              .distinct().withColumn("_t", F.lit(1)))
+    buyers = _buying_windows(data.where(hit), g, ["customer_id"], obs, pred).withColumn("_t", F.lit(1))
     rows = _observed(data, g, keep, obs)
     return rows.join(buyers, ["customer_id", "_k"], "left").select(
         *keep, g.start_of(F.col("_k")).alias("period_start"), g.start_of(F.col("_k"), obs).alias("period_end"),
@@ -56,8 +64,7 @@ def multi_category_target(data: DataFrame, keep: Sequence[str] = ("customer_id",
     """Observation rows of every period with the sorted set of classes the
     customer buys in the prediction window (empty when none)."""
     g = period_grid(data, obs, pred, step)
-    bought = (data.where(F.col("product_class").isNotNull())
-              .select("customer_id", "product_class", F.explode(g.windows(obs, pred)).alias("_k"))
+    bought = (_buying_windows(data.where(F.col("product_class").isNotNull()), g, ["customer_id", "product_class"], obs, pred)
               .groupBy("customer_id", "_k").agg(F.array_sort(F.collect_set("product_class")).alias("_cats")))
     rows = _observed(data, g, keep, obs)
     return rows.join(bought, ["customer_id", "_k"], "left").select(
@@ -134,7 +141,7 @@ def period_training_set(data: DataFrame, cond: Column, obs: int = OBS, pred: int
     from .churn import churn_features
     g = period_grid(data, obs, pred, step)
     feats = churn_features(data, obs, pred, step).drop("churned", "control_end")
-    hits = (data.where(cond).select("customer_id", F.explode(g.windows(obs, pred)).alias("_k")).distinct()
+    hits = (_buying_windows(data.where(cond), g, ["customer_id"], obs, pred)
             .select("customer_id", g.start_of(F.col("_k")).alias("window_start"), F.lit(1).alias("_t")))
     return feats.join(hits, ["customer_id", "window_start"], "left").withColumn(
         "target", F.coalesce(F.col("_t"), F.lit(0)).cast("int")).drop("_t")
@@ -147,8 +154,7 @@ def multi_period_training_set(data: DataFrame, obs: int = OBS, pred: int = PRED,
     from .churn import churn_features
     g = period_grid(data, obs, pred, step)
     feats = churn_features(data, obs, pred, step).drop("churned", "control_end")
-    bought = (data.where(F.col("product_class").isNotNull())
-              .select("customer_id", "product_class", F.explode(g.windows(obs, pred)).alias("_k"))
+    bought = (_buying_windows(data.where(F.col("product_class").isNotNull()), g, ["customer_id", "product_class"], obs, pred)
               .groupBy("customer_id", "_k").agg(F.array_sort(F.collect_set("product_class")).alias("_cats"))
               .select("customer_id", g.start_of(F.col("_k")).alias("window_start"), "_cats"))
     return feats.join(bought, ["customer_id", "window_start"], "left").withColumn(

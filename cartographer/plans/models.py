@@ -22,8 +22,10 @@ from ..operators import quality
 from ..operators.quantiles import quantile_table
 from ..sources import io
 from ..sources.prepared import fingerprint
+from .churn import FEATURE_CTES
 from .exploration import product_classes
 from .registry import Ctx, query
+from .sources import hash_sql
 
 NUMERIC = ["frequency", "avg_spend", "max_spend", "recency", "total_monthly_spend",
            "flag_phone_provided", C.LOYALTY_STATUS_COL]
@@ -76,14 +78,18 @@ def _churn_eval(c: Ctx, kind: str):
     return out.withColumn("prediction", (F.col("churn_probability") > 0.5).cast("int"))
 
 
-@query("split")
+@query("split", extra_ctes=FEATURE_CTES, sql=f"""
+SELECT customer_id, window_start, churned, {hash_sql('customer_id', 'window_start')} % 10000 < 2000 AS is_test FROM x_feat""")
 def split(c: Ctx):
     """80/20 split of the churn training rows by key hash (is_test flag)."""
     return io.split(_churn_set(c), C.TEST_FRACTION, "customer_id", "window_start").select(
         "customer_id", "window_start", "churned", "is_test")
 
 
-@query("split_stratified")
+@query("split_stratified", extra_ctes=dict(FEATURE_CTES, x_h=f"""
+SELECT customer_id, window_start, churned, {hash_sql('customer_id', 'window_start')} % 10000 AS h FROM x_feat"""), sql=f"""
+SELECT customer_id, window_start, x_h.churned, h <= q.cut AS is_test FROM x_h
+JOIN (SELECT churned, quantile_cont(h, {C.TEST_FRACTION}) AS cut FROM x_h GROUP BY 1) q ON x_h.churned = q.churned""")
 def split_stratified(c: Ctx):
     """Per-class 20% test share: rows below the class's 20% hash quantile."""
     return _stratified(_churn_set(c), "churned", "customer_id", "window_start").select(

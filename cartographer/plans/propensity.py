@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import features as FE
 from ..operators import propensity as P
+from ..operators import quality as Q
 from .exploration import CLASSES, product_classes
 from .registry import Ctx, query
 
@@ -122,11 +123,14 @@ def vpo(c: Ctx):
     return _values(c)
 
 
-@query("next_best_offer", extra_ctes=VALUE_CTES, sql=f"""
+NEXT_SQL = f"""
 SELECT customer_id, offer, probability, vpo FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY coalesce(vpo, '-inf'::DOUBLE) DESC,
     CASE offer {" ".join(f"WHEN '{o}' THEN {i}" for i, o in enumerate(OFFERS))} END) AS rn FROM x_vpo) t
-WHERE rn = 1 AND coalesce(vpo, '-inf'::DOUBLE) <> '-inf'::DOUBLE""")
+WHERE rn = 1 AND coalesce(vpo, '-inf'::DOUBLE) <> '-inf'::DOUBLE"""
+
+
+@query("next_best_offer", extra_ctes=VALUE_CTES, sql=NEXT_SQL)
 def next_best_offer(c: Ctx):
     return P.next_best_offer(_values(c), list(OFFERS))
 
@@ -142,3 +146,24 @@ SELECT customer_id, max(cat) FILTER (WHERE rn = 1) AS primary_category,
     AS secondary_categories FROM x_r GROUP BY customer_id""")
 def primary_secondary(c: Ctx):
     return P.primary_secondary(c.scores.select("customer_id", "propensity_1", "propensity_2", "propensity_3"))
+
+
+def _stats_sql(src: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{x}' AS column_name, count({x}) AS count, avg({x}) AS mean, stddev_samp({x}) AS std, min({x}) AS min, "
+        f"quantile_cont({x}, 0.25) AS q25, quantile_cont({x}, 0.5) AS q50, quantile_cont({x}, 0.75) AS q75, max({x}) AS max FROM {src}"
+        for x in cols)
+
+
+STAT_DOUBLES = ["mean", "std", "q25", "q50", "q75"]
+
+
+@query("offer_statistics", extra_ctes=dict(VALUE_CTES, x_best=NEXT_SQL), doubles=STAT_DOUBLES, sql=_stats_sql("x_best", ["probability", "vpo"]))
+def offer_statistics(c: Ctx):
+    """Statistics of the best offers' probabilities and values."""
+    return Q.describe_numeric(P.next_best_offer(_values(c), list(OFFERS)), ["probability", "vpo"])
+
+
+@query("propensity_statistics", doubles=STAT_DOUBLES, sql=_stats_sql("f_scores", ["propensity_1", "propensity_2", "propensity_3"]))
+def propensity_statistics(c: Ctx):
+    return Q.describe_numeric(c.scores, ["propensity_1", "propensity_2", "propensity_3"])

@@ -90,13 +90,19 @@ def latest_run(c: Ctx):
     return io.latest_run(runs, "run_date")
 
 
-@query("sample_fraction")
+def hash_sql(*keys: str) -> str:
+    """The 32-bit key hash of the samples and splits, in SQL."""
+    text = " || '|' || ".join([f"'{C.SEED}'", *[f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys]])
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+
+
+@query("sample_fraction", sql=f"SELECT * FROM f_merged WHERE {hash_sql('order_id', 'product_id')} % 10000 < 100")
 def sample_fraction(c: Ctx):
     """1% of merged order lines by hash of (order_id, product_id)."""
     return io.sample_fraction(c.merged, 0.01, "order_id", "product_id")
 
 
-@query("sample_n")
+@query("sample_n", sql=f"SELECT * FROM f_customers ORDER BY {hash_sql('customer_id')}, customer_id LIMIT 500")
 def sample_n(c: Ctx):
     """min(500, rows) customers chosen by key hash."""
     return io.sample_n(c.customers, 500, "customer_id", seed=C.SEED)

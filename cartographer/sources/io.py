@@ -8,7 +8,7 @@ from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, S
                                StructField, StructType, TimestampNTZType)
 
 from .. import config as C
-from ..functions.sampling import hash_bucket, in_fraction
+from ..functions.sampling import hash_bucket, in_fraction, key_hash
 
 
 def _s(*fields) -> StructType:
@@ -77,7 +77,7 @@ def sample_fraction(df: DataFrame, frac: float, *keys: str, seed: int = C.SEED)
 
 def sample_n(df: DataFrame, n: int, *keys: str, seed: int = C.SEED) -> DataFrame:
     """min(n, rows) rows, chosen by smallest key hash (a top-k, not a scan)."""
-    return (df.withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]))
+    return (df.withColumn("_h", key_hash(*[F.col(k) for k in keys], seed=seed))
             .orderBy("_h", *keys).limit(n).drop("_h"))
 
 
