@@ -22,6 +22,10 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 
 #: Rows handed to a batch function at once: bounds the Python copies of a batch.
 SLICE_ROWS = 1000
+#: Rows of an Arrow batch between the JVM and Python. Texts are long: Spark's
+#: default of 10,000 rows holds too much of them at once, on both sides.
+ARROW_ROWS = 1000
+ARROW_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,8 +51,11 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[l
     """``mapInArrow`` for a generator that yields lists of columns.
 
     The workers get this package's folder on their path, for sessions that
-    were started elsewhere.
+    were started elsewhere; the session's Arrow batches are held to
+    ``ARROW_ROWS`` if they are larger (or unlimited).
     """
+    if not 0 < int(df.sparkSession.conf.get(ARROW_CONF)) <= ARROW_ROWS:
+        df.sparkSession.conf.set(ARROW_CONF, str(ARROW_ROWS))
     sc = df.sparkSession.sparkContext
     paths = sc.environment.get("PYTHONPATH", "").split(":")
     if ROOT not in paths:
