@@ -222,7 +222,8 @@ def training_windows(docs: DataFrame) -> list[tuple[str, bytes]]:
     room = F.greatest(n - TRAIN_BYTES, F.lit(0)) + 1
     body = F.col("text").cast("binary")
     cut = [F.substring(body, F.pmod(F.xxhash64("doc_id", F.lit(k)), room).cast("int") + 1, F.lit(TRAIN_BYTES)) for k in range(SAMPLE_WINDOWS)]
-    rows = (docs.where("text is not null and text <> ''").join(chosen, (F.col("doc_id") == F.col("chosen_id")) & (F.col("lang") == F.col("chosen_lang")))
+    # the sample's ids are few, by its bounds
+    rows = (docs.where("text is not null and text <> ''").join(F.broadcast(chosen), (F.col("doc_id") == F.col("chosen_id")) & (F.col("lang") == F.col("chosen_lang")))
             .select("lang", "doc_id", F.array_distinct(F.array(*cut)).alias("windows")).collect())  # bounded by the sample
     return sorted((r["lang"], bytes(w)) for r in rows for w in r["windows"])
 
