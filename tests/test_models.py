@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -37,7 +39,111 @@ def test_pluggable_scorer(spark):
     assert [r.sentiment_scores["positive"] for r in out] == [1.0, 0.0, 0.0]
 
 
-def test_rows_only_keys_run(spark):
-    q = E.queries()
-    for k in ["sentiment_nb", "propensity_clusters", "propensity_pca", "sample_fraction", "split_stratified"]:
-        assert q[k](spark, SF_SMALL).count() >= 0
+QUERIES = E.queries()
+
+
+def run(spark, key):
+    return QUERIES[key](spark, SF_SMALL)
+
+
+def customers(spark, where="true"):
+    from cartographer.plans.registry import Ctx
+    return {r[0] for r in Ctx(spark, SF_SMALL).lines.where(where).select("customer_id").distinct().collect()}
+
+
+@pytest.mark.parametrize("key", ["churn_rf", "churn_lr", "churn_nb", "churn_dt", "propensity_rf"])
+def test_hold_out_rows(spark, key):
+    """Hold-out rows are a fifth of the training set, once each, with probabilities."""
+    rows = run(spark, key).collect()
+    prob = "probability" if key == "propensity_rf" else "churn_probability"
+    assert len({(r.customer_id, r.window_start) for r in rows}) == len(rows)
+    assert all(0 <= r[prob] <= 1 and r.prediction == int(r[prob] > 0.5) for r in rows)
+    if key != "propensity_rf":
+        n = run(spark, "split").count()
+        assert abs(len(rows) / n - 0.2) < 0.03
+
+
+def test_stratified_split_keeps_class_shares(spark):
+    rows = run(spark, "split_stratified").groupBy("churned").agg(F.avg(F.col("is_test").cast("int")).alias("share")).collect()
+    assert len(rows) == 2 and all(abs(r.share - 0.2) < 0.02 for r in rows)
+
+
+def test_churn_scores_cover_current_customers(spark):
+    rows = run(spark, "churn_scores").collect()
+    assert len(rows) == len({r.customer_id for r in rows}) == run(spark, "churn_features_current").count()
+    assert all(0 <= r[f"churn_probability_{k}"] <= 1 for r in rows for k in ("rf", "lr", "nb", "dt"))
+
+
+def test_model_comparisons(spark):
+    churn = {r.model: r for r in run(spark, "churn_model_comparison").collect()}
+    assert set(churn) == {"rf", "lr", "nb", "dt"}
+    assert all(0 <= r[c] <= 1 for r in churn.values() for c in ("accuracy", "precision", "recall", "f1", "roc_auc"))
+    text = run(spark, "sentiment_model_comparison").collect()
+    assert {r.model for r in text} == {"mnb", "rf", "lr", "dt"}
+    assert {r["class"] for r in text if r.model == "mnb"} >= {"accuracy", "macro avg", "weighted avg"}
+
+
+def test_curves_fall_with_the_threshold(spark):
+    rows = sorted(run(spark, "churn_model_curves").collect(), key=lambda r: (r.model, r.threshold))
+    assert {r.model for r in rows} == {"rf", "lr", "nb", "dt"}
+    assert all(a.tpr >= b.tpr and a.fpr >= b.fpr for a, b in zip(rows, rows[1:], strict=False) if a.model == b.model)
+
+
+def test_every_customer_gets_category_propensities(spark):
+    rows = run(spark, "category_propensities").collect()
+    assert {r.customer_id for r in rows} == customers(spark) and len(rows) == len(customers(spark))
+    assert all(0 <= x <= 1 for r in rows for c, x in r.asDict().items() if c != "customer_id")
+    report = run(spark, "multi_category_rf").collect()
+    assert {f"propensity_{r.category}" for r in report} == set(rows[0].asDict()) - {"customer_id"}
+
+
+def test_best_offers_of_fitted_models(spark):
+    rows = run(spark, "next_best_offer_models").collect()
+    assert {r.customer_id for r in rows} <= customers(spark)
+    assert len(rows) == len({r.customer_id for r in rows}) > 0
+    assert all(0 <= r.probability <= 1 for r in rows)
+
+
+@pytest.mark.parametrize("key", ["sentiment_nb", "sentiment_rf", "sentiment_lr", "sentiment_dt"])
+def test_text_models_label_the_hold_out(spark, key):
+    rows = run(spark, key).collect()
+    assert rows and {r.sentiment for r in rows} <= {"positive", "neutral", "negative"}
+    assert all(0 <= r.sentiment_score <= 1 for r in rows)
+
+
+def test_text_model_finds_a_planted_signal(spark):
+    rows = [(f"{'lovely' if i % 2 else 'dreadful'} thing number{i % 5} everywhere", "positive" if i % 2 else "negative") for i in range(80)]
+    df = spark.createDataFrame(rows, "review_text string, sentiment_label string")
+    for kind in ("mnb", "lr", "rf", "dt"):
+        out = S.score_reviews(S.train_sentiment(df, kind), df, ["sentiment_label"]).collect()
+        assert all(r.sentiment == r.sentiment_label for r in out), kind
+
+
+def test_text_weights_equal_the_tfidf_operator(spark):
+    rows = [("1", "the red fox"), ("2", "the blue fox fox"), ("3", "the the end")]
+    df = spark.createDataFrame([(i, t, "positive" if i == "1" else "negative") for i, t in rows], "id string, review_text string, sentiment_label string")
+    model = S.train_sentiment(df, "mnb")
+    vocabulary = model.stages[2].vocabulary
+    out = model.transform(S.prepare_text(df)).select("id", vector_to_array("features").alias("f")).collect()
+    got = {(r.id, vocabulary[k]): v for r in out for k, v in enumerate(r.f) if v}
+    want = {(r.id, r.term): r.tfidf for r in S.tfidf(df, "id", "review_text").collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_logistic_penalty_is_per_row(spark):
+    df = spark.createDataFrame([("good", "positive"), ("bad", "negative")] * 25, "review_text string, sentiment_label string")
+    assert S.train_sentiment(df, "lr").stages[-1].getRegParam() == pytest.approx(1 / 50)
+
+
+def test_cluster_keys(spark):
+    n = spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
+    assert run(spark, "propensity_clusters").count() == n == run(spark, "propensity_pca").count()
+    profile = run(spark, "cluster_profile").collect()
+    assert sum(r["size"] for r in profile) == n and len(profile) == 3
+    assert run(spark, "behaviour_clusters").count() == len(customers(spark))
+
+
+def test_review_scores_cover_all_reviews(spark):
+    rows = run(spark, "review_scores").collect()
+    assert len(rows) == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+    assert {r.customer_type for r in rows} <= {"Detractor", "Neutral", "Promoter"}

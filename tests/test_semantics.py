@@ -227,3 +227,62 @@ def test_timestamps_ignore_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert [x[0] for x in r] == ["2024-03-10 02:30:00", None]
+
+
+def test_rules_of_a_large_itemset(spark):
+    """Twelve items bought together always: every split is a rule, none twice."""
+    from cartographer.operators import basket as B
+    items = [f"i{k:02d}" for k in range(12)]
+    df = spark.createDataFrame([(str(o), x) for o in range(6) for x in items], "order_id string, product_class string")
+    fi = B.frequent_itemsets(df, "product_class", 0.5)
+    assert fi.count() == 2 ** 12 - 1
+    rules = B.association_rules(fi.where("size = 12 or size < 12"), 0.0)
+    top = rules.where("size(split(antecedents, ',')) + size(split(consequents, ',')) = 12")
+    assert top.count() == 2 ** 12 - 2 == top.select("antecedents").distinct().count()
+
+
+def test_pairs_of_a_huge_order(spark):
+    from cartographer.operators import basket as B
+    df = spark.range(10_000).select(F.lit("o").alias("order_id"), F.col("id").cast("string").alias("product_id"))
+    pairs = B.pair_counts(B.basket_items(df, "product_id"))
+    assert pairs.agg(F.count("*"), F.max("count")).first() == (10_000 * 9_999 // 2, 1)
+
+
+def test_windows_are_expanded_after_the_first_aggregate(spark):
+    from cartographer.operators import churn as CH
+    df = spark.createDataFrame([("c", 1.0, 0)], "customer_id string, gross_price double, d int").select(
+        "customer_id", "gross_price", F.timestamp_add("DAY", F.col("d"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("purchase_datetime"))
+    for plan in (CH.churn_labels(df), CH.churn_features(df)):
+        text = plan._jdf.queryExecution().optimizedPlan().toString()
+        assert text.index("Generate") < text.rindex("Aggregate")  # an aggregate stands below the copies
+
+
+def test_orders_without_birthdate_stay(spark):
+    from cartographer.operators import clean as K
+    from cartographer.operators import explore as X
+    df = spark.createDataFrame([("F", 10.0, None), ("F", 20.0, "1980-05-05"), (None, 5.0, "1990-01-01")],
+                               "gender string, gross_price double, b string").withColumn("birthdate", F.col("b").cast("date"))
+    r = X.demographics_summary(K.with_age(df, "2002-01-01", exact=False, keep_unknown=True)).collect()
+    assert [(x.gender, x.total_gross_price, x.order_count, x.avg_age) for x in r] == [("F", 30.0, 2, 22.0)]
+
+
+def test_tags_only_cleanup(spark):
+    from cartographer.operators import clean as K
+    df = spark.createDataFrame([("a <b>bright</b> idea<br/> 3 < 4",)], "review_text string")
+    assert K.clean_reviews(df, tags_only=True).first()[0] == "a bright idea 3 < 4"
+
+
+def test_partial_prepared_copy_is_ignored(spark, tmp_path):
+    import os
+    from cartographer.sources import prepared as PR
+    src = f"{tmp_path}/in.parquet"
+    spark.range(5).write.parquet(src)
+    build = lambda: spark.read.parquet(src)
+    assert PR.prepared(spark, "t", [src], build).count() == 5
+    root = PR.ensure_checkpoint_dir(spark).removeprefix("file:")
+    folder = f"{root}/prepared/t-{PR.fingerprint(spark, [src])}-{PR.code_version([])}"
+    for copy in os.listdir(folder):
+        os.rename(f"{folder}/{copy}/_SUCCESS", f"{folder}/{copy}/_OTHER")
+    os.makedirs(f"{folder}/0partial")
+    assert PR.prepared(spark, "t", [src], build).count() == 5
+    assert PR.code_version([PR]) != PR.code_version([])
