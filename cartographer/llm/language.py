@@ -19,11 +19,11 @@ repeated results.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +39,7 @@ WINDOWS_AT_ONCE = 4096
 UNKNOWN = "und"
 #: Least score of a document that a filter keeps.
 MIN_SCORE = 0.4
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 Params = dict[str, np.ndarray]
 
