@@ -77,6 +77,18 @@ def merged_data(orders: DataFrame, products: DataFrame, customers: DataFrame,
     return lines.join(cust, "customer_id", "left").select(*MERGED_COLS)
 
 
+def with_attributes(features: DataFrame, merged: DataFrame, attributes: Sequence[str], grain: str = "customer") -> DataFrame:
+    """Feature rows ⟕ customer attributes of the merged table.
+
+    ``grain="customer"`` reduces the attributes to one row per customer first;
+    ``grain="row"`` joins every purchase row, so features repeat per purchase.
+    """
+    if grain not in ("customer", "row"):
+        raise ValueError(f"grain is customer or row, not {grain}")
+    a = merged.select("customer_id", *attributes)
+    return features.join(keep_first(a, ["customer_id"]) if grain == "customer" else a, "customer_id", "left")
+
+
 def customer_360(customers: DataFrame, orders: DataFrame, addresses: DataFrame,
                  products: DataFrame, reviews: DataFrame, accounts: DataFrame,
                  labelled: DataFrame) -> DataFrame:

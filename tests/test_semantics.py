@@ -286,3 +286,14 @@ def test_partial_prepared_copy_is_ignored(spark, tmp_path):
     os.makedirs(f"{folder}/0partial")
     assert PR.prepared(spark, "t", [src], build).count() == 5
     assert PR.code_version([PR]) != PR.code_version([])
+
+
+def test_attribute_grain(spark):
+    from cartographer.operators import joins
+    feats = spark.createDataFrame([("a", 1), ("b", 2)], "customer_id string, f int")
+    merged = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "w")], "customer_id string, job_type string")
+    one = joins.with_attributes(feats, merged, ["job_type"]).collect()
+    assert {(r.customer_id, r.job_type) for r in one} == {("a", "w"), ("b", None)}
+    assert joins.with_attributes(feats, merged, ["job_type"], grain="row").count() == 4
+    with pytest.raises(ValueError):
+        joins.with_attributes(feats, merged, ["job_type"], grain="other")
