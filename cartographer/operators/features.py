@@ -17,10 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import cut_lineage
 from .quantiles import quantile_row
 
 CATEGORICAL = ["product_class", "job_type", "region", "loyalty_type"]
 BINARY = ["gender"]
+#: Most levels of an encoded column.
+MAX_LEVELS = 10_000
 NUMERIC = ["price_reduction", "flag_phone_provided", C.LOYALTY_STATUS_COL]
 
 
@@ -129,19 +132,35 @@ def fit_preprocessor(df: DataFrame, numeric: Sequence[str] = NUMERIC,
             p.numeric[c] = [med[c], st[f"m_{c}"], sd if sd else 1.0]
     if not categorical and not binary:
         return p
-    levels = d.agg(*[F.array_sort(F.collect_set(F.coalesce(F.col(c).cast("string"),
-                                                            F.lit(C.MISSING_CATEGORY)))).alias(c)
-                     for c in categorical],
-                   *[F.mode(F.col(c).cast("string"), deterministic=True).alias(f"mode_{c}") for c in binary],
-                   *[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"lv_{c}") for c in binary]
-                   ).first()
+    levels = _levels(d, categorical, binary)
     for c in categorical:
-        p.categorical[c] = list(levels[c])
+        p.categorical[c] = sorted(levels[c])
     for c in binary:
-        p.binary[c] = [levels[f"mode_{c}"], list(levels[f"lv_{c}"])]
+        mode = min(levels[c], key=lambda v: (-levels[c][v], v), default=None)
+        p.binary[c] = [mode, sorted(levels[c])]
     return p
 
 
+def _levels(df: DataFrame, categorical: Sequence[str], binary: Sequence[str]) -> dict[str, dict[str, int]]:
+    """Levels of each column with their counts; nulls are ``missing`` in categorical columns and left out of binary ones.
+
+    Raises if a column has more than ``MAX_LEVELS``: one-hot columns and what
+    the driver gets are bounded by it.
+    """
+    cells = [F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(c).cast("string"), F.lit(C.MISSING_CATEGORY)).alias("value"))
+             for c in categorical]
+    cells += [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in binary]
+    counts = cut_lineage(df.select(F.inline(F.array(*cells))).where("value is not null")
+                         .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    wide = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("levels")).where(F.col("levels") > MAX_LEVELS).collect()
+    if wide:
+        raise ValueError(f"more than {MAX_LEVELS} levels: {[(r.column_name, r.levels) for r in wide]}")
+    out: dict[str, dict[str, int]] = {c: {} for c in [*categorical, *binary]}
+    for r in counts.collect():
+        out[r.column_name][r.value] = r.n
+    return out
+
+
 def decode_one_hot(df: DataFrame, prefixes: Sequence[str] = C.ONE_HOT_PREFIXES) -> DataFrame:
     """For each prefix, replace its one-hot columns by ``<prefix>decoded``: the
     suffix of the largest column (first column on ties, as ``idxmax``)."""

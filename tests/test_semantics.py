@@ -297,3 +297,13 @@ def test_attribute_grain(spark):
     assert joins.with_attributes(feats, merged, ["job_type"], grain="row").count() == 4
     with pytest.raises(ValueError):
         joins.with_attributes(feats, merged, ["job_type"], grain="other")
+
+
+def test_too_many_levels_raise(spark, monkeypatch):
+    from cartographer.operators import features as FE
+    df = spark.createDataFrame([(str(i), "m" if i % 3 else None) for i in range(9)], "job_type string, gender string")
+    p = FE.fit_preprocessor(df, [], ["job_type"], ["gender"], email_col=None)
+    assert p.categorical["job_type"] == [str(i) for i in range(9)] and p.binary["gender"] == ["m", ["m"]]
+    monkeypatch.setattr(FE, "MAX_LEVELS", 8)
+    with pytest.raises(ValueError, match="job_type"):
+        FE.fit_preprocessor(df, [], ["job_type"], ["gender"], email_col=None)
