@@ -36,6 +36,7 @@ STATE = 8
 STEPS, BATCH, RATE, SEED = 150, 512, 0.012, 7
 #: Windows that go through the network together.
 WINDOWS_AT_ONCE = 4096
+PLACES = 1 << 30
 UNKNOWN = "und"
 #: Least score of a document that a filter keeps.
 MIN_SCORE = 0.4
@@ -215,8 +216,13 @@ def remainder(doc_id: F.Column) -> F.Column:
 def training_windows(docs: DataFrame) -> list[tuple[str, bytes]]:
     """(language, window) of the sample, in a fixed order; never of held-out documents."""
     eligible = docs.select("doc_id", "lang").where((remainder(F.col("doc_id")) != 1) & F.col("lang").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (eligible.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_DOCS)
+    # far more than the sample lies below twice its share of the hash range: the window sees few rows
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(PLACES))
+    sizes = eligible.groupBy("lang").agg(F.count("*").alias("n"))  # a row per language
+    near = (eligible.withColumn("place", place).join(F.broadcast(sizes), "lang")
+            .where(F.col("place") * F.col("n") <= F.lit(2 * SAMPLE_DOCS * PLACES)))
+    order = Window.partitionBy("lang").orderBy("place", "doc_id")
+    chosen = (near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_DOCS)
               .select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang")).distinct())
     n = F.octet_length("text")
     room = F.greatest(n - TRAIN_BYTES, F.lit(0)) + 1
