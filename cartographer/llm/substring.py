@@ -224,9 +224,14 @@ def repeated_passages(docs: DataFrame, described: DataFrame) -> tuple[DataFrame,
         F.collect_list(F.when(F.col("large"), F.col("name"))).alias("large_names"))
     ours = lists.withColumnRenamed("doc_id", "list_id")
     body = texts(docs.where("doc_id is not null"))
-    found = cut(body.join(ours, F.col("doc_id") == F.col("list_id")).drop("list_id").where(
-        F.sha2(F.array_join(F.expr(r"filter(split(text, '[ \\t-\\r]+'), w -> w <> '')"), " ").cast("binary"), 256) == F.col("sha"))
-        .dropDuplicates(["doc_id", "sha"]))
+
+    def same_words(ids: list, text: list, sha: list, small: list, large: list) -> list:
+        good = [hashlib.sha256(b" ".join(t.encode().split())).hexdigest() == s for t, s in zip(text, sha, strict=True)]
+        return [[x for x, g in zip(column, good, strict=True) if g] for column in (ids, text, sha, small, large)]
+
+    # rows that share an id but not the words meet the wrong list: drop those pairs
+    met = body.join(ours, F.col("doc_id") == F.col("list_id")).select("doc_id", "text", "sha", "small_names", "large_names")
+    found = cut(map_columns(met, same_words, f"doc_id {kind}, text string, sha string, small_names array<bigint>, large_names array<bigint>"))
     small = tree_repeats(segments(found.where(F.size("small_names") > 0).withColumn("names", F.col("small_names")), kind), kind)
     large = node_repeats(found.where(F.size("large_names") > 0).withColumn("names", F.col("large_names")), kind)
     return found.select("doc_id", "sha", "text"), small.union(large)
@@ -264,7 +269,8 @@ def deduplicate_passages(docs: DataFrame) -> DataFrame:
     own = folded.where("doc_id = least").select("doc_id", "sha", "names").dropDuplicates(["doc_id", "sha"])
     found, repeats = repeated_passages(docs, own)
     removed = cut(remove_words(found, repeats, kind).select(
-        F.col("doc_id").alias("done_id"), F.col("sha").alias("done_sha"), "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept")))
+        F.col("doc_id").alias("done_id"), F.col("sha").alias("done_sha"), "n_removed",
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept")).dropDuplicates(["done_id", "done_sha"]))
     copy = F.col("doc_id") > F.col("least")
     return (folded.drop("names").join(removed, (F.col("doc_id") == F.col("done_id")) & (F.col("sha") == F.col("done_sha")), "left")
             .select("doc_id", "n_words",
