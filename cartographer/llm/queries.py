@@ -64,4 +64,25 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secrets, op2_pseudonyms, op3_quality, op4_simhash, op5_mixing, op6_packing, op7_language, op8_imatch, op9_warc_zip, op10_substring)}
 
-ORACLE: dict[str, str] = {"op5_mixing": mixing.MIX_SQL}
+WARC_SQL = f"""
+SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN latest IS DISTINCT FROM page_id AND latest IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN latest IS DISTINCT FROM page_id THEN latest END AS refers_to
+FROM (SELECT page_id, h, CASE WHEN strlen(h) >= {warc_zip.REVISIT_BYTES} THEN max(page_id) OVER (PARTITION BY h) ELSE page_id END AS latest
+  FROM (SELECT page_id, coalesce(html, '') AS h FROM pages) p) q
+"""
+
+_LAST = substring.WINDOW - 1
+PASSAGES_SQL = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w FROM documents),
+win AS MATERIALIZED (SELECT rid, doc_id, i, array_to_string(w[i:i + {_LAST}], ' ') AS s FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - {_LAST} + 1)) AS i FROM d) t),
+hit AS (SELECT rid, i FROM win JOIN (SELECT s, min(doc_id) AS least FROM win GROUP BY s) f USING (s) WHERE least < doc_id),
+pos AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+cov AS (SELECT p.rid, p.i, p.word, max(CASE WHEN h.i IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY p.rid ORDER BY p.i
+  ROWS BETWEEN {_LAST} PRECEDING AND CURRENT ROW) AS gone FROM pos p LEFT JOIN hit h ON p.rid = h.rid AND p.i = h.i),
+kept AS (SELECT rid, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS line FROM cov GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+ORACLE: dict[str, str] = {"op5_mixing": mixing.MIX_SQL, "op9_warc_zip": WARC_SQL, "op10_substring": PASSAGES_SQL}
