@@ -42,6 +42,24 @@ def test_pluggable_scorer(spark):
 QUERIES = E.queries()
 
 
+@pytest.fixture(autouse=True)
+def small_forests(monkeypatch):
+    """Ten trees do for these tests; the default stays a hundred."""
+    own = Mo.estimator
+
+    def small(kind, label, features="scaled", weight=None, seed=1, num_trees=10, n_rows=None, max_depth=10):
+        return own(kind, label, features, weight, seed, min(num_trees, 10), n_rows, max_depth)
+
+    monkeypatch.setattr(Mo, "estimator", small)
+    yield own
+
+
+def test_forests_have_a_hundred_trees_by_default(small_forests):
+    forest = small_forests("rf", "y")
+    assert forest.getNumTrees() == 100 and forest.getMaxDepth() == 10
+    assert small_forests("rf", "y", max_depth=30).getMaxDepth() == 30
+
+
 def run(spark, key):
     return QUERIES[key](spark, SF_SMALL)
 
