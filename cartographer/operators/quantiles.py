@@ -72,9 +72,10 @@ def quantile_table(df: DataFrame, cols: Sequence[str] | dict[str, Column], qs: S
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str] | dict[str, Column], qs: Sequence[float]) -> DataFrame:
-    """One row, one struct column: an array of quantiles per column (null for a column without values)."""
+    """One row, one struct column: an array of quantiles per column (nulls for a column without values)."""
     t = quantile_table(df, cols, qs)
-    return t.agg(F.struct(*[F.max(F.when(F.col("column_name") == c, F.col("q"))).alias(c) for c in cols]).alias("s"))
+    return t.agg(F.struct(*[F.array(*[F.max(F.when(F.col("column_name") == c, F.col("q")[i])) for i in range(len(qs))]).alias(c)
+                            for c in cols]).alias("s"))
 
 
 def quantile(df: DataFrame, col: str, q: float) -> Column:
