@@ -7,7 +7,7 @@ a repetition limit (the most passes over any source that the budget may take)
 overrides it upwards. Both are found by bisection; entropy falls and the
 repetition limit is met more easily as the exponent grows.
 
-Each source then gets ``floor(weight * budget)`` tokens as a sequence of
+Each source then gets ``floor(weight * budget)`` tokens (rounding errors aside) as a sequence of
 blocks. A block is a keyed permutation of the source's documents; all blocks
 but the last are complete, the last stops at the last document that fits.
 ``start`` is a document's token offset in its source's sequence, so
@@ -37,6 +37,8 @@ PREFIX = 3
 TARGET_ENTROPY = 0.95
 MAX_REPEATS = 4.0
 SEED = "mix-1"
+#: Lifts a quota that rounding leaves a hair below a whole number, such as a whole pass at exponent 1.
+SLACK = 1 + 1e-12
 WORD = r"[^ \t\n\x0B\f\r]+"
 
 
@@ -106,7 +108,7 @@ def weigh_sources(tokens: DataFrame, budget: int | None = None, target_entropy:
     alpha = F.lit(min(max(flat, over), STEPS) / STEPS)
     z = shares.agg(_total(alpha)).first()[0]
     weight = F.pow("share", alpha) / F.lit(z)
-    return shares.select("source", "tokens", weight.alias("weight"), F.floor(weight * F.lit(budget)).cast("long").alias("quota"))
+    return shares.select("source", "tokens", weight.alias("weight"), F.floor(weight * F.lit(budget) * F.lit(SLACK)).cast("long").alias("quota"))
 
 
 def draw(tokens: DataFrame, weights: DataFrame, seed: str = SEED) -> DataFrame:
@@ -155,7 +157,7 @@ e2 AS (SELECT step, ln(sum(pow(share, step / {STEPS}.0))) - step / {STEPS}.0 * s
 al AS (SELECT least(greatest(coalesce(max(step) FILTER (WHERE h >= {TARGET_ENTROPY} * ln(n)), 0),
               CASE WHEN (SELECT lim FROM f1) THEN coalesce(max(step) FILTER (WHERE rep > {MAX_REPEATS}), 0) + 1 ELSE 0 END), {STEPS}) / {STEPS}.0 AS alpha FROM e2),
 w AS (SELECT source, tokens, pow(share, alpha) / (SELECT sum(pow(share, alpha)) FROM sh, al) AS weight, total FROM sh, al),
-plan AS (SELECT source, tokens, weight, floor(weight * total)::BIGINT AS quota FROM w),
+plan AS (SELECT source, tokens, weight, floor(weight * total * {SLACK!r}::DOUBLE)::BIGINT AS quota FROM w),
 blk AS (SELECT t.doc_id, t.source, t.n_tokens, p.tokens, p.weight, p.quota, unnest(range(0, p.quota // p.tokens + 1)) AS block
         FROM tok t JOIN plan p ON t.source IS NOT DISTINCT FROM p.source WHERE p.quota > 0),
 pos AS (SELECT *, block * tokens + coalesce(sum(n_tokens) OVER (PARTITION BY source, block

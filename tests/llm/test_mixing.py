@@ -48,7 +48,7 @@ def brute_mix(rows, target=mixing.TARGET_ENTROPY, repeats=mixing.MAX_REPEATS, bu
     w = weights(min(max(flat, over), mixing.STEPS) / mixing.STEPS)
     out = Counter()
     for s in share:
-        quota = math.floor(w[s] * budget)
+        quota = math.floor(w[s] * budget * mixing.SLACK)
         mine = [(i, n) for i, (k, n) in docs.items() if k == s]
         for block in range(quota // tokens[s] + 1):
             at = block * tokens[s]
@@ -86,6 +86,11 @@ def test_documents_follow_the_mixture(spark):
     assert Counter(r.doc_id for r in mixed.collect()) == {i: n * held[i] for i, n in drawn.items()}
 
 
+def test_a_whole_pass_holds_every_document(spark):
+    rows = [(i, "w " * (i % 7 + 1), None, f"s{i % 3}", 1) for i in range(60)]
+    assert mixing.mix(tables.frame(spark, rows), target_entropy=0.0).count() == 60
+
+
 def test_empty_and_blank_tables(spark):
     assert mixing.mix(tables.empty(spark)).count() == 0
     assert mixing.mix_documents(tables.empty(spark)).count() == 0
