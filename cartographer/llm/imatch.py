@@ -11,8 +11,14 @@ spares those terms.
 The likeness of two fingerprints is the share of equal signatures among those
 that are not empty in both, from the sparsest level where at least half are
 not to the sparsest of all.
-That estimates the overlap of the two term sets. A text without a lexicon term
-gets a signature of all its terms instead, which only an equal term set shares.
+That estimates the overlap of the two term sets.
+
+The fingerprint of a text with less than ``LEAST_KNOWN`` of its terms in the
+lexicon has a second row of signatures, of random subsets of all its terms. It
+decides where the lexicon says little about one of two such texts:
+their terms are in a large group of copies (above the band), in a rare language
+(below it) or in a script without spaces. Terms of more than ``LONG_TERM`` bytes
+count there as the sequences of ``GRAM_BYTES`` bytes in them.
 
 The lexicon holds at most (distinct terms of a mean document) / ``MIN_SHARE``
 terms whatever the size of the corpus, which bounds its broadcast. Document
@@ -41,19 +47,21 @@ MIN_SHARE, MAX_SHARE = 0.0005, 0.1
 DENSITIES = tuple(2.0 ** -k for k in (1, 3, 5, 7, 9, 11))
 SUBSETS = 16
 DIGITS = 4
+#: Bytes from which a term is no word (scripts without spaces), and of the sequences that stand for it.
+LONG_TERM, GRAM_BYTES = 40, 9
+#: Share of a text's terms in the lexicon from which the lexicon's signatures suffice.
+LEAST_KNOWN = 0.5
 #: Documents of a range of ids that are followed in one task; the most ranges.
 RANGE_ROWS, MOST_RANGES = 1000, 100_000
 _EMPTY = "0" * DIGITS
+PART = len(DENSITIES) * SUBSETS * DIGITS  # of a fingerprint: the lexicon's signatures, then those of all terms
 
 _SEEDS = mix(np.arange(1, len(DENSITIES) * SUBSETS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 _LIMITS = np.repeat(np.array([int(d * 2 ** 64) - 1 for d in DENSITIES], np.uint64), SUBSETS)
 
 
-def distinct_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct term hashes of each document, and its first (n + 1 values)."""
-    _, hashes, _, _, bounds = documents_words(column, TERMS)
-    n = len(bounds) - 1
-    doc = np.repeat(np.arange(n), np.diff(bounds))
+def _distinct(hashes: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of each of ``n`` documents, and its first (n + 1 values)."""
     order = np.lexsort((hashes, doc))
     hashes, doc = hashes[order], doc[order]
     new = np.ones(len(hashes), bool)
@@ -61,6 +69,30 @@ def distinct_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes[new], np.searchsorted(doc[new], np.arange(n + 1))
 
 
+def distinct_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct term hashes of each document, and its first (n + 1 values)."""
+    _, hashes, _, _, bounds = documents_words(column, TERMS)
+    n = len(bounds) - 1
+    return _distinct(hashes, np.repeat(np.arange(n), np.diff(bounds)), n)
+
+
+def with_grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``distinct_terms``, then the same with byte sequences in place of long terms."""
+    data, hashes, first, end, bounds = documents_words(column, TERMS)
+    n = len(bounds) - 1
+    doc = np.repeat(np.arange(n), np.diff(bounds))
+    terms = _distinct(hashes, doc, n)
+    long = end - first > LONG_TERM
+    if not long.any():
+        return *terms, *terms
+    grams, of = [hashes[~long]], [doc[~long]]
+    for a, e, d in zip(first[long].tolist(), end[long].tolist(), doc[long].tolist(), strict=True):
+        value = np.lib.stride_tricks.sliding_window_view(TERMS[data[a:e]], GRAM_BYTES)
+        grams.append(np.unique(mix((value * powers(GRAM_BYTES)).sum(1, dtype=np.uint64))))
+        of.append(np.full(len(grams[-1]), d))
+    return *terms, *_distinct(np.concatenate(grams), np.concatenate(of), n)
+
+
 def document_frequencies(docs: DataFrame) -> DataFrame:
     """term (hash) and the number of documents that hold it."""
 
@@ -96,50 +128,88 @@ def lexicon(docs: DataFrame, min_share: float = MIN_SHARE, max_share: float = MA
     return np.sort(np.array([r[0] for r in kept.select("term").toLocalIterator()], np.int64).view(np.uint64))
 
 
+def _signatures(out: np.ndarray, subset: np.ndarray | int, doc: np.ndarray, terms: np.ndarray) -> None:
+    """Fills the signatures of one subset, or of a subset per term; terms are sorted within document and subset."""
+    if not len(terms):
+        return
+    cell = doc * out.shape[1] + subset
+    first = np.flatnonzero(np.diff(cell, prepend=-1))
+    sizes = np.diff(np.append(first, len(cell)))
+    place = np.arange(len(cell)) - np.repeat(first, sizes)
+    signature = mix(np.add.reduceat(mix(terms) * powers(int(sizes.max()))[place], first)) & np.uint64(0xFFFF)
+    out.reshape(-1)[cell[first]] = np.maximum(signature, np.uint64(1))
+
+
+def _all_terms(terms: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """Signatures of subsets of all terms: of a level's classes of equal hash bits, ``SUBSETS`` are subsets."""
+    out = np.zeros((n, len(_SEEDS)), np.uint64)
+    for level, density in enumerate(DENSITIES):
+        bits, at = round(-np.log2(density)), level * SUBSETS
+        drawn = mix(terms ^ _SEEDS[at])
+        if 2 ** bits >= SUBSETS:
+            own = (drawn & np.uint64(2 ** bits - 1)).astype(np.int64)
+            chosen = np.flatnonzero(own < SUBSETS)
+            order = chosen[np.lexsort((own[chosen], doc[chosen]))]  # stable: terms stay sorted
+            _signatures(out, at + own[order], doc[order], terms[order])
+        else:  # fewer classes than subsets: bits of their own for each
+            for k in range(SUBSETS):
+                chosen = np.flatnonzero(drawn >> np.uint64(k * bits) & np.uint64(2 ** bits - 1) == 0)
+                _signatures(out, at + k, doc[chosen], terms[chosen])
+    return out
+
+
 def fingerprints(column: pa.Array, words: np.ndarray) -> list[str]:
-    """Fingerprint of each text: a signature of ``DIGITS`` hex digits per subset."""
-    terms, bounds = distinct_terms(column)
+    """Fingerprint of each text: ``DIGITS`` hex digits per subset of the lexicon, then perhaps of all terms."""
+    terms, bounds, every, every_bounds = with_grams(column)
     n = len(column)
     if len(words):
         at = np.minimum(np.searchsorted(words, terms), len(words) - 1)
         known = words[at] == terms
     else:
         known = np.zeros(len(terms), bool)
-    doc = np.repeat(np.arange(n), np.diff(bounds))
-    mine, of = terms[known], doc[known]
-    begin = np.searchsorted(of, np.arange(n))
-    has = np.searchsorted(of, np.arange(n), "right") > begin
-    weights = powers(int(np.diff(np.append(begin, len(mine))).max(initial=0)) + 1)
+    mine, of = terms[known], np.repeat(np.arange(n), np.diff(bounds))[known]
     out = np.zeros((n, len(_SEEDS)), np.uint64)
     for k, (seed, limit) in enumerate(zip(_SEEDS, _LIMITS, strict=True)):
         chosen = np.flatnonzero(mix(mine ^ seed) <= limit)
-        if not len(chosen):
-            continue
-        d = of[chosen]
-        first = np.flatnonzero(np.diff(d, prepend=-1))
-        place = np.arange(len(d)) - np.repeat(first, np.diff(np.append(first, len(d))))  # among the sorted terms chosen
-        signature = mix(np.add.reduceat(mix(mine[chosen]) * weights[place], first)) & np.uint64(0xFFFF)
-        out[d[first], k] = np.maximum(signature, np.uint64(1))
-    lines = np.char.mod(f"%0{DIGITS}x", out) if n else out
-    result = ["".join(x) for x in lines.tolist()]
-    for i in np.flatnonzero(~has):  # no lexicon term: all terms, told apart by a leading mark
-        result[i] = "x" + hashlib.sha1(terms[bounds[i]:bounds[i + 1]].tobytes()).hexdigest()
+        _signatures(out, k, of[chosen], mine[chosen])
+    result = [x.tobytes().hex() for x in out.astype(">u2")]
+    sizes = np.diff(every_bounds)
+    few = np.bincount(of, minlength=n) < LEAST_KNOWN * sizes
+    doc = np.cumsum(few) - 1
+    other = _all_terms(every[np.repeat(few, sizes)], np.repeat(doc[few], sizes[few]), int(few.sum()))
+    for i, x in zip(np.flatnonzero(few).tolist(), other.astype(">u2"), strict=True):
+        result[i] += x.tobytes().hex()
     return result
 
 
-def likeness(a: str, b: str) -> float:
-    if a == b:
-        return 1.0
-    if a[:1] == "x" or b[:1] == "x":
-        return 0.0
+def _levels(a: str, b: str) -> list[tuple[int, int]]:
+    """Signatures that are not empty in both, and equal ones, of each level."""
     width = DIGITS * SUBSETS
     levels = []
     for at in range(0, len(a), width):
         pairs = [(a[i:i + DIGITS], b[i:i + DIGITS]) for i in range(at, at + width, DIGITS)]
         pairs = [p for p in pairs if p != (_EMPTY, _EMPTY)]
         levels.append((len(pairs), sum(x == y for x, y in pairs)))
-    start = max((i for i, x in enumerate(levels) if 2 * x[0] >= SUBSETS), default=0)
-    filled, equal = map(sum, zip(*levels[start:], strict=True))
+    return levels
+
+
+def _start(levels: list[tuple[int, int]]) -> int:
+    return max((i for i, x in enumerate(levels) if 2 * x[0] >= SUBSETS), default=-1)
+
+
+def lexicon_says_little(a: str) -> bool:
+    """No term in the lexicon, or so few beside all terms that their signatures end two levels (a factor of 16) before."""
+    known, every = a[:PART], a[PART:]
+    return known == "0" * PART or _start(_levels(known, known)) < _start(_levels(every, every)) - 1
+
+
+def likeness(a: str, b: str) -> float:
+    if a == b:
+        return 1.0
+    both = len(a) == len(b) == 2 * PART
+    part = slice(PART, None) if both and (lexicon_says_little(a) or lexicon_says_little(b)) else slice(PART)
+    levels = _levels(a[part], b[part])
+    filled, equal = map(sum, zip(*levels[max(0, _start(levels)):], strict=True))
     return equal / filled if filled else 0.0
 
 
@@ -162,12 +232,12 @@ def _compared(rows: list[tuple], following: list[tuple], words: np.ndarray) -> l
     """n_chars, hash and fingerprint of the edited text, and both likenesses, for rows (text, fingerprint)."""
     new = [edited(t, f[0]) for (t, _), f in zip(rows, following, strict=True)]
     prints = fingerprints(pa.array(new, pa.large_string()), words)
-    return [[len(t) for t, _ in rows], [hashlib.sha256(t.encode()).hexdigest() for t in new], prints,
+    return [[len(t) for t, _ in rows], [hashlib.sha256(t.encode()).hexdigest() for t in new], list(map(bytes.fromhex, prints)),
             [likeness(p, q) for (_, p), q in zip(rows, prints, strict=True)],
             [likeness(p, f[1]) for (_, p), f in zip(rows, following, strict=True)]]
 
 
-RESULT = "n_chars long, edited_sha256 string, edited_fingerprint string, near_edited double, near_next double, fingerprint string"
+RESULT = "n_chars long, edited_sha256 string, edited_fingerprint binary, near_edited double, near_next double, fingerprint binary"
 
 
 def match_edited(docs: DataFrame) -> DataFrame:
@@ -188,10 +258,10 @@ def match_edited(docs: DataFrame) -> DataFrame:
         for b in slices(batches):
             ids, text = b.column(0).to_pylist(), b.column(1).to_pylist()
             place = [0 if i is None else 1 + int(np.searchsorted(edges, i, "right")) for i in ids]
-            yield [ids, fingerprints(b.column(1), words.value), [hashlib.blake2b(t.encode(), digest_size=8).digest() for t in text],
+            yield [ids, list(map(bytes.fromhex, fingerprints(b.column(1), words.value))), [hashlib.blake2b(t.encode(), digest_size=8).digest() for t in text],
                    [_press(t) for t in text], place]
 
-    dealt = (map_arrow(texts(docs), prints, f"doc_id {kind}, fingerprint string, tie binary, body binary, place int")
+    dealt = (map_arrow(texts(docs), prints, f"doc_id {kind}, fingerprint binary, tie binary, body binary, place int")
              .repartition("place").sortWithinPartitions("place", "doc_id", "tie"))
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
@@ -202,7 +272,7 @@ def match_edited(docs: DataFrame) -> DataFrame:
                 out: list[tuple] = []
                 part = batch.slice(at, 500)
                 for doc, fp, body, place in zip(*(part.column(c).to_pylist() for c in ("doc_id", "fingerprint", "body", "place")), strict=True):
-                    text = _unpress(body)
+                    text, fp = _unpress(body), fp.hex()
                     first = last is None or last[3] != place
                     if last is not None:
                         if first:
@@ -219,7 +289,7 @@ def match_edited(docs: DataFrame) -> DataFrame:
     def _rows(known: list, rows: list, got: list, waiting: list) -> list:
         head = [_press(r[0]) if k[2] else None for k, r in zip(known, rows, strict=True)] + [_press(w[2]) if w[3] else None for w in waiting]
         return [[k[0] for k in known] + [w[0] for w in waiting], *(g + [None] * len(waiting) for g in got),
-                [r[1] for r in rows] + [w[4] for w in waiting], [k[1] for k in known] + [w[5] for w in waiting],
+                [bytes.fromhex(r[1]) for r in rows] + [bytes.fromhex(w[4]) for w in waiting], [k[1] for k in known] + [w[5] for w in waiting],
                 head, [None] * len(known) + [_press(w[2]) for w in waiting]]
 
     done = cut(map_arrow(dealt, follow, f"doc_id {kind}, {RESULT}, place int, head binary, tail binary"))
@@ -230,10 +300,11 @@ def match_edited(docs: DataFrame) -> DataFrame:
                  .select("doc_id", "fingerprint", "tail", "then").join(heads, "then"))
 
     def close(ids: list, prints: list, tails: list, heads: list, next_prints: list) -> list:
-        rows = [(_unpress(t), p) for t, p in zip(tails, prints, strict=True)]
-        got = _compared(rows, [(_unpress(h), p) for h, p in zip(heads, next_prints, strict=True)], words.value)
+        rows = [(_unpress(t), p.hex()) for t, p in zip(tails, prints, strict=True)]
+        got = _compared(rows, [(_unpress(h), p.hex()) for h, p in zip(heads, next_prints, strict=True)], words.value)
         return [ids, *got, prints]
 
     closed = map_columns(open_ends.select("doc_id", "fingerprint", "tail", "head", "next_print"), close, f"doc_id {kind}, {RESULT}", 100)
     order = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    return done.where("tail is null").select(*order).unionByName(closed.select(*order))
+    written = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}  # as bytes until here
+    return done.where("tail is null").select(*order).unionByName(closed.select(*order)).withColumns(written)

@@ -65,3 +65,15 @@ def test_edits_stay_near_and_others_do_not(spark):
     assert np.mean([r.near_edited for r in got]) > 0.4
     assert np.median([r.near_next for r in got]) == 0
     assert np.mean([r.near_edited > r.near_next for r in got]) > 0.95
+
+
+def test_copies_and_scripts_outside_the_band_keep_their_matches(spark):
+    """A third of the rows are copies: their terms are too frequent for the lexicon; a script without spaces has none in it."""
+    copy = tables.words(200, 50, 4000)
+    chinese = "".join(chr(0x4E00 + x) for x in np.random.default_rng(5).integers(0, 3000, 400))
+    rows = [(i, copy if i % 3 == 0 else tables.words(200, 51 + i, 4000), "en", "a", 1) for i in range(90)] + [(90, chinese, "zh", "a", 1)]
+    got = {r.doc_id: r for r in imatch.match_edited(tables.frame(spark, rows)).collect()}
+    near = [got[i].near_edited for i in [*range(0, 90, 3), 90]]
+    assert np.mean(near) > 0.25 and min(near) > 0
+    assert np.median([r.near_next for r in got.values()]) < 0.1
+    check(tables.clean(rows), imatch.match_edited(tables.frame(spark, rows)))
