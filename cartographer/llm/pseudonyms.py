@@ -10,6 +10,11 @@ range and permuted there by a keyed Feistel network with cycle walking, so
 * equal values get equal pseudonyms in every document, however separated;
 * the holder of the key can undo it (``restore=True``).
 
+A card number or IBAN may be followed by more digits or words (an expiry date,
+a bank code): its printed groups or its country's length are tried first, then
+all that looks like it. Such a pseudonym is drawn again until the readings that
+were tried before it fail as they did, so that restoring reads it alike.
+
 Numbers that fail validation are left alone. Null texts stay null, texts
 without personal data are unchanged, repeated rows give repeated results.
 """
@@ -19,6 +24,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +51,18 @@ PATTERNS = {
                         r"|(?<![\d.+-])\d{3}([.-])\d{3}\2\d{4})(?!\d|[.-]\d)", re.ASCII),
     "card": re.compile(r"(?<![\w.-])\d(?:[\x20-]?\d){12,18}(?![\w-])", re.ASCII),
 }
+#: Card numbers as printed, longest first: digits of each group. An undivided run of 13 to 19 digits is read alone.
+CARD_GROUPS = ((4, 4, 4, 4, 3), (4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 3, 3, 3))
+CARD_REGION = re.compile(r"(?<![\w.-])\d(?:[\x20-]?\d){12,}", re.ASCII)
+#: What a card number does not end before.
+END = re.compile(r"[\w-]")
+US_PHONE = re.compile(r"\+1[\x20.-]\(?\d{3}\)?[\x20.-]\d{3}[\x20.-]\d{4}(?=\x20)", re.ASCII)
+#: Length of the IBANs of a country; of others every end at a space is tried.
+IBAN_LENGTH = {country: size for size, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 33: "RU",
+}.items() for country in countries.split()}
 #: What a text must hold for a pattern to be tried.
 DIGITS = re.compile(r"[0-9]")
 
@@ -131,13 +149,13 @@ class Pseudonyms:
         # local part and domain apart: addresses of one host stay together
         return f"{self._classes(local, 'local')}@{self._classes(domain.lower(), 'domain')}.{tld}"
 
-    def iban(self, m: re.Match) -> str | None:
-        plain = m[0].replace(" ", "")
+    def iban(self, raw: str) -> str | None:
+        plain = raw.replace(" ", "")
         country, check, account = plain[:2], plain[2:4], plain[4:]
         if not 15 <= len(plain) <= 34 or iban_digits(country, account) != check:
             return None
         new = self._classes(account, "iban" + country)
-        return _written(m[0], country + iban_digits(country, new) + new)
+        return _written(raw, country + iban_digits(country, new) + new)
 
     def date(self, m: re.Match) -> str | None:
         year, a, b = (m[1], m[3], m[4]) if m[1] else (m[8], m[5], m[7])
@@ -182,18 +200,19 @@ class Pseudonyms:
         return ".".join(map(str, x.to_bytes(4, "big")))
 
     def phone(self, m: re.Match) -> str | None:
+        """A North American number in its printed groups, or the most groups of at most 15 digits."""
         digits = "".join(c for c in m[0] if c.isdigit())
         code = m[1] or ""
         if not 10 <= len(digits) <= 15 or code[:1] == "0":
             return None
         return _written(m[0], code + self._digits(digits[len(code):], "phone" + code))
 
-    def card(self, m: re.Match) -> str | None:
-        digits = "".join(c for c in m[0] if c.isdigit())
+    def card(self, raw: str) -> str | None:
+        digits = "".join(c for c in raw if c.isdigit())
         if not luhn(digits) or len(set(digits)) == 1:
             return None
         new = digits[0] + self._digits(digits[1:-1], "card" + digits[0])
-        return _written(m[0], new + luhn_digit(new))
+        return _written(raw, new + luhn_digit(new))
 
     def replace(self, text: str | None) -> tuple[str | None, list[str]]:
         """The text with pseudonyms, and the kinds replaced, in order.
@@ -207,13 +226,14 @@ class Pseudonyms:
         for kind in KINDS:
             if kind == "email" and "@" not in text:
                 continue
+            if kind in ("iban", "card"):
+                self._numbers(text, kind, found)
+                continue
             at = 0
             while m := PATTERNS[kind].search(text, at):
+                if kind == "phone":
+                    m = self._phone_end(text, m)
                 new = getattr(self, kind)(m)
-                if new is None and kind == "card":  # a shorter number may start or end here: two numbers side by side
-                    new = self._runs(m, found)
-                    at = m.end()
-                    continue
                 at = m.end() if new is not None else m.start() + 1
                 if new is not None and not any(m.start() < e and s < m.end() for s, e, *_ in found):
                     found.append((m.start(), m.end(), kind, new))
@@ -223,13 +243,69 @@ class Pseudonyms:
             at = e
         return ("".join([*out, text[at:]]) if out else text), [k for _, _, k, _ in sorted(found)]
 
-    def _runs(self, m: re.Match, found: list) -> None:
-        """Undivided digit runs within a longer match that is no card number."""
-        for run in re.finditer(r"[0-9]{13,19}", m[0]):
-            new = self.card(run)
-            s, e = m.start() + run.start(), m.start() + run.end()
-            if new is not None and not any(s < y and x < e for x, y, *_ in found):
-                found.append((s, e, "card", new))
+    def _phone_end(self, text: str, m: re.Match) -> re.Match:
+        """The match cut at a space, where it holds a number and more."""
+        if m[0][0] == "+":
+            if us := US_PHONE.match(text, m.start()):
+                return PATTERNS["phone"].match(text, m.start(), us.end()) or m
+            while sum(c.isdigit() for c in m[0]) > 15 and (end := m[0].rfind(" ")) > 0:
+                shorter = PATTERNS["phone"].match(text, m.start(), m.start() + end)
+                if not shorter:
+                    break
+                m = shorter
+        return m
+
+    def _numbers(self, text: str, kind: str, found: list) -> None:
+        """Adds the spans of ``text`` that validate, among all candidates in their order."""
+        make, tried, taken = getattr(self, kind), [], [(s, e) for s, e, *_ in found]
+        for s, e in (iban_candidates if kind == "iban" else card_candidates)(text):
+            if any(s < y and x < e for x, y in taken):
+                continue
+            new = make(text[s:e])
+            if new is None:
+                tried.append((s, e))
+                continue
+            near = [(x, y) for x, y in tried if s < y and x < e]
+            low, high = min([s, *(x for x, _ in near)]), max([e, *(y for _, y in near)])
+            # cycle walking: what failed before must fail beside the pseudonym too
+            while any(make((text[low:s] + new + text[e:high])[x - low:y - low]) is not None for x, y in near):
+                new = make(new)
+            found.append((s, e, kind, new))
+            taken.append((s, e))
+
+
+def iban_candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Spans that may be IBANs: the country's length, then ends at spaces, longest first."""
+    at = 0
+    while m := PATTERNS["iban"].search(text, at):
+        at = m.start() + 1
+        places = [m.start() + i for i, c in enumerate(m[0]) if c != " "]
+        size = IBAN_LENGTH.get(m[0][:2], 0)
+        fixed = places[size - 1] + 1 if 0 < size <= len(places) else 0
+        ends = [m.end(), *(m.start() + i for i in range(len(m[0]) - 1, 14, -1) if m[0][i] == " ")]
+        if fixed in ends:
+            yield m.start(), fixed
+        for e in ends if not size else ends[:1]:
+            if e != fixed:
+                yield m.start(), e
+
+
+def card_candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Spans that may be card numbers: printed groups and undivided runs from left to right, then any 13 to 19 digits."""
+    for region in CARD_REGION.finditer(text):
+        groups = [(region.start() + g.start(), region.start() + g.end()) for g in re.finditer("[0-9]+", region[0])]
+        for i, (s, e) in enumerate(groups):
+            if 13 <= e - s <= 19 and (e < region.end() or not END.match(text, e)):
+                yield s, e
+            if i and text[s - 1] == "-":
+                continue
+            for shape in CARD_GROUPS:
+                if tuple(y - x for x, y in groups[i:i + len(shape)]) == shape and not END.match(text, end := groups[i + len(shape) - 1][1]):
+                    yield s, end
+    at = 0
+    while m := PATTERNS["card"].search(text, at):
+        yield m.span()
+        at = m.end()
 
 
 def pseudonymise(docs: DataFrame, key: str, restore: bool = False) -> DataFrame:

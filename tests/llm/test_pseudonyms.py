@@ -64,3 +64,18 @@ def test_awkward_rows(spark):
     got = pseudonyms.pseudonymise(tables.frame(spark, rows), "k").collect()
     assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], r[1]) for r in rows)
     assert pseudonyms.counted(pseudonyms.pseudonymise(tables.empty(spark), "k")).count() == 0
+
+
+@pytest.mark.parametrize(("text", "number"), [
+    ("4111 1111 1111 1111 12/27", "4111 1111 1111 1111"), ("4111 1111 1111 1111 123", "4111 1111 1111 1111"),
+    ("3782 822463 10005 1234", "3782 822463 10005"), ("12 34 4111 1111 1111 1111", "4111 1111 1111 1111"),
+    ("AT61 1904 3002 3457 3201 EUR", "AT61 1904 3002 3457 3201"), ("ES91 2100 0418 4502 0005 1332 BIC", "ES91 2100 0418 4502 0005 1332"),
+    ("ES9121000418450200051332 2024", "ES9121000418450200051332"), ("+1 212 555 1234 2024", "+1 212 555 1234"),
+    ("+49 30 1234 5678 9012 3456", "+49 30 1234 5678")])
+def test_numbers_before_other_words(text, number):
+    for key in range(40):
+        names = pseudonyms.Pseudonyms(b"%d" % key)
+        new, kinds = names.replace(text)
+        assert len(kinds) == 1 and number not in new
+        assert new.startswith(text[:text.index(number)]) and (number[0] == "+" or new.endswith(text[text.index(number) + len(number):]))
+        assert pseudonyms.Pseudonyms(b"%d" % key, restore=True).replace(new) == (text, kinds)
