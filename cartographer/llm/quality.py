@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents_words, map_arrow, mix, slices, string_bytes, texts
+from .common import cut, documents_words, map_arrow, mix, slices, string_bytes, texts
 
 #: Hash buckets of the two multinomials: the bound of the collected model.
 BUCKETS = 1 << 14
-#: Labelled documents from which the target multinomial is fitted, about; beyond
-#: that, those with the smallest share of an id hash. The raw counts cover all.
-TARGET_DOCS = 50_000
+#: Ids of trusted documents that are broadcast at once, about. More ids are dealt out
+#: by hash into slices, each counted by a pass of its own: all of them count.
+SLICE_IDS = 1_000_000
 #: Added to each bucket's count, as a share of the mean count.
 SMOOTHING = 0.5
 SCALE_BITS = 24
@@ -91,18 +91,25 @@ def log_ratios(counts: list[tuple[int, int, int]], buckets: int = BUCKETS) -> np
     return np.rint((np.log(share(target)) - np.log(share(raw))) * 2 ** SCALE_BITS).astype(np.int64)
 
 
-def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, target_docs: int = TARGET_DOCS) -> np.ndarray:
+def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, slice_ids: int = SLICE_IDS) -> np.ndarray:
     """Counts both multinomials; ``trusted`` holds the doc_ids of the target (nulls match nothing).
 
-    The target's ids are sampled by hash down to about ``target_docs``, so
-    their table is small enough to broadcast and no text is shuffled.
+    The target's ids are dealt out by hash into slices that are small enough to
+    broadcast, so no text is shuffled. The first slice's pass counts the raw
+    corpus too, the others read the texts again and count their targets only.
     """
-    ids = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null").distinct()
-    n = max(1, ids.count())
-    ids = ids.where(F.pmod(F.xxhash64("trusted_id"), F.lit(n)) < target_docs)
-    marked = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left").select(
-        "doc_id", "text", F.col("trusted_id").isNotNull().alias("trusted"))
-    return log_ratios([tuple(r) for r in count_ngrams(marked, buckets).collect()], buckets)  # a row per bucket at most
+    ids = cut(trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null").distinct())
+    slices_of = max(1, -(-ids.count() // slice_ids))
+    raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+    for k in range(slices_of):
+        own = ids.where(F.pmod(F.xxhash64("trusted_id"), F.lit(slices_of)) == k)
+        marked = docs.select("doc_id", "text").join(
+            F.broadcast(own), F.col("doc_id") == F.col("trusted_id"), "inner" if k else "left").select(
+            "doc_id", "text", F.col("trusted_id").isNotNull().alias("trusted"))
+        for bucket, r, t in count_ngrams(marked, buckets).collect():  # a row per bucket at most
+            raw[bucket] += 0 if k else r
+            target[bucket] += t
+    return log_ratios(list(zip(range(buckets), raw.tolist(), target.tolist(), strict=True)), buckets)
 
 
 def per_document(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
