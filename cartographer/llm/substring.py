@@ -12,7 +12,8 @@ group's suffix tree is built in memory:
 * Only groups that meet two documents are built at all. Their names are
   counted first, over all documents.
 * A group of more than ``GROUP_DOCS`` documents (a passage or a phrase that
-  very many share) is split further by the longest prefix, all ``WINDOW``
+  very many share), or of more than ``BUILD_WORDS`` words in pieces of over
+  ``LONG_PIECE`` (periodic text, whose windows all have one name), is split further by the longest prefix, all ``WINDOW``
   words: each part is then a single node of the tree, and the least document
   of the node is a grouping with partial minima.
 * Any other group's subtree is a suffix array over its words, built by prefix
@@ -42,8 +43,11 @@ from .common import cut, documents_words, map_arrow, map_columns, mix, powers, s
 
 WINDOW, GRAM = 50, 16
 GROUP_DOCS = 512
-#: Words whose subtrees are built together; groups are never divided.
-BUILD_WORDS = 400_000
+#: Words whose subtrees are built together; groups are never divided. One group holds at most as
+#: many in long pieces, and GROUP_DOCS * LONG_PIECE in others.
+BUILD_WORDS, LONG_PIECE = 400_000, 512
+#: Suffixes of one batch out of node_repeats.
+NODE_ROWS = 200_000
 _BASE = int(powers(2)[1])
 _BACK = np.uint64(pow(_BASE, -1, 1 << 64))
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -71,7 +75,7 @@ def group_names(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> n
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, sha (hash of the words) and the distinct group names of each document."""
+    """doc_id, n_words, sha (hash of the words), the distinct group names of each document, and the words of those with many."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for b in slices(batches):
@@ -82,17 +86,27 @@ def describe(docs: DataFrame) -> DataFrame:
             inside = doc[:len(names)] == doc[WINDOW - 1:WINDOW - 1 + len(names)] if len(names) else np.zeros(0, bool)
             new = inside.copy()
             new[1:] &= (names[1:] != names[:-1]) | ~inside[:-1]
+            # words of a piece: its suffixes up to the next piece or the document's last suffix, and those they reach over
+            total = np.append(0, np.cumsum(inside))
+            first = np.flatnonzero(new)
+            reach = total[np.append(first[1:], len(names))] - total[first] + WINDOW - 1 if len(first) else first
             names, of = names[new], doc[:len(new)][new]
             order = np.lexsort((names, of))
-            names, of = names[order], of[order]
+            names, of, reach = names[order], of[order], reach[order]
             once = np.ones(len(names), bool)
             once[1:] = (names[1:] != names[:-1]) | (of[1:] != of[:-1])
             at = np.searchsorted(of[once], np.arange(n + 1))
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(names[once].view(np.int64)))
+            begin = np.flatnonzero(once)
+            reach = np.add.reduceat(reach, begin) if len(begin) else reach
+            large = reach > LONG_PIECE
+            at_long = np.searchsorted(of[once][large], np.arange(n + 1))
+            longs = pa.ListArray.from_arrays(pa.array(at_long, pa.int32()), pa.StructArray.from_arrays(
+                [pa.array(names[once][large].view(np.int64)), pa.array(reach[large].astype(np.int64))], ["name", "words"]))
             shas = [hashlib.sha256(b" ".join(t.encode().split())).hexdigest() for t in b.column(1).to_pylist()]
-            yield [b.column(0), np.diff(bounds), shas, lists]
+            yield [b.column(0), np.diff(bounds), shas, lists, longs]
 
-    return map_arrow(texts(docs), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, sha string, names array<bigint>")
+    return map_arrow(texts(docs), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, sha string, names array<bigint>, longs array<struct<name:bigint,words:bigint>>")
 
 
 def _runs(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,18 +206,18 @@ def tree_repeats(pieces: DataFrame, kind: str) -> DataFrame:
 def node_repeats(found: DataFrame, kind: str) -> DataFrame:
     """Repeated suffixes of large groups: each node is named by the hash of its ``WINDOW`` words."""
 
-    def run(ids: list, text: list, sha: list, names: list) -> Iterator[list]:
-        out: list[list] = [[], [], [], []]
-        for doc, t, s, wanted in zip(ids, text, sha, names, strict=True):
-            _, hashes, _, _, _ = documents_words(pa.array([t], pa.large_string()))
-            at = np.flatnonzero(np.isin(group_names(hashes), np.array(wanted, np.int64).view(np.uint64)))
-            out[0] += sequence_hashes(hashes, WINDOW)[at].view(np.int64).tolist()
-            out[1] += [doc] * len(at)
-            out[2] += [s] * len(at)
-            out[3] += at.tolist()
-        return out
-
-    suffixes = map_columns(found.select("doc_id", "text", "sha", "names"), run, f"node long, doc_id {kind}, sha string, first long", 200)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                doc, t, s, wanted = (c[row].as_py() for c in batch.columns)
+                _, hashes, _, _, _ = documents_words(pa.array([t], pa.large_string()))
+                at = np.flatnonzero(np.isin(group_names(hashes), np.array(wanted, np.int64).view(np.uint64)))
+                node = sequence_hashes(hashes, WINDOW)[at].view(np.int64)
+                for k in range(0, len(at), NODE_ROWS):
+                    part = at[k:k + NODE_ROWS]
+                    yield [node[k:k + NODE_ROWS], [doc] * len(part), [s] * len(part), part]
+
+    suffixes = map_arrow(found.select("doc_id", "text", "sha", "names"), run, f"node long, doc_id {kind}, sha string, first long")
     least = cut(suffixes.groupBy("node").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
                 .where("least < most").select(F.col("node").alias("of"), "least"))
     return (suffixes.join(least, F.col("node") == F.col("of")).where("least < doc_id")
@@ -217,8 +231,11 @@ def repeated_passages(docs: DataFrame, described: DataFrame) -> tuple[DataFrame,
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     named = described.select("doc_id", "sha", F.explode("names").alias("name"))
-    shared = cut(named.groupBy("name").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n"))
-                 .where("least < most").select(F.col("name").alias("of"), (F.col("n") > GROUP_DOCS).alias("large")))
+    counted = named.select("name", "doc_id", F.lit(1).alias("one"), F.lit(0).cast("long").alias("words")).union(
+        described.select(F.explode("longs").alias("e"), "doc_id").select("e.name", "doc_id", F.lit(0), "e.words"))
+    shared = cut(counted.groupBy("name").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.sum("one").alias("n"),
+                                             F.sum("words").alias("words"))
+                 .where("least < most").select(F.col("name").alias("of"), ((F.col("n") > GROUP_DOCS) | (F.col("words") > BUILD_WORDS)).alias("large")))
     lists = named.join(shared, F.col("name") == F.col("of")).groupBy("doc_id", "sha").agg(
         F.collect_list(F.when(~F.col("large"), F.col("name"))).alias("small_names"),
         F.collect_list(F.when(F.col("large"), F.col("name"))).alias("large_names"))
@@ -266,13 +283,13 @@ def deduplicate_passages(docs: DataFrame) -> DataFrame:
     copies = cut(described.where(f"n_words >= {WINDOW} and doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("least"))
                  .select(F.col("sha").alias("of"), "least"))
     folded = described.join(copies, F.col("sha") == F.col("of"), "left").drop("of")
-    own = folded.where("doc_id = least").select("doc_id", "sha", "names").dropDuplicates(["doc_id", "sha"])
+    own = folded.where("doc_id = least").select("doc_id", "sha", "names", "longs").dropDuplicates(["doc_id", "sha"])
     found, repeats = repeated_passages(docs, own)
     removed = cut(remove_words(found, repeats, kind).select(
         F.col("doc_id").alias("done_id"), F.col("sha").alias("done_sha"), "n_removed",
         F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept")).dropDuplicates(["done_id", "done_sha"]))
     copy = F.col("doc_id") > F.col("least")
-    return (folded.drop("names").join(removed, (F.col("doc_id") == F.col("done_id")) & (F.col("sha") == F.col("done_sha")), "left")
+    return (folded.drop("names", "longs").join(removed, (F.col("doc_id") == F.col("done_id")) & (F.col("sha") == F.col("done_sha")), "left")
             .select("doc_id", "n_words",
                     F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
                     F.when(copy, F.lit(EMPTY_SHA)).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256")))

@@ -75,3 +75,13 @@ def test_nodes_are_classes_of_equal_windows():
         for i, k in zip(whole, node, strict=True):
             assert seen.setdefault(tuple(words[i:i + window]), k) == k
         assert len(set(seen.values())) == len(seen)
+
+
+def test_groups_of_many_words_are_built_without_a_tree(spark, monkeypatch):
+    """Periodic text puts whole documents into one group, whatever their number."""
+    rows = [(i, "buy now " * (2000 + i) + tables.words(60, i), "en", "a", 1) for i in range(4)] + [(9, tables.words(100, 1), "en", "a", 1)]
+    built, small = [], substring.segments
+    monkeypatch.setattr(substring, "BUILD_WORDS", 5000)
+    monkeypatch.setattr(substring, "segments", lambda found, kind: built.append(small(found, kind)) or built[-1])
+    assert as_counter(substring.deduplicate_passages(tables.frame(spark, rows))) == brute(tables.clean(rows))
+    assert max((len(r.words) // 8 for r in built[0].collect()), default=0) <= substring.LONG_PIECE
