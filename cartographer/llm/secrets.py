@@ -8,6 +8,13 @@ walks and brute-force spans by dynamic programming; if even that sequence
 takes at least ``10 ** min_log10`` guesses, the value counts as a secret.
 Values such as ``changeme2024`` stay cheap and are left alone.
 
+The words are a short list of common passwords, then the words of the corpus
+in at least ``WORD_DOCS`` documents, most frequent first, at most
+``DICTIONARY_WORDS`` of them. Values in a credential context do not count
+there, so a secret that is repeated does not become a word. A word of the
+language that the corpus holds less often counts as a secret if it stands
+after ``is``, ``:`` or ``=`` and takes that many guesses by its letters.
+
 Null texts are empty: no spans. Positions are code points, ends exclusive.
 Repeated rows give repeated results; rows with a null id are kept.
 """
@@ -16,12 +23,14 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_columns, texts
+from .common import map_arrow, map_columns, texts
 
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -31,9 +40,13 @@ ASSIGN_STEMS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
+#: A key word begins at a word's beginning (or a capital after a small letter); before ``:`` and ``=`` the longer ones may end
+#: a word (``dbpassword=``). After a mere space a value is quoted or of mixed classes.
+_LONG = r"pass(?:word|wd|phrase|code)|secret|token|(?:api|access|private|signing|encryption)[_\x20-]?key|credentials?"
+_KEY = rf"(?:{_LONG}|pass|pwd|auth(?:orization|_?token)?|bearer)"
+_START = r"(?:(?<![^\W_])|(?<=[a-z0-9])(?=[A-Z]))"
 CONTEXT = re.compile(
-    r"""(?i:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|signing|encryption)[_\x20-]?key|"""
-    r"""credentials?|auth(?:orization|_?token)?|bearer)["']?\x20*(?:[:=]>?|=>|\bis\b|\x20)\x20*"""
+    rf"""(?:(?:{_START}(?i:{_KEY})|(?i:{_LONG}))["']?\x20*(?:[:=]>?|=>)|{_START}(?i:{_KEY})["']?(?:\x20*\bis\b|(?P<space>\x20)))\x20*"""
     r"""(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"']+))""", re.ASCII)
 CONTEXT_STEMS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer")
 USERINFO = re.compile(r"://[^\s/:@]+:([^\s/@]+)@")
@@ -54,11 +67,16 @@ KEY_ROWS = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 SHIFTED = dict(zip('!@#$%^&*()_+{}:"<>?', "1234567890-=[];',./", strict=True))
 LEET = dict(zip("@43!10$57", "aaeiiosst", strict=True))
 
-DIGIT_COST, LETTER_COST, UPPER_COST, SYMBOL_COST = 1.0, 1.0, math.log10(26), math.log10(33)
+DIGIT_COST, LETTER_COST, UPPER_COST, SYMBOL_COST = 1.0, math.log10(26), math.log10(26), math.log10(33)
 SEGMENT_COST = math.log10(2)
 YEARS = 200
 LONGEST_REPEAT = 16
 MIN_LOG10 = 10.0
+#: The dictionary from the corpus: least number of documents with a word, and most words (they are broadcast).
+WORD_DOCS, DICTIONARY_WORDS = 5, 200_000
+WORD = re.compile(r"(?<![^\W_])[^\W\d_]{3,24}(?![^\W_])")
+#: Words that a task counts before it hands them on.
+TASK_WORDS = 500_000
 
 DATE = re.compile(
     r"(?:(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])"
@@ -91,11 +109,17 @@ def _class_of(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isalpha() else 3
 
 
-def rank_words(words: Sequence[str]) -> dict[str, float]:
-    """log10 of the rank of each word."""
-    out: dict[str, float] = {}
+class Ranked(dict):
+    """log10 of the rank of each word, and the length of the longest."""
+
+    longest = 0
+
+
+def rank_words(words: Sequence[str]) -> Ranked:
+    out = Ranked()
     for i, w in enumerate(words, 1):
         out.setdefault(w.lower(), math.log10(i))
+    out.longest = max(map(len, out), default=0)
     return out
 
 
@@ -115,7 +139,7 @@ def segment(value: str, ranked: dict[str, float] = RANKED) -> tuple[float, list[
     low = value.lower() if len(value.lower()) == n else value
     plain = "".join(LEET.get(c, c) for c in low)
     keys = "".join(SHIFTED.get(c, c) for c in low)
-    longest = max(map(len, ranked), default=0)
+    longest = ranked.longest if isinstance(ranked, Ranked) else max(map(len, ranked), default=0)
     spelled = [0] * (n + 1)
     for i in range(n):
         spelled[i + 1] = spelled[i] + (plain[i] != low[i])
@@ -184,6 +208,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _mixed(value: str) -> bool:
+    """More than letters of one case, punctuation at the end and a capital at the beginning aside."""
+    value = value.rstrip(".,;:!?)]}>")
+    return len({_class_of(c) for c in value}) > 1 and not (value.isalpha() and value[1:].islower())
+
+
 def context_values(text: str) -> list[tuple[int, int]]:
     """Values that stand after a credential word or in a URL's user part."""
     out = []
@@ -191,7 +221,8 @@ def context_values(text: str) -> list[tuple[int, int]]:
     if any(s in low for s in CONTEXT_STEMS):
         at = 0
         while m := CONTEXT.search(text, at):
-            out.append(m.span(m.lastindex))
+            if m["space"] is None or m.lastindex < 4 or _mixed(m[4]):
+                out.append(m.span(m.lastindex))
             at = max(m.start(m.lastindex), at + 1)  # a value may itself be the next key word
     if "://" in text:
         out += [m.span(1) for m in USERINFO.finditer(text)]
@@ -219,30 +250,50 @@ def find_spans(text: str, ranked: dict[str, float] = RANKED, min_log10: float =
 SPANS = "array<struct<kind:string,start:int,end:int,log10:double>>"
 
 
-def scan_secrets(docs: DataFrame, words: Sequence[str] = COMMON_WORDS, min_log10: float = MIN_LOG10) -> DataFrame:
+def corpus_words(docs: DataFrame) -> list[str]:
+    """The words of the dictionary: common passwords, then the corpus' words, most frequent first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        counts: Counter = Counter()
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                for start, end in reversed(context_values(t)):
+                    if not t[start:end].isspace():
+                        t = t[:start] + " " + t[end:]
+                counts.update(set(WORD.findall(t.lower())))
+                if len(counts) > TASK_WORDS:
+                    yield [list(counts), list(counts.values())]
+                    counts = Counter()
+        yield [list(counts), list(counts.values())]
+
+    found = map_arrow(docs.select("text").where("text is not null"), run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= WORD_DOCS)
+    return [*COMMON_WORDS, *(r[0] for r in found.orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS).collect())]
+
+
+def scan_secrets(docs: DataFrame, words: Sequence[str] | None = None, min_log10: float = MIN_LOG10) -> DataFrame:
     """One row per document: doc_id and its ordered ``spans``."""
-    ranked = rank_words(words)
+    shared = docs.sparkSession.sparkContext.broadcast(rank_words(corpus_words(docs) if words is None else words))
 
     def run(ids: list, text: list) -> list:
         return [ids, [[{"kind": KINDS[k], "start": s, "end": e, "log10": c}
-                       for s, k, e, c in find_spans(t, ranked, min_log10)] for t in text]]
+                       for s, k, e, c in find_spans(t, shared.value, min_log10)] for t in text]]
 
     return map_columns(texts(docs), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, spans {SPANS}")
 
 
-def redact_secrets(docs: DataFrame, mark: str = "[SECRET]", words: Sequence[str] = COMMON_WORDS,
+def redact_secrets(docs: DataFrame, mark: str = "[SECRET]", words: Sequence[str] | None = None,
                    min_log10: float = MIN_LOG10) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by ``mark``; n_chars follows; null texts stay null.
 
     Overlapping spans are replaced once.
     """
-    ranked = rank_words(words)
+    shared = docs.sparkSession.sparkContext.broadcast(rank_words(corpus_words(docs) if words is None else words))
 
     def clean(t: str | None) -> str | None:
         if not t:
             return t
         out, at = [], 0
-        for s, _, e, _ in find_spans(t, ranked, min_log10):
+        for s, _, e, _ in find_spans(t, shared.value, min_log10):
             if s >= at:
                 out += [t[at:s], mark]
             at = max(at, e)

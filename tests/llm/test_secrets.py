@@ -98,3 +98,21 @@ def test_redaction(spark):
     rows = [(1, "a token=abcdef9 b", "en", "s", 17), (2, None, None, None, None), (3, "clean", "en", "s", 5)]
     got = {r.doc_id: tuple(r) for r in secrets.redact_secrets(tables.frame(spark, rows)).collect()}
     assert got == {1: (1, "a [SECRET] b", "en", "s", 12), 2: (2, None, None, None, None), 3: rows[2]}
+
+
+@pytest.mark.parametrize("text", ["the secret ingredient", "some token embeddings", "they did pass unanimously", "compass directions", "compass: directions"])
+def test_prose_is_no_secret(text):
+    assert secrets.find_spans(text) == []
+
+
+@pytest.mark.parametrize(("text", "value"), [("the password is qzvkrmtwp.", "qzvkrmtwp"), ("my token xK9mQ2pLw7", "xK9mQ2pLw7"),
+                                             ("dbpassword: xK9#mQ2pLw", "xK9#mQ2pLw"), ("DB_PWD => xK9#mQ2pLw", "xK9#mQ2pLw")])
+def test_secrets_after_key_words(text, value):
+    assert value in [text[s:e] for s, *_, e, _ in secrets.find_spans(text)] or text.endswith(value) and secrets.base_spans(text)
+
+
+def test_words_of_the_corpus_are_no_secrets(spark):
+    rows = [(i, "the preparation went well", "en", "s", 1) for i in range(6)] + [(7 + i, "the password is qzvkrmtwp", "en", "s", 1) for i in range(6)]
+    rows += [(20, "the secret is preparation", "en", "s", 1)]
+    got = {r.doc_id: r.text for r in secrets.redact_secrets(tables.frame(spark, rows)).collect()}
+    assert got[20] == "the secret is preparation" and got[7] == "the password is [SECRET]"
