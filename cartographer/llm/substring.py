@@ -1,4 +1,4 @@
-"""Repeated passages by prefix-partitioned suffix trees over words.
+"""Repeated passages by suffix arrays over groups of suffixes, dealt out by content.
 
 A suffix is a word position with at least ``WINDOW`` words from there on; two
 suffixes that share their first ``WINDOW`` words share a passage. Suffixes are
