@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, language, mixing, packing, periodic, pseudonyms, quality, secrets, simhash, substring, warc_zip
+from . import imatch, language, mixing, packing, periodic, pseudonyms, quality, secrets, simhash, strata, substring, warc_zip
 from .common import table
 
 #: Key of the production pseudonyms; a deployment passes its own.
@@ -61,13 +61,17 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.deduplicate_passages(table(spark, sf_dir, "documents"))
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strata.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest(periodic.periodic_runs(periodic.planted(table(spark, sf_dir, "documents"))))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secrets, op2_pseudonyms, op3_quality, op4_simhash, op5_mixing, op6_packing, op7_language, op8_imatch, op9_warc_zip, op10_substring,
-                            op13_periodic)}
+                            op12_search, op13_periodic)}
 
 WARC_SQL = f"""
 SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest,
@@ -90,4 +94,20 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
 FROM d LEFT JOIN kept USING (rid)
 """
 
-ORACLE: dict[str, str] = {"op5_mixing": mixing.MIX_SQL, "op9_warc_zip": WARC_SQL, "op10_substring": PASSAGES_SQL}
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SEARCH_SQL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS ts FROM documents),
+size AS (SELECT count(*)::BIGINT AS n, sum(len(ts))::BIGINT AS l FROM d WHERE len(ts) > 0),
+i AS MATERIALIZED (SELECT row_number() OVER () AS iid, item_id, regexp_extract_all({_LOWER}, '{_TERM}') AS ts FROM benchmark),
+it AS MATERIALIZED (SELECT iid, item_id, t, count(*)::BIGINT AS times FROM (SELECT iid, item_id, unnest(ts) AS t FROM i) u GROUP BY ALL),
+p AS MATERIALIZED (SELECT rid, doc_id, 100 - {strata.SLOPE} + ({strata.SLOPE} * k * n) // l AS m, t, count(*)::BIGINT AS tf
+  FROM (SELECT rid, doc_id, len(ts)::BIGINT AS k, unnest(ts) AS t FROM d) u CROSS JOIN size WHERE t IN (SELECT t FROM it) GROUP BY rid, doc_id, m, t),
+w AS (SELECT t, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT t, count(*)::BIGINT AS df FROM p GROUP BY t) x CROSS JOIN size),
+s AS (SELECT iid, item_id, rid, doc_id, sum(times * w * (({strata.SCALE} * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM it JOIN w USING (t) JOIN p USING (t) GROUP BY iid, item_id, rid, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= {strata.TOP}
+"""
+
+ORACLE: dict[str, str] = {"op5_mixing": mixing.MIX_SQL, "op9_warc_zip": WARC_SQL, "op10_substring": PASSAGES_SQL, "op12_search": SEARCH_SQL}
