@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, language, mixing, packing, periodic, pseudonyms, quality, secrets, simhash, strata, substring, warc_zip
+from . import bloom_lm, imatch, language, mixing, packing, periodic, pseudonyms, quality, secrets, simhash, strata, substring, warc_zip
 from .common import table
 
 #: Key of the production pseudonyms; a deployment passes its own.
@@ -61,6 +61,10 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.deduplicate_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return strata.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -71,7 +75,7 @@ def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secrets, op2_pseudonyms, op3_quality, op4_simhash, op5_mixing, op6_packing, op7_language, op8_imatch, op9_warc_zip, op10_substring,
-                            op12_search, op13_periodic)}
+                            op11_bloom_lm, op12_search, op13_periodic)}
 
 WARC_SQL = f"""
 SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest,
