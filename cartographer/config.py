@@ -29,6 +29,7 @@ MBA_MIN_SUPPORT = 0.003
 MBA_MIN_LIFT = 0.3
 MBA_TOP_N = 10
 MBA_EDGE_RULES = 20
+MBA_EDGE_LIFT = 2.0
 
 HIGH_VALUE_SPEND_QUANTILE = 0.75
 HIGH_VALUE_SCORE_THRESHOLD = 0.7
@@ -60,8 +61,6 @@ ONE_HOT_PREFIXES = ("cat__product_class_", "cat__job_type_", "cat__region_",
                     "cat__loyalty_type_", "cat__email_provider_")
 # --- end of fixed values -----------------------------------------------------
 
-# Least lift of a rule in the network; the programme's 2 leaves none on the test tables.
-MBA_EDGE_LIFT = 1.0
 # Greatest depth of trees; the fits take it as an argument, Spark allows 30.
 TREE_DEPTH = 10
 # Type in which money is summed: exact to six decimals.

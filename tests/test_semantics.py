@@ -1,6 +1,10 @@
 """Hand-computed checks of the pandas-vs-Spark semantic rules."""
 
 import datetime as dt
+import itertools
+import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -307,3 +311,38 @@ def test_too_many_levels_raise(spark, monkeypatch):
     monkeypatch.setattr(FE, "MAX_LEVELS", 8)
     with pytest.raises(ValueError, match="job_type"):
         FE.fit_preprocessor(df, [], ["job_type"], ["gender"], email_col=None)
+
+
+def test_itemsets_with_one_order_of_many_items(spark):
+    """An order of 100,000 items is one bit in each item's map; no row holds it."""
+    big = spark.range(100_000).selectExpr("'big' AS order_id", "concat('i', id) AS product_id")
+    small = spark.range(400).selectExpr("concat('o', id % 100) AS order_id", "concat('i', id div 100) AS product_id")
+    fi = B.frequent_itemsets(big.union(small), "product_id", 0.5)
+    got = {tuple(r["items"]): (r["size"], r["freq"]) for r in fi.collect()}
+    names = ["i0", "i1", "i2", "i3"]
+    assert got == {c: (k, 101) for k in range(1, 5) for c in itertools.combinations(names, k)}
+
+
+def test_itemsets_against_counting(spark, monkeypatch):
+    """Random orders against plain counts, with candidates in several blocks and bitmaps of several buckets."""
+    rng = random.Random(3)
+    rows = [(f"o{o}", f"p{rng.randint(0, 9)}") for o in range(300) for _ in range(rng.randint(1, 7))]
+    monkeypatch.setattr(B, "CANDIDATES", 7)
+    orders = {}
+    for o, p in rows:
+        orders.setdefault(o, set()).add(p)
+    want = Counter(c for items in orders.values() for k in range(1, 8) for c in itertools.combinations(sorted(items), k))
+    want = {c: n for c, n in want.items() if n / len(orders) >= 0.02}
+    df = spark.createDataFrame(rows, "order_id string, product_id string")
+    assert {tuple(r["items"]): r["freq"] for r in B.frequent_itemsets(df, "product_id", 0.02).collect()} == want
+    assert B.frequent_itemsets(df.limit(0), "product_id", 0.02).count() == 0
+
+
+def test_bitmap_counts_need_no_shuffle_of_bitmaps(spark):
+    """The AND runs where the bitmaps of a bucket lie: one exchange by bucket, none by itemset and bucket."""
+    df = spark.createDataFrame([(f"o{i % 50}", f"p{i % 7}") for i in range(300)], "order_id string, product_id string")
+    bits = B.order_bitmaps(B.basket_items(df)).repartition("bucket")
+    members = spark.createDataFrame([("a", "p1"), ("a", "p2")], "k string, item string")
+    both = bits.join(F.broadcast(members), "item").groupBy("bucket", "k").agg(F.expr("bitmap_and_agg(bits)").alias("b"))
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(bucket#\d+L?, \d+\)", plan) and not re.search(r"hashpartitioning\(bucket#\d+L?, k#", plan)
