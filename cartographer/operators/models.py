@@ -12,8 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression, NaiveBayes,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -22,6 +21,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..session import cut_lineage
+from .naive_bayes import GaussianModel, fit_gaussian
+
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """``class_weight='balanced'``: n / (k * n_class), joined from a per-class table."""
@@ -44,20 +45,18 @@ def estimator(kind: str, label: str, features: str = "scaled", weight: str | Non
         # sklearn's C=1 penalises the summed loss; Spark's regParam the mean loss
         e = LogisticRegression(featuresCol=features, labelCol=label, maxIter=1000,
                                regParam=1.0 / max(n_rows or 1, 1), elasticNetParam=0.0)
-    elif kind == "nb":
-        e = NaiveBayes(featuresCol=features, labelCol=label, modelType="gaussian")
-    elif kind == "mnb":
-        e = NaiveBayes(featuresCol=features, labelCol=label, modelType="multinomial", smoothing=1.0)
     else:
         raise ValueError(kind)
-    if weight and kind in ("rf", "dt", "lr", "nb", "mnb"):
+    if weight:
         e.setWeightCol(weight)
     return e
 
 
 def fit(train: DataFrame, feature_cols: Sequence[str], label: str, kind: str = "rf",
         weight: str | None = None, scale: bool = True, seed: int = C.SEED,
-        num_trees: int = C.N_TREES, checkpoint: bool = True, max_depth: int = C.TREE_DEPTH) -> PipelineModel:
+        num_trees: int = C.N_TREES, checkpoint: bool = True, max_depth: int = C.TREE_DEPTH) -> PipelineModel | GaussianModel:
+    if kind == "nb":
+        return fit_gaussian(train, feature_cols, label)  # one pass: nothing to keep
     train = train.withColumn(label, F.col(label).cast("double"))
     if checkpoint:
         train = cut_lineage(train)

@@ -19,34 +19,72 @@ from ..functions import text as T
 from ..functions.stats import cut_right_closed
 from ..session import cut_lineage
 from . import models as Mo
+from . import naive_bayes as NB
 from .quantiles import prefix_sums
 
 
-def tfidf(docs: DataFrame, id_col: str, text_col: str, vocab_size: int = C.TFIDF_VOCAB_SIZE) -> DataFrame:
-    """(doc id, term, tfidf): raw counts x smooth idf ln((1+n)/(1+df)) + 1, L2
-    normalised per document, over the ``vocab_size`` most frequent terms
-    (ties by term). Long form, one shuffle per aggregate; the vocabulary is a
-    top-k of bounded size joined back by broadcast."""
+def term_counts_by_doc(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, term, tf), written once: vocabulary and weights both read it."""
     # Partition by document once: tokenising runs in parallel, and the per-doc
     # term counts and the per-doc L2 norm then need no further shuffle.
     docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).repartition("doc")
     toks = docs.select("doc", F.explode(T.tokens(F.col("text"))).alias("term"))
-    # term counts feed both the vocabulary and the weights: tokenise once
-    tf = cut_lineage(toks.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")))
+    return cut_lineage(toks.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def inverse_frequencies(tf: DataFrame, n_docs: Column | int, vocab_size: int = C.TFIDF_VOCAB_SIZE) -> DataFrame:
+    """(term, idf) of the ``vocab_size`` most frequent terms (ties by term): ln((1+n)/(1+df)) + 1."""
     vocab = (tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
              .orderBy(F.col("total").desc(), F.col("term")).limit(vocab_size))
-    n = docs.agg(F.count(F.lit(1))).scalar()
-    idf = vocab.select("term", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
+    return vocab.select("term", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"))
+
+
+def term_weights(tf: DataFrame, idf: DataFrame) -> DataFrame:
+    """(doc, term, w): counts x idf of the vocabulary's terms, L2 normalised per document."""
     w = tf.join(F.broadcast(idf), "term").select("doc", "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc")))
-    return w.select(F.col("doc").alias(id_col), "term", (F.col("w") / norm).alias("tfidf"))
+    return w.select("doc", "term", (F.col("w") / norm).alias("w"))
+
+
+def tfidf(docs: DataFrame, id_col: str, text_col: str, vocab_size: int = C.TFIDF_VOCAB_SIZE) -> DataFrame:
+    """(doc id, term, tfidf): raw counts x smooth idf ln((1+n)/(1+df)) + 1, L2
+    normalised per document, over the ``vocab_size`` most frequent terms
+    (ties by term). Long form, one shuffle per aggregate; the vocabulary is a
+    top-k of bounded size joined back by broadcast."""
+    tf = term_counts_by_doc(docs, id_col, text_col)
+    idf = inverse_frequencies(tf, docs.agg(F.count(F.lit(1))).scalar(), vocab_size)
+    return term_weights(tf, idf).select(F.col("doc").alias(id_col), "term", F.col("w").alias("tfidf"))
+
+
+def train_naive_bayes(labelled: DataFrame, id_col: str, label_col: str = "sentiment_label", text_col: str = "review_text",
+                      vocab_size: int = C.TFIDF_VOCAB_SIZE) -> NB.MultinomialModel:
+    """Multinomial naive Bayes over the TF-IDF weights of the labelled texts."""
+    tf = term_counts_by_doc(labelled, id_col, text_col)
+    idf = cut_lineage(inverse_frequencies(tf, labelled.count(), vocab_size))
+    model = NB.fit_multinomial(term_weights(tf, idf), labelled.select(F.col(id_col).alias("doc"), F.col(label_col).alias("label")), idf)
+    return NB.MultinomialModel(model.classes, model.priors, cut_lineage(model.terms))
+
+
+def score_naive_bayes(model: NB.MultinomialModel, reviews: DataFrame, id_col: str, keep: Sequence[str] = (),
+                      text_col: str = "review_text", score_class: str = "positive") -> DataFrame:
+    """``id_col``, ``keep``, predicted label and the probability of ``score_class`` (null if never seen) per review.
+
+    ``id_col`` tells reviews apart; rows that share one are scored as one text would be, together.
+    """
+    tf = term_counts_by_doc(reviews, id_col, text_col)
+    docs = reviews.select(F.col(id_col).alias("doc")).distinct()
+    s = NB.score_multinomial(model, term_weights(tf, model.terms.select("term", "idf")), docs)
+    at = model.classes.index(score_class) if score_class in model.classes else None
+    p = F.col("probabilities")[at] if at is not None else F.lit(None).cast("double")
+    s = s.select(F.col("doc").alias(id_col), F.col("label").alias("sentiment"), p.alias("sentiment_score"))
+    return reviews.select(id_col, *keep).join(s, id_col, "left").select(id_col, *keep, "sentiment", "sentiment_score")
 
 
 def prepare_text(df: DataFrame, text_col: str = "review_text") -> DataFrame:
     return df.withColumn("text_clean", T.normalize(F.coalesce(F.col(text_col), F.lit(""))))
 
 
-def train_sentiment(labelled: DataFrame, kind: str = "mnb", label_col: str = "sentiment_label",
+def train_sentiment(labelled: DataFrame, kind: str = "lr", label_col: str = "sentiment_label",
                     vocab_size: int = C.TFIDF_VOCAB_SIZE, seed: int = C.SEED,
                     max_depth: int = C.TREE_DEPTH) -> PipelineModel:
     """Label index (alphabetical) -> tokens -> counts (top terms) -> smooth idf + 1 -> L2 -> classifier.

@@ -112,12 +112,15 @@ def churn_features(c: Ctx):
     return CH.churn_features(c.lines)
 
 
-@query("churn_training_set", extra_ctes=dict(FEATURE_CTES, x_cust="""
+TRAINING_CTES = dict(FEATURE_CTES, x_cust="""
 SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY address_id NULLS FIRST,
   birthdate NULLS FIRST, gender NULLS FIRST, job_type NULLS FIRST, email_provider NULLS FIRST,
   flag_phone_provided NULLS FIRST, flag_privacy NULLS FIRST, postal_code NULLS FIRST, district NULLS FIRST,
   region NULLS FIRST, account_id NULLS FIRST, favorite_store NULLS FIRST, loyalty_type NULLS FIRST,
-  loyatlty_status NULLS FIRST, activation_date NULLS FIRST) AS rn FROM f_customer_data) t WHERE rn = 1"""), sql="""
+  loyatlty_status NULLS FIRST, activation_date NULLS FIRST) AS rn FROM f_customer_data) t WHERE rn = 1""")
+
+
+@query("churn_training_set", extra_ctes=TRAINING_CTES, sql="""
 SELECT f.*, c.* EXCLUDE (customer_id) FROM x_feat f LEFT JOIN x_cust c ON f.customer_id = c.customer_id""")
 def churn_training_set(c: Ctx):
     """Window features with one row of customer attributes per customer."""

@@ -1,5 +1,5 @@
-"""Model queries: fits are not bit-comparable across libraries, so these keys
-have rows-only checks; each returns hold-out or scoring rows."""
+"""Model queries; each returns hold-out or scoring rows. Naive Bayes has a SQL
+answer; the other fits are not bit-comparable across libraries and have rows-only checks."""
 
 from __future__ import annotations
 
@@ -22,7 +22,7 @@ from ..operators import quality
 from ..operators.quantiles import quantile_table
 from ..sources import io
 from ..sources.prepared import fingerprint
-from .churn import FEATURE_CTES
+from .churn import FEATURE_CTES, TRAINING_CTES
 from .exploration import product_classes
 from .registry import Ctx, query
 from .sources import hash_sql
@@ -106,7 +106,37 @@ def churn_lr(c: Ctx):
     return _churn_eval(c, "lr")
 
 
-@query("churn_nb")
+def _cells(cols: list[str], kind: str) -> str:
+    return " UNION ALL ".join({
+        "num": f"SELECT customer_id, window_start, churned, is_test, 'num_{c}' AS f, coalesce(CAST({c} AS DOUBLE), "
+               f"(SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM y_email WHERE NOT is_test)) AS v FROM y_email",
+        "cat": f"SELECT customer_id, window_start, churned, is_test, 'cat_{c}_' || l AS f, CASE WHEN coalesce({c}, 'missing') = l THEN 1.0 ELSE 0.0 END AS v "
+               f"FROM y_email CROSS JOIN (SELECT DISTINCT coalesce({c}, 'missing') AS l FROM y_email WHERE NOT is_test) x",
+    }[kind] for c in cols)
+
+
+GAUSSIAN_CTES = dict(TRAINING_CTES, **{
+    "y_set": f"""SELECT f.*, c.* EXCLUDE (customer_id), {hash_sql('f.customer_id', 'f.window_start')} % 10000 < {round(C.TEST_FRACTION * 10000)} AS is_test
+  FROM x_feat f LEFT JOIN x_cust c ON f.customer_id = c.customer_id""",
+    "y_email": """SELECT * REPLACE (CASE WHEN email_provider IN (SELECT email_provider FROM y_set WHERE NOT is_test AND email_provider IS NOT NULL
+  GROUP BY 1 ORDER BY count(*) DESC, email_provider LIMIT 3) THEN email_provider ELSE 'others' END AS email_provider) FROM y_set""",
+    "y_levels": """SELECT gender, row_number() OVER (ORDER BY gender) AS place, count(*) OVER () AS n,
+  first(gender) OVER (ORDER BY k DESC, gender) AS common FROM (SELECT gender, count(*) AS k FROM y_email WHERE NOT is_test AND gender IS NOT NULL GROUP BY 1) g""",
+    "y_cell": f"""{_cells(NUMERIC, 'num')} UNION ALL {_cells([*CATEGORICAL, 'email_provider'], 'cat')}
+  UNION ALL SELECT customer_id, window_start, churned, is_test, 'bin_' || l.gender, CASE WHEN coalesce(e.gender, l.common) = l.gender THEN 1.0 ELSE 0.0 END
+  FROM y_email e CROSS JOIN (SELECT * FROM y_levels WHERE n <> 2 OR place = 2) l""",
+    "y_eps": "SELECT f, 1e-9 * coalesce(nullif(var_pop(v), 0), 1) AS eps FROM y_cell WHERE NOT is_test GROUP BY 1",
+    "y_par": "SELECT churned AS y, f, avg(v) AS m, var_pop(v) + any_value(eps) AS s FROM y_cell JOIN y_eps USING (f) WHERE NOT is_test GROUP BY 1, 2",
+    "y_prior": "SELECT churned AS y, ln(count(*) / sum(count(*)) OVER ()) AS prior FROM y_email WHERE NOT is_test GROUP BY 1",
+    "y_log": """SELECT customer_id, window_start, churned, y, any_value(prior) - 0.5 * sum(ln(2 * pi() * s) + (v - m) * (v - m) / s) AS l
+  FROM y_cell JOIN y_par USING (f) JOIN y_prior USING (y) WHERE is_test GROUP BY ALL""",
+    "y_two": """SELECT customer_id, window_start, churned, 1 / (1 + exp(least(sum(CASE WHEN y = 0 THEN l ELSE -l END), 700))) AS churn_probability
+  FROM y_log GROUP BY ALL""",
+})
+
+
+@query("churn_nb", extra_ctes=GAUSSIAN_CTES, doubles=["churn_probability"], sql="""
+SELECT customer_id, window_start, churned, churn_probability, CAST(churn_probability > 0.5 AS INTEGER) AS prediction FROM y_two""")
 def churn_nb(c: Ctx):
     return _churn_eval(c, "nb")
 

@@ -12,6 +12,7 @@ from ..operators import sentiment as S
 from ..sources import io
 from .exploration import BOX_DOUBLES, box_sql
 from .registry import Ctx, query
+from .sources import hash_sql
 
 TOKENS_SQL = (r"regexp_extract_all(regexp_replace(lower(coalesce({t}, '')), '[^\p{{L}}\p{{M}}\p{{N}}_\s]', '', 'g'),"
               r" '[\p{{L}}\p{{M}}\p{{N}}_]{{2,}}')")
@@ -98,11 +99,43 @@ def term_frequency(c: Ctx):
 
 def _sentiment_eval(c: Ctx, kind: str):
     d = io.split(c.labelled, C.TEST_FRACTION, "labelled_reviews_index")
+    if kind == "mnb":
+        model = S.train_naive_bayes(d.where(~F.col("is_test")), "labelled_reviews_index")
+        return S.score_naive_bayes(model, d.where(F.col("is_test")), "labelled_reviews_index", ["sentiment_label"])
     model = S.train_sentiment(d.where(~F.col("is_test")), kind)
     return S.score_reviews(model, d.where(F.col("is_test")), ["labelled_reviews_index", "sentiment_label"])
 
 
-@query("sentiment_nb")
+def _nb_sql(train: str, docs: str, doc: str) -> tuple[dict[str, str], str]:
+    """Multinomial naive Bayes in SQL: trained on (doc, text, label) rows, scoring (doc, text) rows."""
+    ctes = {
+        "y_train": train, "y_docs": docs,
+        "y_tf": f"""SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest({TOKENS_SQL.format(t='text')}) AS term FROM y_train) t GROUP BY 1, 2""",
+        "y_voc": f"""SELECT term, ln((1 + (SELECT count(*) FROM y_train)) / (1 + df)) + 1 AS idf FROM (SELECT term, sum(tf) AS total, count(*) AS df
+  FROM y_tf GROUP BY 1 ORDER BY total DESC, term LIMIT {C.TFIDF_VOCAB_SIZE}) v""",
+        "y_w": "SELECT doc, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc)) AS w FROM y_tf JOIN y_voc USING (term)",
+        "y_cls": "SELECT label, ln(count(*) / sum(count(*)) OVER ()) AS prior FROM y_train GROUP BY 1",
+        "y_sum": """SELECT label, term, coalesce(s, 0) AS s FROM y_cls CROSS JOIN y_voc
+  LEFT JOIN (SELECT label, term, sum(w) AS s FROM y_w JOIN y_train USING (doc) GROUP BY 1, 2) t USING (label, term)""",
+        "y_log": "SELECT label, term, ln((s + 1) / (sum(s) OVER (PARTITION BY label) + count(*) OVER (PARTITION BY label))) AS lp FROM y_sum",
+        "y_dtf": f"""SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest({TOKENS_SQL.format(t='text')}) AS term FROM y_docs) t GROUP BY 1, 2""",
+        "y_dw": "SELECT doc, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc)) AS w FROM y_dtf JOIN y_voc USING (term)",
+        "y_joint": """SELECT d.doc, c.label, c.prior + coalesce(x.l, 0) AS l FROM (SELECT DISTINCT doc FROM y_docs) d CROSS JOIN y_cls c
+  LEFT JOIN (SELECT doc, label, sum(w * lp) AS l FROM y_dw JOIN y_log USING (term) GROUP BY 1, 2) x ON d.doc = x.doc AND c.label = x.label""",
+        "y_top": "SELECT doc, label, exp(l - max(l) OVER (PARTITION BY doc)) AS e FROM y_joint",
+        "y_p": "SELECT doc, label, e / sum(e) OVER (PARTITION BY doc) AS p FROM y_top",
+    }
+    return ctes, f"""SELECT doc AS {doc}, arg_max(label, p) AS sentiment, max(p) FILTER (WHERE label = 'positive') AS sentiment_score FROM y_p GROUP BY 1"""
+
+
+_SPLIT = f"{hash_sql('labelled_reviews_index')} % 10000 < {round(C.TEST_FRACTION * 10000)}"
+_LABELLED = "SELECT labelled_reviews_index AS doc, review_text AS text, sentiment_label AS label FROM f_labelled"
+_nb_ctes, _nb_body = _nb_sql(f"{_LABELLED} WHERE NOT {_SPLIT}", f"{_LABELLED} WHERE {_SPLIT}", "labelled_reviews_index")
+
+
+@query("sentiment_nb", extra_ctes=_nb_ctes, doubles=["sentiment_score"], sql=f"""
+SELECT n.labelled_reviews_index, d.label AS sentiment_label, n.sentiment, n.sentiment_score FROM ({_nb_body}) n
+JOIN y_docs d ON n.labelled_reviews_index = d.doc""")
 def sentiment_nb(c: Ctx):
     """Multinomial naive Bayes on TF-IDF; hold-out predictions."""
     return _sentiment_eval(c, "mnb")
@@ -133,9 +166,15 @@ def sentiment_model_comparison(c: Ctx):
     return out
 
 
-@query("review_scores")
+_rs_ctes, _rs_body = _nb_sql(_LABELLED, "SELECT review_id AS doc, review_text AS text FROM f_reviews", "review_id")
+
+
+@query("review_scores", extra_ctes=_rs_ctes, doubles=["sentiment_score"], sql=f"""
+SELECT n.review_id, r.customer_id, n.sentiment, n.sentiment_score, CASE WHEN n.sentiment_score <= {C.DETRACTOR_MAX} THEN 'Detractor'
+  WHEN n.sentiment_score <= {C.PROMOTER_MIN} THEN 'Neutral' ELSE 'Promoter' END AS customer_type
+FROM ({_rs_body}) n JOIN f_reviews r USING (review_id)""")
 def review_scores(c: Ctx):
     """Customer reviews scored by a model trained on the labelled reviews."""
-    model = S.train_sentiment(c.labelled, "mnb")
-    s = S.score_reviews(model, c.reviews, ["review_id", "customer_id"])
+    model = S.train_naive_bayes(c.labelled, "labelled_reviews_index")
+    s = S.score_naive_bayes(model, c.reviews, "review_id", ["customer_id"])
     return s.withColumn("customer_type", S.customer_type(F.col("sentiment_score")))

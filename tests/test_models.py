@@ -1,6 +1,8 @@
 """Model pipelines: round trip, probability range, rows-only keys run."""
 
+import math
 import os
+import statistics
 import tempfile
 
 import pytest
@@ -11,6 +13,7 @@ from conftest import SF_SMALL
 
 import __spark_entry__ as E
 from cartographer.operators import models as Mo
+from cartographer.operators import naive_bayes as NB
 from cartographer.operators import sentiment as S
 
 
@@ -132,7 +135,10 @@ def test_text_models_label_the_hold_out(spark, key):
 def test_text_model_finds_a_planted_signal(spark):
     rows = [(f"{'lovely' if i % 2 else 'dreadful'} thing number{i % 5} everywhere", "positive" if i % 2 else "negative") for i in range(80)]
     df = spark.createDataFrame(rows, "review_text string, sentiment_label string")
-    for kind in ("mnb", "lr", "rf", "dt"):
+    labelled = df.withColumn("id", F.monotonically_increasing_id())
+    out = S.score_naive_bayes(S.train_naive_bayes(labelled, "id"), labelled, "id", ["sentiment_label"]).collect()
+    assert len(out) == 80 and all(r.sentiment == r.sentiment_label for r in out)
+    for kind in ("lr", "rf", "dt"):
         out = S.score_reviews(S.train_sentiment(df, kind), df, ["sentiment_label"]).collect()
         assert all(r.sentiment == r.sentiment_label for r in out), kind
 
@@ -140,7 +146,7 @@ def test_text_model_finds_a_planted_signal(spark):
 def test_text_weights_equal_the_tfidf_operator(spark):
     rows = [("1", "the red fox"), ("2", "the blue fox fox"), ("3", "the the end")]
     df = spark.createDataFrame([(i, t, "positive" if i == "1" else "negative") for i, t in rows], "id string, review_text string, sentiment_label string")
-    model = S.train_sentiment(df, "mnb")
+    model = S.train_sentiment(df, "dt")
     vocabulary = model.stages[2].vocabulary
     out = model.transform(S.prepare_text(df)).select("id", vector_to_array("features").alias("f")).collect()
     got = {(r.id, vocabulary[k]): v for r in out for k, v in enumerate(r.f) if v}
@@ -165,3 +171,45 @@ def test_review_scores_cover_all_reviews(spark):
     rows = run(spark, "review_scores").collect()
     assert len(rows) == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
     assert {r.customer_type for r in rows} <= {"Detractor", "Neutral", "Promoter"}
+
+
+def test_gaussian_naive_bayes_by_hand(spark):
+    """Class-wise normal densities with variances raised as for standardised features; a constant feature adds nothing."""
+    rows = [(1.0, 0.0, 5.0, 0), (3.0, 0.0, 5.0, 0), (2.0, 1.0, 5.0, 0), (6.0, 1.0, 5.0, 1), (8.0, 1.0, 5.0, 1), (0.0, 0.0, 5.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y int")
+    model = NB.fit_gaussian(df, ["a", "b", "c"], "y")
+    assert NB.GaussianModel.from_json(model.to_json()) == model
+    known = [r for r in rows if r[3] is not None]
+
+    def log_joint(row, y):
+        mine = [r for r in known if r[3] == y]
+        out = math.log(len(mine) / len(known))
+        for i in range(3):
+            xs, every = [r[i] for r in mine], [r[i] for r in known]
+            var = statistics.pvariance(xs) + 1e-9 * (statistics.pvariance(every) or 1.0)
+            out -= 0.5 * (math.log(2 * math.pi * var) + (row[i] - statistics.fmean(xs)) ** 2 / var)
+        return out
+
+    ask = [(2.0, 0.0, 5.0), (4.0, 1.0, 5.0), (4.5, 1.0, 5.0), (100.0, 1.0, 5.0)]
+    got = model.transform(spark.createDataFrame(ask, "a double, b double, c double")).orderBy("a").collect()
+    for r, row in zip(got, sorted(ask), strict=True):
+        a, b = log_joint(row, 0), log_joint(row, 1)
+        want = 1 / (1 + math.exp(min(a - b, 700)))
+        assert r.probability[1] == pytest.approx(want, abs=1e-9) and r.prediction == float(want > .5)
+
+
+def test_multinomial_naive_bayes_by_hand(spark):
+    rows = [("1", "red fox red", "p"), ("2", "blue fox", "n"), ("3", "blue sky", "n"), ("4", "red", None)]
+    df = spark.createDataFrame(rows, "id string, review_text string, label string")
+    model = S.train_naive_bayes(df, "id", "label")
+    weight = {(r.id, r.term): r.tfidf for r in S.tfidf(df, "id", "review_text").collect()}
+    label, terms = {r[0]: r[2] for r in rows}, sorted({t for _, t in weight})
+    total = {y: {t: 1 + sum(w for (d, x), w in weight.items() if x == t and label[d] == y) for t in terms} for y in "np"}
+    assert model.classes == ["n", "p"]
+    for r in S.score_naive_bayes(model, df, "id", score_class="p").collect():
+        logs = [math.log({"n": 2, "p": 1}[y] / 3) + sum(w * math.log(total[y][t] / sum(total[y].values())) for (d, t), w in weight.items() if d == r.id)
+                for y in "np"]
+        want = 1 / (1 + math.exp(logs[0] - logs[1]))
+        assert r.sentiment_score == pytest.approx(want, abs=1e-9) and r.sentiment == ("p" if want > .5 else "n")
+    unknown = spark.createDataFrame([("9", "never seen"), ("10", None)], "id string, review_text string")
+    assert [r.sentiment_score for r in S.score_naive_bayes(model, unknown, "id", score_class="p").collect()] == [pytest.approx(1 / 3)] * 2
