@@ -61,8 +61,13 @@ ONE_HOT_PREFIXES = ("cat__product_class_", "cat__job_type_", "cat__region_",
                     "cat__loyalty_type_", "cat__email_provider_")
 # --- end of fixed values -----------------------------------------------------
 
-# Greatest depth of trees; the fits take it as an argument, Spark allows 30.
-TREE_DEPTH = 10
+# Greatest depth of trees, Spark's own limit; the fits take it as an argument.
+TREE_DEPTH = 30
+# Depth of the forests over all propensity periods (one per offer or category on
+# some 225,000 rows at sf0.01); README has the times.
+PERIOD_TREE_DEPTH = 10
+# Memory in which node statistics of one pass are gathered per task: deep forests need fewer passes with more.
+TREE_MEMORY_MB = 512
 # Type in which money is summed: exact to six decimals.
 MONEY_TYPE = "decimal(28,6)"
 

@@ -35,12 +35,16 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
 def estimator(kind: str, label: str, features: str = "scaled", weight: str | None = None,
               seed: int = C.SEED, num_trees: int = C.N_TREES, n_rows: int | None = None,
               max_depth: int = C.TREE_DEPTH):
-    """A classifier. ``max_depth`` bounds trees (Spark allows up to 30)."""
+    """A classifier. ``max_depth`` bounds trees (Spark allows up to 30).
+
+    Rows remember the node they have reached (``cacheNodeIds``, checkpointed in the
+    shared folder), so a deep level costs no walk from the root.
+    """
+    deep = dict(maxDepth=max_depth, seed=seed, cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=C.TREE_MEMORY_MB)
     if kind == "rf":
-        e = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=num_trees,
-                                   maxDepth=max_depth, seed=seed)
+        e = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=num_trees, **deep)
     elif kind == "dt":
-        e = DecisionTreeClassifier(featuresCol=features, labelCol=label, maxDepth=max_depth, seed=seed)
+        e = DecisionTreeClassifier(featuresCol=features, labelCol=label, **deep)
     elif kind == "lr":
         # sklearn's C=1 penalises the summed loss; Spark's regParam the mean loss
         e = LogisticRegression(featuresCol=features, labelCol=label, maxIter=1000,

@@ -33,6 +33,18 @@ NUM_CTES = dict(TOP_CTE, **{
         f"SELECT order_id, product_id, 'cat__{c}_' || coalesce(CAST({c} AS VARCHAR), 'missing') AS feature FROM x_em"
         for c in CAT),
 })
+#: The same numbers without the full merge: the kept line of each (order, product), five columns, scalar statistics.
+FIVE_CTES = {
+    "y_line": """SELECT order_id, product_id, any_value(customer_id) AS customer_id,
+  min({'a': store_id, 'b': direction, 'c': gross_price, 'd': price_reduction}).d AS price_reduction FROM f_orders GROUP BY 1, 2""",
+    "y_five": """SELECT order_id, product_id, price_reduction AS a, flag_phone_provided AS b, CAST(loyatlty_status AS DOUBLE) AS c
+  FROM y_line LEFT JOIN f_customers USING (customer_id) LEFT JOIN f_accounts USING (customer_id)""",
+    "y_fill": "SELECT order_id, product_id, " + ", ".join(
+        f"coalesce({x}, (SELECT quantile_cont({x}, 0.5) FROM y_five)) AS {x}" for x in "abc") + " FROM y_five",
+}
+SCALED_SQL = "SELECT order_id, product_id, " + ", ".join(
+    f"({x} - (SELECT avg({x}) FROM y_fill)) / (SELECT coalesce(nullif(stddev_pop({x}), 0), 1.0) FROM y_fill) AS num__{name}"
+    for x, name in zip("abc", NUM, strict=True)) + " FROM y_fill"
 NUM_FEATURES = ["num__price_reduction", "num__flag_phone_provided", "num__loyatlty_status"]
 
 
@@ -46,7 +58,7 @@ def email_top3(c: Ctx):
     return _merged_email(c).select(*KEYS, "email_provider")
 
 
-@query("impute_scale", extra_ctes=NUM_CTES, doubles=NUM_FEATURES, sql="SELECT * FROM x_num")
+@query("impute_scale", extra_ctes=FIVE_CTES, doubles=NUM_FEATURES, sql=SCALED_SQL)
 def impute_scale(c: Ctx):
     p = FE.fit_preprocessor(c.merged, NUM, [], [], email_col=None)
     return p.transform(c.merged, KEYS)

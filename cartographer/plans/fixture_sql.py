@@ -82,7 +82,7 @@ SELECT labelled_reviews_index, review_text, sentiment_label,
 
 
 #: CTEs that several parts of a query read.
-MATERIALIZED = {"x_imp"}
+MATERIALIZED = {"x_imp", "y_line", "y_five", "y_fill"}
 
 
 def with_ctes(body: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:

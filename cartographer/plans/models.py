@@ -51,16 +51,30 @@ def _prep(train):
     return FE.fit_preprocessor(train, NUMERIC, CATEGORICAL, ["gender"], email_col="email_provider")
 
 
+#: Fits that several queries use, kept for the application and the input they belong to.
+_FITTED: dict[tuple, tuple] = {}
+
+
+def _mark(c: Ctx) -> tuple:
+    return c.spark.sparkContext.applicationId, fingerprint(c.spark, [f"{c.sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "customer", "part")])
+
+
 def _holdout(c: Ctx, kinds) -> DataFrame:
     """Hold-out rows with the churn probability of each kind of model, fitted on one split."""
     from ..session import cut_lineage
     d = io.split(_churn_set(c), C.TEST_FRACTION, "customer_id", "window_start")
     train = d.where(~F.col("is_test"))
-    p = _prep(train)
     keys = ["customer_id", "window_start", "churned"]
-    x = cut_lineage(p.transform(train, keys, safe=True))
+    mark = ("churn", *_mark(c))
+    if mark not in _FITTED:
+        p = _prep(train)
+        _FITTED[mark] = p, cut_lineage(p.transform(train, keys, safe=True)), {}
+    p, x, models = _FITTED[mark]
+    for k in kinds:
+        if k not in models:
+            models[k] = Mo.fit(x, p.feature_names(safe=True), "churned", k, checkpoint=False)
     test = p.transform(d.where(F.col("is_test")), keys, safe=True)
-    return _scored(test, {k: Mo.fit(x, p.feature_names(safe=True), "churned", k, checkpoint=False) for k in kinds}, keys)
+    return _scored(test, {k: models[k] for k in kinds}, keys)
 
 
 def _scored(x: DataFrame, models: dict, keys) -> DataFrame:
@@ -167,6 +181,16 @@ def churn_model_comparison(c: Ctx):
     return reduce(DataFrame.unionByName, rows)
 
 
+@query("churn_model_confusion")
+def churn_model_confusion(c: Ctx):
+    """Confusion matrix of each of the four fitted models on the hold-out rows."""
+    from ..session import cut_lineage
+    d = cut_lineage(_holdout(c, CHURN_KINDS))
+    rows = [M.confusion_matrix(d.withColumn("_p", (F.col(f"churn_probability_{k}") > 0.5).cast("int")), "churned", "_p")
+            .select(F.lit(k).alias("model"), "*") for k in CHURN_KINDS]
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query("churn_model_curves")
 def churn_model_curves(c: Ctx):
     """ROC and precision-recall points of the four fitted models on the hold-out rows."""
@@ -206,7 +230,7 @@ def _propensity_fit(c: Ctx, cond):
     if not quality.check_binary_label(train, "target"):
         return p, None, test
     tw = Mo.class_weights(p.transform(train, PROPENSITY_KEYS, safe=True), "target")
-    return p, Mo.fit(tw, p.feature_names(safe=True), "target", "rf", weight="weight"), test
+    return p, Mo.fit(tw, p.feature_names(safe=True), "target", "rf", weight="weight", max_depth=C.PERIOD_TREE_DEPTH), test
 
 
 @query("propensity_rf")
@@ -248,9 +272,6 @@ def next_best_offer_models(c: Ctx):
     return P.next_best_offer(v, list(OFFERS))
 
 
-_FITTED: dict[tuple, tuple] = {}
-
-
 def _category_models(c: Ctx):
     """Preprocessor, one balanced forest per category on one training frame, and the hold-out frame.
 
@@ -259,7 +280,7 @@ def _category_models(c: Ctx):
     """
     from ..session import cut_lineage
     base = io.split(P.multi_period_training_set(c.lines), C.TEST_FRACTION, "customer_id", "window_start")
-    mark = (c.spark.sparkContext.applicationId, fingerprint(c.spark, [f"{c.sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "customer", "part")]))
+    mark = _mark(c)
     if mark in _FITTED:
         return _FITTED[mark]
     base = cut_lineage(base.join(_attributes(c), "customer_id", "left"))
@@ -278,7 +299,8 @@ def _category_models(c: Ctx):
         y = F.array_contains("target_categories", cat)
         d = x.withColumn("target", y.cast("int")).withColumn(
             "weight", F.when(y, total / (2 * pos[cat])).otherwise(total / (2 * (total - pos[cat]))))
-        return cat, Mo.fit(d, p.feature_names(safe=True), "target", "rf", weight="weight", checkpoint=False)
+        return cat, Mo.fit(d, p.feature_names(safe=True), "target", "rf", weight="weight", checkpoint=False,
+                           max_depth=C.PERIOD_TREE_DEPTH)
 
     # independent fits: submitted from a few driver threads so their jobs share the cluster
     from concurrent.futures import ThreadPoolExecutor

@@ -50,17 +50,17 @@ def small_forests(monkeypatch):
     """Ten trees do for these tests; the default stays a hundred."""
     own = Mo.estimator
 
-    def small(kind, label, features="scaled", weight=None, seed=1, num_trees=10, n_rows=None, max_depth=10):
+    def small(kind, label, features="scaled", weight=None, seed=1, num_trees=10, n_rows=None, max_depth=30):
         return own(kind, label, features, weight, seed, min(num_trees, 10), n_rows, max_depth)
 
     monkeypatch.setattr(Mo, "estimator", small)
     yield own
 
 
-def test_forests_have_a_hundred_trees_by_default(small_forests):
+def test_forests_have_a_hundred_trees_by_default(spark, small_forests):
     forest = small_forests("rf", "y")
-    assert forest.getNumTrees() == 100 and forest.getMaxDepth() == 10
-    assert small_forests("rf", "y", max_depth=30).getMaxDepth() == 30
+    assert forest.getNumTrees() == 100 and forest.getMaxDepth() == 30 and forest.getCacheNodeIds()
+    assert small_forests("rf", "y", max_depth=7).getMaxDepth() == 7
 
 
 def run(spark, key):
@@ -213,3 +213,21 @@ def test_multinomial_naive_bayes_by_hand(spark):
         assert r.sentiment_score == pytest.approx(want, abs=1e-9) and r.sentiment == ("p" if want > .5 else "n")
     unknown = spark.createDataFrame([("9", "never seen"), ("10", None)], "id string, review_text string")
     assert [r.sentiment_score for r in S.score_naive_bayes(model, unknown, "id", score_class="p").collect()] == [pytest.approx(1 / 3)] * 2
+
+
+def test_trees_grow_beyond_ten_levels(spark):
+    """A staircase that alternates between the classes needs a deep tree."""
+    df = spark.range(1 << 12).selectExpr("cast(id % 4096 as double) as a", "cast((id div 2) % 2 as int) as y")
+    features = {f"b{i}": (F.col("a").cast("int").bitwiseAND(1 << i) > 0).cast("double") for i in range(12)}
+    parity = sum((F.col(f"b{i}") for i in range(1, 12)), F.col("b0")) % 2
+    df = df.withColumns(features).withColumn("y", parity.cast("int"))
+    model = Mo.fit(df, list(features), "y", "dt")
+    assert model.stages[-1].depth >= 12
+    right = Mo.score(model, df, ["y"]).where("prediction = y").count()
+    assert right == df.count()
+
+
+def test_confusion_of_every_fitted_model(spark):
+    rows = run(spark, "churn_model_confusion").collect()
+    total = run(spark, "churn_model_comparison").count() and {r.model: 0 for r in rows}
+    assert set(total) == {"rf", "lr", "nb", "dt"} and len(rows) == 16
