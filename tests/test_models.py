@@ -216,15 +216,15 @@ def test_multinomial_naive_bayes_by_hand(spark):
 
 
 def test_trees_grow_beyond_ten_levels(spark):
-    """A staircase that alternates between the classes needs a deep tree."""
-    df = spark.range(1 << 12).selectExpr("cast(id % 4096 as double) as a", "cast((id div 2) % 2 as int) as y")
-    features = {f"b{i}": (F.col("a").cast("int").bitwiseAND(1 << i) > 0).cast("double") for i in range(12)}
-    parity = sum((F.col(f"b{i}") for i in range(1, 12)), F.col("b0")) % 2
-    df = df.withColumns(features).withColumn("y", parity.cast("int"))
-    model = Mo.fit(df, list(features), "y", "dt")
-    assert model.stages[-1].depth >= 12
-    right = Mo.score(model, df, ["y"]).where("prediction = y").count()
-    assert right == df.count()
+    """A list of decisions, one bit after the other, needs a level for each."""
+    df = spark.range(1 << 13).select("id", *[((F.shiftright("id", i) % 2) == 1).cast("double").alias(f"b{i}") for i in range(13)])
+    label = F.lit(0)
+    for i in reversed(range(13)):
+        label = F.when(F.col(f"b{i}") == 1, i % 2).otherwise(label)
+    df = df.withColumn("y", label.cast("int"))
+    model = Mo.fit(df, [f"b{i}" for i in range(13)], "y", "dt")
+    assert model.stages[-1].depth > 10
+    assert Mo.score(model, df, ["y"]).where("prediction = y").count() == df.count()
 
 
 def test_confusion_of_every_fitted_model(spark):
