@@ -29,6 +29,10 @@ MERGED_COLS = (ORDER_COLS + ["product_class"] + CUSTOMER_COLS[1:] + ADDRESS_COLS
                + ACCOUNT_COLS)
 
 
+#: Left rows of one text that a task joins at most, about.
+HOT_ROWS = 100_000
+
+
 def keep_first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per ``keys``: the row whose remaining columns, compared in column
     order with nulls first, are smallest (a total order standing in for the
@@ -115,10 +119,33 @@ def orders_with_reviews(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     return orders.join(reviews, "customer_id", "left")
 
 
+def join_on_text(left: DataFrame, right: DataFrame, col: str) -> DataFrame:
+    """``left`` ⟕ ``right`` on equality of a long text; null texts match nothing and are not shuffled.
+
+    Rows meet by a digest of the text, and the texts are compared where digests agree. A
+    digest of more than ``HOT_ROWS`` left rows is dealt over several salts, its right rows are
+    copied to each; there are at most (left rows / ``HOT_ROWS``) such digests, which bounds
+    the broadcast. All other rows have salt 0.
+    """
+    digest = F.md5(F.col(col))
+    hot = (left.where(F.col(col).isNotNull()).groupBy(digest.alias("_digest")).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > HOT_ROWS).select("_digest", F.ceil(F.col("_n") / HOT_ROWS).alias("_salts")))
+    spread = F.pmod(F.xxhash64(*[c for c in left.columns if c != col]), F.coalesce("_salts", F.lit(1)))
+    a = (left.where(F.col(col).isNotNull()).withColumn("_digest", digest).join(F.broadcast(hot), "_digest", "left")
+         .withColumn("_salt", spread).drop("_salts"))
+    b = (right.where(F.col(col).isNotNull()).withColumn("_digest", digest).join(F.broadcast(hot), "_digest", "left")
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+         .withColumnRenamed(col, "_text"))
+    matched = a.join(b, [a["_digest"] == b["_digest"], a["_salt"] == b["_salt"], a[col] == b["_text"]], "left").select(
+        *[a[c] for c in left.columns], *[b[c] for c in right.columns if c != col])
+    missing = left.where(F.col(col).isNull()).select("*", *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns if c != col])
+    return matched.unionByName(missing)
+
+
 def review_sentiment_join(reviews: DataFrame, labelled: DataFrame) -> DataFrame:
     """Reviews ⟕ labelled sentiment on text equality (null text never matches)."""
     s = sentiment_scores(labelled).select("review_text", "sentiment_score")
-    return reviews.join(s, "review_text", "left")
+    return join_on_text(reviews, s, "review_text")
 
 
 def product_class_lookup(products: DataFrame) -> DataFrame:

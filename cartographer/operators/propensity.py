@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -91,14 +91,27 @@ def vpo(p: Column, npv: Column, cost: Column) -> Column:
     return F.when(p.between(0, 1), p * npv - cost)
 
 
-def offer_values(scores: DataFrame, offers: dict[str, str], values: DataFrame) -> DataFrame:
-    """Long (customer_id, offer, probability, vpo): one row per customer and
-    offer; ``offers`` maps offer name -> probability column, ``values`` holds
-    (target, npv, cost) per offer (one row per offer, broadcast)."""
+def _offers(scores: DataFrame, offers: dict[str, str], values: DataFrame) -> DataFrame:
     arr = F.array(*[F.struct(F.lit(o).alias("offer"), F.col(c).cast("double").alias("probability"))
                     for o, c in offers.items()])
     long = scores.select("customer_id", F.inline(arr))
-    j = long.join(F.broadcast(values), long.offer == values.target)
+    return long.join(F.broadcast(values), long.offer == values.target)
+
+
+def offer_values(scores: DataFrame, offers: dict[str, str], values: DataFrame, counters: Observation | None = None) -> DataFrame:
+    """Long (customer_id, offer, probability, vpo): one row per customer and
+    offer; ``offers`` maps offer name -> probability column, ``values`` holds
+    (target, npv, cost) per offer (one row per offer, broadcast).
+
+    With ``counters`` the job that uses the result also counts what is worth a warning:
+    rows, probabilities outside [0, 1] (their value is null), negative npv and negative cost.
+    """
+    j = _offers(scores, offers, values)
+    if counters is not None:
+        count = lambda c: F.coalesce(F.sum(c.cast("bigint")), F.lit(0).cast("bigint"))
+        p = F.col("probability")
+        j = j.observe(counters, F.count(F.lit(1)).alias("rows"), count((p < 0) | (p > 1)).alias("invalid_probabilities"),
+                      count(F.col("npv") < 0).alias("negative_npv"), count(F.col("cost") < 0).alias("negative_cost"))
     return j.select("customer_id", "offer", "probability",
                     vpo(F.col("probability"), F.col("npv"), F.col("cost")).alias("vpo"))
 

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 from pyspark.sql.window import Window
 
+from ..session import cut_lineage
 from .quantiles import quantile_table
 
+#: Repeated digests (two longs each) that are broadcast at most.
+BROADCAST_DIGESTS = 1_000_000
+
 
 def _stack(df: DataFrame, names: Sequence[str], value_type: str = "bigint") -> str:
     parts = ", ".join(f"'{n}', CAST(`{n}` AS {value_type})" for n in names)
@@ -28,9 +32,28 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def _with_digest(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Adds a 128-bit digest of ``cols``; equal rows have equal digests, nulls included."""
+    return df.withColumns({"_d1": F.xxhash64(F.lit(1), *cols), "_d2": F.xxhash64(F.lit(2), *cols)})
+
+
+def _split_repeated(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose digest of ``cols`` occurs again, and the others.
+
+    Only digests are counted over all rows. Up to ``BROADCAST_DIGESTS`` repeated ones are
+    broadcast, so whole rows stay where they are; more are joined by a shuffle.
+    """
+    d = _with_digest(df, cols)
+    repeated = cut_lineage(d.groupBy("_d1", "_d2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("_d1", "_d2"))
+    if repeated.count() <= BROADCAST_DIGESTS:
+        repeated = F.broadcast(repeated)
+    return (d.join(repeated, ["_d1", "_d2"], "left_semi").drop("_d1", "_d2"),
+            d.join(repeated, ["_d1", "_d2"], "left_anti").drop("_d1", "_d2"))
+
+
 def duplicate_row_count(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier identical row (all columns)."""
-    g = df.groupBy(*df.columns).count()
+    """Rows that repeat an earlier identical row (all columns); whole rows are compared among those of one digest."""
+    g = _split_repeated(df, df.columns)[0].groupBy(*df.columns).count()
     return g.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint")
                  .alias("duplicate_rows"))
 
@@ -70,17 +93,21 @@ def distinct_preview(df: DataFrame, n: int = 5) -> DataFrame:
 def duplicates(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """All members of duplicate groups (``keep=False``) on ``cols`` or all columns.
 
-    Duplicate keys come from a partial aggregate; rows are then kept with a
-    null-safe semi join, so a hot key is never gathered by a window.
+    Rows of a repeated digest are kept first; among them duplicate keys come from a
+    partial aggregate and rows from a null-safe semi join, so a hot key is never
+    gathered by a window.
     """
     cols = list(cols or df.columns)
-    keys = df.groupBy(*cols).count().where(F.col("count") > 1).drop("count")
-    cond = [df[c].eqNullSafe(keys[c]) for c in cols]
-    return df.join(keys, cond, "left_semi")
+    some = _split_repeated(df, cols)[0]
+    keys = some.groupBy(*cols).count().where(F.col("count") > 1).drop("count")
+    cond = [some[c].eqNullSafe(keys[c]) for c in cols]
+    return some.join(keys, cond, "left_semi")
 
 
 def dedup_exact(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+    """One row of each; rows whose digest is their own are passed on as they are."""
+    repeated, alone = _split_repeated(df, df.columns)
+    return alone.unionAll(repeated.dropDuplicates())
 
 
 def distinct_count(df: DataFrame, col: str, approx: bool = False) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -123,6 +124,23 @@ def vpo(c: Ctx):
     return _values(c)
 
 
+@query("vpo_counters", extra_ctes=VALUE_CTES, sql=" UNION ALL ".join(["SELECT " + ", ".join([
+    "count(*) AS rows", "count(*) FILTER (p < 0 OR p > 1) AS invalid_probabilities", "count(*) FILTER (npv < 0) AS negative_npv",
+    "count(*) FILTER (cost < 0) AS negative_cost"]) + " FROM (" + " UNION ALL ".join(
+        f"SELECT s.{col} * 1.25 - 0.125 AS p, v.npv, v.npv - v.cost * 60 AS cost FROM f_scores s JOIN x_npv v ON v.target = '{o}'"
+        for o, col in OFFERS.items()) + ") t"]))
+def vpo_counters(c: Ctx):
+    """Warning counts of an offer valuation, gathered by the job that values the offers.
+
+    Scores are stretched beyond [0, 1] and costs lowered below 0 for some offers, as uncalibrated inputs would be.
+    """
+    stretched = c.scores.withColumns({col: F.col(col) * 1.25 - 0.125 for col in OFFERS.values()})
+    values = _npv(c).withColumn("cost", F.col("npv") - F.col("cost") * 60)
+    counters = Observation()
+    P.offer_values(stretched, OFFERS, values, counters).write.format("noop").mode("overwrite").save()
+    return c.spark.createDataFrame([counters.get], "rows bigint, invalid_probabilities bigint, negative_npv bigint, negative_cost bigint")
+
+
 NEXT_SQL = f"""
 SELECT customer_id, offer, probability, vpo FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY coalesce(vpo, '-inf'::DOUBLE) DESC,

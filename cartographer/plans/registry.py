@@ -79,7 +79,8 @@ class Ctx:
         inputs = [f"{self.sf_dir.rstrip('/')}/{t}.parquet"
                   for t in ("lineitem", "orders", "part", "customer", "nation", "region")]
         return prepared(self.spark, "merged_data", inputs, self.build_merged,
-                        sort_within=["customer_id", "purchase_datetime"], code=[joins, fixtures])
+                        sort_within=["customer_id", "purchase_datetime"], code=[joins, fixtures],
+                        bucket_by="customer_id", sizes=lambda: self.orders.select("customer_id"))
 
     def build_merged(self) -> DataFrame:
         return joins.merged_data(self.orders, self.products, self.customers,

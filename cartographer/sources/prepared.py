@@ -17,10 +17,14 @@ from collections.abc import Callable, Sequence
 from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .tables import read_parquet
 
+#: A value may fill so many buckets' worth of rows, or this many rows, in one bucket.
+HOT_BUCKETS = 4
+SMALL_BUCKET = 1_000_000
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -61,17 +65,46 @@ def _complete(spark: SparkSession, folder: str) -> str | None:
     return next((c for c in copies if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{c}/_SUCCESS"))), None)
 
 
+def fits_buckets(rows: DataFrame, col: str, buckets: int) -> bool:
+    """Whether no value of ``col`` would make one bucket much larger than the others.
+
+    A bucket is read by one task, so a table with a value of more than
+    ``HOT_BUCKETS`` buckets' worth of rows keeps the plain layout, whose
+    aggregates combine map-side and whose joins AQE can split.
+    """
+    top = rows.groupBy(col).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
+    return (top[0] or 0) <= max(SMALL_BUCKET, HOT_BUCKETS * (top[1] or 0) / buckets)
+
+
+def _bucketed(spark: SparkSession, copy: str, col: str, sort: Sequence[str]) -> DataFrame:
+    """The copy as a table of the session's catalog, registered again in a new session."""
+    name, number = copy.rstrip("/").rsplit("/", 1)[-1].split("-b")
+    table = f"prepared_{name}"
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(copy).schema)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({col}) SORTED BY ({', '.join(sort)}) INTO {number} BUCKETS LOCATION '{copy}'")
+    return spark.table(table)
+
+
 def prepared(spark: SparkSession, name: str, inputs: Sequence[str], build: Callable[[], DataFrame],
-             sort_within: Sequence[str] = (), code: Sequence[ModuleType] = ()) -> DataFrame:
+             sort_within: Sequence[str] = (), code: Sequence[ModuleType] = (),
+             bucket_by: str | None = None, sizes: Callable[[], DataFrame] | None = None) -> DataFrame:
     """Read ``name`` for these inputs and this code, building and writing it first if needed.
 
-    Every writer has a folder of its own; a copy without marker is ignored,
-    never repaired, moved or deleted.
+    With ``bucket_by`` one file per hash bucket is written, as many as the session has
+    shuffle partitions, so grouping and joining by that column needs no shuffle; ``sizes``
+    gives rows with that column to check for a hot value. Every writer has a folder of its own;
+    a copy without marker is ignored, never repaired, moved or deleted.
     """
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/prepared/{name}-{fingerprint(spark, inputs)}-{code_version(code)}"
     copy = _complete(spark, folder)
     if copy is None:
         copy = f"{folder}/{uuid.uuid4().hex}"
-        df = build()
-        (df.sortWithinPartitions(*sort_within) if sort_within else df).write.parquet(copy)
-    return read_parquet(spark, copy)
+        df, buckets = build(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if bucket_by and fits_buckets(sizes() if sizes else df, bucket_by, buckets):
+            copy = f"{copy}-b{buckets}"
+            (df.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by).sortBy(*sort_within).format("parquet")
+             .option("path", copy).saveAsTable(f"prepared_{copy.rsplit('/', 1)[-1].split('-b')[0]}"))
+        else:
+            (df.sortWithinPartitions(*sort_within) if sort_within else df).write.parquet(copy)
+    return _bucketed(spark, copy, bucket_by, sort_within) if bucket_by and "-b" in copy.rsplit("/", 1)[-1] else read_parquet(spark, copy)

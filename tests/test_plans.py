@@ -26,3 +26,11 @@ def test_plan_shape(spark, key):
     plan = df._jdf.queryExecution().executedPlan().toString()
     found = [p for p in FORBIDDEN if re.search(p, plan)]
     assert not found, f"{key}: {found}"
+
+
+@pytest.mark.parametrize("key", ["rfm", "churn_features"])
+def test_customer_keyed_queries_read_buckets_without_a_shuffle(spark, key):
+    """The prepared table is bucketed by customer: no exchange on customer_id follows its scan."""
+    plan = QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    assert not re.search(r"Exchange hashpartitioning\(customer_id", plan)

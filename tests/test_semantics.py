@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from cartographer import config as C
@@ -19,6 +20,7 @@ from cartographer.operators import explore as X
 from cartographer.operators import joins
 from cartographer.operators import metrics as M
 from cartographer.operators import propensity as P
+from cartographer.operators import quality as Q
 from cartographer.operators import ranking as RK
 from cartographer.operators import rfm as R
 
@@ -346,3 +348,50 @@ def test_bitmap_counts_need_no_shuffle_of_bitmaps(spark):
     both = bits.join(F.broadcast(members), "item").groupBy("bucket", "k").agg(F.expr("bitmap_and_agg(bits)").alias("b"))
     plan = both._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(bucket#\d+L?, \d+\)", plan) and not re.search(r"hashpartitioning\(bucket#\d+L?, k#", plan)
+
+
+def test_text_join_with_a_third_of_the_rows_on_one_text(spark, monkeypatch):
+    """A hot text is dealt over salts, null texts match nothing, repeated labels fan out."""
+    monkeypatch.setattr(joins, "HOT_ROWS", 10)
+    left = [(str(i), "hot" if i % 3 == 0 else f"text {i % 50}" if i % 7 else None) for i in range(300)]
+    right = [("hot", "positive"), ("hot", "negative"), ("text 5", "neutral"), (None, "positive"), ("other", "positive")]
+    a = spark.createDataFrame(left, "review_id string, review_text string")
+    b = spark.createDataFrame(right, "review_text string, sentiment_label string")
+    got = Counter(tuple(r) for r in joins.review_sentiment_join(a, b).select("review_id", "review_text", "sentiment_score").collect())
+    score = {"positive": 1, "neutral": 0, "negative": -1}
+    want = Counter()
+    for i, t in left:
+        found = [score[y] for x, y in right if t is not None and x == t]
+        want.update((i, t, s) for s in found or [None])
+    assert got == want
+    plan = joins.join_on_text(a, b, "review_text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "_digest" in plan
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_duplicates_by_digest(spark, monkeypatch, limit):
+    """Nulls in different columns, copies and near copies; digests broadcast and shuffled."""
+    monkeypatch.setattr(Q, "BROADCAST_DIGESTS", limit)
+    rows = [(1, None, "a"), (None, 1, "a"), (1, None, "a"), (2, 2, None), (2, 2, None), (2, 2, None), (3, 3, "b"), (3, 3, "c")]
+    df = spark.createDataFrame(rows, "x int, y int, z string")
+    assert Q.duplicate_row_count(df).first()[0] == 3
+    assert Counter(map(tuple, Q.dedup_exact(df).collect())) == Counter(set(rows))
+    assert Counter(map(tuple, Q.duplicates(df).collect())) == Counter({(1, None, "a"): 2, (2, 2, None): 3})
+    assert Counter(map(tuple, Q.duplicates(df, ["x", "y"]).collect())) == Counter({(1, None, "a"): 2, (2, 2, None): 3, (3, 3, "b"): 1, (3, 3, "c"): 1})
+    assert Q.dedup_exact(df.limit(0)).count() == Q.duplicate_row_count(df.limit(0)).first()[0] == 0
+
+
+def test_whole_rows_are_not_shuffled_for_duplicates(spark):
+    """Rows with a digest of their own pass without an exchange of their columns."""
+    df = spark.range(1000).selectExpr("id", "repeat('x', 100) || id AS wide")
+    plan = Q._split_repeated(df, df.columns)[1]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_offer_warnings_are_counted(spark):
+    scores = spark.createDataFrame([("a", 0.5), ("b", 1.5), ("c", -0.1), ("d", None)], "customer_id string, p double")
+    values = spark.createDataFrame([("o", -1.0, 2.0)], "target string, npv double, cost double")
+    seen = Observation()
+    rows = P.offer_values(scores, {"o": "p"}, values, seen).collect()
+    assert seen.get == {"rows": 4, "invalid_probabilities": 2, "negative_npv": 4, "negative_cost": 0}
+    assert {r.customer_id: r.vpo for r in rows} == {"a": -2.5, "b": None, "c": None, "d": None}
