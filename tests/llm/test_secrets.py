@@ -1,7 +1,9 @@
 import hashlib
 import itertools
 import math
+import random
 import re
+import time
 
 import pytest
 from tables import SF_SMALL
@@ -41,16 +43,42 @@ def test_base_patterns(text):
     assert secrets.base_spans(text) == brute_base(text)
 
 
-def least_cost(value):
-    """All segmentations of a short value, by the same prices."""
-    n = len(value)
+def price(part):
+    """Least cost of a part as one segment of any kind."""
+    low = part.lower()
+    plain = "".join(secrets.LEET.get(c, c) for c in low)
+    options = [sum(map(secrets._char_cost, part)) + sum(
+        math.log10(2) for a, b in itertools.pairwise(part) if secrets._class_of(a) != secrets._class_of(b))]
+    word = plain if plain in secrets.RANKED else low
+    if len(part) >= 3 and word in secrets.RANKED:
+        capitals = sum(c.isupper() for c in part)
+        shapes = 1 if not capitals else 2 if capitals == len(part) or capitals == 1 and part[0].isupper() else (
+            math.comb(len(part), min(capitals, len(part) // 2)) + 1)
+        swaps = sum(a != b for a, b in zip(plain, low, strict=True))
+        # a shape of many kinds costs log10(ways) + 1, as the operator prices it
+        extra = math.log10(shapes) if shapes <= 2 else math.log10(shapes - 1 + 1)
+        options.append(secrets.RANKED[word] + extra + math.log10(2) * swaps)
+    if re.fullmatch(r"(19|20)\d\d", part):
+        options.append(math.log10(secrets.YEARS))
+    m = secrets.DATE.fullmatch(part)
+    if m and len(part) > 4:
+        options.append(math.log10(secrets.YEARS * 366) + (math.log10(5) if any(m.groups()) else 0))
+    for size in range(1, len(part) // 2 + 1):
+        times, rest = divmod(len(part), size)
+        if not rest and times >= (3 if size == 1 else 2) and low == low[:size] * times:
+            block = min(sum(map(secrets._char_cost, part[:size])), secrets.RANKED.get(low[:size], math.inf))
+            options.append(block + math.log10(times))
+    keys = "".join(secrets.SHIFTED.get(c, c) for c in low)
+    ways = [secrets.NEIGHBOURS.get(a, {}).get(b) for a, b in itertools.pairwise(keys)]
+    if len(part) >= 3 and None not in ways:
+        turns = 1 + sum(a != b for a, b in itertools.pairwise(ways))
+        options.append(math.log10(47 * len(part)) + turns * math.log10(4))
+    return min(options)
 
-    def price(part):
-        cost = sum(map(secrets._char_cost, part)) + sum(
-            math.log10(2) for a, b in itertools.pairwise(part) if secrets._class_of(a) != secrets._class_of(b))
-        return min(cost, secrets.RANKED.get(part, math.inf))
 
-    best = math.inf
+def least_cost(value):
+    """All segmentations of a short value."""
+    n, best = len(value), math.inf
     for cuts in range(2 ** (n - 1)):
         at, total = 0, 0.0
         for i in range(1, n + 1):
@@ -61,14 +89,50 @@ def least_cost(value):
     return best
 
 
-@pytest.mark.parametrize("value", ["password", "loverk9", "mxadminq", "k9#mQ2", "thecatb"])
-def test_segmentation_is_no_dearer_than_any_of_words_and_brute_force(value):
+@pytest.mark.parametrize("value", ["password", "loverk9", "mxadminq", "k9#mQ2", "thecatb", "P@ssw0rd1", "aaaaaaab", "abcabcabc", "qwerty12", "2024-01-15",
+                                   "zaq1xsw2", "x20241231", "LoVeTesT", "aa1aa1aa1", "qwertyqwe", "19992000", "!@#$%^aa", "nulll", "tokenn9"])
+def test_segmentation_is_the_least_of_all(value):
     cost, parts = secrets.segment(value)
-    assert cost <= least_cost(value) + 1e-9
+    assert cost == pytest.approx(least_cost(value), abs=1e-9)
+    assert sum(price(value[s:e]) + secrets.SEGMENT_COST for _, s, e in parts) == pytest.approx(cost, abs=1e-9)
     assert parts[0][1] == 0 and parts[-1][2] == len(value)
     assert all(a[2] == b[1] for a, b in itertools.pairwise(parts))
 
 
+def test_random_values_against_all_segmentations():
+    rng = random.Random(8)
+    for _ in range(120):
+        value = "".join(rng.choice(["a", "b", "A", "1", "2", "0", "9", "q", "w", "e", "love", "!", "-", "19", "the"]) for _ in range(rng.randint(1, 5)))[:10]
+        cost, parts = secrets.segment(value)
+        assert cost == pytest.approx(least_cost(value), abs=1e-9), value
+
+
+def test_every_tail_is_that_value_alone():
+    value = "token:love2024qwertyaaaaP@ss"
+    whole = secrets.Segmentation(value)
+    assert [whole.tail[i] for i in range(len(value))] == pytest.approx([secrets.segment(value[i:])[0] for i in range(len(value))])
+
+
+def test_every_context_value_is_scored(spark):
+    """Values under base spans too: the cut is reached for each value of the table."""
+    folder = "/root/testdata/sf0.01"
+    want = {d: len(secrets.context_values(t)) for d, t in tables.small_documents(spark, folder)}
+    got = {r.doc_id: r for r in queries.op1_secrets(spark, folder).collect()}
+    assert {d: r.n_values for d, r in got.items()} == want and sum(want.values()) > 0
+    assert all((r.max_log10 is not None) == (r.n_values > 0) for r in got.values())
+    found = secrets.scored_values("password: changeme2024 token=aB3$xY9!qZ")
+    assert [(c < secrets.MIN_LOG10, p) for _, _, c, p in found] == [(True, "word:10:18,date:18:22"), (False, "brute:29:39")]
+
+
+@pytest.mark.parametrize("text", ["pass:" * 20_000, "token=x9" * 12_500, "secret:" + "a" * 100_000, "password: " + "qw" * 50_000, "pass is " * 12_500,
+                                  'token="' * 14_000, "key: pass " * 10_000, "pwd=" + "." * 100_000, "pwd:." * 20_000])
+def test_long_texts_take_linear_time(text):
+    at = time.perf_counter()
+    secrets.find_spans(text)
+    secrets._outside(text, secrets.context_values(text))
+    assert time.perf_counter() - at < 12
+
+
 def test_segment_kinds():
     kinds = lambda v: [k for k, _, _ in secrets.segment(v)[1]]
     assert kinds("changeme2024") == ["word", "date"]
