@@ -165,7 +165,7 @@ class Segmentation:
         brute, brute_to, step = math.inf, n, 0
         for i in range(n - 1, -1, -1):
             more = brute + (two if i + 1 < n and kinds[i] != kinds[i + 1] else 0.0)
-            if tail[i + 1] <= more:
+            if tail[i + 1] < more - 1e-12:  # of equal ones the longer span
                 brute, brute_to = tail[i + 1] + single[i], i + 1
             else:
                 brute = more + single[i]
