@@ -43,6 +43,9 @@ CACHE_WORDS = 1_000_000
 class WordIds(dict):
     """Ids (little-endian 32-bit bytes) of words split at ASCII white space, by their UTF-8 bytes.
 
+    Added tokens of the vocabulary file, such as ``<|endoftext|>``, are found first,
+    as the tokenizer finds them; a text is split there.
+
     The vocabulary's normaliser (NFC, white space, lower case) and splitter
     never join characters across white space, so a text's ids are those of
     its words in a row. Unknown words are split here and encoded once.
@@ -56,7 +59,11 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        if any(t.normalized or t.single_word for t in self.tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("added tokens are expected to match any place of the text as it is")
+        self.added = {c.encode(): struct.pack("<I", i) for c, i in added.items()}
+        self.splits = regex.compile(b"(" + b"|".join(regex.escape(c) for c in sorted(self.added, key=len, reverse=True)) + b")") if added else None
         self.model = self.tokenizer.model
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         # the printable stand-in of each byte; bytes above 127 read off two-byte characters
@@ -90,7 +97,11 @@ class WordIds(dict):
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode().split()))
+        line = text.encode()
+        if self.splits is None or not self.splits.search(line):
+            return b"".join(map(self.__getitem__, line.split()))
+        return b"".join(self.added[part] if part in self.added else b"".join(map(self.__getitem__, part.split()))
+                        for part in self.splits.split(line))
 
 
 _LOADED: dict[str, WordIds] = {}

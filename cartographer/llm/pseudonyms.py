@@ -24,7 +24,10 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import unicodedata
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,10 +39,23 @@ KINDS = ("email", "iban", "date", "ssn", "ip", "phone", "card")
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
 
-#: Letters and digits keep their class; other characters stay.
+#: Letters and digits keep their class (those of other scripts: block and category); other characters stay.
 ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
              "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7), "".join(chr(c) for c in range(0xC0, 0xDF) if c != 0xD7))
-CLASS = {c: a for a in ALPHABETS for c in a}
+CLASS = {c: (f"{i}*", a) for i, a in enumerate(ALPHABETS) for c in a}
+
+
+@cache
+def other_letters(block: int, category: str) -> tuple[str, str]:
+    """Name and members of a class of other letters or digits: those of a block of 256 code points and one category."""
+    found = (chr(c) for c in range(block << 8, block + 1 << 8) if not 0xD800 <= c < 0xE000)
+    return f"{block}{category}*", "".join(c for c in found if c not in CLASS and unicodedata.category(c) == category)
+
+
+def class_of(c: str) -> tuple[str, str] | None:
+    """Name and members of the class in which a letter or digit is permuted; None for any other character."""
+    return CLASS.get(c) or (other_letters(ord(c) >> 8, unicodedata.category(c)) if c.isalnum() else None)
+
 
 PATTERNS = {
     "email": re.compile(r"[\w.%+-]+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}(?![A-Za-z0-9])"),
@@ -63,6 +79,9 @@ IBAN_LENGTH = {country: size for size, countries in {
     22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
     27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 33: "RU",
 }.items() for country in countries.split()}
+#: Characters of a candidate number at most, and of an address before its @.
+LONGEST_NUMBER = 64
+LOCAL = re.compile(r"[\w.%+-]")
 #: What a text must hold for a pattern to be tried.
 DIGITS = re.compile(r"[0-9]")
 
@@ -120,6 +139,8 @@ def _written(like: str, new: str) -> str:
 
 class Pseudonyms:
     def __init__(self, key: bytes, restore: bool = False):
+        if not key:
+            raise ValueError("pseudonyms need a key")
         self.net, self.back = Feistel(key), restore
 
     def _digits(self, body: str, tweak: str) -> str:
@@ -127,20 +148,19 @@ class Pseudonyms:
 
     def _classes(self, text: str, tweak: str) -> str:
         """Permutes the letters and digits of ``text`` as one number in mixed radix."""
-        sets = [CLASS.get(c) for c in text]
+        classes = [class_of(c) for c in text]
         x, n, shape = 0, 1, []
-        for c, s in zip(text, sets, strict=True):
-            shape.append(c if s is None else str(ALPHABETS.index(s)) + "*")
-            if s is not None:
-                x, n = x * len(s) + s.index(c), n * len(s)
+        for c, of in zip(text, classes, strict=True):
+            shape.append(of[0] if of else c)
+            if of:
+                x, n = x * len(of[1]) + of[1].index(c), n * len(of[1])
         x = self.net.permute(x, n, (tweak + "|" + "".join(shape)).encode(), self.back)
         out = []
-        for c, s in zip(reversed(text), reversed(sets), strict=True):
-            if s is None:
-                out.append(c)
-            else:
-                x, at = divmod(x, len(s))
-                out.append(s[at])
+        for c, of in zip(reversed(text), reversed(classes), strict=True):
+            if of:
+                x, at = divmod(x, len(of[1]))
+                c = of[1][at]
+            out.append(c)
         return "".join(reversed(out))
 
     def email(self, m: re.Match) -> str:
@@ -222,7 +242,7 @@ class Pseudonyms:
         """
         if not text or not DIGITS.search(text) and "@" not in text:
             return text, []
-        found: list[tuple[int, int, str, str]] = []
+        found: list[tuple[int, int, str, str]] = []  # disjoint, in order
         for kind in KINDS:
             if kind == "email" and "@" not in text:
                 continue
@@ -230,18 +250,18 @@ class Pseudonyms:
                 self._numbers(text, kind, found)
                 continue
             at = 0
-            while m := PATTERNS[kind].search(text, at):
+            while m := _email(text, at) if kind == "email" else PATTERNS[kind].search(text, at):
                 if kind == "phone":
                     m = self._phone_end(text, m)
                 new = getattr(self, kind)(m)
                 at = m.end() if new is not None else m.start() + 1
-                if new is not None and not any(m.start() < e and s < m.end() for s, e, *_ in found):
-                    found.append((m.start(), m.end(), kind, new))
+                if new is not None and _free(found, m.start(), m.end()):
+                    insort(found, (m.start(), m.end(), kind, new))
         out, at = [], 0
-        for s, e, _, new in sorted(found):
+        for s, e, _, new in found:
             out += [text[at:s], new]
             at = e
-        return ("".join([*out, text[at:]]) if out else text), [k for _, _, k, _ in sorted(found)]
+        return ("".join([*out, text[at:]]) if out else text), [k for _, _, k, _ in found]
 
     def _phone_end(self, text: str, m: re.Match) -> re.Match:
         """The match cut at a space, where it holds a number and more."""
@@ -257,21 +277,38 @@ class Pseudonyms:
 
     def _numbers(self, text: str, kind: str, found: list) -> None:
         """Adds the spans of ``text`` that validate, among all candidates in their order."""
-        make, tried, taken = getattr(self, kind), [], [(s, e) for s, e, *_ in found]
+        make, tried = getattr(self, kind), []
         for s, e in (iban_candidates if kind == "iban" else card_candidates)(text):
-            if any(s < y and x < e for x, y in taken):
+            if not _free(found, s, e):
                 continue
             new = make(text[s:e])
             if new is None:
-                tried.append((s, e))
+                insort(tried, (s, e))
                 continue
-            near = [(x, y) for x, y in tried if s < y and x < e]
+            near = [(x, y) for x, y in tried[bisect_left(tried, (s - LONGEST_NUMBER, 0)):bisect_left(tried, (e, 0))] if s < y]
             low, high = min([s, *(x for x, _ in near)]), max([e, *(y for _, y in near)])
             # cycle walking: what failed before must fail beside the pseudonym too
             while any(make((text[low:s] + new + text[e:high])[x - low:y - low]) is not None for x, y in near):
                 new = make(new)
-            found.append((s, e, kind, new))
-            taken.append((s, e))
+            insort(found, (s, e, kind, new))
+
+
+def _free(found: list[tuple], start: int, end: int) -> bool:
+    """Whether no span of a sorted disjoint list overlaps [start, end)."""
+    at = bisect_right(found, start, key=lambda x: x[0])
+    return (not at or found[at - 1][1] <= start) and (at == len(found) or found[at][0] >= end)
+
+
+def _email(text: str, at: int) -> re.Match | None:
+    """The next address: from each @ back over the local part, so a long run of letters is read once."""
+    while (sign := text.find("@", at)) >= 0:
+        start = sign
+        while start > at and LOCAL.match(text[start - 1]):
+            start -= 1
+        if m := PATTERNS["email"].match(text, start):
+            return m
+        at = sign + 1
+    return None
 
 
 def iban_candidates(text: str) -> Iterator[tuple[int, int]]:

@@ -11,11 +11,17 @@ from pyspark.sql import functions as F
 from . import bloom_lm, imatch, language, mixing, packing, periodic, pseudonyms, quality, secrets, simhash, strata, substring, warc_zip
 from .common import table
 
-#: Key of the production pseudonyms; a deployment passes its own.
+#: Session setting that holds the key of the pseudonyms, and the key of sessions without it: public, for
+#: tests and trials only, as anyone can undo its pseudonyms.
+KEY_SETTING = "spark.cartographer.pseudonymKey"
 PSEUDONYM_KEY = "cartographer-pseudonyms-1"
 
-#: Vocabulary file of the packing query.
-VOCABULARY = os.environ.get("CARTOGRAPHER_VOCABULARY", "/opt/tokenizers/word_bpe_49k.json")
+
+def vocabulary() -> str:
+    """Vocabulary file of the packing query."""
+    import public_tokenizers
+
+    return os.environ.get("CARTOGRAPHER_VOCABULARY") or public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +29,7 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonyms.counted(pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY))
+    return pseudonyms.counted(pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), spark.conf.get(KEY_SETTING, PSEUDONYM_KEY)))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +47,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

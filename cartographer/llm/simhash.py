@@ -34,7 +34,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, map_arrow, map_columns, mix, texts
@@ -67,13 +67,18 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * total > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and the fingerprint as a signed long."""
+#: Column that holds a text's digest while rows are told apart; inputs don't have it.
+MARK = "simhash_text_md5"
 
-    def run(ids: list, text: list) -> list:
-        return [ids, np.array([fingerprint(t, shingle) for t in text], np.uint64).view(np.int64)]
 
-    return map_columns(texts(docs), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *others: str) -> DataFrame:
+    """doc_id, the fingerprint as a signed long, and the named other columns."""
+
+    def run(ids: list, text: list, *more: list) -> list:
+        return [ids, np.array([fingerprint(t, shingle) for t in text], np.uint64).view(np.int64), *more]
+
+    kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in others)
+    return map_columns(texts(docs, *others), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long{kinds}")
 
 
 def block_masks(max_bits: int) -> list[int]:
@@ -203,29 +208,38 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
+def component_least(prints: DataFrame, least: Column, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
+    """(fp, root) of every distinct fingerprint, and (root, least) of every component: the smallest value of ``least``."""
+    nodes = prints.groupBy("fp").agg(F.min(least).alias("least"))
+    stars = components(near_links(nodes.select("fp"), max_bits))
+    rooted = cut(nodes.join(stars, F.col("fp") == F.col("node"), "left")
+                 .select("fp", F.coalesce("root", "fp").alias("root"), "least"))
+    return rooted.select("fp", "root"), cut(rooted.groupBy("root").agg(F.min("least").alias("least")))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable) of every document."""
     prints = cut(fingerprints(docs, shingle))
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    stars = components(near_links(nodes.select("fp"), max_bits))
-    rooted = cut(nodes.join(stars, F.col("fp") == F.col("node"), "left")
-                 .select("fp", F.coalesce("root", "fp").alias("root"), "least_id"))
-    smallest = cut(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")))
-    named = rooted.select("fp", "root").join(smallest, "root").select(F.col("fp").alias("node"), "component_id")
+    rooted, least = component_least(prints, F.col("doc_id"), max_bits)
+    named = rooted.join(least, "root").select(F.col("fp").alias("node"), F.col("least").alias("component_id"))
     return (prints.join(named, F.col("fp") == F.col("node"))
             .select("doc_id", "fp", "component_id"))
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each component: that with its component's smallest id.
+    """One row of each component: the least by doc_id (nulls last), then by MD5 of the text (null: empty).
 
-    Of repeated rows with that id one stays. Rows with a null id can't be told
-    apart by it and all stay.
+    Rows are told apart by id and text, so rows that share an id but hold different texts
+    are judged each on its own component, and copies with a null id are reduced to one. Of
+    rows alike in id and text one stays, whichever.
     """
-    found = near_duplicates(docs, shingle, max_bits)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    marked = docs.withColumn(MARK, F.md5(F.coalesce("text", F.lit(""))))
+    prints = cut(fingerprints(marked, shingle, MARK))
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col(MARK).alias("mark"))
+    _, least = component_least(prints, order, max_bits)
+    keep = least.select(F.col("least.id").alias("_id"), F.col("least.mark").alias("_mark"))
+    first = marked.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(MARK) == F.col("_mark")), "left_semi")
+    return first.dropDuplicates(["doc_id", MARK]).select(*docs.columns)
 
 
 def digest(found: DataFrame) -> DataFrame:

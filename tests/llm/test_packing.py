@@ -13,9 +13,7 @@ from cartographer.llm import packing, queries
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(queries.VOCABULARY)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(queries.vocabulary())
 
 
 def check(tokenizer, docs, got, window=packing.WINDOW):
@@ -54,11 +52,11 @@ def test_query(spark, tokenizer):
 @pytest.mark.parametrize("window", [64, 4096])
 def test_awkward_rows(spark, tokenizer, window):
     rows = tables.awkward_rows()
-    check(tokenizer, tables.clean(rows), packing.pack(tables.frame(spark, rows), queries.VOCABULARY, window).collect(), window)
+    check(tokenizer, tables.clean(rows), packing.pack(tables.frame(spark, rows), queries.vocabulary(), window).collect(), window)
 
 
 def test_empty_table(spark):
-    assert packing.pack(tables.empty(spark), queries.VOCABULARY).count() == 0
+    assert packing.pack(tables.empty(spark), queries.vocabulary()).count() == 0
 
 
 def test_plan_equals_piece_by_piece():
@@ -97,10 +95,17 @@ def test_segment_tree():
 
 
 def test_word_ids_equal_the_tokenizer(tokenizer):
-    words = packing.WordIds(queries.VOCABULARY)
+    words = packing.WordIds(queries.vocabulary())
     rng = random.Random(1)
     parts = [chr(i) for i in range(1, 256)] + list("ΣσςİıßÄẞǅ가각한글漢字́̈ 　​🙂👍🏽ﬁ①Ⅷ१٣’") + [
         "'s", "'LL", "'re", " ", "\n", "<|endoftext|>", "don't", "ΟΔΟΣ ", "Word.", "two,,", "\x1c", "\x85"]
     for _ in range(5000):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
         assert np.frombuffer(words.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("text", ["x<|endoftext|>y", "<|startoftext|><|endoftext|>", "a <|endoftext|> b<|ENDOFTEXT|>c", "<|endoftext|", "İ<|startoftext|>ΣΑΣ",
+                                  "'s<|endoftext|>'s", "<|endoftext|><|endoftext|>\n"])
+def test_added_tokens_are_those_of_the_tokenizer(tokenizer, text):
+    ids = np.frombuffer(packing.word_ids(queries.vocabulary()).encode(text), "<u4").tolist()
+    assert ids == tokenizer.encode(text, add_special_tokens=False).ids

@@ -33,7 +33,7 @@ def test_run_matches_brute_force(spark):
     rows = [(r[0], redacted(r[1]), *r[2:]) for r in rows]
     text = {r[0]: r[1] for r in rows}
     drawn = Counter(k[0] for k, n in brute_mix(rows).items() for _ in range(n))
-    tokenizer = Tokenizer.from_file(queries.VOCABULARY)
+    tokenizer = Tokenizer.from_file(queries.vocabulary())
     want = Counter()
     for doc, n in drawn.items():
         ids = np.array([*tokenizer.encode(text[doc], add_special_tokens=False).ids, packing.END_ID], "<u4")

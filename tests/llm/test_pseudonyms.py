@@ -79,3 +79,98 @@ def test_numbers_before_other_words(text, number):
         assert len(kinds) == 1 and number not in new
         assert new.startswith(text[:text.index(number)]) and (number[0] == "+" or new.endswith(text[text.index(number) + len(number):]))
         assert pseudonyms.Pseudonyms(b"%d" % key, restore=True).replace(new) == (text, kinds)
+
+
+def brute_permutation(key, n, tweak):
+    """The keyed permutation as a table: cycle walking written out over every value of the covering square."""
+    net = pseudonyms.Feistel(key)
+    bits = max(1, ((n - 1).bit_length() + 1) // 2)
+    step = {}
+    for x in range(1 << 2 * bits):
+        left, right = x >> bits, x & ((1 << bits) - 1)
+        for i in range(pseudonyms.ROUNDS):
+            left, right = right, left ^ net._round(i, right, bits, tweak)
+        step[x] = left << bits | right
+    assert sorted(step.values()) == sorted(step)
+    out = []
+    for x in range(n):
+        y = step[x]
+        while y >= n:
+            y = step[y]
+        out.append(y)
+    return out
+
+
+@pytest.mark.parametrize("n", [2, 5, 26, 100, 255])
+def test_permutations_against_brute_force(n):
+    net = pseudonyms.Feistel(b"key")
+    assert [net.permute(x, n, b"t") for x in range(n)] == brute_permutation(b"key", n, b"t")
+
+
+def test_query_against_brute_force(spark):
+    """Every replacement of the table, recomputed value by value from plain patterns and the permutation's table-free form."""
+    import datetime
+    import re
+
+    net, first = pseudonyms.Feistel(queries.PSEUDONYM_KEY.encode()), datetime.date(1900, 1, 1).toordinal()
+    days = datetime.date(2100, 1, 1).toordinal() - first
+    docs = dict(tables.small_documents(spark, "/root/testdata/sf0.01"))
+    got = {r.doc_id: r for r in queries.op2_pseudonyms(spark, "/root/testdata/sf0.01").collect()}
+    seen = Counter()
+    for i, text in docs.items():
+        new = got[i].text
+        for m in re.finditer(r"(?<![\d./-])(\d{4})-(\d\d)-(\d\d)(?!\d|[-/.]\d)", text):
+            day = datetime.date(*map(int, m.groups())).toordinal() - first
+            want = datetime.date.fromordinal(first + net.permute(day, days, b"date")).isoformat()
+            assert want in new
+            seen["date"] += 1
+        for m in re.finditer(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)", text):
+            parts = list(map(int, m[0].split(".")))
+            if max(parts) < 256 and m[0] == ".".join(map(str, parts)):
+                want = ".".join(map(str, net.permute(int.from_bytes(bytes(parts), "big"), 1 << 32, b"ip").to_bytes(4, "big")))
+                assert want in new
+                seen["ip"] += 1
+        for m in re.finditer(r"[a-z]+@[a-z]+\.com\b", text):
+            local = m[0].split("@")[0]
+            x = 0
+            for c in local:
+                x = x * 26 + ord(c) - 97
+            x, out = net.permute(x, 26 ** len(local), b"local|" + b"1*" * len(local)), ""
+            for _ in local:
+                x, d = divmod(x, 26)
+                out = chr(97 + d) + out
+            if not re.search(r"[\w.%+-]", text[m.start() - 1:m.start()]):
+                assert out + "@" in new
+                seen["email"] += 1
+    assert sum(seen.values()) > 0
+
+
+@pytest.mark.parametrize("text", ["иван.петров@example.com", "łukasz.żak@example.pl", "李小龍@example.org", "אברהם.x@example.com", "ΑΒΓ.άέή@example.gr"])
+def test_letters_of_every_script_are_permuted(text):
+    names = pseudonyms.Pseudonyms(b"k")
+    new, kinds = names.replace(text)
+    local, fresh = text.split("@")[0], new.split("@")[0]
+    assert kinds == ["email"] and len(fresh) == len(local) and sum(a == b for a, b in zip(local, fresh, strict=True) if a.isalnum()) <= len(local) // 3
+    assert [pseudonyms.class_of(a) and pseudonyms.class_of(a)[0] for a in local] == [pseudonyms.class_of(a) and pseudonyms.class_of(a)[0] for a in fresh]
+    assert pseudonyms.Pseudonyms(b"k", restore=True).replace(new) == (text, kinds)
+
+
+@pytest.mark.parametrize("text", [" ".join(f"u{i}@mail.example.com 10.{i % 256}.{i // 256}.9" for i in range(4000)), "z" * 100_000 + " a@b.org 1",
+                                  "4111 1111 1111 1112 " * 5000, "DE89 3704 0044 0532 0130 01 " * 3000])
+def test_long_texts_take_linear_time(text):
+    import time
+
+    at = time.perf_counter()
+    pseudonyms.Pseudonyms(b"k").replace(text)
+    assert time.perf_counter() - at < 15
+
+
+def test_a_key_is_needed(spark):
+    with pytest.raises(ValueError):
+        pseudonyms.Pseudonyms(b"")
+    spark.conf.set(queries.KEY_SETTING, "another")
+    try:
+        other = queries.op2_pseudonyms(spark, SF_SMALL).select("text").collect()
+    finally:
+        spark.conf.unset(queries.KEY_SETTING)
+    assert other != queries.op2_pseudonyms(spark, SF_SMALL).select("text").collect()

@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter
 
 import numpy as np
@@ -77,11 +78,20 @@ def test_masks_meet():
 
 
 def test_deduplicate_keeps_one_row_of_each_group(spark):
+    """Of every component of rows the least by (id, nulls last) and text digest; rows sharing an id are told apart by text."""
     rows = tables.awkward_rows()
-    docs = tables.frame(spark, rows)
-    found = simhash.near_duplicates(docs).where("doc_id is not null")
-    want = {r.component_id for r in found.select("component_id").collect()} & {r[0] for r in rows if r[0] is not None}
-    kept = simhash.deduplicate(docs)
-    assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(want)
-    assert kept.where(F.col("doc_id").isNull()).count() == sum(r[0] is None for r in rows)
+    kept = simhash.deduplicate(tables.frame(spark, rows))
+    assert kept.columns == tables.frame(spark, rows).columns
+    mark = lambda t: hashlib.md5((t or "").encode()).hexdigest()
+    ranked = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, mark(rows[i][1])))
+    place = {i: k for k, i in enumerate(ranked)}
+    least = brute_components([brute_print(r[1] or "") for r in rows], [place[i] for i in range(len(rows))])
+    want = Counter({(rows[ranked[k]][0], rows[ranked[k]][1] or "") for k in least})
+    assert Counter((r.doc_id, r.text or "") for r in kept.collect()) == want
+
+
+def test_deduplicate_with_shared_and_null_ids(spark):
+    rows = [(1, "a b c d e", "en", "s", 1), (1, "totally other words stand here now", "en", "s", 1), (2, "a b c d e", "en", "s", 1),
+            (None, "copies without an id are reduced too", "en", "s", 1), (None, "copies without an id are reduced too", "en", "s", 1)]
+    got = Counter((r.doc_id, r.text) for r in simhash.deduplicate(tables.frame(spark, rows)).collect())
+    assert got == Counter([(1, "a b c d e"), (1, "totally other words stand here now"), (None, "copies without an id are reduced too")])
