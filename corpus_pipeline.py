@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartographer.llm import language, mixing, packing, secrets, simhash
 from cartographer.llm.common import table
-from cartographer.llm.queries import VOCABULARY
+from cartographer.llm.queries import vocabulary
 from cartographer.session import ensure_checkpoint_dir
 
 
@@ -40,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, placed in windows."""
-    return packing.pack(docs, VOCABULARY)
+    return packing.pack(docs, vocabulary())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
