@@ -206,23 +206,20 @@ class Slice:
         part = self.parts(pairs)
         alive = np.flatnonzero((part >= 0) & (part < len(self.size)))
         alive = alive[self.size[part[alive]] > 0]
-        k = 0
+        start, size, k = self.start[part[alive]], self.size[part[alive]], 0
         while len(alive):
             k += 1
-            at = part[alive]
-            for h in range(HASHES):
-                place = self.start[at] + self._place(pairs[alive], k, h, self.size[at])
-                good = self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1 == 1
-                alive, at = alive[good], at[good]
+            key = level_key(pairs[alive], k)
+            step = key >> np.uint64(32) | np.uint64(1)
+            for _ in range(HASHES):  # the same places as ``probes``, for those still there
+                place = start + ((key & np.uint64(0xFFFFFFFF)) * size >> np.uint64(32))
+                good = np.flatnonzero(self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+                if len(good) < len(alive):
+                    alive, start, size, key, step = alive[good], start[good], size[good], key[good], step[good]
+                key = key + step
             out[alive] = k
         return out
 
-    @staticmethod
-    def _place(pairs: np.ndarray, level: int, h: int, size: np.ndarray) -> np.ndarray:
-        key = level_key(pairs, level)
-        key = key + np.uint64(h) * (key >> np.uint64(32) | np.uint64(1))
-        return (key & np.uint64(0xFFFFFFFF)) * size >> np.uint64(32)
-
 
 @dataclass
 class Model:

@@ -29,9 +29,8 @@ from .common import cut, documents_words, map_arrow, mix, slices, string_bytes,
 
 #: Hash buckets of the two multinomials: the bound of the collected model.
 BUCKETS = 1 << 14
-#: Ids of trusted documents that are broadcast at once, about. More ids are dealt out
-#: by hash into slices, each counted by a pass of its own: all of them count.
-SLICE_IDS = 1_000_000
+#: Ids of trusted documents that are broadcast at most.
+BROADCAST_IDS = 1_000_000
 #: Added to each bucket's count, as a share of the mean count.
 SMOOTHING = 0.5
 SCALE_BITS = 24
@@ -91,25 +90,53 @@ def log_ratios(counts: list[tuple[int, int, int]], buckets: int = BUCKETS) -> np
     return np.rint((np.log(share(target)) - np.log(share(raw))) * 2 ** SCALE_BITS).astype(np.int64)
 
 
-def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, slice_ids: int = SLICE_IDS) -> np.ndarray:
+def count_marked_grams(grams: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """bucket, raw and target counts from (grams, trusted): each document's buckets, one for every n-gram."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        for b in batches:
+            for line, trusted in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                got = np.bincount(np.frombuffer(line, "<u4"), minlength=buckets)
+                raw += got
+                if trusted:
+                    target += got
+        seen = np.flatnonzero(raw)
+        yield [seen, raw[seen], target[seen]]
+
+    return (map_arrow(grams.select("grams", "trusted"), run, "bucket long, raw long, target long")
+            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
+
+
+def grams_of(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """doc_id and the bucket of each of its n-grams (32 bit): what is shuffled in place of a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        for b in slices(batches):
+            _, hashes, _, _, bounds = documents_words(b.column(1))
+            one, two, inside = ngram_buckets(hashes, bounds, buckets)
+            one, two, kept = one.astype("<u4"), two.astype("<u4"), np.append(inside, False)
+            yield [b.column(0), [one[x:y].tobytes() + (two[x:y - 1][kept[x:y - 1]].tobytes() if y - x > 1 else b"")
+                                 for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]]
+
+    return map_arrow(texts(docs), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, grams binary")
+
+
+def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, broadcast_ids: int = BROADCAST_IDS) -> np.ndarray:
     """Counts both multinomials; ``trusted`` holds the doc_ids of the target (nulls match nothing).
 
-    The target's ids are dealt out by hash into slices that are small enough to
-    broadcast, so no text is shuffled. The first slice's pass counts the raw
-    corpus too, the others read the texts again and count their targets only.
+    One pass over the texts. Up to ``broadcast_ids`` trusted ids are broadcast to it; of more, the
+    documents' n-gram buckets (no text) are joined with the ids by a shuffle.
     """
     ids = cut(trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null").distinct())
-    slices_of = max(1, -(-ids.count() // slice_ids))
-    raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
-    for k in range(slices_of):
-        own = ids.where(F.pmod(F.xxhash64("trusted_id"), F.lit(slices_of)) == k)
-        marked = docs.select("doc_id", "text").join(
-            F.broadcast(own), F.col("doc_id") == F.col("trusted_id"), "inner" if k else "left").select(
-            "doc_id", "text", F.col("trusted_id").isNotNull().alias("trusted"))
-        for bucket, r, t in count_ngrams(marked, buckets).collect():  # a row per bucket at most
-            raw[bucket] += 0 if k else r
-            target[bucket] += t
-    return log_ratios(list(zip(range(buckets), raw.tolist(), target.tolist(), strict=True)), buckets)
+    flag = F.col("trusted_id").isNotNull().alias("trusted")
+    if ids.count() <= broadcast_ids:
+        marked = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left")
+        counts = count_ngrams(marked.select("doc_id", "text", flag), buckets)
+    else:
+        marked = grams_of(docs, buckets).join(ids, F.col("doc_id") == F.col("trusted_id"), "left")
+        counts = count_marked_grams(marked.select("grams", flag), buckets)
+    return log_ratios([tuple(r) for r in counts.collect()], buckets)  # a row per bucket at most
 
 
 def per_document(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:

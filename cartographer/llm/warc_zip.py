@@ -48,6 +48,9 @@ PACKAGE_BYTES = 64 << 20
 READ_ROWS = 200
 GAP_BYTES = 64 << 10
 MOST_READ = 8 << 20
+#: Bytes of packages that one task reads, about, and tasks that list packages at most.
+TASK_BYTES = 16 << 20
+MOST_LISTERS = 4096
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 LIMIT32, LIMIT16 = 0xFFFFFFFF, 0xFFFF
@@ -261,13 +264,14 @@ def list_records(packages: DataFrame, folder: str) -> DataFrame:
 RECORD = "record_id string, record_type string, target_uri string, payload_bytes long, payload_digest string, refers_to string, payload binary"
 
 
-def read_records(records: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
+def read_records(records: DataFrame, folder: str, tasks: int, payloads: bool = True) -> DataFrame:
     """Range-reads records; a payload is checked against its digest and null for revisits.
 
-    Records are dealt out anew, so a large package is read by many tasks;
-    neighbours in a package are read together.
+    Records are dealt out anew over ``tasks`` tasks (their rows are small, so their number
+    can't be told from them), so a large package is read by many; neighbours in a package are
+    read together.
     """
-    dealt = records.repartition("path", F.floor(F.col("offset") / MOST_READ)).sortWithinPartitions("path", "offset")
+    dealt = records.repartition(tasks, "path", F.floor(F.col("offset") / MOST_READ)).sortWithinPartitions("path", "offset")
 
     def parsed(data: bytes) -> tuple:
         headers, block = parse_record(gzip.decompress(data))
@@ -317,7 +321,9 @@ def archive_and_read(pages: DataFrame, payloads: bool = False) -> DataFrame:
     folder = new_folder(pages.sparkSession)
     folder = folder.replace("file:/", "file:///", 1) if re.match(r"file:/[^/]", folder) else folder
     packages = cut(write_packages(mark_revisits(pages), folder))
-    return read_records(list_records(packages.repartition("path"), folder), folder, payloads)
+    number, size = packages.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    listed = list_records(packages.repartition(max(1, min(number, MOST_LISTERS)), "path"), folder)
+    return read_records(listed, folder, 1 + size // TASK_BYTES, payloads)
 
 
 def digest(records: DataFrame, kind: str) -> DataFrame:

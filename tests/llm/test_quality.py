@@ -87,4 +87,4 @@ def test_every_trusted_document_counts(spark):
     docs = tables.frame(spark, [(i, tables.words(80, i), "en", "a", 1) for i in range(30)])
     trusted = spark.createDataFrame([(i,) for i in range(0, 30, 2)] + [(0,), (None,)], "doc_id long")
     whole = quality.fit_ratios(docs, trusted)
-    assert whole.any() and (quality.fit_ratios(docs, trusted, quality.BUCKETS, 4) == whole).all()
+    assert whole.any() and (quality.fit_ratios(docs, trusted, broadcast_ids=4) == whole).all()
