@@ -66,6 +66,8 @@ TREE_DEPTH = 30
 # Depth of the forests over all propensity periods (one per offer or category on
 # some 225,000 rows at sf0.01); README has the times.
 PERIOD_TREE_DEPTH = 10
+# Fits of a clustering, of which the cheapest is kept.
+CLUSTER_STARTS = 5
 # Memory in which node statistics of one pass are gathered per task: deep forests need fewer passes with more.
 TREE_MEMORY_MB = 512
 # Type in which money is summed: exact to six decimals.

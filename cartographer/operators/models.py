@@ -80,13 +80,20 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], prob_col: st
 
 
 def kmeans(df: DataFrame, cols: Sequence[str], k: int = C.N_CLUSTERS, scale: bool = False,
-           seed: int = C.SEED):
+           seed: int = C.SEED, starts: int = C.CLUSTER_STARTS):
+    """The clustering of least cost among ``starts`` fits with seeds of their own (ties: the first)."""
     stages = [VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip")]
     if scale:
         stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True))
-    stages.append(KMeans(k=k, seed=seed, featuresCol="scaled" if scale else "features",
-                         predictionCol="cluster"))
-    return Pipeline(stages=stages).fit(df)
+    prepared = Pipeline(stages=stages).fit(df)
+    x = cut_lineage(prepared.transform(df).select("scaled" if scale else "features"))  # read by every start
+    fits = [KMeans(k=k, seed=seed + i, featuresCol=x.columns[0], predictionCol="cluster").fit(x) for i in range(starts)]
+    return PipelineModel(stages=[*prepared.stages, min(fits, key=lambda m: m.summary.trainingCost)])
+
+
+def cluster_centres(model: PipelineModel) -> list[list[float]]:
+    """Centres of a fitted clustering, in the space in which rows were compared."""
+    return [[float(v) for v in c] for c in model.stages[-1].clusterCenters()]
 
 
 def pca(df: DataFrame, cols: Sequence[str], k: int = 3) -> PipelineModel:
@@ -96,6 +103,12 @@ def pca(df: DataFrame, cols: Sequence[str], k: int = 3) -> PipelineModel:
     return Pipeline(stages=stages).fit(df)
 
 
+def component_signs(model: PipelineModel) -> list[float]:
+    """1 or -1 per principal component, so that its greatest loading (ties: the first column) is positive."""
+    loadings = model.stages[-1].pc.toArray()
+    return [1.0 if column[abs(column).argmax()] >= 0 else -1.0 for column in loadings.T]
+
+
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+from pyarrow import dataset, fs
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
@@ -163,3 +167,52 @@ def score_with(df: DataFrame, text_col: str, scorer: Callable[[list[str]], list[
             yield pdf
 
     return df.mapInPandas(run, schema)
+
+
+_SCORERS: dict[str, tuple[dict[str, tuple[float, np.ndarray]], np.ndarray]] = {}
+
+
+def save_text_model(model: NB.MultinomialModel, folder: str) -> str:
+    """Writes a version of the model into the shared folder and returns its path: the terms, and a row without term for the priors."""
+    path = f"{folder.rstrip('/')}/text-model-{uuid.uuid4().hex}"
+    priors = model.terms.sparkSession.createDataFrame([(None, 0.0, model.priors)], model.terms.schema)
+    model.terms.unionByName(priors).coalesce(1).write.parquet(path)  # the vocabulary at most
+    return path
+
+
+def load_text_model(path: str) -> tuple[dict[str, tuple[float, np.ndarray]], np.ndarray]:
+    """The weights of a version, read once per worker."""
+    if path not in _SCORERS:
+        store, root = fs.FileSystem.from_uri(path if ":/" in path else f"file://{path}")
+        rows = dataset.dataset(root, filesystem=store, format="parquet").to_table().to_pylist()
+        _SCORERS[path] = ({r["term"]: (r["idf"], np.array(r["logs"])) for r in rows if r["term"] is not None},
+                          np.array(next(r["logs"] for r in rows if r["term"] is None)))
+    return _SCORERS[path]
+
+
+def class_scores(df: DataFrame, text_col: str, path: str, classes: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``keep`` and ``sentiment_scores``, a probability per class, from a saved model version.
+
+    Texts are cut into tokens by Spark; the workers get them in Arrow batches and load
+    the version named by ``path`` once. A text without a known term has the priors.
+    """
+    rows = df.select(*keep, T.tokens(F.col(text_col)).alias("_tokens"))
+    schema = StructType([*[f for f in rows.schema.fields if f.name != "_tokens"],
+                         StructField("sentiment_scores", MapType(StringType(), DoubleType()))])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weights, priors = load_text_model(path)
+        for pdf in batches:
+            scores = []
+            for tokens in pdf.pop("_tokens"):
+                found = [(n * weights[t][0], weights[t][1]) for t, n in Counter(tokens).items() if t in weights]
+                logs = priors.copy()
+                if found:
+                    w = np.array([x for x, _ in found])
+                    logs += (w / np.sqrt((w * w).sum())) @ np.array([x for _, x in found])
+                p = np.exp(logs - logs.max())
+                scores.append(dict(zip(classes, (p / p.sum()).tolist(), strict=True)))
+            pdf["sentiment_scores"] = scores
+            yield pdf
+
+    return rows.mapInPandas(run, schema)

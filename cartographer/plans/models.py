@@ -366,5 +366,5 @@ def cluster_profile(c: Ctx):
 @query("propensity_pca")
 def propensity_pca(c: Ctx):
     m = Mo.pca(c.scores, PROP_COLS, 3)
-    arr = vector_to_array("pca")
-    return m.transform(c.scores).select("customer_id", *[arr[i].alias(f"pc{i + 1}") for i in range(3)])
+    arr, signs = vector_to_array("pca"), Mo.component_signs(m)
+    return m.transform(c.scores).select("customer_id", *[(arr[i] * signs[i]).alias(f"pc{i + 1}") for i in range(3)])

@@ -11,6 +11,7 @@ from ..operators import metrics as M
 from ..operators import sentiment as S
 from ..sources import io
 from .exploration import BOX_DOUBLES, box_sql
+from ..session import ensure_checkpoint_dir
 from .registry import Ctx, query
 from .sources import hash_sql
 
@@ -178,3 +179,14 @@ def review_scores(c: Ctx):
     model = S.train_naive_bayes(c.labelled, "labelled_reviews_index")
     s = S.score_naive_bayes(model, c.reviews, "review_id", ["customer_id"])
     return s.withColumn("customer_type", S.customer_type(F.col("sentiment_score")))
+
+
+@query("review_class_scores", extra_ctes=_rs_ctes, doubles=["negative", "neutral", "positive"], sql="""
+SELECT doc AS review_id, max(p) FILTER (WHERE label = 'negative') AS negative, max(p) FILTER (WHERE label = 'neutral') AS neutral,
+  max(p) FILTER (WHERE label = 'positive') AS positive FROM y_p GROUP BY 1""")
+def review_class_scores(c: Ctx):
+    """Class-score map of every review from a model version that the workers load from the shared folder."""
+    model = S.train_naive_bayes(c.labelled, "labelled_reviews_index")
+    path = S.save_text_model(model, ensure_checkpoint_dir(c.spark))
+    scored = S.class_scores(c.reviews, "review_text", path, model.classes, ["review_id"])
+    return scored.select("review_id", *[F.col("sentiment_scores")[y].alias(y) for y in ("negative", "neutral", "positive")])

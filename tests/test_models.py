@@ -5,6 +5,7 @@ import os
 import statistics
 import tempfile
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -231,3 +232,28 @@ def test_confusion_of_every_fitted_model(spark):
     rows = run(spark, "churn_model_confusion").collect()
     total = run(spark, "churn_model_comparison").count() and {r.model: 0 for r in rows}
     assert set(total) == {"rf", "lr", "nb", "dt"} and len(rows) == 16
+
+
+def test_components_have_a_sign_rule(spark):
+    rows = spark.range(60).selectExpr("cast(id as double) as a", "cast(-2 * id + id % 5 as double) as b", "cast(id % 7 as double) as c")
+    model = Mo.pca(rows, ["a", "b", "c"], 3)
+    x = np.array(rows.collect())
+    x = x - x.mean(0)
+    values, vectors = np.linalg.eigh(x.T @ x)
+    vectors = vectors[:, ::-1]
+    vectors = vectors * np.array([1.0 if v[abs(v).argmax()] >= 0 else -1.0 for v in vectors.T])
+    got = np.array([r.p for r in model.transform(rows).select(vector_to_array("pca").alias("p")).collect()]) * Mo.component_signs(model)
+    assert np.allclose(got, x @ vectors, atol=1e-6)
+
+
+def test_clusters_keep_the_cheapest_start_and_the_nearest_centre(spark):
+    rng = np.random.default_rng(4)
+    points = [(float(x), float(y)) for cx, cy in ((0, 0), (9, 0), (0, 9), (9, 9), (30, 30)) for x, y in rng.normal((cx, cy), .4, (40, 2))]
+    df = spark.createDataFrame(points, "a double, b double")
+    model = Mo.kmeans(df, ["a", "b"], 5, starts=6)
+    centres = np.array(Mo.cluster_centres(model))
+    rows = model.transform(df).select("a", "b", "cluster").collect()
+    distance = ((np.array([(r.a, r.b) for r in rows])[:, None, :] - centres[None]) ** 2).sum(2)
+    assert [r.cluster for r in rows] == distance.argmin(1).tolist()
+    one = [Mo.kmeans(df, ["a", "b"], 5, seed=42 + i, starts=1).stages[-1].summary.trainingCost for i in range(6)]
+    assert model.stages[-1].summary.trainingCost == pytest.approx(min(one))

@@ -13,7 +13,7 @@ load_all()
 
 MODEL_KEYS = {"churn_rf", "churn_lr", "churn_nb", "churn_dt", "churn_scores", "multi_category_rf",
               "category_propensities", "propensity_rf", "sentiment_rf", "sentiment_lr", "sentiment_dt",
-              "sentiment_nb", "review_scores", "behaviour_clusters", "propensity_clusters", "cluster_profile",
+              "sentiment_nb", "review_scores", "review_class_scores", "behaviour_clusters", "propensity_clusters", "cluster_profile",
               "propensity_pca", "churn_model_comparison", "churn_model_curves", "churn_model_confusion", "offer_scores", "next_best_offer_models",
               "sentiment_model_comparison"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate", "BatchEvalPython", "ArrowEvalPython"]
