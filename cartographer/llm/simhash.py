@@ -237,9 +237,11 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     prints = cut(fingerprints(marked, shingle, MARK))
     order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col(MARK).alias("mark"))
     _, least = component_least(prints, order, max_bits)
-    keep = least.select(F.col("least.id").alias("_id"), F.col("least.mark").alias("_mark"))
-    first = marked.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(MARK) == F.col("_mark")), "left_semi")
-    return first.dropDuplicates(["doc_id", MARK]).select(*docs.columns)
+    # one key for the join and for the rows alike in it, so texts are shuffled once
+    named = lambda id_, mark: F.concat_ws(":", mark, F.col(id_).cast("string"))
+    keep = least.select(named("least.id", F.col("least.mark")).alias(MARK))
+    first = marked.withColumn(MARK, named("doc_id", F.col(MARK))).join(keep, MARK, "left_semi")
+    return first.dropDuplicates([MARK]).select(*docs.columns)
 
 
 def digest(found: DataFrame) -> DataFrame:
