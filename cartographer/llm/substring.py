@@ -24,7 +24,9 @@ Documents with the same words are folded first: all but the one with the
 smallest id repeat it wholly.
 
 Words are runs without ASCII white space and are compared by 64-bit hashes of
-their bytes. Null texts have no words. Documents with a null id have no place
+their bytes; a node of a split group is named by two such hashes of its 50
+words, 128 bits, so that windows that only share one hash stay apart. Runs
+carry a 64-bit mark of their row's words instead of the words' SHA-256. Null texts have no words. Documents with a null id have no place
 in the order: they lose nothing and cost others nothing. Rows that share an
 id do not repeat each other.
 """
@@ -65,6 +67,11 @@ def sequence_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix((sums[size:] - sums[:-size]) * np.cumprod(back, dtype=np.uint64)[:n - size + 1] + np.uint64(size))
 
 
+def node_hashes(hashes: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of every ``window`` consecutive words."""
+    return sequence_hashes(hashes, window), sequence_hashes(mix(hashes ^ np.uint64(_BASE)), window)
+
+
 def group_names(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
     """For every word position with ``window`` words from there on, the smallest hash of its ``gram``-word sequences."""
     low, span, width = sequence_hashes(hashes, gram), 1, window - gram + 1
@@ -118,14 +125,14 @@ def _runs(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def segments(found: DataFrame, kind: str) -> DataFrame:
-    """Runs of suffixes of one group: name, doc_id, sha, start and the words (hashes) they reach over.
+    """Runs of suffixes of one group: name, doc_id, mark, start and the words (hashes) they reach over.
 
-    ``found`` has doc_id, text, sha and the group ``names`` to report.
+    ``found`` has doc_id, text, mark and the group ``names`` to report.
     """
 
-    def run(ids: list, text: list, sha: list, names: list) -> list:
+    def run(ids: list, text: list, marks: list, names: list) -> list:
         out: list[list] = [[], [], [], [], []]
-        for doc, t, s, wanted in zip(ids, text, sha, names, strict=True):
+        for doc, t, s, wanted in zip(ids, text, marks, names, strict=True):
             _, hashes, _, _, _ = documents_words(pa.array([t], pa.large_string()))
             own = group_names(hashes)
             edge = np.flatnonzero(own[1:] != own[:-1]) + 1
@@ -135,7 +142,7 @@ def segments(found: DataFrame, kind: str) -> DataFrame:
                     column.append(x)
         return out
 
-    return map_columns(found.select("doc_id", "text", "sha", "names"), run, f"name long, doc_id {kind}, sha string, start long, words binary", 200)
+    return map_columns(found.select("doc_id", "text", "mark", "names"), run, f"name long, doc_id {kind}, mark long, start long, words binary", 200)
 
 
 def node_classes(words: np.ndarray, ends: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +167,7 @@ def node_classes(words: np.ndarray, ends: np.ndarray, window: int = WINDOW) -> t
 
 
 def tree_repeats(pieces: DataFrame, kind: str) -> DataFrame:
-    """Repeated runs of suffixes (doc_id, sha, first, last) from the subtrees of all groups."""
+    """Repeated runs of suffixes (doc_id, mark, first, last) from the subtrees of all groups."""
 
     def build(rows: list[tuple]) -> list:
         out: list[list] = [[], [], [], []]
@@ -179,8 +186,8 @@ def tree_repeats(pieces: DataFrame, kind: str) -> DataFrame:
         place = whole[repeat] - begin[row[repeat]]
         step = np.flatnonzero((np.diff(place) != 1) | (np.diff(row[repeat]) != 0))
         for a, e in zip(np.append(0, step + 1).tolist(), np.append(step, len(repeat) - 1).tolist(), strict=True) if len(repeat) else ():
-            _, doc, sha, start, _ = rows[row[repeat[a]]]
-            for column, x in zip(out, (doc, sha, start + int(place[a]), start + int(place[e])), strict=True):
+            _, doc, mark, start, _ = rows[row[repeat[a]]]
+            for column, x in zip(out, (doc, mark, start + int(place[a]), start + int(place[e])), strict=True):
                 column.append(x)
         return out
 
@@ -200,28 +207,28 @@ def tree_repeats(pieces: DataFrame, kind: str) -> DataFrame:
                 size += len(r[4]) // 8
         yield build(rows + group)
 
-    return map_arrow(pieces.repartition("name").sortWithinPartitions("name"), run, f"doc_id {kind}, sha string, first long, last long")
+    return map_arrow(pieces.repartition("name").sortWithinPartitions("name"), run, f"doc_id {kind}, mark long, first long, last long")
 
 
 def node_repeats(found: DataFrame, kind: str) -> DataFrame:
-    """Repeated suffixes of large groups: each node is named by the hash of its ``WINDOW`` words."""
+    """Repeated suffixes of large groups: each node is named by both hashes of its ``WINDOW`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in batches:
             for row in range(batch.num_rows):
-                doc, t, s, wanted = (c[row].as_py() for c in batch.columns)
+                doc, t, mark, wanted = (c[row].as_py() for c in batch.columns)
                 _, hashes, _, _, _ = documents_words(pa.array([t], pa.large_string()))
                 at = np.flatnonzero(np.isin(group_names(hashes), np.array(wanted, np.int64).view(np.uint64)))
-                node = sequence_hashes(hashes, WINDOW)[at].view(np.int64)
+                node, check = (x[at].view(np.int64) for x in node_hashes(hashes))
                 for k in range(0, len(at), NODE_ROWS):
                     part = at[k:k + NODE_ROWS]
-                    yield [node[k:k + NODE_ROWS], [doc] * len(part), [s] * len(part), part]
+                    yield [node[k:k + NODE_ROWS], check[k:k + NODE_ROWS], [doc] * len(part), [mark] * len(part), part]
 
-    suffixes = map_arrow(found.select("doc_id", "text", "sha", "names"), run, f"node long, doc_id {kind}, sha string, first long")
-    least = cut(suffixes.groupBy("node").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-                .where("least < most").select(F.col("node").alias("of"), "least"))
-    return (suffixes.join(least, F.col("node") == F.col("of")).where("least < doc_id")
-            .select("doc_id", "sha", "first", F.col("first").alias("last")))
+    suffixes = map_arrow(found.select("doc_id", "text", "mark", "names"), run, f"node long, check long, doc_id {kind}, mark long, first long")
+    least = cut(suffixes.groupBy("node", "check").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+                .where("least < most").select(F.col("node").alias("of"), F.col("check").alias("of_check"), "least"))
+    return (suffixes.join(least, (F.col("node") == F.col("of")) & (F.col("check") == F.col("of_check"))).where("least < doc_id")
+            .select("doc_id", "mark", "first", F.col("first").alias("last")))
 
 
 def repeated_passages(docs: DataFrame, described: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -248,16 +255,17 @@ def repeated_passages(docs: DataFrame, described: DataFrame) -> tuple[DataFrame,
 
     # rows that share an id but not the words meet the wrong list: drop those pairs
     met = body.join(ours, F.col("doc_id") == F.col("list_id")).select("doc_id", "text", "sha", "small_names", "large_names")
-    found = cut(map_columns(met, same_words, f"doc_id {kind}, text string, sha string, small_names array<bigint>, large_names array<bigint>"))
+    found = cut(map_columns(met, same_words, f"doc_id {kind}, text string, sha string, small_names array<bigint>, large_names array<bigint>")
+                .withColumn("mark", F.xxhash64("sha")))
     small = tree_repeats(segments(found.where(F.size("small_names") > 0).withColumn("names", F.col("small_names")), kind), kind)
     large = node_repeats(found.where(F.size("large_names") > 0).withColumn("names", F.col("large_names")), kind)
-    return found.select("doc_id", "sha", "text"), small.union(large)
+    return found.select("doc_id", "sha", "mark", "text"), small.union(large)
 
 
 def remove_words(found: DataFrame, repeats: DataFrame, kind: str) -> DataFrame:
     """doc_id, sha, kept_text (kept words joined by a space) and n_removed of the documents with repeats."""
-    runs = repeats.groupBy("doc_id", "sha").agg(F.collect_list(F.struct("first", "last")).alias("runs")).select(
-        F.col("doc_id").alias("run_id"), F.col("sha").alias("run_sha"), "runs")
+    runs = repeats.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("first", "last")).alias("runs")).select(
+        F.col("doc_id").alias("run_id"), F.col("mark").alias("run_mark"), "runs")
 
     def run(ids: list, sha: list, text: list, runs: list) -> list:
         kept, removed = [], []
@@ -272,7 +280,7 @@ def remove_words(found: DataFrame, repeats: DataFrame, kind: str) -> DataFrame:
             removed.append(int((~keep).sum()))
         return [ids, sha, kept, removed]
 
-    joined = found.join(runs, (F.col("doc_id") == F.col("run_id")) & (F.col("sha") == F.col("run_sha")))
+    joined = found.join(runs, (F.col("doc_id") == F.col("run_id")) & (F.col("mark") == F.col("run_mark")))
     return map_columns(joined.select("doc_id", "sha", "text", "runs"), run, f"doc_id {kind}, sha string, kept_text string, n_removed long", 200)
 
 

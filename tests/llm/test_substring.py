@@ -85,3 +85,26 @@ def test_groups_of_many_words_are_built_without_a_tree(spark, monkeypatch):
     monkeypatch.setattr(substring, "segments", lambda found, kind: built.append(small(found, kind)) or built[-1])
     assert as_counter(substring.deduplicate_passages(tables.frame(spark, rows))) == brute(tables.clean(rows))
     assert max((len(r.words) // 8 for r in built[0].collect()), default=0) <= substring.LONG_PIECE
+
+
+def test_windows_that_share_a_hash_stay_apart(spark, monkeypatch):
+    """With the first hash of every window forced to zero the second one alone keeps different windows apart."""
+    true = substring.node_hashes
+
+    def clash(hashes, window=50):
+        first, second = true(hashes, window)
+        return first * 0, second
+
+    monkeypatch.setattr(substring, "GROUP_DOCS", 1)
+    monkeypatch.setattr(substring, "node_hashes", clash)
+    shared = tables.words(60, 7)
+    rows = [(i, f"{tables.words(80, 100 + i)} {shared} {tables.words(70, 200 + i)}", "en", "a", 1) for i in range(8)]
+    assert as_counter(substring.deduplicate_passages(tables.frame(spark, rows))) == brute(tables.clean(rows))
+
+
+def test_the_two_hashes_of_a_window_are_independent():
+    words = np.arange(1, 5000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    first, second = substring.node_hashes(words)
+    assert len(first) == len(second) == len(words) - 49 and not (first == second).any()
+    again = substring.node_hashes(np.append(words[100:], words[:100]))
+    assert (again[0][:4000] == first[100:4100]).all() and (again[1][:4000] == second[100:4100]).all()
