@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import joins
-from ..sources import io
+from ..sources import fixtures, io, split_csv
+from ..sources.prepared import csv_folder
 from .registry import Ctx, query
 
 
@@ -106,3 +107,35 @@ def sample_fraction(c: Ctx):
 def sample_n(c: Ctx):
     """min(500, rows) customers chosen by key hash."""
     return io.sample_n(c.customers, 500, "customer_id", seed=C.SEED)
+
+
+#: Tables of the CSV folder: the view that the SQL reads for each.
+FOLDER = {"customers": "f_customers", "products": "f_products", "orders": "f_orders", "addresses": "f_addresses",
+          "customer_accounts": "f_accounts", "customer_reviews": "f_reviews", "labelled_reviews": "f_labelled"}
+
+
+def overview_sql(table: str, view: str, n: int = 3) -> str:
+    """One row per column of ``view``, in SQL."""
+    fields = io.SCHEMAS[table].fields
+    order = ", ".join(f"{f.name} NULLS FIRST" for f in fields)
+    rows = f"(SELECT *, row_number() OVER (ORDER BY {order}) AS rn FROM {view})"
+
+    def one(i, f):
+        text = f"CAST({f'CAST({f.name} AS DECIMAL(18,4))' if f.dataType.typeName() == 'double' else f.name} AS VARCHAR)"
+        heads = ", ".join(f"max(CASE WHEN rn = {k + 1} THEN {text} END) AS head_{k + 1}" for k in range(n))
+        return (f"SELECT '{table}' AS table_name, count(*) AS n_rows, {i} AS position, '{f.name}' AS column_name, "
+                f"'{f.dataType.simpleString()}' AS data_type, count(*) - count({f.name}) AS n_missing, {heads} FROM {rows}")
+
+    return " UNION ALL ".join(one(i, f) for i, f in enumerate(fields))
+
+
+@query("folder_overview", sql=" UNION ALL ".join(overview_sql(t, v) for t, v in FOLDER.items()))
+def folder_overview(c: Ctx):
+    """Columns, types, row and null counts and head of each table in a folder of CSV files.
+
+    The folder is written once per input under the shared checkpoint folder, then scanned by split tasks.
+    """
+    tables = {"customers": c.customers, "products": c.products, "orders": c.orders, "addresses": c.addresses,
+              "customer_accounts": c.accounts, "customer_reviews": c.reviews, "labelled_reviews": c.labelled}
+    inputs = [f"{c.sf_dir.rstrip('/')}/{t}.parquet" for t in ("customer", "part", "orders", "lineitem", "nation", "region", "documents", "labels")]
+    return split_csv.folder_overview(io.read_folder(c.spark, csv_folder(c.spark, tables, inputs, [fixtures, io])))

@@ -20,6 +20,8 @@ BASE_CONF = {
     # aggregate-side skew: AQE splits oversized shuffle partitions of rebalances
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints no plan refers to any more are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -9,6 +9,7 @@ from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, S
 
 from .. import config as C
 from ..functions.sampling import hash_bucket, in_fraction, key_hash
+from . import split_csv
 
 
 def _s(*fields) -> StructType:
@@ -38,15 +39,32 @@ SCHEMAS = {
 
 
 def read_csv(spark: SparkSession, path: str, table: str | None = None,
-             schema: StructType | None = None) -> DataFrame:
-    """Typed CSV scan (header, quoted multi-line fields); unknown tables are inferred."""
-    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+             schema: StructType | None = None, split_bytes: int = split_csv.SPLIT_BYTES) -> DataFrame:
+    """Typed CSV scan (header, quoted multi-line fields); unknown tables are inferred.
+
+    Files are shared by several tasks, ``split_bytes`` each; a folder with compressed files,
+    which can't be split, goes through Spark's own scan, one task per file.
+    """
     schema = schema or (SCHEMAS.get(table) if table else None)
-    if schema is not None:
-        r = r.schema(schema).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-    else:
-        r = r.option("inferSchema", True)
-    return r.csv(path)
+    if not split_csv.any_compressed(spark, path):
+        return split_csv.scan(spark, path, schema, split_bytes)
+    r = spark.read.option("header", True).options(**split_csv.OPTIONS)
+    return (r.schema(schema) if schema is not None else r.option("inferSchema", True)).csv(path)
+
+
+def folder_tables(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Name and path of each table in a folder: a CSV file, or a folder of them. Names starting with _ or . are no tables."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    paths = sorted(st.getPath().toString() for st in found)
+    names = {x.rstrip("/").rsplit("/", 1)[-1]: x for x in paths}
+    return {n.split(".")[0]: x for n, x in names.items() if n[0] not in "_."}
+
+
+def read_folder(spark: SparkSession, folder: str, split_bytes: int = split_csv.SPLIT_BYTES) -> dict[str, DataFrame]:
+    """Every table of a folder, typed where its name is known, else inferred."""
+    return {name: read_csv(spark, path, name, split_bytes=split_bytes) for name, path in folder_tables(spark, folder).items()}
 
 
 def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",

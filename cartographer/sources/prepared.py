@@ -108,3 +108,19 @@ def prepared(spark: SparkSession, name: str, inputs: Sequence[str], build: Calla
         else:
             (df.sortWithinPartitions(*sort_within) if sort_within else df).write.parquet(copy)
     return _bucketed(spark, copy, bucket_by, sort_within) if bucket_by and "-b" in copy.rsplit("/", 1)[-1] else read_parquet(spark, copy)
+
+
+def csv_folder(spark: SparkSession, tables: dict[str, DataFrame], inputs: Sequence[str], code: Sequence[ModuleType] = ()) -> str:
+    """A folder with each table as CSV (columns of its known schema), written first if there is no complete copy."""
+    from . import io
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/prepared/csv-{fingerprint(spark, inputs)}-{code_version(code)}"
+    copy = _complete(spark, folder)
+    if copy is None:
+        copy = f"{folder}/{uuid.uuid4().hex}"
+        for name, df in tables.items():
+            cols = [F.date_format(f.name, "yyyy-MM-dd HH:mm:ss").alias(f.name) if f.dataType.typeName() == "timestamp_ntz" else f.name
+                    for f in io.SCHEMAS[name]]
+            df.select(*cols).write.option("header", True).option("escape", '"').csv(f"{copy}/{name}")
+        fs, p, _ = _fs(spark, f"{copy}/_SUCCESS")
+        fs.create(p).close()
+    return copy
