@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, StringType,
@@ -9,8 +11,12 @@ from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, S
 
 from .. import config as C
 from ..functions.sampling import hash_bucket, in_fraction, key_hash
+from ..session import ensure_checkpoint_dir
 from . import split_csv
 
+#: Tables of a folder that are opened at the same time.
+FOLDER_THREADS = 4
+
 
 def _s(*fields) -> StructType:
     return StructType([StructField(n, t, True) for n, t in fields])
@@ -64,7 +70,12 @@ def folder_tables(spark: SparkSession, folder: str) -> dict[str, str]:
 
 def read_folder(spark: SparkSession, folder: str, split_bytes: int = split_csv.SPLIT_BYTES) -> dict[str, DataFrame]:
     """Every table of a folder, typed where its name is known, else inferred."""
-    return {name: read_csv(spark, path, name, split_bytes=split_bytes) for name, path in folder_tables(spark, folder).items()}
+    tables = folder_tables(spark, folder)
+    ensure_checkpoint_dir(spark)
+    # the tables' small jobs (sizes, quotes) are independent: a few driver threads let them share the cluster
+    with ThreadPoolExecutor(max_workers=FOLDER_THREADS) as pool:
+        found = pool.map(lambda name: read_csv(spark, tables[name], name, split_bytes=split_bytes), tables)
+        return dict(zip(tables, found, strict=True))
 
 
 def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
