@@ -7,8 +7,10 @@ differing bits; documents of one connected component share its smallest id.
 Pairs are found without comparing all with all:
 
 * documents with equal fingerprints are folded into one node first;
-* of ``max_bits + 2`` blocks of the 64 bits, two linked fingerprints agree on
-  two whole blocks, so nodes meet in one bucket per pair of blocks;
+* of ``max_bits + k`` blocks of the 64 bits, two linked fingerprints agree on
+  k whole blocks, so nodes meet in one bucket per choice of k blocks; k is 2 and
+  grows with the number of nodes, so that a bucket of evenly spread fingerprints
+  holds at most ``MEAN_BUCKET`` of them at any size (no k loses a link);
 * a bucket larger than ``GROUP`` is dealt out in chunks and every pair of
   chunks becomes a group of its own, so no task holds a large bucket;
 * within a group the Hamming distances of every node to ``PIVOTS`` reference
@@ -45,6 +47,8 @@ SEED = 42
 PIVOTS = 16
 #: Nodes of two chunks that meet in one group.
 GROUP = 1024
+#: Nodes that a bucket of evenly spread fingerprints holds on average, at most.
+MEAN_BUCKET = 64
 PIVOT_FINGERPRINTS = mix(np.arange(1, PIVOTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -81,12 +85,25 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *others: str) -> DataF
     return map_columns(texts(docs, *others), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long{kinds}")
 
 
-def block_masks(max_bits: int) -> list[int]:
-    """One mask for each pair of ``max_bits + 2`` blocks: two fingerprints that
-    differ in at most ``max_bits`` bits agree on one of the masks."""
-    edges = [round(i * 64 / (max_bits + 2)) for i in range(max_bits + 3)]
+def agreeing_blocks(nodes: int, max_bits: int = MAX_BITS) -> int:
+    """The least k of 2 or more whose buckets hold ``MEAN_BUCKET`` of ``nodes`` evenly spread fingerprints on average, at most.
+
+    A bucket is named by k of ``max_bits + k`` blocks, 64 k / (max_bits + k) bits: at 4 bits
+    k = 2 (21 bits, 15 keys a node) up to 1.3 * 10^8 nodes, 3 (27, 35) up to 8.6 * 10^9, 4 (32, 70) up to 2.7 * 10^11.
+    """
+    k = 2
+    while max_bits + k < 64 and nodes > MEAN_BUCKET << (64 * k // (max_bits + k)):
+        k += 1
+    return k
+
+
+def block_masks(max_bits: int, agree: int = 2) -> list[int]:
+    """One mask for each choice of ``agree`` of ``max_bits + agree`` blocks: two
+    fingerprints that differ in at most ``max_bits`` bits agree on one of the masks."""
+    count = max_bits + agree
+    edges = [round(i * 64 / count) for i in range(count + 1)]
     blocks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
-    return [a | b for a, b in combinations(blocks, 2)]
+    return [sum(chosen) for chosen in combinations(blocks, agree)]
 
 
 def _signed(x: int) -> int:
@@ -137,12 +154,13 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray
     return child, label[child]
 
 
-def near_links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def near_links(nodes: DataFrame, max_bits: int = MAX_BITS, agree: int | None = None) -> DataFrame:
     """Links (a, b) between distinct fingerprints, a spanning forest per group.
 
-    ``nodes`` has the distinct fingerprints as ``fp``.
+    ``nodes`` has the distinct fingerprints as ``fp``; ``agree`` is the number of
+    blocks that name a bucket, by default chosen from the number of nodes.
     """
-    masks = block_masks(max_bits)
+    masks = block_masks(max_bits, agree or agreeing_blocks(nodes.count(), max_bits))
     keyed = nodes.select("fp", F.explode(F.array(*(
         F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(masks)))).alias("key"))
     sizes = cut(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
@@ -210,7 +228,7 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
 
 def component_least(prints: DataFrame, least: Column, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
     """(fp, root) of every distinct fingerprint, and (root, least) of every component: the smallest value of ``least``."""
-    nodes = prints.groupBy("fp").agg(F.min(least).alias("least"))
+    nodes = cut(prints.groupBy("fp").agg(F.min(least).alias("least")))
     stars = components(near_links(nodes.select("fp"), max_bits))
     rooted = cut(nodes.join(stars, F.col("fp") == F.col("node"), "left")
                  .select("fp", F.coalesce("root", "fp").alias("root"), "least"))

@@ -54,8 +54,8 @@ def test_empty_table(spark):
     assert simhash.deduplicate(tables.empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("group", [8, 1024])
-def test_hot_buckets_lose_no_link(spark, monkeypatch, group):
+@pytest.mark.parametrize(("group", "agree"), [(8, 2), (1024, 2), (1024, 3), (8, 4)])
+def test_hot_buckets_lose_no_link(spark, monkeypatch, group, agree):
     """Fingerprints that crowd round a few centres: chains, large buckets, far ones."""
     monkeypatch.setattr(simhash, "GROUP", group)
     rng = np.random.default_rng(3)
@@ -63,20 +63,30 @@ def test_hot_buckets_lose_no_link(spark, monkeypatch, group):
     fps = {int(c) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 7), replace=False)) for c in centres for _ in range(120)}
     fps = sorted(fps | {0, 1, 2**64 - 1})
     nodes = spark.createDataFrame([(simhash._signed(f),) for f in fps], "fp long")
-    stars = {r.node: r.root for r in simhash.components(simhash.near_links(nodes)).collect()}
+    stars = {r.node: r.root for r in simhash.components(simhash.near_links(nodes, agree=agree)).collect()}
     got = [stars.get(simhash._signed(f), simhash._signed(f)) for f in fps]
     want = brute_components(fps, [simhash._signed(f) for f in fps])
     assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
 
 
-def test_masks_meet():
-    masks = simhash.block_masks(simhash.MAX_BITS)
+@pytest.mark.parametrize("agree", [1, 2, 3, 4])
+def test_masks_meet(agree):
+    masks = simhash.block_masks(simhash.MAX_BITS, agree)
     rng = np.random.default_rng(1)
     for _ in range(300):
         diff = sum(1 << int(b) for b in rng.choice(64, simhash.MAX_BITS, replace=False))
         assert any(diff & m == 0 for m in masks)
 
 
+def test_blocks_grow_with_the_nodes():
+    sizes = [0, 10**6, 10**8, 10**9, 10**10, 10**11]
+    chosen = [simhash.agreeing_blocks(n) for n in sizes]
+    assert chosen == [2, 2, 2, 3, 4, 4]
+    for n, k in zip(sizes, chosen, strict=True):
+        bits = min(m.bit_count() for m in simhash.block_masks(simhash.MAX_BITS, k))
+        assert n / 2 ** (bits + 1) <= simhash.MEAN_BUCKET  # blocks are rounded to whole bits
+
+
 def test_deduplicate_keeps_one_row_of_each_group(spark):
     """Of every component of rows the least by (id, nulls last) and text digest; rows sharing an id are told apart by text."""
     rows = tables.awkward_rows()
