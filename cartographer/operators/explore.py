@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import elapsed_days, month_start, ts
 from ..functions.stats import money_avg, money_sum, scalar
-from .quantiles import quantile_table
+from .quantiles import placed_quantiles, value_places
 
 
 def _nn(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -126,22 +126,22 @@ def boxplot_stats(df: DataFrame, keys: Sequence[str], value: str, weight: str |
 
     ``weight`` is a column that says how many rows a row stands for.
 
-    Quartiles come from ``quantile_table``; whiskers from an aggregate over the
-    rows joined to their quartiles (one row per group).
+    Rows are reduced to distinct values once; quartiles, whiskers and outliers all
+    come from these, joined to one row per group.
     """
     base = (_nn(df, list(keys)).where(F.col(value).isNotNull())
-            .select(*keys, F.col(value).cast("double").alias(value), (F.col(weight) if weight else F.lit(1)).alias("_w")))
-    q = quantile_table(base, [value], [0.25, 0.5, 0.75], keys, "_w")
-    q = q.select(*keys, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
-    j = base.join(q, list(keys))
+            .select(*keys, F.col(value), (F.col(weight) if weight else F.lit(1)).alias("_w")))
+    placed = value_places(base, [value], keys, "_w")
+    q = placed_quantiles(placed, [0.25, 0.5, 0.75], keys)
+    q = q.select(*keys, F.col("n").alias("_n"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     lo = F.col("q1") - 1.5 * iqr
     hi = F.col("q3") + 1.5 * iqr
-    v = F.col(value)
-    return j.groupBy(*keys, "n", "q1", "median", "q3").agg(
+    v = F.col("value")
+    return placed.join(q, list(keys)).groupBy(*keys, F.col("_n").alias("n"), "q1", "median", "q3").agg(
         F.min(F.when(v >= lo, v)).alias("whisker_low"),
         F.max(F.when(v <= hi, v)).alias("whisker_high"),
-        F.sum(F.when((v < lo) | (v > hi), F.col("_w")).otherwise(0)).cast("bigint").alias("outliers"))
+        F.sum(F.when((v < lo) | (v > hi), F.col("n")).otherwise(0)).cast("bigint").alias("outliers"))
 
 
 def equal_width_hist(df: DataFrame, x: Column, bins: int) -> DataFrame:

@@ -44,20 +44,29 @@ def prefix_sums(df: DataFrame, order: str, cols: Sequence[str], keys: Sequence[s
         *[f"{c}_total" for c in cols])
 
 
-def quantile_table(df: DataFrame, cols: Sequence[str] | dict[str, Column], qs: Sequence[float],
-                   keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:
-    """(keys..., column_name, n, q): linearly interpolated quantiles of the
-    non-null values, as pandas ``quantile``; ``q`` is an array in the order of
-    ``qs``. ``weight`` names a column with the number of rows that a row stands for."""
+def value_places(df: DataFrame, cols: Sequence[str] | dict[str, Column], keys: Sequence[str] = (),
+                 weight: str | None = None) -> DataFrame:
+    """(keys..., column_name, value, n, n_before, n_total): one row per distinct non-null value, its rows and
+    those below it. ``weight`` names a column with the number of rows that a row stands for."""
     named = cols if isinstance(cols, dict) else {c: F.col(c) for c in cols}
     values = F.array(*[F.struct(F.lit(name).alias("column_name"), x.cast("double").alias("value"))
                        for name, x in named.items()])
-    keys = list(keys)
     n = (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_rows")
     counts = (df.select(*keys, n, F.inline(values)).where(F.col("value").isNotNull())
               .groupBy(*keys, "column_name", "value").agg(F.sum("_rows").alias("n")))
-    placed = prefix_sums(counts, "value", ["n"], [*keys, "column_name"])
+    return prefix_sums(counts, "value", ["n"], [*keys, "column_name"])
+
+
+def quantile_table(df: DataFrame, cols: Sequence[str] | dict[str, Column], qs: Sequence[float],
+                   keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """(keys..., column_name, n, q): linearly interpolated quantiles of the
+    non-null values, as pandas ``quantile``; ``q`` is an array in the order of
+    ``qs``. ``weight`` names a column with the number of rows that a row stands for."""
+    return placed_quantiles(value_places(df, cols, keys, weight), qs, keys)
+
 
+def placed_quantiles(placed: DataFrame, qs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+    """``quantile_table`` from the rows of ``value_places``."""
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n")), F.col("value")))
 
