@@ -63,9 +63,9 @@ ONE_HOT_PREFIXES = ("cat__product_class_", "cat__job_type_", "cat__region_",
 
 # Greatest depth of trees, Spark's own limit; the fits take it as an argument.
 TREE_DEPTH = 30
-# Depth of the forests over all propensity periods (one per offer or category on
-# some 225,000 rows at sf0.01); README has the times.
-PERIOD_TREE_DEPTH = 10
+# Depth of the forests of the category propensities, of which one is fitted per
+# class (25 at sf0.01); README has the times.
+CATEGORY_TREE_DEPTH = 10
 # Fits of a clustering, of which the cheapest is kept.
 CLUSTER_STARTS = 5
 # Memory in which node statistics of one pass are gathered per task: deep forests need fewer passes with more.

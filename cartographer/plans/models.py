@@ -230,7 +230,7 @@ def _propensity_fit(c: Ctx, cond):
     if not quality.check_binary_label(train, "target"):
         return p, None, test
     tw = Mo.class_weights(p.transform(train, PROPENSITY_KEYS, safe=True), "target")
-    return p, Mo.fit(tw, p.feature_names(safe=True), "target", "rf", weight="weight", max_depth=C.PERIOD_TREE_DEPTH), test
+    return p, Mo.fit(tw, p.feature_names(safe=True), "target", "rf", weight="weight"), test
 
 
 @query("propensity_rf")
@@ -300,7 +300,7 @@ def _category_models(c: Ctx):
         d = x.withColumn("target", y.cast("int")).withColumn(
             "weight", F.when(y, total / (2 * pos[cat])).otherwise(total / (2 * (total - pos[cat]))))
         return cat, Mo.fit(d, p.feature_names(safe=True), "target", "rf", weight="weight", checkpoint=False,
-                           max_depth=C.PERIOD_TREE_DEPTH)
+                           max_depth=C.CATEGORY_TREE_DEPTH)
 
     # independent fits: submitted from a few driver threads so their jobs share the cluster
     from concurrent.futures import ThreadPoolExecutor

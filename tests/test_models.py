@@ -13,9 +13,13 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from cartographer import config as C
 from cartographer.operators import models as Mo
 from cartographer.operators import naive_bayes as NB
+from cartographer.operators import quality
 from cartographer.operators import sentiment as S
+from cartographer.plans import models as PM
+from cartographer.plans import registry
 
 
 def test_pipeline_round_trip(spark):
@@ -168,6 +172,32 @@ def test_cluster_keys(spark):
     assert run(spark, "behaviour_clusters").count() == len(customers(spark))
 
 
+@pytest.mark.parametrize("scale", [False, True])
+def test_rows_stand_in_the_cluster_of_their_nearest_centre(spark, scale):
+    """SQL over the stored centres assigns every row as the clustering did; the kept fit is the cheapest start."""
+    df = spark.createDataFrame([(i, float(i % 3 * 10 + i % 7), float(i * i % 31)) for i in range(300)], "id int, a double, b double")
+    m = Mo.kmeans(df, ["a", "b"], 3, scale=scale)
+    column = "scaled" if scale else "features"
+    spark.createDataFrame(list(enumerate(Mo.cluster_centres(m))), "cluster int, centre array<double>").createOrReplaceTempView("centres")
+    m.transform(df).select("id", "cluster", vector_to_array(column).alias("x")).createOrReplaceTempView("placed")
+    wrong = spark.sql("""
+        SELECT id FROM (SELECT p.id, p.cluster, min_by(c.cluster, d) AS nearest FROM placed p JOIN centres c ON true
+          LATERAL VIEW explode(array(aggregate(zip_with(x, centre, (u, v) -> (u - v) * (u - v)), 0D, (s, e) -> s + e))) e AS d
+          GROUP BY p.id, p.cluster) WHERE cluster <> nearest""")
+    assert wrong.count() == 0
+    one = Mo.kmeans(df, ["a", "b"], 3, scale=scale, starts=1)
+    assert m.stages[-1].summary.trainingCost <= one.stages[-1].summary.trainingCost + 1e-9
+
+
+def test_offer_forests_grow_without_a_depth_cut(spark, monkeypatch):
+    """The forests of the propensity targets use the default depth, the greatest that Spark allows."""
+    depths = []
+    monkeypatch.setattr(Mo, "fit", lambda *a, **k: depths.append(k.get("max_depth", C.TREE_DEPTH)))
+    monkeypatch.setattr(quality, "check_binary_label", lambda *a: True)
+    PM._propensity_fit(registry.Ctx(spark, SF_SMALL), F.col("product_class") == C.PROPENSITY_CATEGORY)
+    assert depths == [30]
+
+
 def test_review_scores_cover_all_reviews(spark):
     rows = run(spark, "review_scores").collect()
     assert len(rows) == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()

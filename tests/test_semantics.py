@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -395,3 +396,21 @@ def test_offer_warnings_are_counted(spark):
     rows = P.offer_values(scores, {"o": "p"}, values, seen).collect()
     assert seen.get == {"rows": 4, "invalid_probabilities": 2, "negative_npv": 4, "negative_cost": 0}
     assert {r.customer_id: r.vpo for r in rows} == {"a": -2.5, "b": None, "c": None, "d": None}
+
+
+def test_box_plots_read_the_rows_once(spark, tmp_path):
+    """Weighted rows, ties and outliers against numpy; after the distinct values are written no row is read again."""
+    rng = np.random.default_rng(5)
+    rows = [(g, float(v), int(w)) for g in ("a", "b") for v, w in zip(rng.integers(0, 40, 60), rng.integers(1, 4, 60), strict=True)]
+    rows += [("a", 400.0, 2), ("b", -300.0, 1), ("c", 7.0, 1), (None, 1.0, 1), ("a", None, 1)]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "k string, x double, w int").write.parquet(path)
+    out = X.boxplot_stats(spark.read.parquet(path), ["k"], "x", weight="w")
+    assert "FileScan" not in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.collect():
+        x = np.concatenate([[v] * w for k, v, w in rows if k == r.k and v is not None])
+        q1, median, q3 = np.quantile(x, [0.25, 0.5, 0.75])
+        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        assert (r.n, r.outliers) == (len(x), int(((x < low) | (x > high)).sum()))
+        assert np.allclose([r.q1, r.median, r.q3, r.whisker_low, r.whisker_high], [q1, median, q3, x[x >= low].min(), x[x <= high].max()])
+    assert out.count() == 3
