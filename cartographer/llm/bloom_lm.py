@@ -42,7 +42,7 @@ from .common import WHITE, byte_classes, cut, documents_words, map_arrow, mix, s
 
 #: Added to each count of the base estimate.
 ADDED = 0.1
-#: Pseudo-counts that a history gives to the base estimate. Measured at sf0.1 on held-out text: README.
+#: Pseudo-counts that a history gives to the base estimate; set, not tuned.
 STRENGTH = 1000.0
 #: Ratio of neighbouring quantisation levels.
 BASE = 1.5
