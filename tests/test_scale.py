@@ -1,8 +1,13 @@
 """Steps whose shuffles, spills or memory must not grow faster than the input."""
 
+import itertools
+import random
 import re
+from collections import Counter
 
+from cartographer.operators import basket as B
 from cartographer.plans.registry import QUERIES, load_all
+from cartographer.session import cut_lineage
 from conftest import SF_SMALL
 
 load_all()
@@ -23,3 +28,18 @@ def test_customer_360_moves_order_rows_by_customer_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     # order rows, customers (after their addresses), accounts and reviews
     assert sum(col == "customer_id" for _, col in found) == 4
+
+
+def test_itemsets_are_counted_where_the_bitmaps_lie(spark):
+    """No bitmap is copied, sorted or shuffled for a candidate, and the counts are those of brute force."""
+    rng = random.Random(5)
+    orders = {f"o{i}": set(rng.sample("abcdefgh", rng.randint(1, 6))) for i in range(300)}
+    items = spark.createDataFrame([(o, x) for o, s in orders.items() for x in s], "order_id string, item string")
+    bits = cut_lineage(B.order_bitmaps(items).repartition("bucket").sortWithinPartitions("bucket"))
+    sets = [c for n in (2, 3, 4) for c in itertools.combinations("abcdefgh", n)]
+    held = B.held_together(bits, [B.KEY_SEPARATOR.join(c) for c in sets])
+    assert not re.search("Exchange|Aggregate|Sort|Join", held._jdf.queryExecution().executedPlan().toString())
+    got = Counter()
+    for r in held.collect():
+        got[tuple(r["k"].split(B.KEY_SEPARATOR))] += r["freq"]
+    assert got == Counter({c: n for c in sets if (n := sum(set(c) <= s for s in orders.values()))})
