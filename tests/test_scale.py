@@ -5,8 +5,11 @@ import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from cartographer.operators import basket as B
-from cartographer.plans.registry import QUERIES, load_all
+from cartographer.operators import joins
+from cartographer.plans.registry import QUERIES, Ctx, load_all
 from cartographer.session import cut_lineage
 from conftest import SF_SMALL
 
@@ -43,3 +46,23 @@ def test_itemsets_are_counted_where_the_bitmaps_lie(spark):
     for r in held.collect():
         got[tuple(r["k"].split(B.KEY_SEPARATOR))] += r["freq"]
     assert got == Counter({c: n for c in sets if (n := sum(set(c) <= s for s in orders.values()))})
+
+
+def test_merged_table_moves_order_rows_twice(spark):
+    """By order and by customer only: duplicates are dropped where the order join left the rows, and parts are not merged."""
+    plan = Ctx(spark, SF_SMALL).build_merged(4)._jdf.queryExecution().executedPlan().toString()
+    moved = re.findall(r"Exchange \w+\((.*?), (\d+)\), (\w+)", plan)
+    assert not any("order_id" in keys and "product_id" in keys for keys, _, _ in moved)
+    assert any(keys.startswith("customer_id") and how == "REPARTITION_BY_NUM" for keys, _, how in moved)
+    assert any("l_orderkey" in keys and how == "REPARTITION_BY_NUM" for keys, _, how in moved)
+
+
+def test_products_with_several_classes_keep_the_smallest_after_lines_are_reduced(spark):
+    orders = spark.createDataFrame([("o1", "c", "s2", "p1", 1, 2.0, 0.0), ("o1", "c", "s1", "p1", 1, 3.0, 0.0), ("o1", "c", "s1", "p2", 1, 1.0, 0.0),
+                                    ("o2", None, "s1", "p3", 1, 1.0, None)],
+                                   "order_id string, customer_id string, store_id string, product_id string, direction int, gross_price double, "
+                                   "price_reduction double").withColumn("purchase_datetime", F.lit("2024-01-01").cast("timestamp_ntz"))
+    products = spark.createDataFrame([("p1", "b"), ("p1", "a"), ("p2", "z"), ("p2", None)], "product_id string, product_class string")
+    key = ["order_id", "product_id"]
+    want = joins.keep_first(joins.order_data(orders, products), key)
+    assert Counter(map(tuple, joins.order_lines(orders, products).collect())) == Counter(map(tuple, want.collect()))
