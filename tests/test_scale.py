@@ -66,3 +66,16 @@ def test_products_with_several_classes_keep_the_smallest_after_lines_are_reduced
     key = ["order_id", "product_id"]
     want = joins.keep_first(joins.order_data(orders, products), key)
     assert Counter(map(tuple, joins.order_lines(orders, products).collect())) == Counter(map(tuple, want.collect()))
+
+
+def test_pairs_of_typical_orders_need_no_join(spark):
+    """Rows of orders up to a block move once, by order; larger orders give the same pairs at any block size."""
+    rng = random.Random(3)
+    orders = {f"o{i}": rng.sample(range(100), rng.randint(1, 5)) for i in range(60)} | {"big": list(range(40))}
+    items = spark.createDataFrame([(o, f"i{x:02d}") for o, s in orders.items() for x in s], "order_id string, item string")
+    want = Counter((o, *p) for o, s in orders.items() for p in itertools.combinations(sorted(f"i{x:02d}" for x in s), 2))
+    for block in (1, 2, 7, 38, 39, 256):
+        pairs = B.item_pairs(items, block)
+        assert Counter(map(tuple, pairs.collect())) == want, block
+    plan = B.item_pairs(items)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
