@@ -79,3 +79,9 @@ def test_pairs_of_typical_orders_need_no_join(spark):
         assert Counter(map(tuple, pairs.collect())) == want, block
     plan = B.item_pairs(items)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_orders_alone_keep_their_join_key(spark):
+    """Only the merged table asks for rows by order id: elsewhere narrow orders may still be broadcast by their number."""
+    plan = QUERIES["describe_numeric"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_orderkey" in plan and "hashpartitioning(cast(l_orderkey" not in plan
