@@ -107,7 +107,8 @@ def train_sentiment(labelled: DataFrame, kind: str = "lr", label_col: str = "sen
         Normalizer(inputCol="tfidf", outputCol="features", p=2.0)])
     n_rows = train.count() if kind == "lr" else None
     classifier = Mo.estimator(kind, "label", "features", seed=seed, n_rows=n_rows, max_depth=max_depth)
-    return PipelineModel(stages=[*weights.stages, classifier.fit(weights.transform(train))])
+    rows = weights.transform(train)
+    return PipelineModel(stages=[*weights.stages, Mo.fit_trees(classifier, rows) if kind in Mo.TREES else classifier.fit(rows)])
 
 
 def score_reviews(model: PipelineModel, reviews: DataFrame, keep: Sequence[str],
