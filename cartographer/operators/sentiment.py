@@ -27,11 +27,17 @@ from . import naive_bayes as NB
 from .quantiles import prefix_sums
 
 
+#: Bytes of text in one partition of documents: what a task holds of their terms does not grow with the corpus.
+PARTITION_BYTES = 16 << 20
+
+
 def term_counts_by_doc(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, term, tf), written once: vocabulary and weights both read it."""
-    # Partition by document once: tokenising runs in parallel, and the per-doc
-    # term counts and the per-doc L2 norm then need no further shuffle.
-    docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).repartition("doc")
+    """(doc, term, tf), written once in partitions by document: vocabulary and weights both read it."""
+    docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Partition by document once, by an explicit number that grows with the texts: tokenising
+    # runs in parallel, and the per-doc term counts then need no further shuffle.
+    docs = docs.repartition(max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES)), "doc")
     toks = docs.select("doc", F.explode(T.tokens(F.col("text"))).alias("term"))
     return cut_lineage(toks.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")))
 
@@ -44,8 +50,9 @@ def inverse_frequencies(tf: DataFrame, n_docs: Column | int, vocab_size: int = C
 
 
 def term_weights(tf: DataFrame, idf: DataFrame) -> DataFrame:
-    """(doc, term, w): counts x idf of the vocabulary's terms, L2 normalised per document."""
+    """(doc, term, w): counts x idf of the vocabulary's terms, L2 normalised per document, in as many partitions as ``tf``."""
     w = tf.join(F.broadcast(idf), "term").select("doc", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    w = w.repartition(tf.rdd.getNumPartitions(), "doc")
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc")))
     return w.select("doc", "term", (F.col("w") / norm).alias("w"))
 

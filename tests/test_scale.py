@@ -85,3 +85,16 @@ def test_orders_alone_keep_their_join_key(spark):
     """Only the merged table asks for rows by order id: elsewhere narrow orders may still be broadcast by their number."""
     plan = QUERIES["describe_numeric"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(l_orderkey" in plan and "hashpartitioning(cast(l_orderkey" not in plan
+
+
+def test_partitions_of_documents_grow_with_their_text(spark, monkeypatch):
+    from cartographer.operators import sentiment as S
+    docs = spark.range(200).select("id", F.concat_ws(" ", F.lit("same words"), F.concat(F.lit("word"), F.col("id") % 7)).alias("text"))
+    got = []
+    for size in (16 << 20, 100):
+        monkeypatch.setattr(S, "PARTITION_BYTES", size)
+        out = S.tfidf(docs, "id", "text")
+        got.append(([tuple(r) for r in out.withColumn("tfidf", F.round("tfidf", 9)).orderBy("id", "term").collect()],
+                    S.term_counts_by_doc(docs, "id", "text").rdd.getNumPartitions(), out.rdd.getNumPartitions()))
+    assert got[0][0] == got[1][0] and len(got[0][0]) == 600
+    assert got[0][1] == spark.sparkContext.defaultParallelism and got[1][1] == got[1][2] == 32  # 200 texts of 16 bytes, 100 in a partition
