@@ -5,6 +5,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from cartographer.operators import forest as Fo
+from cartographer.session import cut_lineage
 
 
 def rows(spark, n=400):
@@ -45,3 +46,18 @@ def test_the_best_split_by_brute_force():
         cost = {(f, b): gini(mine & (x[:, f] <= b)) + gini(mine & (x[:, f] > b)) for f in range(3) for b in range(5)
                 if (mine & (x[:, f] <= b)).any() and (mine & (x[:, f] > b)).any()}
         assert abs(cost[int(place[v]), int(last[v])] - min(cost.values())) < 1e-9
+
+
+def test_labels_share_the_rows_dealt_out_and_small_subtrees_meet_the_rows_where_they_are(spark, monkeypatch):
+    df = cut_lineage(rows(spark).withColumn("z", (F.col("x3") > 1).cast("int")).repartition(3))
+    calls, subtrees = [], Fo._subtrees
+    monkeypatch.setattr(Fo, "_subtrees", lambda *a: calls.append(a[2]) or subtrees(*a))
+    weights = [[1.0, 2.0], [1.0, 1.0]]
+    models = Fo.fit_forests(df, "features", ["y", "z"], 5, 6, 42, weights)
+    assert calls == [[0, 1]]
+    alone = [Fo.fit_forests(df, "features", [c], 5, 6, 42, [w])[0] for c, w in zip("yz", weights)]
+    got = []
+    for some, most in ((models, 64 << 20), (models, 0), (alone, 64 << 20)):  # subtrees to the rows, rows to the subtrees
+        monkeypatch.setattr(Fo, "SHARED_BYTES", most)
+        got.append(Fo.probabilities(df, "features", some, "p").select("id", F.col("p").cast("string")).orderBy("id").collect())
+    assert len(got[0]) == 400 and got[0] == got[1] == got[2]
