@@ -61,3 +61,24 @@ def test_labels_share_the_rows_dealt_out_and_small_subtrees_meet_the_rows_where_
         monkeypatch.setattr(Fo, "SHARED_BYTES", most)
         got.append(Fo.probabilities(df, "features", some, "p").select("id", F.col("p").cast("string")).orderBy("id").collect())
     assert len(got[0]) == 400 and got[0] == got[1] == got[2]
+
+
+def test_a_level_counted_in_stretches_gives_the_same_subtree(monkeypatch):
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.integers(0, b, 6000) for b in (32, 2, 2, 9, 2, 1)]).astype(np.uint8)
+    y, w = ((x[:, 0] > 11) ^ (rng.random(6000) < 0.3)).astype(np.uint8) + (x[:, 3] > 6), rng.integers(1, 5, 6000).astype(np.uint8)
+    weights, got = np.array([1.0, 2.0, 0.5]), []
+    for m in (3, 6):
+        for dense in (0, 4, 1000):  # no node, some, all
+            monkeypatch.setattr(Fo, "DENSE", dense)
+            got.append(Fo._grow(x, y, w, 3, m, 30, np.random.default_rng(1), weights))
+        assert len(got[-1]["feature"]) > 1000
+        for other in got[-3:-1]:
+            assert all((other[k] == got[-1][k]).all() for k in other)
+        tree = got[-1]
+        assert (tree["totals"][0] == np.bincount(y, w, 3)).all()
+        inner = np.flatnonzero(tree["feature"] >= 0)
+        below = tree["child"][inner]
+        assert (tree["totals"][inner] == tree["totals"][below] + tree["totals"][below + 1]).all()
+        ends = Fo._descend(x, tree, np.arange(6000))
+        assert (np.bincount(ends * 3 + y, w, 3 * len(tree["feature"])).reshape(-1, 3)[tree["feature"] < 0] == tree["totals"][tree["feature"] < 0]).all()
