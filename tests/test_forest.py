@@ -5,6 +5,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from cartographer.operators import forest as Fo
+from cartographer.operators import models as Mo
 from cartographer.session import cut_lineage
 
 
@@ -82,3 +83,42 @@ def test_a_level_counted_in_stretches_gives_the_same_subtree(monkeypatch):
         assert (tree["totals"][inner] == tree["totals"][below] + tree["totals"][below + 1]).all()
         ends = Fo._descend(x, tree, np.arange(6000))
         assert (np.bincount(ends * 3 + y, w, 3 * len(tree["feature"])).reshape(-1, 3)[tree["feature"] < 0] == tree["totals"][tree["feature"] < 0]).all()
+
+
+def test_a_tree_and_a_forest_of_the_same_rows_share_preparation_and_bins(spark, monkeypatch):
+    df = cut_lineage(rows(spark).drop("features").repartition(3))
+    calls, blocks = [], Fo.blocks
+    monkeypatch.setattr(Fo, "blocks", lambda *a: calls.append(1) or blocks(*a))
+    shared, got = {}, []
+    for common in (shared, None):
+        for kind in ("rf", "dt"):
+            model = Mo.fit(df, [f"x{i}" for i in range(4)], "y", kind, num_trees=5, checkpoint=False, shared=common)
+            got.append(Mo.score(model, df, ["id"]).orderBy("id").collect())
+    assert len(calls) == 3 and got[:2] == got[2:]
+
+
+def test_dense_vectors_are_described_and_binned_like_sparse_ones(spark):
+    import pyarrow as pa
+    from pyspark.ml.linalg import Vectors
+    vectors = [[float(i % 7), 0.0, float(i % 3 == 0), float("nan") if i % 11 == 0 else i / 9] for i in range(300)]
+    sparse = [Vectors.sparse(4, [(j, v) for j, v in enumerate(r) if v != 0]) for r in vectors]
+    got = []
+    for kind in (sparse, [Vectors.dense(r) for r in vectors]):
+        df = spark.createDataFrame([(v,) for v in kind], ["features"]).coalesce(1)
+        cuts = Fo.thresholds(df, "features", 4)
+        got.append((cuts, Fo._binned(pa.table(df.toArrow())["features"], cuts)))
+    assert Fo._dense(pa.table(df.toArrow())["features"]).shape == (300, 4)
+    assert all((a == b).all() for a, b in zip(got[0][0], got[1][0], strict=True)) and (got[0][1] == got[1][1]).all()
+
+
+def test_a_subtree_goes_to_its_rows_once_not_once_a_block(spark, monkeypatch):
+    df = cut_lineage(rows(spark).repartition(6))  # six blocks
+    model = Fo.fit_forests(df, "features", ["y"], 3, 6, 42, [[1.0, 1.0]])[0]
+    want = Fo.probabilities(df, "features", [model], "p").select("id", F.col("p").cast("string")).orderBy("id").collect()
+    monkeypatch.setattr(Fo, "SHARED_BYTES", 0)
+    for group_rows in (1_000_000, 100):  # one group a subtree, four
+        monkeypatch.setattr(Fo, "GROUP_ROWS", group_rows)
+        got = Fo.probabilities(df, "features", [model], "p")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow vote" not in plan
+        assert got.select("id", F.col("p").cast("string")).orderBy("id").collect() == want
