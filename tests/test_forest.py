@@ -85,6 +85,21 @@ def test_a_level_counted_in_stretches_gives_the_same_subtree(monkeypatch):
         assert (np.bincount(ends * 3 + y, w, 3 * len(tree["feature"])).reshape(-1, 3)[tree["feature"] < 0] == tree["totals"][tree["feature"] < 0]).all()
 
 
+def test_a_large_node_whose_chosen_features_are_all_constant_is_counted(monkeypatch):
+    """Below an upper part the rows of a group may share one value in most features."""
+    rng = np.random.default_rng(7)
+    x = np.zeros((4000, 12), np.uint8)
+    x[:, 0], x[:, 1:11] = rng.integers(0, 32, 4000), rng.integers(0, 9, 10)
+    y, w = ((x[:, 0] > 11) ^ (rng.random(4000) < 0.3)).astype(np.uint8), rng.integers(1, 5, 4000).astype(np.uint8)
+    got = []
+    for dense in (0, 4, 1000):
+        monkeypatch.setattr(Fo, "DENSE", dense)
+        got.append([Fo._grow(x, y, w, 2, 3, 30, np.random.default_rng(seed), np.ones(2)) for seed in range(20)])
+    assert any(len(t["feature"]) == 1 for t in got[0]) and any(len(t["feature"]) > 1 for t in got[0])
+    assert all((a[k] == b[k]).all() for other in got[1:] for a, b in zip(got[0], other, strict=True) for k in a)
+    assert Fo._crossed(Fo._joint(x[:, 11:], y, 2), 0, 4000, np.zeros(1, int), np.ones(1, int), 2, w.astype(float))[0][1].tolist() == [np.bincount(y, w, 2).tolist()]
+
+
 def test_a_tree_and_a_forest_of_the_same_rows_share_preparation_and_bins(spark, monkeypatch):
     df = cut_lineage(rows(spark).drop("features").repartition(3))
     calls, blocks = [], Fo.blocks
