@@ -114,7 +114,7 @@ def train_sentiment(labelled: DataFrame, kind: str = "lr", label_col: str = "sen
         Normalizer(inputCol="tfidf", outputCol="features", p=2.0)])
     n_rows = train.count() if kind == "lr" else None
     classifier = Mo.estimator(kind, "label", "features", seed=seed, n_rows=n_rows, max_depth=max_depth)
-    rows = weights.transform(train)
+    rows = weights.transform(train).withMetadata("label", {})  # which would count a class of unknown labels, of which no row is
     return PipelineModel(stages=[*weights.stages, Mo.fit_trees(classifier, rows) if kind in Mo.TREES else classifier.fit(rows)])
 
 
@@ -125,7 +125,7 @@ def score_reviews(model: PipelineModel, reviews: DataFrame, keep: Sequence[str],
     labels = model.stages[0].labels
     idx = score_index if score_index is not None else labels.index(score_class)
     out = model.transform(prepare_text(reviews))
-    lab = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1)
+    lab = F.get(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int"))  # null for the class of rows trained without a label
     return out.select(*keep, lab.alias("sentiment"), vector_to_array("probability")[idx].alias("sentiment_score"))
 
 

@@ -164,6 +164,20 @@ def test_logistic_penalty_is_per_row(spark):
     assert S.train_sentiment(df, "lr").stages[-1].getRegParam() == pytest.approx(1 / 50)
 
 
+def test_text_regression_has_the_classes_of_its_labels_only(spark):
+    """No probability goes to a class of unknown labels; rows with a label that was never seen are scored."""
+    df = spark.createDataFrame([("good", "positive"), ("bad", "negative"), ("so so", "neutral")] * 20, "review_text string, sentiment_label string")
+    model = S.train_sentiment(df, "lr")
+    assert model.stages[-1].numClasses == 3
+    new = spark.createDataFrame([("good", "other"), ("new words", None)], df.schema)
+    out = model.transform(S.prepare_text(new)).select(vector_to_array("probability").alias("p")).collect()
+    assert [len(r.p) for r in out] == [3, 3]
+    assert [r.sentiment is None for r in S.score_reviews(model, new, ["review_text"]).collect()] == [False, False]
+    model = S.train_sentiment(df.unionByName(spark.createDataFrame([("none here", None)] * 20, df.schema)), "lr")
+    got = S.score_reviews(model, df.limit(1).unionByName(spark.createDataFrame([("none here", None)], df.schema)), ["review_text"]).collect()
+    assert {r.review_text: r.sentiment for r in got} == {"good": "positive", "none here": None}
+
+
 def test_cluster_keys(spark):
     n = spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
     assert run(spark, "propensity_clusters").count() == n == run(spark, "propensity_pca").count()
