@@ -62,14 +62,20 @@ def target_variable(data: DataFrame, product: str | None = None, category: str |
 def multi_category_target(data: DataFrame, keep: Sequence[str] = ("customer_id", "order_id", "product_id"),
                           obs: int = OBS, pred: int = PRED, step: int = STEP) -> DataFrame:
     """Observation rows of every period with the sorted set of classes the
-    customer buys in the prediction window (empty when none)."""
+    customer buys in the prediction window (empty when none).
+
+    Rows meet a customer's windows by the customer alone, before they are copied into
+    their own windows: data that lies by customer is not moved.
+    """
     g = period_grid(data, obs, pred, step)
     bought = (_buying_windows(data.where(F.col("product_class").isNotNull()), g, ["customer_id", "product_class"], obs, pred)
-              .groupBy("customer_id", "_k").agg(F.array_sort(F.collect_set("product_class")).alias("_cats")))
-    rows = _observed(data, g, keep, obs)
-    return rows.join(bought, ["customer_id", "_k"], "left").select(
-        *keep, g.start_of(F.col("_k")).alias("period_start"), g.start_of(F.col("_k"), obs).alias("period_end"),
-        F.coalesce(F.col("_cats"), F.array().cast("array<string>")).alias("target_categories"))
+              .groupBy("customer_id", "_k").agg(F.array_sort(F.collect_set("product_class")).alias("_cats"))
+              .groupBy("customer_id").agg(F.map_from_entries(F.collect_list(F.struct("_k", "_cats"))).alias("_by_window")))
+    rows = data.select(*dict.fromkeys(["customer_id", *keep]), g.windows(0, obs).alias("_windows")).join(bought, "customer_id", "left")
+    found = F.transform("_windows", lambda k: F.struct(k.alias("k"), F.try_element_at("_by_window", k).alias("cats")))
+    return rows.select(*keep, F.explode(found).alias("_w")).select(
+        *keep, g.start_of(F.col("_w.k")).alias("period_start"), g.start_of(F.col("_w.k"), obs).alias("period_end"),
+        F.coalesce(F.col("_w.cats"), F.array().cast("array<string>")).alias("target_categories"))
 
 
 def npv_cost(data: DataFrame, targets: dict[str, Column]) -> DataFrame:

@@ -98,3 +98,13 @@ def test_partitions_of_documents_grow_with_their_text(spark, monkeypatch):
                     S.term_counts_by_doc(docs, "id", "text").rdd.getNumPartitions(), out.rdd.getNumPartitions()))
     assert got[0][0] == got[1][0] and len(got[0][0]) == 600
     assert got[0][1] == spark.sparkContext.defaultParallelism and got[1][1] == got[1][2] == 32  # 200 texts of 16 bytes, 100 in a partition
+
+
+def test_rows_meet_the_classes_bought_later_where_they_lie(spark):
+    """The prepared table lies by customer: neither its rows nor their copies in the windows are shuffled for the targets."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not [c for _, c in exchanges(QUERIES["multilabel_matrix"](spark, SF_SMALL)) if c == "customer_id"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
