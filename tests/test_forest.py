@@ -137,3 +137,21 @@ def test_a_subtree_goes_to_its_rows_once_not_once_a_block(spark, monkeypatch):
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow vote" not in plan
         assert got.select("id", F.col("p").cast("string")).orderBy("id").collect() == want
+
+
+def test_trees_take_turns_when_their_rows_are_many(spark, monkeypatch):
+    """Any number of trees at once gives the same trees; a turn's shuffle is done and let go before the next."""
+    df = cut_lineage(rows(spark).repartition(3))
+    cuts, blocks = Fo.bins(df, "features", ["y"])
+    calls, released, dealt, release = [], [], Fo._dealt_and_grown, Fo.release
+    monkeypatch.setattr(Fo, "_dealt_and_grown", lambda rows, trees, turn, *a: calls.append(turn) or dealt(rows, trees, turn, *a))
+    monkeypatch.setattr(Fo, "release", lambda spark: released.append(len(calls)) or release(spark))
+    size = blocks.agg(F.sum(F.octet_length("x") + F.col("n"))).first()[0]
+    got = []
+    for beside, at_once in ((1 << 30, 1), (0, 2 * size), (0, 1)):
+        monkeypatch.setattr(Fo, "BESIDE_BYTES", beside)
+        monkeypatch.setattr(Fo, "DEALT_BYTES", at_once)
+        _, subtrees = Fo.grow(blocks, 4, 2, 5, 30, 42, [1.0, 2.0])
+        got.append([tuple(r) for r in subtrees.orderBy("tree", "node").collect()])
+    assert calls == [[0, 1, 2, 3, 4], [0, 1], [2, 3], [4], [0], [1], [2], [3], [4]]
+    assert released == list(range(2, 10)) and len(got[0]) == 5 and got[0] == got[1] == got[2]
