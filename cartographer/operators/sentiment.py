@@ -31,13 +31,18 @@ from .quantiles import prefix_sums
 PARTITION_BYTES = 16 << 20
 
 
+def text_partitions(df: DataFrame, text_col: str) -> int:
+    """Partitions of ``PARTITION_BYTES`` of text, and one for every core at least."""
+    size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES))
+
+
 def term_counts_by_doc(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, term, tf), written once in partitions by document: vocabulary and weights both read it."""
     docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # Partition by document once, by an explicit number that grows with the texts: tokenising
     # runs in parallel, and the per-doc term counts then need no further shuffle.
-    docs = docs.repartition(max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES)), "doc")
+    docs = docs.repartition(text_partitions(docs, "text"), "doc")
     toks = docs.select("doc", F.explode(T.tokens(F.col("text"))).alias("term"))
     return cut_lineage(toks.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")))
 
@@ -115,6 +120,8 @@ def train_sentiment(labelled: DataFrame, kind: str = "lr", label_col: str = "sen
     n_rows = train.count() if kind == "lr" else None
     classifier = Mo.estimator(kind, "label", "features", seed=seed, n_rows=n_rows, max_depth=max_depth)
     rows = weights.transform(train).withMetadata("label", {})  # which would count a class of unknown labels, of which no row is
+    if kind == "lr":  # up to 1,000 passes: no more tasks in each than there is text for
+        rows = rows.coalesce(text_partitions(train, "text_clean"))
     return PipelineModel(stages=[*weights.stages, Mo.fit_trees(classifier, rows) if kind in Mo.TREES else classifier.fit(rows)])
 
 

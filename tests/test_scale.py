@@ -108,3 +108,23 @@ def test_rows_meet_the_classes_bought_later_where_they_lie(spark):
         assert not [c for _, c in exchanges(QUERIES["multilabel_matrix"](spark, SF_SMALL)) if c == "customer_id"]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_pass_of_the_text_regression_has_no_more_tasks_than_text(spark, monkeypatch):
+    from cartographer.operators import sentiment as S
+    df = spark.createDataFrame([("good", "positive"), ("bad", "negative")] * 40, "review_text string, sentiment_label string").repartition(40)
+    seen, estimator = [], S.Mo.estimator
+
+    class Seen:
+        def __init__(self, e):
+            self.e = e
+
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+            return self.e.fit(rows)
+
+    monkeypatch.setattr(S.Mo, "estimator", lambda *a, **k: Seen(estimator(*a, **k)))
+    for size in (16 << 20, 20):  # 80 texts of 3 or 4 bytes
+        monkeypatch.setattr(S, "PARTITION_BYTES", size)
+        S.train_sentiment(df, "lr")
+    assert seen == [(spark.sparkContext.defaultParallelism, 80), (14, 80)]
