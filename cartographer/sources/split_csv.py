@@ -202,12 +202,12 @@ def overview(df: DataFrame, name: str, n: int = 3) -> DataFrame:
     fields = df.schema.fields
     order = [F.col(f"`{f.name}`").asc_nulls_first() for f in fields]
     top = df.orderBy(*order).limit(n).withColumn("_rank", F.row_number().over(Window.orderBy(*order)))  # n rows
-    heads = top.agg(*(F.max(F.when(F.col("_rank") == k + 1, text(f))).alias(f"h{i}_{k}") for i, f in enumerate(fields) for k in range(n)))
+    heads = top.agg(F.sort_array(F.collect_list(F.struct("_rank", *(text(f).alias(f"h{i}") for i, f in enumerate(fields)))))).scalar()
     counts = df.agg(F.count(F.lit(1)).alias("n_rows"), *(F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)))
-    one = counts.withColumn("table_name", F.lit(name)).join(heads.withColumn("table_name", F.lit(name)), "table_name")
+    one = counts.select(F.lit(name).alias("table_name"), "*", heads.alias("_heads"))
     each = F.array(*(F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
                               (F.col("n_rows") - F.col(f"n{i}")).alias("n_missing"),
-                              *(F.col(f"h{i}_{k}").alias(f"head_{k + 1}") for k in range(n))) for i, f in enumerate(fields)))
+                              *(F.get("_heads", F.lit(k)).getField(f"h{i}").alias(f"head_{k + 1}") for k in range(n))) for i, f in enumerate(fields)))
     return one.select("table_name", "n_rows", F.explode(each).alias("e")).select("table_name", "n_rows", "e.*")
 
 
